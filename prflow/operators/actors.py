@@ -99,25 +99,24 @@ def resolve_by_login(
     ).drop("_login", "_found")
 
 
-def referenced_users(df: DataFrame, *actors: str) -> DataFrame:
+def referenced_users(df: DataFrame, *actors: str, keep: Sequence[str] = ()) -> DataFrame:
     """Ids of the USER actors in the named actor columns, arrays of actors
-    included, in one scan. Not yet distinct."""
+    included, in one scan, with the columns to ``keep``. Not yet distinct."""
+    kinds = df.select(*[F.col(path).alias(f"c{i}") for i, path in enumerate(actors)]).schema
 
-    def as_array(path: str) -> Column:
-        kind = df.select(F.col(path).alias("c")).schema["c"].dataType
-        column = F.col(path)
+    def as_array(path: str, kind) -> Column:
         if isinstance(kind, ArrayType):
-            return F.coalesce(column, F.array().cast(kind))
-        return F.array(column)
+            return F.coalesce(F.col(path), F.array().cast(kind))
+        return F.array(path)
 
-    if len(actors) == 1 and not isinstance(
-        df.select(F.col(actors[0]).alias("c")).schema["c"].dataType, ArrayType
-    ):
-        found = df.select(F.col(actors[0]).alias("actor"))
+    if len(actors) == 1 and not isinstance(kinds[0].dataType, ArrayType):
+        found = df.select(*keep, F.col(actors[0]).alias("actor"))
     else:
-        every = F.concat(*[as_array(path) for path in actors])
-        found = df.select(F.explode(every).alias("actor"))
-    return found.filter(F.col("actor.author_type") == S.USER).select(F.col("actor.id").alias("id"))
+        every = F.concat(*[as_array(path, f.dataType) for path, f in zip(actors, kinds)])
+        found = df.select(*keep, F.explode(every).alias("actor"))
+    return found.filter(F.col("actor.author_type") == S.USER).select(
+        *keep, F.col("actor.id").alias("id")
+    )
 
 
 def distinct_ids(*references: DataFrame) -> DataFrame:
@@ -128,14 +127,18 @@ def distinct_ids(*references: DataFrame) -> DataFrame:
 
 
 def document_users(
-    documents: DataFrame, lists: dict[str, DataFrame], actors: Sequence[str] = ("author",)
+    documents: DataFrame,
+    lists: dict[str, DataFrame],
+    actors: Sequence[str] = ("author",),
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Distinct user ids a document type refers to: its actor columns (author,
     committer) and the actors in its list tables (participants, edits,
     reactions, authors)."""
     inside = {"edits": "items.editor", "reactions": "items.author"}
-    references = [referenced_users(documents, *actors)]
+    references = [referenced_users(documents, *actors, keep=keep)]
     references += [
-        referenced_users(table, inside.get(field, "items")) for field, table in lists.items()
+        referenced_users(table, inside.get(field, "items"), keep=keep)
+        for field, table in lists.items()
     ]
     return distinct_ids(*references)

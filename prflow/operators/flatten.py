@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 PAGES_PER_SEGMENT = 10
-_ENVELOPE = ("owner", "name", "request_id", "page_no")
+ENVELOPE = ("owner", "name", "request_id", "page_no")
 
 
 def _field_type(df: DataFrame, path: str):
@@ -26,7 +26,7 @@ def _field_type(df: DataFrame, path: str):
 
 
 def flatten_connection(
-    pages: DataFrame, path: str, keep: Sequence[str] = _ENVELOPE
+    pages: DataFrame, path: str, keep: Sequence[str] = ENVELOPE
 ) -> DataFrame:
     """One row per edge of the connection at ``body.data.<path>``: the page's
     envelope, the position in the page, the cursor and the node. NULL objects

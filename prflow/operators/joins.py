@@ -63,8 +63,10 @@ def lookup_join(
 
     A lookup too large to broadcast is joined by shuffle, with the heavy keys
     salted: their rows are spread by ``spread`` (columns that differ within a
-    key) and only their few lookup rows are repeated. Rows whose key is NULL
-    match nothing and are spread as well. ``how`` is ``left`` or ``inner``.
+    key) and by the input split, so that copies of one row part ways too; only
+    the few lookup rows of heavy keys are repeated. Rows whose key is NULL match
+    nothing and are spread as well. A retried task keeps its split number, so
+    it repeats the same salts. ``how`` is ``left`` or ``inner``.
     """
     on = list(on)
     if not force and fits_broadcast(lookup):
@@ -72,7 +74,7 @@ def lookup_join(
     heavy = F.broadcast(heavy_keys(rows, on, min_rows))
     is_heavy = F.coalesce(F.col("_heavy"), F.lit(False))
     has_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in on])
-    salt = F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")
+    salt = F.pmod(F.xxhash64(F.spark_partition_id(), *spread), F.lit(salts)).cast("int")
     salted_rows = (
         rows.join(heavy, on, "left")
         .withColumn("_salt", F.when(is_heavy | has_null, salt).otherwise(F.lit(0)))
@@ -94,16 +96,18 @@ def lookup_join(
 
 
 def inherit_parent_keys(
-    edges: DataFrame, parents: DataFrame, inherited: dict[str, str], **options
+    rows: DataFrame,
+    parents: DataFrame,
+    inherited: dict[str, str],
+    spread: Sequence[str | Column] = ("page_no",),
+    **options,
 ) -> DataFrame:
-    """Give every edge the keys of the parent it was requested for.
+    """Give pages (or edges) the keys of the parent they were requested for.
 
-    ``inherited`` maps a parent column to its name on the child. Edges whose
+    ``inherited`` maps a parent column to its name on the child. Rows whose
     parent is not stored are dropped."""
     keys = parents.select(
         F.col("id").alias("request_id"),
         *[F.col(column).alias(name) for column, name in inherited.items()],
     )
-    return lookup_join(
-        edges, keys, ["request_id"], spread=["page_no", "pos"], how="inner", **options
-    )
+    return lookup_join(rows, keys, ["request_id"], spread=spread, how="inner", **options)

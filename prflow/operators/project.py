@@ -2,11 +2,14 @@
 
 Each function is one ``select`` over rows that carry a ``node`` struct and the
 parent keys already joined. ``author`` and ``committer`` are actor structs
-resolved before (see ``actors``); NULL means the API named nobody.
+resolved before (see ``actors``); NULL means the API named nobody. ``keep``
+names further columns to carry along, such as the page order.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -55,8 +58,11 @@ def to_repository(pages: DataFrame) -> DataFrame:
     )
 
 
-def to_pull_request(edges: DataFrame, author: Column | None = None) -> DataFrame:
+def to_pull_request(
+    edges: DataFrame, author: Column | None = None, keep: Sequence[str] = ()
+) -> DataFrame:
     return edges.select(
+        *keep,
         F.col("node.id").alias("id"),
         "repository_id",
         _author(author),
@@ -79,8 +85,11 @@ def merged_only(edges: DataFrame) -> DataFrame:
     return edges.filter(F.col("node.state") == S.MERGED)
 
 
-def to_pr_comment(edges: DataFrame, author: Column | None = None) -> DataFrame:
+def to_pr_comment(
+    edges: DataFrame, author: Column | None = None, keep: Sequence[str] = ()
+) -> DataFrame:
     return edges.select(
+        *keep,
         F.col("node.id").alias("id"),
         "pull_request_id",
         "repository_id",
@@ -96,8 +105,11 @@ def to_pr_comment(edges: DataFrame, author: Column | None = None) -> DataFrame:
     )
 
 
-def to_review(edges: DataFrame, author: Column | None = None) -> DataFrame:
+def to_review(
+    edges: DataFrame, author: Column | None = None, keep: Sequence[str] = ()
+) -> DataFrame:
     return edges.select(
+        *keep,
         F.col("node.id").alias("id"),
         "pull_request_id",
         "repository_id",
@@ -115,8 +127,11 @@ def to_review(edges: DataFrame, author: Column | None = None) -> DataFrame:
     )
 
 
-def to_review_comment(edges: DataFrame, author: Column | None = None) -> DataFrame:
+def to_review_comment(
+    edges: DataFrame, author: Column | None = None, keep: Sequence[str] = ()
+) -> DataFrame:
     return edges.select(
+        *keep,
         F.col("node.id").alias("id"),
         "pull_request_id",
         "pull_request_review_id",
@@ -159,7 +174,10 @@ def entries(tree_entries: Column) -> Column:
 
 
 def to_commit(
-    nodes: DataFrame, author: Column | None = None, committer: Column | None = None
+    nodes: DataFrame,
+    author: Column | None = None,
+    committer: Column | None = None,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     def person(value: Column | None, side: str) -> Column:
         if value is None:
@@ -167,6 +185,7 @@ def to_commit(
         return S.actor_or_unknown(value).alias(side)
 
     return nodes.select(
+        *keep,
         F.col("node.id").alias("id"),
         "repository_id",
         person(author, "author"),
@@ -196,8 +215,11 @@ def commit_entries(commits: DataFrame) -> DataFrame:
     return commits.select(F.col("id").alias("commit_id"), F.inline("entries"))
 
 
-def to_commit_comment(edges: DataFrame, author: Column | None = None) -> DataFrame:
+def to_commit_comment(
+    edges: DataFrame, author: Column | None = None, keep: Sequence[str] = ()
+) -> DataFrame:
     return edges.select(
+        *keep,
         F.col("node.id").alias("id"),
         "commit_id",
         "repository_id",
@@ -214,9 +236,10 @@ def to_commit_comment(edges: DataFrame, author: Column | None = None) -> DataFra
     )
 
 
-def to_check_suite(edges: DataFrame) -> DataFrame:
+def to_check_suite(edges: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """The repository and the commit come from the node, not from the parent."""
     return edges.select(
+        *keep,
         F.col("node.id").alias("id"),
         F.col("node.commit.id").alias("commit_id"),
         F.col("node.repository.id").alias("repository_id"),
@@ -231,8 +254,9 @@ def to_check_suite(edges: DataFrame) -> DataFrame:
     )
 
 
-def to_user(nodes: DataFrame) -> DataFrame:
+def to_user(nodes: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     return nodes.select(
+        *keep,
         F.col("node.id").alias("id"),
         F.col("node.name").alias("name"),
         F.col("node.login").alias("login"),
@@ -249,9 +273,10 @@ def to_user(nodes: DataFrame) -> DataFrame:
     )
 
 
-def to_organization(nodes: DataFrame) -> DataFrame:
+def to_organization(nodes: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """The id is the one asked for."""
     return nodes.select(
+        *keep,
         F.col("request_id").alias("id"),
         F.col("node.name").alias("name"),
         F.col("node.description").alias("description"),

@@ -167,21 +167,39 @@ def upstream(parents: Mapping[int, Sequence[int]]) -> list[tuple[int, int]]:
 
 
 def recursive_report(
-    spark: SparkSession, report: DataFrame, parents: Mapping[int, Sequence[int]]
+    spark: SparkSession,
+    report: DataFrame,
+    parents: Mapping[int, Sequence[int]],
+    global_steps: Sequence[int] = (),
 ) -> DataFrame:
     """A step is done for a repository only if it and all steps it depends on
-    are. A dependency without a report row is not done."""
-    pairs = spark.createDataFrame(upstream(parents), "step int, needs int")
-    needed = pairs.groupBy("step").agg(F.count(F.lit(1)).alias("needed"))
+    are. A dependency without a report row is not done. Global steps (reported
+    once, without a repository) need their dependencies in every repository."""
+    pairs = upstream(parents)
+    needs = {step: sum(1 for s, _ in pairs if s == step) for step in parents}
+    # the step graph is a parameter: some dozen steps, a few hundred pairs
+    graph = F.broadcast(
+        spark.createDataFrame(
+            [(step, needed, needs[step], step in global_steps) for step, needed in pairs],
+            "step int, needs int, needed long, is_global boolean",
+        )
+    )
     done = report.select(F.col("step").alias("needs"), _REPOSITORY, F.col("ok").alias("_ok"))
-    # the step graph is fixed (32 steps, a few hundred pairs)
+    # a global step counts each dependency once, when every repository has it
+    scope = F.when(~F.col("is_global"), F.col(_REPOSITORY))
     reached = (
-        done.join(F.broadcast(pairs), "needs")
-        .groupBy("step", _REPOSITORY)
+        done.join(graph, "needs")
+        .groupBy("step", "needs", "needed", scope.alias(_REPOSITORY))
+        .agg(F.bool_and("_ok").alias("_ok"))
+        .groupBy("step", "needed", _REPOSITORY)
         .agg(F.count_if("_ok").alias("done"))
-        .join(F.broadcast(needed), "step")
-        .select("step", _REPOSITORY, (F.col("done") == F.col("needed")).alias("ok_recursive"))
+        .select(
+            "step", F.col(_REPOSITORY).alias("_in"), (F.col("done") == F.col("needed")).alias("_all")
+        )
     )
-    return report.join(reached, ["step", _REPOSITORY], "left").withColumn(
-        "ok_recursive", F.coalesce(F.col("ok_recursive"), F.lit(False))
+    joined = report.alias("r").join(
+        reached.alias("a"),
+        (F.col("r.step") == F.col("a.step")) & F.col(f"r.{_REPOSITORY}").eqNullSafe(F.col("a._in")),
+        "left",
     )
+    return joined.select("r.*", F.coalesce("a._all", F.lit(False)).alias("ok_recursive"))

@@ -701,5 +701,5 @@ def inherit_keys(t: Tables) -> DataFrame:
         tag("R", F.length("text")).alias("repository_id"),
     )
     keys = {"pull_request_id": "pull_request_id", "repository_id": "repository_id"}
-    owned = inherit_parent_keys(pr_comment_edges(t), parents, keys)
+    owned = inherit_parent_keys(pr_comment_edges(t), parents, keys, ["page_no", "pos"])
     return owned.select(F.col("node.id").alias("id"), "pull_request_id", "repository_id")
