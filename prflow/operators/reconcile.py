@@ -64,9 +64,13 @@ def documents_per_repository(documents: DataFrame) -> DataFrame:
     return documents.groupBy(_REPOSITORY, "object_type").agg(F.count(F.lit(1)).alias("documents"))
 
 
-def expected_totals(documents: DataFrame, *declared: str) -> DataFrame:
-    """Sums of declared counts per repository, all in one pass."""
-    return documents.groupBy(_REPOSITORY).agg(*[_sum(F.col(d)).alias(d) for d in declared])
+def expected_totals(documents: DataFrame, /, *declared: str, **more: Column) -> DataFrame:
+    """Sums per repository, all in one pass: declared counts by name, and any
+    further columns to sum."""
+    return documents.groupBy(_REPOSITORY).agg(
+        *[_sum(F.col(d)).alias(d) for d in declared],
+        *[_sum(value).alias(name) for name, value in more.items()],
+    )
 
 
 def actual_list_totals(lists: DataFrame, name: str = "actual") -> DataFrame:
@@ -77,13 +81,16 @@ def actual_child_totals(children: DataFrame, name: str = "actual") -> DataFrame:
     return children.groupBy(_REPOSITORY).agg(F.count(F.lit(1)).alias(name))
 
 
-def actual_commit_totals(parents: DataFrame, counts: DataFrame, name: str = "actual") -> DataFrame:
-    """Loaded commits per repository, where a parent that the API is known to
-    return fewer for counts with its declared total."""
-    counted = F.when(
+def counted_commits() -> Column:
+    """What a parent's loaded commits count as: its declared total when the API
+    is known to return fewer."""
+    return F.when(
         F.col("commit_id_load_status") == S.GIT_RETURNED_LESS, F.col("total_commits")
     ).otherwise(F.col("loaded"))
-    return with_loaded(parents, counts).groupBy(_REPOSITORY).agg(_sum(counted).alias(name))
+
+
+def actual_commit_totals(parents: DataFrame, counts: DataFrame, name: str = "actual") -> DataFrame:
+    return with_loaded(parents, counts).groupBy(_REPOSITORY).agg(_sum(counted_commits()).alias(name))
 
 
 def global_totals(documents: DataFrame, declared: str, lists: DataFrame) -> DataFrame:
@@ -105,47 +112,41 @@ def mismatched_parents(parents: DataFrame, declared: str, counts: DataFrame) ->
     )
 
 
-def step_report(
-    step: int | Column,
-    expected: DataFrame,
-    actual: DataFrame,
-    repositories: DataFrame | None = None,
-) -> DataFrame:
-    """(step, repository_id, expected, actual, ok) for one step. Inputs have
-    repository_id and their one count column. With ``repositories`` every
-    repository in scope is reported, also those with nothing to load."""
-
-    def one(df: DataFrame, side: str) -> DataFrame:
-        (count,) = [c for c in df.columns if c != _REPOSITORY]
-        zero = F.lit(0).cast("long")
-        value = F.col(count).cast("long")
-        return df.select(
-            _REPOSITORY,
-            (value if side == "expected" else zero).alias("expected"),
-            (value if side == "actual" else zero).alias("actual"),
+def sides(totals: DataFrame, /, **columns: Sequence[tuple[int, str]]) -> DataFrame:
+    """Totals per repository as report rows (repository_id, step, expected,
+    actual). Each column names the (step, side) it counts for, so one pass over
+    a table serves every step about it."""
+    zero = F.lit(0).cast("long")
+    rows = [
+        F.struct(
+            F.lit(step).alias("step"),
+            (F.col(column).cast("long") if side == "expected" else zero).alias("expected"),
+            (F.col(column).cast("long") if side == "actual" else zero).alias("actual"),
         )
+        for column, targets in columns.items()
+        for step, side in targets
+    ]
+    return totals.select(_REPOSITORY, F.inline(F.array(*rows)))
 
-    sides = [one(expected, "expected"), one(actual, "actual")]
-    if repositories is not None:
-        zero = F.lit(0).cast("long")
-        sides.append(
-            repositories.select(
-                F.col("id").alias(_REPOSITORY), zero.alias("expected"), zero.alias("actual")
-            )
-        )
-    # a union and a sum instead of a full outer join: the sides are already
-    # one row per repository
+
+def step_report(
+    parts: Sequence[DataFrame], repositories: DataFrame, steps: Sequence[int]
+) -> DataFrame:
+    """(step, repository_id, expected, actual, ok) for every step and every
+    repository in scope, also where there is nothing to load. The parts are a
+    few rows per repository already, so a union and a sum join them."""
+    zero = F.lit(0).cast("long")
+    every = repositories.select(
+        F.col("id").alias(_REPOSITORY),
+        F.explode(F.array(*[F.lit(s) for s in steps])).alias("step"),
+        zero.alias("expected"),
+        zero.alias("actual"),
+    )
     return (
-        reduce(DataFrame.unionByName, sides)
-        .groupBy(_REPOSITORY)
+        reduce(DataFrame.unionByName, parts, every)
+        .groupBy("step", _REPOSITORY)
         .agg(F.sum("expected").alias("expected"), F.sum("actual").alias("actual"))
-        .select(
-            (F.lit(step) if isinstance(step, int) else step).cast("int").alias("step"),
-            _REPOSITORY,
-            "expected",
-            "actual",
-            (F.col("expected") == F.col("actual")).alias("ok"),
-        )
+        .withColumn("ok", F.col("expected") == F.col("actual"))
     )
 
 

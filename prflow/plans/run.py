@@ -33,6 +33,7 @@ USER_SOURCES = {
     "commit_users": "COMMIT",
     "commit_comment_users": "COMMIT_COMMENT",
 }
+_SCOPE = "id string, owner string, name string, total_pull_requests int, place long"
 _ACTOR_LISTS = ("participants", "edits", "reactions", "authors")
 # Steps about all repositories at once.
 GLOBAL_STEPS = (31, 32)
@@ -74,9 +75,7 @@ class Run:
     @property
     def scope(self) -> DataFrame:
         """Stored repositories of this run: (id, owner, name, total, place)."""
-        return self.store.documents("REPOSITORY").select(
-            "id", "owner", "name", "total_pull_requests"
-        ).join(self.wanted, ["owner", "name"])
+        return self.store.lookup("scope", _SCOPE)
 
     def documents(self, object_type: str) -> DataFrame:
         """Stored documents of this run's repositories."""
@@ -135,6 +134,11 @@ class Run:
         self.store.replace_repositories(
             loads.repositories(self.pages("repository"), stored, self.wanted, self.now)
         )
+        # written, so that its size is known to the joins of every later step
+        known = self.store.documents("REPOSITORY").select(
+            "id", "owner", "name", "total_pull_requests"
+        )
+        self.store.put_lookup("scope", known.join(self.wanted, ["owner", "name"]))
 
     def _load_pull_requests(self) -> None:
         new = loads.pull_requests(
@@ -321,104 +325,130 @@ class Run:
             )
         return reduce(DataFrame.unionAll, missing)
 
+    def missing_repositories(self) -> DataFrame:
+        """Wanted (owner, name) pairs that are not stored."""
+        return D.repository_exists(self.store.documents("REPOSITORY"), self.wanted).filter(
+            ~F.col("is_stored")
+        )
+
     def report(self) -> DataFrame:
-        """(step, repository_id, expected, actual, ok, ok_recursive)."""
-        steps = [self._step_report(step) for step in STEPS]
-        report = reduce(DataFrame.unionByName, steps)
+        """(step, repository_id, expected, actual, ok, ok_recursive). Global
+        steps are reported once, without a repository. Every table is summed
+        once for all the steps about it."""
+        scope = self.scope
+        local = [step.number for step in STEPS if step.number not in GLOBAL_STEPS]
+        parts = [*self._document_sides(), *self._list_sides(), *self._open_sides()]
+        report = reconcile.step_report(parts, scope, local).unionByName(self._global_report())
         return reconcile.recursive_report(self.spark, report, STEP_PARENTS, GLOBAL_STEPS)
 
-    def _step_report(self, step: Step) -> DataFrame:
-        scope = self.scope
-        one = F.lit(1).cast("long")
-        if step.name == "repositories":
-            # a wanted pair that is not stored has no id and no other row
-            exists = scope.select(F.col("id").alias("repository_id"), one.alias("count"))
-            return reconcile.step_report(step.number, exists, exists, scope)
-        if step.name == "pull_requests":
-            declared = scope.select(F.col("id").alias("repository_id"), "total_pull_requests")
-            actual = reconcile.actual_child_totals(self.documents("PULL_REQUEST"))
-            return reconcile.step_report(step.number, declared, actual, scope)
-        if step.name == "pr_commit_ids":
-            parents = D.in_scope(self.store.with_late("PULL_REQUEST"), scope)
-            expected = reconcile.expected_totals(parents, "total_commits")
-            actual = reconcile.actual_commit_totals(
-                parents, self.loaded("PULL_REQUEST", "commit_ids")
-            )
-            return reconcile.step_report(step.number, expected, actual, scope)
-        if step.name in COMMIT_SOURCES:
-            references = self.commit_references(COMMIT_SOURCES[step.name])
-            return self._open_report(step, references, "COMMIT", "commit")
-        if step.name in USER_SOURCES:
-            references = self.user_references(USER_SOURCES[step.name])
-            return self._open_report(step, references, "USER", "user")
-        if step.name == "user_organization_ids":
-            totals = reconcile.global_totals(
-                self.store.documents("USER"),
-                "total_organizations",
-                self.store.lists("USER", "organizations"),
-            )
-            return self._global_report(step, totals)
-        if step.name == "organizations":
-            missing = loads.known_missing(
-                self.organization_references(), self.pages("organization")
-            )
-            totals = discover.unsaved_count(
-                self.organization_references(), self.store.documents("ORGANIZATION"), missing
-            ).select(F.lit(0).cast("long").alias("expected"), F.col("unsaved").alias("actual"))
-            return self._global_report(step, totals)
-        parent_type, declared, children = _COUNTED[step.name]
-        parents = self.documents(parent_type)
-        expected = reconcile.expected_totals(parents, declared)
-        if children.endswith("_ids") or children in _ACTOR_LISTS:
-            lists = self.store.lists(parent_type, children)
-            actual = reconcile.actual_list_totals(
-                D.in_scope(lists.withColumn("id", F.col("parent_id")), scope)
-            )
-        else:
-            actual = reconcile.actual_child_totals(self.documents(children))
-        return reconcile.step_report(step.number, expected, actual, scope)
-
-    def _open_report(
-        self, step: Step, references: DataFrame, object_type: str, shape: str
-    ) -> DataFrame:
-        """Expected 0; actual is how many references are still open."""
-        missing = loads.known_missing(references, self.pages(shape))
-        still_open = (
-            D.in_scope(references, self.scope)
-            .join(self.store.documents(object_type).select("id"), "id", "left_anti")
-            .join(missing, "id", "left_anti")
+    def _document_sides(self) -> Iterable[DataFrame]:
+        """Stored documents, and what they declare."""
+        scope = self.scope.select(
+            F.col("id").alias("repository_id"), "total_pull_requests", F.lit(1).alias("stored")
         )
-        none = self.scope.select(
-            F.col("id").alias("repository_id"), F.lit(0).cast("long").alias("count")
+        yield reconcile.sides(
+            scope, stored=[(1, "expected"), (1, "actual")], total_pull_requests=[(2, "expected")]
         )
-        actual = reconcile.actual_child_totals(still_open)
-        return reconcile.step_report(step.number, none, actual, self.scope)
-
-    def _global_report(self, step: Step, totals: DataFrame) -> DataFrame:
-        return totals.select(
-            F.lit(step.number).alias("step"),
-            F.lit(None).cast("string").alias("repository_id"),
-            "expected",
-            "actual",
-            (F.col("expected") == F.col("actual")).alias("ok"),
+        for object_type, number in _COUNTED_DOCUMENTS.items():
+            documents = self.documents(object_type)
+            declared = {
+                column: [(step, "expected")]
+                for step, (kind, column, _) in _DECLARED.items()
+                if kind == object_type
+            }
+            more = {}
+            targets = dict(declared)
+            if number is not None:
+                more["documents"] = F.lit(1)
+                targets["documents"] = [(number, "actual")]
+            if object_type == "PULL_REQUEST":
+                documents = reconcile.with_loaded(
+                    D.in_scope(self.store.with_late(object_type), self.scope),
+                    self.loaded(object_type, "commit_ids"),
+                )
+                more["counted_commits"] = reconcile.counted_commits()
+                targets["counted_commits"] = [(4, "actual")]
+            yield reconcile.sides(
+                reconcile.expected_totals(documents, *declared, **more), **targets
+            )
+
+    def _list_sides(self) -> Iterable[DataFrame]:
+        """Sizes of the stored lists."""
+        for step, (object_type, _, field) in _DECLARED.items():
+            if field is not None:
+                lists = self.store.lists(object_type, field).withColumn("id", F.col("parent_id"))
+                totals = reconcile.actual_list_totals(D.in_scope(lists, self.scope))
+                yield reconcile.sides(totals, actual=[(step, "actual")])
+
+    def _open_sides(self) -> Iterable[DataFrame]:
+        """References still to load; expected are none. Ids that were not found
+        are not open."""
+        for sources, references, object_type, shape in (
+            (COMMIT_SOURCES, self.commit_references, "COMMIT", "commit"),
+            (USER_SOURCES, self.user_references, "USER", "user"),
+        ):
+            stored = self.store.documents(object_type).select("id")
+            for name, source in sources.items():
+                ids = D.in_scope(references(source), self.scope)
+                still_open = ids.join(stored, "id", "left_anti").join(
+                    loads.known_missing(ids, self.pages(shape)), "id", "left_anti"
+                )
+                yield reconcile.sides(
+                    reconcile.actual_child_totals(still_open),
+                    actual=[(STEP_BY_NAME[name].number, "actual")],
+                )
+
+    def _global_report(self) -> DataFrame:
+        organizations = reconcile.global_totals(
+            self.store.documents("USER"),
+            "total_organizations",
+            self.store.lists("USER", "organizations"),
+        )
+        references = self.organization_references()
+        still_open = discover.unsaved_count(
+            references,
+            self.store.documents("ORGANIZATION"),
+            loads.known_missing(references, self.pages("organization")),
+        ).select(F.lit(0).cast("long").alias("expected"), F.col("unsaved").alias("actual"))
+        return reduce(
+            DataFrame.unionByName,
+            [
+                totals.select(
+                    F.lit(step).alias("step"),
+                    F.lit(None).cast("string").alias("repository_id"),
+                    "expected",
+                    "actual",
+                    (F.col("expected") == F.col("actual")).alias("ok"),
+                )
+                for step, totals in zip(GLOBAL_STEPS, (organizations, still_open))
+            ],
         )
 
 
-# Step -> parent type, declared total, and what is counted against it: a list
-# field of the parent or the child documents themselves.
-_COUNTED = {
-    "pr_participants": ("PULL_REQUEST", "total_participants", "participants"),
-    "pr_comments": ("PULL_REQUEST", "total_comments", "PULL_REQUEST_COMMENT"),
-    "reviews": ("PULL_REQUEST", "total_reviews", "PULL_REQUEST_REVIEW"),
-    "review_comments": ("PULL_REQUEST_REVIEW", "total_comments", "PULL_REQUEST_REVIEW_COMMENT"),
-    "commit_pull_request_ids": (
-        "COMMIT", "total_associated_pull_requests", "associated_pull_request_ids",
-    ),
-    "commit_authors": ("COMMIT", "total_authors", "authors"),
-    "check_suites": ("COMMIT", "total_check_suites", "check_suite_ids"),
-    "commit_comments": ("COMMIT", "total_comments", "comment_ids"),
+# Stored documents that a step counts, and the step (None: they only declare).
+_COUNTED_DOCUMENTS = {
+    "PULL_REQUEST": 2,
+    "PULL_REQUEST_COMMENT": 7,
+    "PULL_REQUEST_REVIEW": 10,
+    "PULL_REQUEST_REVIEW_COMMENT": 13,
+    "COMMIT": None,
+    "COMMIT_COMMENT": None,
+}
+
+# Step -> parent type, declared total, and the list counted against it (None:
+# not a list; child documents or, for commit ids, the counted commits).
+_DECLARED = {
+    3: ("PULL_REQUEST", "total_participants", "participants"),
+    4: ("PULL_REQUEST", "total_commits", None),
+    7: ("PULL_REQUEST", "total_comments", None),
+    10: ("PULL_REQUEST", "total_reviews", None),
+    13: ("PULL_REQUEST_REVIEW", "total_comments", None),
+    19: ("COMMIT", "total_associated_pull_requests", "associated_pull_request_ids"),
+    20: ("COMMIT", "total_authors", "authors"),
+    21: ("COMMIT", "total_check_suites", "check_suite_ids"),
+    22: ("COMMIT", "total_comments", "comment_ids"),
 } | {
-    step.name: (step.object_type, f"total_{step.field}", step.field)
+    step.number: (step.object_type, f"total_{step.field}", step.field)
     for step in STEPS
     if step.field in ("edits", "reactions")
 }

@@ -174,7 +174,7 @@ _PARTICIPANTS_SQL = """
 def distinct_actors(t: Tables) -> DataFrame:
     """Authors, editors and reaction authors of documents."""
     lists = {"edits": edit_lists(t), "reactions": reaction_lists(t)}
-    return actors.document_users(P.pull_requests(t), lists)
+    return actors.document_users(t.once(P.pull_requests), lists)
 
 
 @query(
@@ -192,7 +192,7 @@ def actors_of_pull_requests(t: Tables) -> DataFrame:
         "edits": edit_lists(t),
         "reactions": reaction_lists(t),
     }
-    return actors.document_users(P.pull_requests(t), lists)
+    return actors.document_users(t.once(P.pull_requests), lists)
 
 
 @query(
@@ -261,14 +261,14 @@ _UNSAVED_USERS_SQL = f"""
 
 @query("unsaved_users", _UNSAVED_USERS_SQL)
 def unsaved_users(t: Tables) -> DataFrame:
-    users = actors.document_users(P.pull_requests(t), {})
+    users = actors.document_users(t.once(P.pull_requests), {})
     return discover.unsaved(users, stored_users(t))
 
 
 @query("unsaved_commits_multi", _UNSAVED_MULTI_SQL)
 def unsaved_commits_multi(t: Tables) -> DataFrame:
     """From the commit lists of pull requests."""
-    return discover.unsaved(discover.ids_in_lists(P.commit_lists(t)), stored_commits(t))
+    return discover.unsaved(discover.ids_in_lists(t.once(P.commit_lists)), stored_commits(t))
 
 
 @query("unsaved_commits_single", _UNSAVED_SINGLE_SQL)
@@ -281,7 +281,7 @@ def unsaved_commits_single(t: Tables) -> DataFrame:
 def unsaved_commits_all(t: Tables) -> DataFrame:
     """From all referencing documents, in one job."""
     references = actors.distinct_ids(
-        discover.ids_in_lists(P.commit_lists(t)), _single_references(t)
+        discover.ids_in_lists(t.once(P.commit_lists)), _single_references(t)
     )
     return discover.unsaved(references, stored_commits(t))
 
@@ -296,9 +296,9 @@ def unsaved_commits_all(t: Tables) -> DataFrame:
 )
 def unsaved_counts(t: Tables) -> DataFrame:
     references = actors.distinct_ids(
-        discover.ids_in_lists(P.commit_lists(t)), _single_references(t)
+        discover.ids_in_lists(t.once(P.commit_lists)), _single_references(t)
     )
-    users = actors.document_users(P.pull_requests(t), {})
+    users = actors.document_users(t.once(P.pull_requests), {})
     commits = discover.unsaved_count(references, stored_commits(t))
     left = discover.unsaved_count(users, stored_users(t))
     return commits.select(F.lit("COMMIT").alias("kind"), "unsaved").unionAll(
@@ -405,7 +405,7 @@ def insert_if_absent(t: Tables) -> DataFrame:
 )
 def set_fields(t: Tables) -> DataFrame:
     """Pull requests with returned items get a new count and a load status."""
-    target = P.pull_requests(t).select(
+    target = t.once(P.pull_requests).select(
         "id", "repository_id", "state", "total_commits", "total_participants"
     )
     returned = (
@@ -443,7 +443,7 @@ def set_fields(t: Tables) -> DataFrame:
 def repository_upsert(t: Tables) -> DataFrame:
     """Three owners are stored; all but the first are seen again, with one
     pull request more."""
-    repositories = P.repositories(t)
+    repositories = t.once(P.repositories)
     before = F.lit("2020-01-01 00:00:00").cast("timestamp")
     stored = repositories.filter(F.col("owner").isin("AFRICA", "AMERICA", "ASIA")).select(
         "*", before.alias("insert_timestamp"), before.alias("update_timestamp")
@@ -509,7 +509,7 @@ def stream_ingest(t: Tables) -> DataFrame:
 def count_by_repository_type(t: Tables) -> DataFrame:
     columns = ["repository_id", "object_type"]
     documents = (
-        P.pull_requests(t)
+        t.once(P.pull_requests)
         .select(*columns)
         .unionAll(project.to_check_suite(R.check_suite_edges(t)).select(*columns))
         .unionAll(R.commits(t).select(*columns))
@@ -557,8 +557,8 @@ def incomplete_parents_child_table(t: Tables) -> DataFrame:
 )
 def incomplete_parents_embedded(t: Tables) -> DataFrame:
     """Pull requests that declare more commits than their list has."""
-    counts = reconcile.list_counts(P.commit_lists(t))
-    found = reconcile.incomplete_parents(P.pull_requests(t), "total_commits", counts)
+    counts = reconcile.list_counts(t.once(P.commit_lists))
+    found = reconcile.incomplete_parents(t.once(P.pull_requests), "total_commits", counts)
     return found.select("id", "repository_id", "total_commits", "loaded")
 
 
@@ -572,7 +572,7 @@ def _status_sql() -> str:
 
 @query("commit_load_status", f"SELECT id, commit_id_load_status FROM ({_status_sql()})")
 def commit_load_status(t: Tables) -> DataFrame:
-    return reconcile.commit_load_status(P.pull_requests(t), reconcile.list_counts(P.commit_lists(t)))
+    return reconcile.commit_load_status(t.once(P.pull_requests), reconcile.list_counts(t.once(P.commit_lists)))
 
 
 @query(
@@ -584,7 +584,7 @@ def commit_load_status(t: Tables) -> DataFrame:
     """,
 )
 def expected_totals(t: Tables) -> DataFrame:
-    return reconcile.expected_totals(P.pull_requests(t), "total_commits", "total_participants")
+    return reconcile.expected_totals(t.once(P.pull_requests), "total_commits", "total_participants")
 
 
 @query(
@@ -595,7 +595,7 @@ def expected_totals(t: Tables) -> DataFrame:
     """,
 )
 def actual_totals(t: Tables) -> DataFrame:
-    lists = P.with_repository(P.commit_lists(t), P.pull_requests(t))
+    lists = P.with_repository(t.once(P.commit_lists), t.once(P.pull_requests))
     return reconcile.actual_list_totals(lists)
 
 
@@ -609,8 +609,8 @@ def actual_totals(t: Tables) -> DataFrame:
     """,
 )
 def actual_totals_override(t: Tables) -> DataFrame:
-    documents = P.pull_requests(t)
-    counts = reconcile.list_counts(P.commit_lists(t))
+    documents = t.once(P.pull_requests)
+    counts = reconcile.list_counts(t.once(P.commit_lists))
     status = reconcile.commit_load_status(documents, counts)
     evaluated = keyed.set_fields(documents, status, ["commit_id_load_status"])
     return reconcile.actual_commit_totals(evaluated, counts)
@@ -642,7 +642,7 @@ def stored_pull_requests(t: Tables) -> DataFrame:
         america.select(tag("R", "n_nationkey").alias("repository_id"), F.lit(True).alias("partial"))
     )
     return (
-        P.pull_requests(t)
+        t.once(P.pull_requests)
         .join(partial, "repository_id", "left")
         .filter(F.col("partial").isNull() | (F.col("state") == "MERGED"))
         .drop("partial")
@@ -651,37 +651,37 @@ def stored_pull_requests(t: Tables) -> DataFrame:
 
 def report(t: Tables) -> DataFrame:
     """Repositories, pull requests, participants and commit ids, per repository."""
-    declared = P.pull_requests(t)
     stored = stored_pull_requests(t)
-    scope = P.repositories(t)
-    counts = reconcile.list_counts(P.commit_lists(t))
-    status = reconcile.commit_load_status(stored, counts)
-    evaluated = keyed.set_fields(stored, status, ["commit_id_load_status"])
-    expected = reconcile.expected_totals(stored, "total_participants", "total_commits")
+    counts = reconcile.list_counts(t.once(P.commit_lists))
+    loaded = reconcile.with_loaded(stored, counts).withColumn(
+        "commit_id_load_status", S.load_status(F.col("total_commits"), F.col("loaded"))
+    )
+    totals = reconcile.expected_totals(
+        loaded,
+        "total_participants",
+        "total_commits",
+        documents=F.lit(1),
+        counted_commits=reconcile.counted_commits(),
+    )
     participants = P.with_repository(participant_lists(t), stored)
-    known = scope.select(F.col("id").alias("repository_id"), F.lit(1).alias("count"))
-    steps = [
-        reconcile.step_report(1, known, known, scope),
-        reconcile.step_report(
-            2,
-            reconcile.actual_child_totals(declared),
-            reconcile.actual_child_totals(stored),
-            scope,
-        ),
-        reconcile.step_report(
-            3,
-            expected.select("repository_id", "total_participants"),
-            reconcile.actual_list_totals(participants),
-            scope,
+    known = t.once(P.repositories)
+    one = known.select(F.col("id").alias("repository_id"), F.lit(1).alias("stored"))
+    parts = [
+        reconcile.sides(one, stored=[(1, "expected"), (1, "actual")]),
+        reconcile.sides(
+            reconcile.actual_child_totals(t.once(P.pull_requests), "declared"),
+            declared=[(2, "expected")],
         ),
-        reconcile.step_report(
-            4,
-            expected.select("repository_id", "total_commits"),
-            reconcile.actual_commit_totals(evaluated, counts),
-            scope,
+        reconcile.sides(
+            totals,
+            documents=[(2, "actual")],
+            total_participants=[(3, "expected")],
+            total_commits=[(4, "expected")],
+            counted_commits=[(4, "actual")],
         ),
+        reconcile.sides(reconcile.actual_list_totals(participants), actual=[(3, "actual")]),
     ]
-    return reduce(DataFrame.unionByName, steps)
+    return reconcile.step_report(parts, known, [1, 2, 3, 4])
 
 
 _STORED_SQL = f"""
@@ -723,8 +723,8 @@ def reconcile_step(t: Tables) -> DataFrame:
     """,
 )
 def mismatched_parents(t: Tables) -> DataFrame:
-    counts = reconcile.list_counts(P.commit_lists(t))
-    return reconcile.mismatched_parents(P.pull_requests(t), "total_commits", counts)
+    counts = reconcile.list_counts(t.once(P.commit_lists))
+    return reconcile.mismatched_parents(t.once(P.pull_requests), "total_commits", counts)
 
 
 @query(

@@ -46,7 +46,7 @@ def empty_counts(t: Tables) -> DataFrame:
 )
 def load_repositories(t: Tables) -> DataFrame:
     """Step 1: one owner's repositories are stored, the wanted ones landed."""
-    every = P.repositories(t)
+    every = t.once(P.repositories)
     before = F.lit("2020-01-01 00:00:00").cast("timestamp")
     stored = every.filter(F.col("owner") == "AFRICA").select(
         "*", before.alias("insert_timestamp"), before.alias("update_timestamp")
@@ -94,7 +94,7 @@ def pull_request_pages(t: Tables) -> DataFrame:
         "state": P.pr_state(),
     }
     return P.edge_pages(
-        P.order_rows(t), "pull_requests", node, F.col("n_name"), F.col("o_orderkey"),
+        t.once(P.order_rows), "pull_requests", node, F.col("n_name"), F.col("o_orderkey"),
         owner=F.col("r_name"), name=F.col("n_name"),
     )
 
@@ -118,7 +118,7 @@ def load_pull_requests(t: Tables) -> DataFrame:
     stored = t.orders.filter(F.col("o_orderpriority") == "1-URGENT").select(
         text("o_orderkey").alias("id")
     )
-    new = loads.pull_requests(pull_request_pages(t), P.repositories(t), stored, customer_matches(t))
+    new = loads.pull_requests(pull_request_pages(t), t.once(P.repositories), stored, customer_matches(t))
     columns = [
         "id", "repository_id", "author", "author_association", "create_timestamp",
         "total_commits", "state",
@@ -156,12 +156,12 @@ _SUPPLIER_TYPE_SQL = """
     f"""
     WITH once AS (
         SELECT l_orderkey, l_linenumber,
-               min(('S' || l_suppkey) || ':' || {_SUPPLIER_TYPE_SQL}) AS item
+               min({{'id': 'S' || l_suppkey, 'type': {_SUPPLIER_TYPE_SQL}}}) AS item
         FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY l_orderkey, l_linenumber),
       done AS (SELECT l_orderkey FROM lineitem GROUP BY l_orderkey
                HAVING count(*) = count(*) FILTER (l_returnflag = 'R'))
     SELECT 'R' || c_nationkey AS repository_id, CAST(l_orderkey AS VARCHAR) AS parent_id,
-           CAST(0 AS BIGINT) AS segment, string_agg(item, ',' ORDER BY l_linenumber) AS items
+           CAST(0 AS BIGINT) AS segment, string_agg(item.id || ':' || item.type, ',' ORDER BY l_linenumber) AS items
     FROM once JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey
     WHERE l_orderkey NOT IN (SELECT l_orderkey FROM done)
     GROUP BY l_orderkey, c_nationkey
@@ -175,7 +175,7 @@ def load_participants(t: Tables) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("loaded"))
     )
     landed = line_pages(t, "pr_participants", {"id": tag("S", "l_suppkey")})
-    lists = loads.participants(landed, P.pull_requests(t), loaded, supplier_types(t))
+    lists = loads.participants(landed, t.once(P.pull_requests), loaded, supplier_types(t))
     return flat_lists(lists.items, "id", "author_type")
 
 
@@ -197,7 +197,7 @@ def load_commit_ids(t: Tables) -> DataFrame:
     # part keys padded, so that the smallest text is the smallest key
     padded = F.lpad(text("l_partkey"), 20, "0")
     landed = line_pages(t, "pr_commit_ids", {"commit": {"id": padded}})
-    lists = loads.commit_ids(landed, P.pull_requests(t), empty_counts(t))
+    lists = loads.commit_ids(landed, t.once(P.pull_requests), empty_counts(t))
     plain = lists.items.withColumn(
         "items", F.transform("items", lambda i: tag("C", i.cast("bigint")))
     )
@@ -625,7 +625,7 @@ def load_check_suites(t: Tables) -> DataFrame:
 def load_commits(t: Tables) -> DataFrame:
     """Steps 16, 17, 18: unsaved commits of pull requests; a commit belongs to
     the first repository in the list that refers to it."""
-    lists = P.with_repository(P.commit_lists(t), P.pull_requests(t))
+    lists = P.with_repository(t.once(P.commit_lists), t.once(P.pull_requests))
     ids = actors.distinct_ids(lists.select("repository_id", F.explode("items").alias("id")))
     scope = t.nation.select(tag("R", "n_nationkey").alias("id"), F.col("n_nationkey").alias("place"))
     stored = t.part.filter(F.col("p_size") <= 25).select(tag("C", "p_partkey").alias("id"))
@@ -654,7 +654,7 @@ def load_users(t: Tables) -> DataFrame:
         "organizations": P.total(F.col("c_nationkey")),
     }
     landed = P.pages(t.customer, "user", {"node": node}, tag("U", "c_custkey"))
-    references = actors.document_users(P.pull_requests(t), {})
+    references = actors.document_users(t.once(P.pull_requests), {})
     new = loads.users(landed, references, L.stored_users(t))
     return new.select("id", "login", "total_organizations")
 

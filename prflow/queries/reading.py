@@ -64,7 +64,7 @@ def page_accept(t: Tables) -> DataFrame:
     f"SELECT id, author_id, state FROM ({P.PULL_REQUESTS_SQL}) WHERE repository_id = 'R7'",
 )
 def scan_docs_by_repository(t: Tables) -> DataFrame:
-    found = documents.documents_of(P.pull_requests(t), repository_id="R7")
+    found = documents.documents_of(t.once(P.pull_requests), repository_id="R7")
     return found.select("id", F.col("author.id").alias("author_id"), "state")
 
 
@@ -73,7 +73,7 @@ def scan_docs_by_repository(t: Tables) -> DataFrame:
     f"SELECT id, repository_id, author_id, author_type, state FROM ({P.PULL_REQUESTS_SQL})",
 )
 def scan_docs_all(t: Tables) -> DataFrame:
-    found = documents.documents_of(P.pull_requests(t), object_type="PULL_REQUEST")
+    found = documents.documents_of(t.once(P.pull_requests), object_type="PULL_REQUEST")
     return found.select(
         "id",
         "repository_id",
@@ -108,7 +108,7 @@ _WANTED_SQL = """
     """,
 )
 def repository_lookup(t: Tables) -> DataFrame:
-    return documents.lookup_repository(P.repositories(t), _wanted(t))
+    return documents.lookup_repository(t.once(P.repositories), _wanted(t))
 
 
 @query(
@@ -120,7 +120,7 @@ def repository_lookup(t: Tables) -> DataFrame:
     """,
 )
 def repository_exists(t: Tables) -> DataFrame:
-    return documents.repository_exists(P.repositories(t), _wanted(t))
+    return documents.repository_exists(t.once(P.repositories), _wanted(t))
 
 
 @query(
@@ -134,8 +134,8 @@ def repository_exists(t: Tables) -> DataFrame:
 )
 def multi_repository_scope(t: Tables) -> DataFrame:
     """One run over all the listed repositories."""
-    scope = documents.lookup_repository(P.repositories(t), _wanted(t))
-    return documents.in_scope(P.pull_requests(t), scope).select("id", "repository_id", "state")
+    scope = documents.lookup_repository(t.once(P.repositories), _wanted(t))
+    return documents.in_scope(t.once(P.pull_requests), scope).select("id", "repository_id", "state")
 
 
 # -- connections ------------------------------------------------------------
@@ -216,7 +216,7 @@ def page_progress(t: Tables) -> DataFrame:
 )
 def project_repository(t: Tables) -> DataFrame:
     """Repositories of one owner are not visible: their node is NULL."""
-    r = P.repositories(t)
+    r = t.once(P.repositories)
     node = P.only_if(
         F.col("owner") != "AFRICA",
         {"id": F.col("id"), "pullRequests": P.total(F.col("total_pull_requests"))},
@@ -268,7 +268,7 @@ def pull_request_edges(t: Tables) -> DataFrame:
         "state": P.pr_state(),
     }
     landed = P.edge_pages(
-        P.order_rows(t), "pull_requests", node, tag("R", "c_nationkey"), F.col("o_orderkey"),
+        t.once(P.order_rows), "pull_requests", node, tag("R", "c_nationkey"), F.col("o_orderkey"),
         owner=F.col("r_name"), name=F.col("n_name"),
     )
     return flatten.flatten_connection(landed, "repository.pullRequests").withColumn(

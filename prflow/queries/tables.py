@@ -28,9 +28,19 @@ class Tables:
         self.folder = folder
 
     def __getattr__(self, name: str) -> DataFrame:
+        """The table; looked up once, as Spark reads a footer for its schema."""
         if name.startswith("_"):
             raise AttributeError(name)
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        table = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        setattr(self, name, table)
+        return table
+
+    def once(self, make) -> DataFrame:
+        """``make(self)``, built once per query."""
+        key = f"made_{make.__name__}"
+        if key not in self.__dict__:
+            setattr(self, key, make(self))
+        return self.__dict__[key]
 
 
 # --------------------------------------------------------------------------
@@ -69,7 +79,7 @@ def build(kind: DataType, value) -> Column:
     if isinstance(value, Column):
         return value.cast(kind)
     if value is None:
-        return F.lit(None).cast(kind)
+        return F.expr(f"CAST(NULL AS {kind.simpleString()})")
     if isinstance(kind, StructType):
         unknown = set(value) - set(kind.names)
         if unknown:
@@ -103,7 +113,7 @@ def pages(
     column = build(body["data"].dataType, data)
     if present is not None:
         column = F.when(present, column)
-    no_text = F.lit(None).cast("string")
+    no_text = F.expr("CAST(NULL AS STRING)")
     return rows.select(
         F.lit(shape).alias("shape"),
         (no_text if owner is None else owner).alias("owner"),
@@ -218,7 +228,7 @@ def declared_commits() -> Column:
 
 def pull_requests(t: Tables) -> DataFrame:
     """Pull request documents made of orders (the columns the operators use)."""
-    return order_rows(t).select(
+    return t.once(order_rows).select(
         text("o_orderkey").alias("id"),
         tag("R", "c_nationkey").alias("repository_id"),
         F.struct(

@@ -29,7 +29,7 @@ def repositories_df(spark: SparkSession, repositories: Iterable[Mapping[str, str
     for place, r in enumerate(repositories):
         pairs.setdefault((r["owner"], r["name"]), place)
     rows = [(owner, name, place) for (owner, name), place in pairs.items()]
-    return spark.createDataFrame(rows, "owner string, name string, place int")
+    return spark.createDataFrame(rows, "owner string, name string, place long")
 
 
 def lookup_repository(repositories: DataFrame, wanted: DataFrame) -> DataFrame:
