@@ -21,7 +21,7 @@ HEAVY_SALTS = 1_024
 def heavy_keys(
     rows: DataFrame,
     on: Sequence[str],
-    min_rows: int = HEAVY_MIN_ROWS,
+    min_rows: int | None = None,
     most: int = HEAVY_MOST,
 ) -> DataFrame:
     """The keys with the most rows. Counts are combined map-side and only the
@@ -31,7 +31,7 @@ def heavy_keys(
         .dropna()
         .groupBy(*on)
         .agg(F.count(F.lit(1)).alias("_rows"))
-        .filter(F.col("_rows") >= min_rows)
+        .filter(F.col("_rows") >= (HEAVY_MIN_ROWS if min_rows is None else min_rows))
         .orderBy(F.desc("_rows"), *on)
         .limit(most)
         .select(*on, F.lit(True).alias("_heavy"))
@@ -55,7 +55,7 @@ def lookup_join(
     on: Sequence[str],
     spread: Sequence[str | Column],
     how: str = "left",
-    min_rows: int = HEAVY_MIN_ROWS,
+    min_rows: int | None = None,
     salts: int = HEAVY_SALTS,
     force: bool = False,
 ) -> DataFrame:
@@ -66,7 +66,7 @@ def lookup_join(
     key) and by the input split, so that copies of one row part ways too; only
     the few lookup rows of heavy keys are repeated. Rows whose key is NULL match
     nothing and are spread as well. A retried task keeps its split number, so
-    it repeats the same salts. ``how`` is ``left`` or ``inner``.
+    it repeats the same salts. ``how`` is ``left``, ``inner`` or ``left_semi``.
     """
     on = list(on)
     if not force and fits_broadcast(lookup):

@@ -318,6 +318,13 @@ def any_delete_flag(edges: DataFrame, key: str = "request_id") -> DataFrame:
     )
 
 
+def deleted_parents(edit_lists: DataFrame) -> DataFrame:
+    """The same from stored edit lists."""
+    return edit_lists.groupBy(F.col("parent_id").alias("id")).agg(
+        F.bool_or("has_deletion").alias("is_deleted")
+    )
+
+
 def to_reaction(author: Column | None = None) -> Column:
     value = S.unresolved_actor(F.col("node.user.id")) if author is None else author
     return F.struct(

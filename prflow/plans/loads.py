@@ -22,14 +22,6 @@ from prflow.sinks import keyed
 _SPREAD = ["request_id", "page_no", "pos"]
 
 
-class Lists(NamedTuple):
-    """Lists of the parents loaded now, and a narrow late field if the step
-    sets one."""
-
-    items: DataFrame
-    late: DataFrame | None = None
-
-
 class Children(NamedTuple):
     """New child documents, and the id lists of the parents loaded now."""
 
@@ -125,67 +117,74 @@ def _incomplete(
 
 def participants(
     pages: DataFrame, parents: DataFrame, loaded: DataFrame, types: DataFrame
-) -> Lists:
+) -> DataFrame:
     todo = _incomplete(parents, "total_participants", loaded)
     edges = edges_of_parents(pages, "pr_participants", todo, {"repository_id": "repository_id"})
     found = actors.resolve_by_id(edges, F.col("node.id"), types, "_actor", _SPREAD)
-    return Lists(as_lists(found, F.col("_actor")))
+    return as_lists(found, F.col("_actor"))
 
 
-def commit_ids(pages: DataFrame, parents: DataFrame, loaded: DataFrame) -> Lists:
-    """Commit lists and their load status."""
+def commit_ids(pages: DataFrame, parents: DataFrame, loaded: DataFrame) -> DataFrame:
     todo = _incomplete(parents, "total_commits", loaded)
     edges = edges_of_parents(pages, "pr_commit_ids", todo, {"repository_id": "repository_id"})
-    items = as_lists(edges, F.col("node.commit.id"))
+    return as_lists(edges, F.col("node.commit.id"))
+
+
+def commit_status(pages: DataFrame, parents: DataFrame, loaded: DataFrame) -> DataFrame:
+    """Load status of the parents whose commits were fetched, from the lists as
+    stored by now. A parent loaded before gets the status it has."""
     fetched = pages.select(F.col("request_id").alias("id")).distinct()
-    evaluated = todo.join(fetched, "id", "left_semi")
-    return Lists(items, reconcile.commit_load_status(evaluated, reconcile.list_counts(items)))
+    declaring = parents.select("id", "total_commits").filter(F.col("total_commits") > 0)
+    return reconcile.commit_load_status(declaring.join(fetched, "id", "left_semi"), loaded)
 
 
 def edits(
     pages: DataFrame, shape: str, parents: DataFrame, loaded: DataFrame, matches: DataFrame
-) -> Lists:
-    """Edit lists, and whether an edit deleted the parent's content."""
+) -> DataFrame:
+    """Edit lists; each segment also says whether it has a deletion, so that
+    the flag of the parent needs no second pass."""
     todo = _incomplete(parents, "total_edits", loaded)
     edges = edges_of_parents(pages, shape, todo, {"repository_id": "repository_id"})
     found = actors.resolve_by_login(edges, project.edit_login(), matches, "_editor", _SPREAD)
-    return Lists(
-        as_lists(found, project.to_edit(F.col("_editor"))), project.any_delete_flag(edges)
+    item = project.to_edit(F.col("_editor")).alias("item")
+    both = as_lists(found, F.struct(item, project.is_deletion().alias("deletion")))
+    return both.withColumn("has_deletion", F.exists("items.deletion", lambda d: d)).withColumn(
+        "items", F.col("items.item")
     )
 
 
 def reactions(
     pages: DataFrame, shape: str, parents: DataFrame, loaded: DataFrame, types: DataFrame
-) -> Lists:
+) -> DataFrame:
     todo = _incomplete(parents, "total_reactions", loaded)
     edges = edges_of_parents(pages, shape, todo, {"repository_id": "repository_id"})
     found = actors.resolve_by_id(edges, F.col("node.user.id"), types, "_author", _SPREAD)
-    return Lists(as_lists(found, project.to_reaction(F.col("_author"))))
+    return as_lists(found, project.to_reaction(F.col("_author")))
 
 
-def commit_pull_request_ids(pages: DataFrame, parents: DataFrame, loaded: DataFrame) -> Lists:
+def commit_pull_request_ids(pages: DataFrame, parents: DataFrame, loaded: DataFrame) -> DataFrame:
     todo = _incomplete(parents, "total_associated_pull_requests", loaded)
     keys = {"repository_id": "repository_id"}
     edges = edges_of_parents(pages, "commit_pull_request_ids", todo, keys)
-    return Lists(as_lists(edges, F.col("node.id")))
+    return as_lists(edges, F.col("node.id"))
 
 
 def commit_authors(
     pages: DataFrame, parents: DataFrame, loaded: DataFrame, types: DataFrame
-) -> Lists:
+) -> DataFrame:
     """Authors of commits. The same cursor on two pages is one author."""
     todo = _incomplete(parents, "total_authors", loaded)
     edges = edges_of_parents(pages, "commit_authors", todo, {"repository_id": "repository_id"})
     found = actors.resolve_by_id(edges, F.col("node.user.id"), types, "_actor", _SPREAD)
-    return Lists(as_lists(found, F.col("_actor"), identity="cursor"))
+    return as_lists(found, F.col("_actor"), identity="cursor")
 
 
-def user_organizations(pages: DataFrame, users: DataFrame, loaded: DataFrame) -> Lists:
+def user_organizations(pages: DataFrame, users: DataFrame, loaded: DataFrame) -> DataFrame:
     parents = users.withColumn("repository_id", F.lit(None).cast("string"))
     todo = _incomplete(parents, "total_organizations", loaded)
     keys = {"repository_id": "repository_id"}
     edges = edges_of_parents(pages, "user_organization_ids", todo, keys)
-    return Lists(as_lists(edges, F.col("node.id")))
+    return as_lists(edges, F.col("node.id"))
 
 
 # -- child documents --------------------------------------------------------

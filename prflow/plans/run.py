@@ -16,6 +16,7 @@ from prflow.operators import actors, discover, reconcile
 from prflow.plans import loads
 from prflow.plans.steps import STEP_BY_NAME, STEP_PARENTS, STEPS, Step
 from prflow.plans.store import Store
+from prflow.sinks import keyed
 from prflow.sources import documents as D
 from prflow.sources.pages import read_pages, read_parquet_pages
 
@@ -115,12 +116,6 @@ class Run:
         else:
             getattr(self, f"_load_{step.name}")()
 
-    def _put(self, object_type: str, field: str, lists: loads.Lists) -> None:
-        if lists.late is not None:
-            (late,) = [c for c in lists.late.columns if c != "id"]
-            self.store.put_late(object_type, late, lists.late)
-        self.store.put_lists(object_type, field, lists.items)
-
     def _put_children(
         self, object_type: str, parent_type: str, field: str, children: loads.Children
     ) -> None:
@@ -156,7 +151,7 @@ class Run:
             self.loaded("PULL_REQUEST", "participants"),
             self.types,
         )
-        self._put("PULL_REQUEST", "participants", lists)
+        self.store.put_lists("PULL_REQUEST", "participants", lists)
 
     def _load_pr_commit_ids(self) -> None:
         lists = loads.commit_ids(
@@ -164,7 +159,13 @@ class Run:
             self.documents("PULL_REQUEST"),
             self.loaded("PULL_REQUEST", "commit_ids"),
         )
-        self._put("PULL_REQUEST", "commit_ids", lists)
+        self.store.put_lists("PULL_REQUEST", "commit_ids", lists)
+        status = loads.commit_status(
+            self.pages("pr_commit_ids"),
+            self.documents("PULL_REQUEST"),
+            self.loaded("PULL_REQUEST", "commit_ids"),
+        )
+        self.store.put_late("PULL_REQUEST", "commit_id_load_status", status)
 
     def _load_content(self, step: Step) -> None:
         """Edits or reactions, of any type."""
@@ -178,7 +179,7 @@ class Run:
             self.loaded(step.object_type, step.field),
             lookup,
         )
-        self._put(step.object_type, step.field, lists)
+        self.store.put_lists(step.object_type, step.field, lists)
 
     def _load_pr_comments(self) -> None:
         children = loads.pr_comments(
@@ -222,7 +223,7 @@ class Run:
             self.documents("COMMIT"),
             self.loaded("COMMIT", "associated_pull_request_ids"),
         )
-        self._put("COMMIT", "associated_pull_request_ids", lists)
+        self.store.put_lists("COMMIT", "associated_pull_request_ids", lists)
 
     def _load_commit_authors(self) -> None:
         lists = loads.commit_authors(
@@ -231,7 +232,7 @@ class Run:
             self.loaded("COMMIT", "authors"),
             self.types,
         )
-        self._put("COMMIT", "authors", lists)
+        self.store.put_lists("COMMIT", "authors", lists)
 
     def _load_check_suites(self) -> None:
         children = loads.check_suites(
@@ -268,7 +269,7 @@ class Run:
             self.store.documents("USER"),
             self.loaded("USER", "organizations"),
         )
-        self._put("USER", "organizations", lists)
+        self.store.put_lists("USER", "organizations", lists)
 
     def _load_organizations(self) -> None:
         new = loads.organizations(
@@ -362,8 +363,9 @@ class Run:
                 more["documents"] = F.lit(1)
                 targets["documents"] = [(number, "actual")]
             if object_type == "PULL_REQUEST":
+                field = "commit_id_load_status"
                 documents = reconcile.with_loaded(
-                    D.in_scope(self.store.with_late(object_type), self.scope),
+                    keyed.set_fields(documents, self.store.late(object_type, field), [field]),
                     self.loaded(object_type, "commit_ids"),
                 )
                 more["counted_commits"] = reconcile.counted_commits()

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from prflow import schemas
+from prflow.operators import project
 from prflow.operators.joins import lookup_join
 from prflow.plans.loads import default_deleted
 from prflow.sinks import keyed
@@ -86,6 +87,9 @@ class Store:
         )
 
     def late(self, object_type: str, field: str) -> DataFrame:
+        """(id, field) of the documents that were evaluated."""
+        if field == "is_deleted":
+            return project.deleted_parents(self.lists(object_type, "edits"))
         return self._read_version(
             f"late/{object_type}.{field}", schemas.late_schema(object_type, field)
         )

@@ -176,7 +176,7 @@ def load_participants(t: Tables) -> DataFrame:
     )
     landed = line_pages(t, "pr_participants", {"id": tag("S", "l_suppkey")})
     lists = loads.participants(landed, t.once(P.pull_requests), loaded, supplier_types(t))
-    return flat_lists(lists.items, "id", "author_type")
+    return flat_lists(lists, "id", "author_type")
 
 
 @query(
@@ -197,11 +197,11 @@ def load_commit_ids(t: Tables) -> DataFrame:
     # part keys padded, so that the smallest text is the smallest key
     padded = F.lpad(text("l_partkey"), 20, "0")
     landed = line_pages(t, "pr_commit_ids", {"commit": {"id": padded}})
-    lists = loads.commit_ids(landed, t.once(P.pull_requests), empty_counts(t))
-    plain = lists.items.withColumn(
-        "items", F.transform("items", lambda i: tag("C", i.cast("bigint")))
-    )
-    return flat_lists(plain).join(lists.late.withColumnRenamed("id", "parent_id"), "parent_id")
+    parents = t.once(P.pull_requests)
+    lists = loads.commit_ids(landed, parents, empty_counts(t))
+    status = loads.commit_status(landed, parents, reconcile.list_counts(lists))
+    plain = lists.withColumn("items", F.transform("items", lambda i: tag("C", i.cast("bigint"))))
+    return flat_lists(plain).join(status.withColumnRenamed("id", "parent_id"), "parent_id")
 
 
 def event_parents(t: Tables, declared: str) -> DataFrame:
@@ -261,7 +261,7 @@ def load_edits(t: Tables) -> DataFrame:
     lists = loads.edits(
         P.edit_pages(t), "pr_edits", event_parents(t, "total_edits"), viewed(t), editor_matches(t)
     )
-    shown = lists.items.withColumn(
+    shown = lists.withColumn(
         "items",
         F.transform(
             "items",
@@ -271,7 +271,8 @@ def load_edits(t: Tables) -> DataFrame:
             ),
         ),
     )
-    return flat_lists(shown).join(lists.late.withColumnRenamed("id", "parent_id"), "parent_id")
+    flags = project.deleted_parents(lists).withColumnRenamed("id", "parent_id")
+    return flat_lists(shown).join(flags, "parent_id")
 
 
 def reactor_types(t: Tables) -> DataFrame:
@@ -304,7 +305,7 @@ def load_reactions(t: Tables) -> DataFrame:
         P.reaction_pages(t), "pr_reactions", event_parents(t, "total_reactions"), viewed(t),
         reactor_types(t),
     )
-    shown = lists.items.withColumn(
+    shown = lists.withColumn(
         "items",
         F.transform(
             "items",
@@ -345,7 +346,7 @@ def load_commit_pull_request_ids(t: Tables) -> DataFrame:
         tag("C", "l_partkey"), F.col("l_orderkey"),
     )
     parents = part_parents(t, "total_associated_pull_requests", "orders")
-    return flat_lists(loads.commit_pull_request_ids(landed, parents, empty_counts(t)).items)
+    return flat_lists(loads.commit_pull_request_ids(landed, parents, empty_counts(t)))
 
 
 @query(
@@ -376,7 +377,7 @@ def load_commit_authors(t: Tables) -> DataFrame:
     )
     parents = part_parents(t, "total_authors", "lines")
     lists = loads.commit_authors(landed, parents, empty_counts(t), supplier_types(t))
-    return flat_lists(lists.items, "id", "author_type")
+    return flat_lists(lists, "id", "author_type")
 
 
 @query(
@@ -394,7 +395,7 @@ def load_user_organizations(t: Tables) -> DataFrame:
         tag("U", "c_custkey"), F.lit(0),
     )
     users = L.user_documents(t)
-    return flat_lists(loads.user_organizations(landed, users, empty_counts(t)).items)
+    return flat_lists(loads.user_organizations(landed, users, empty_counts(t)))
 
 
 # -- child documents --------------------------------------------------------

@@ -264,7 +264,8 @@ LIST_FIELDS = {
     "USER": {"organizations": "string"},
 }
 
-# Fields that exist only once a later step has evaluated the document.
+# Fields that exist only once a later step has evaluated the document. The
+# load status has a side table; is_deleted follows from the edit lists.
 LATE_FIELDS = {
     "PULL_REQUEST": {"commit_id_load_status": "string", "is_deleted": "boolean"},
     "PULL_REQUEST_COMMENT": {"is_deleted": "boolean"},
@@ -287,9 +288,11 @@ def document_schema(object_type: str) -> StructType:
 @lru_cache(maxsize=None)
 def list_schema(object_type: str, field: str) -> StructType:
     item = LIST_FIELDS[object_type][field]
-    return StructType.fromDDL(
-        f"repository_id string, parent_id string, segment bigint, items array<{item}>"
-    )
+    ddl = f"repository_id string, parent_id string, segment bigint, items array<{item}>"
+    if field == "edits":
+        # whether one of the segment's edits is a deletion; the items do not say
+        ddl += ", has_deletion boolean"
+    return StructType.fromDDL(ddl)
 
 
 @lru_cache(maxsize=None)

@@ -58,4 +58,4 @@ def in_scope(documents: DataFrame, scope: DataFrame) -> DataFrame:
     A repository may hold a large share of all documents, so the join is by a
     broadcast of the scope when it is small and by salted keys when not."""
     ids = scope.select(F.col("id").alias("repository_id")).distinct()
-    return lookup_join(documents, ids, ["repository_id"], spread=["id"], how="inner")
+    return lookup_join(documents, ids, ["repository_id"], spread=["id"], how="left_semi")
