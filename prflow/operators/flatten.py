@@ -25,18 +25,56 @@ def _field_type(df: DataFrame, path: str):
     return kind
 
 
+def take_edges(
+    pages: DataFrame,
+    path: str,
+    keep: Sequence[str] = ENVELOPE,
+    fields: Sequence[str] | None = None,
+) -> DataFrame:
+    """The page's envelope and its edges as one array column ``edges`` of
+    (cursor, node fields), without exploding them.
+
+    With ``fields`` only these fields of the nodes are taken, each by its own
+    path, so that a parquet scan reads nothing else of them. (Spark does not
+    prune what is taken out of an exploded struct.)"""
+    edges = F.col(f"body.data.{path}.edges")
+    edge_type: StructType = _field_type(pages, f"body.data.{path}.edges").elementType
+    node_type: StructType = edge_type["node"].dataType
+    has_cursor = "cursor" in edge_type.names
+    if fields is None:
+        if has_cursor:
+            return pages.select(*keep, edges.alias("edges"))
+        no_cursor = F.lit(None).cast("string").alias("cursor")
+        return pages.select(
+            *keep,
+            F.transform(edges, lambda e: F.struct(no_cursor, e["node"].alias("node"))).alias("edges"),
+        )
+    parts = [edges["cursor"]] if has_cursor else [F.transform(edges["node"], lambda _: F.lit(None))]
+    parts += [edges["node"][field] for field in fields]
+    kind = ",".join(f"{f}:{node_type[f].dataType.simpleString()}" for f in fields)
+    zipped = F.arrays_zip(*parts).cast(f"array<struct<cursor:string,{kind}>>")
+    return pages.select(*keep, zipped.alias("edges"))
+
+
+def explode_edges(
+    rows: DataFrame, keep: Sequence[str] = ENVELOPE, fields: Sequence[str] | None = None
+) -> DataFrame:
+    """One row per edge of ``take_edges``: position in the page, cursor, node."""
+    node = F.col("edge.node") if fields is None else F.struct(*[f"edge.{f}" for f in fields])
+    return rows.select(*keep, F.posexplode("edges").alias("pos", "edge")).select(
+        *keep, "pos", F.col("edge.cursor").alias("cursor"), node.alias("node")
+    )
+
+
 def flatten_connection(
-    pages: DataFrame, path: str, keep: Sequence[str] = ENVELOPE
+    pages: DataFrame,
+    path: str,
+    keep: Sequence[str] = ENVELOPE,
+    fields: Sequence[str] | None = None,
 ) -> DataFrame:
-    """One row per edge of the connection at ``body.data.<path>``: the page's
-    envelope, the position in the page, the cursor and the node. NULL objects
+    """One row per edge of the connection at ``body.data.<path>``. NULL objects
     inside a node stay NULL. Pages with no edges give no rows."""
-    edges = f"body.data.{path}.edges"
-    edge_type: StructType = _field_type(pages, edges).elementType
-    cursor = F.col("edge.cursor") if "cursor" in edge_type.names else F.lit(None).cast("string")
-    return pages.select(*keep, F.posexplode(F.col(edges)).alias("pos", "edge")).select(
-        *keep, "pos", cursor.alias("cursor"), F.col("edge.node").alias("node")
-    )
+    return explode_edges(take_edges(pages, path, keep, fields), keep, fields)
 
 
 def stitch_pages(

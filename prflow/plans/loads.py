@@ -33,13 +33,19 @@ class Children(NamedTuple):
 
 
 def edges_of_parents(
-    pages: DataFrame, shape: str, parents: DataFrame, inherited: dict[str, str]
+    pages: DataFrame,
+    shape: str,
+    parents: DataFrame,
+    inherited: dict[str, str],
+    fields: Sequence[str] | None = None,
 ) -> DataFrame:
     """Edges of the pages that belong to the given parents, with their keys.
-    Pages are joined before they are exploded: a hundredth of the rows."""
-    owned = inherit_parent_keys(pages, parents, inherited)
-    keep = [*flatten.ENVELOPE, *inherited.values()]
-    return flatten.flatten_connection(owned, schemas.CONNECTION_PATHS[shape], keep)
+    Pages are joined before they are exploded (a hundredth of the rows) and
+    after they are cut down to the node ``fields`` in use."""
+    path = schemas.CONNECTION_PATHS[shape]
+    taken = flatten.take_edges(pages, path, fields=fields)
+    owned = inherit_parent_keys(taken, parents, inherited)
+    return flatten.explode_edges(owned, [*flatten.ENVELOPE, *inherited.values()], fields)
 
 
 def as_lists(edges: DataFrame, value: Column, identity: str = "position") -> DataFrame:
@@ -73,13 +79,10 @@ def pull_requests(
 ) -> DataFrame:
     """New merged pull requests of the repositories."""
     keys = repositories.select("owner", "name", F.col("id").alias("repository_id"))
-    owned = lookup_join(pages, keys, ["owner", "name"], spread=["page_no"], how="inner")
+    taken = flatten.take_edges(pages, schemas.CONNECTION_PATHS["pull_requests"])
+    owned = lookup_join(taken, keys, ["owner", "name"], spread=["page_no"], how="inner")
     edges = project.merged_only(
-        flatten.flatten_connection(
-            owned,
-            schemas.CONNECTION_PATHS["pull_requests"],
-            [*flatten.ENVELOPE, "repository_id"],
-        )
+        flatten.explode_edges(owned, [*flatten.ENVELOPE, "repository_id"])
     )
     return _new_documents(edges, stored, project.to_pull_request, matches)
 
@@ -200,9 +203,10 @@ def _children(
     matches: DataFrame | None,
 ) -> Children:
     edges = edges_of_parents(pages, shape, todo, inherited)
+    repository = {"repository_id": inherited["repository_id"]}
+    ids = edges_of_parents(pages, shape, todo, repository, ["id"])
     return Children(
-        _new_documents(edges, stored, to_document, matches),
-        as_lists(edges, F.col("node.id")),
+        _new_documents(edges, stored, to_document, matches), as_lists(ids, F.col("node.id"))
     )
 
 

@@ -18,6 +18,7 @@ TESTDATA = os.environ.get("PRFLOW_TESTDATA", "/root/testdata/sf0.001")
 def spark():
     session = local_session("prflow-tests", 4)
     session.conf.set("spark.sql.shuffle.partitions", "4")
+    session.conf.set("spark.sql.maxMetadataStringLength", "1000")
     yield session
     session.stop()
 
