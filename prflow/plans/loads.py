@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from prflow import schemas
 from prflow.functions import scalars as S
 from prflow.operators import actors, discover, flatten, project, reconcile
-from prflow.operators.joins import inherit_parent_keys, lookup_join
+from prflow.operators.joins import fits_broadcast, inherit_parent_keys, lookup_join
 from prflow.sinks import keyed
 
 _SPREAD = ["request_id", "page_no", "pos"]
@@ -48,18 +48,22 @@ def edges_of_parents(
     return flatten.explode_edges(owned, [*flatten.ENVELOPE, *inherited.values()], fields)
 
 
-def as_lists(edges: DataFrame, value: Column, identity: str = "position") -> DataFrame:
+def as_lists(edges: DataFrame, value: Column, **options) -> DataFrame:
     """Edges to stored list rows of their parents."""
-    stitched = flatten.stitch_pages(edges, value, ["repository_id", "request_id"], identity)
+    stitched = flatten.stitch_pages(edges, value, ["repository_id", "request_id"], **options)
     return stitched.withColumnRenamed("request_id", "parent_id")
 
 
 def _pages_by_id(pages: DataFrame, wanted: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    """Single-node pages of the wanted ids, the first landed of each. Copies go
-    first and the join then reuses the partitioning."""
-    order = ["page_no", F.to_json("node")]
-    nodes = keyed.first_versions(project.node_pages(pages), ["request_id"], order)
-    return nodes.join(wanted.select(F.col("id").alias("request_id"), *keep), "request_id")
+    """Single-node pages of the wanted ids, the first landed of each. Few
+    wanted ids are looked for first; many are joined after the copies have
+    gone, on the partitioning that removed them."""
+    ids = wanted.select(F.col("id").alias("request_id"), *keep)
+    nodes = project.node_pages(pages)
+    order = ["page_no", F.xxhash64("node")]
+    if fits_broadcast(ids):
+        return keyed.first_versions(nodes.join(ids, "request_id"), ["request_id"], order)
+    return keyed.first_versions(nodes, ["request_id"], order).join(ids, "request_id")
 
 
 # -- repositories and pull requests -----------------------------------------
@@ -145,12 +149,14 @@ def edits(
     pages: DataFrame, shape: str, parents: DataFrame, loaded: DataFrame, matches: DataFrame
 ) -> DataFrame:
     """Edit lists; each segment also says whether it has a deletion, so that
-    the flag of the parent needs no second pass."""
+    the flag of the parent needs no second pass. Differences can be long, so a
+    segment is a single page."""
     todo = _incomplete(parents, "total_edits", loaded)
     edges = edges_of_parents(pages, shape, todo, {"repository_id": "repository_id"})
     found = actors.resolve_by_login(edges, project.edit_login(), matches, "_editor", _SPREAD)
     item = project.to_edit(F.col("_editor")).alias("item")
-    both = as_lists(found, F.struct(item, project.is_deletion().alias("deletion")))
+    value = F.struct(item, project.is_deletion().alias("deletion"))
+    both = as_lists(found, value, pages_per_segment=1)
     return both.withColumn("has_deletion", F.exists("items.deletion", lambda d: d)).withColumn(
         "items", F.col("items.item")
     )

@@ -1,9 +1,11 @@
 """Where documents, lists and late fields lie, as plain parquet folders.
 
-Documents are only ever appended. Lists and late fields are narrow and are
-replaced whole: a new version goes to a new folder and counts once Spark has
-marked it finished, so no folder is read and overwritten at once and a lost
-driver leaves the previous version in place. Old versions are kept.
+Documents are only ever appended. Lists and late fields are appended too, one
+folder per load; the keys that a load replaces are noted in a small table next
+to it, which hides their older rows. So an increment costs what is new, not
+what is stored. The note is written last, and a load counts once Spark has
+marked its note finished: after a crash the unfinished load is ignored and its
+number used again. Nothing is read and overwritten at once.
 """
 
 from __future__ import annotations
@@ -11,7 +13,7 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from prflow import schemas
 from prflow.operators import project
@@ -35,12 +37,15 @@ class Store:
                 raise
             return self.spark.createDataFrame([], schema)
 
+    def _finished(self, pattern: str) -> list[str]:
+        """Names of the folders Spark has finished writing, oldest first (a
+        listing, no data)."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{pattern}/_SUCCESS")
+        system = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        return sorted(s.getPath().getParent().getName() for s in system.globStatus(path) or [])
+
     def _versions(self, name: str) -> list[str]:
-        """Finished versions, oldest first (a listing, no data)."""
-        hadoop = self.spark._jvm.org.apache.hadoop.fs.Path
-        pattern = hadoop(f"{self.root}/{name}/version-*/_SUCCESS")
-        system = pattern.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        return sorted(s.getPath().getParent().getName() for s in system.globStatus(pattern) or [])
+        return self._finished(f"{name}/version-*")
 
     def _read_version(self, name: str, schema: StructType) -> DataFrame:
         versions = self._versions(name)
@@ -72,33 +77,59 @@ class Store:
     def replace_repositories(self, repositories: DataFrame) -> None:
         self._write_version("repositories", repositories)
 
+    # -- rows that later loads may replace, by key
+
+    def _loads(self, name: str) -> list[str]:
+        return self._finished(f"{name}/replaced/by=*")
+
+    def _rows(self, name: str, key: str, schema: StructType) -> DataFrame:
+        """Current rows, with the load they came from."""
+        loads = [folder.removeprefix("by=") for folder in self._loads(name)]
+        with_load = StructType(schema.fields + [StructField("load", IntegerType())])
+        if not loads:
+            return self.spark.createDataFrame([], with_load)
+        rows = (
+            self.spark.read.schema(with_load)
+            .option("basePath", f"{self.root}/{name}/rows")
+            .parquet(*[f"{self.root}/{name}/rows/load={number}" for number in loads])
+        )
+        replaced = self.spark.read.schema(f"{key} string, load int").parquet(
+            *[f"{self.root}/{name}/replaced/by={number}" for number in loads]
+        )
+        return keyed.without_replaced(rows, replaced, [key, "load"])
+
+    def _put(self, name: str, key: str, schema: StructType, new: DataFrame) -> None:
+        loads = self._loads(name)
+        number = f"{int(loads[-1].removeprefix('by=')) + 1 if loads else 1:06d}"
+        folder = f"{self.root}/{name}/rows/load={number}"
+        new.select(*schema.names).write.mode("overwrite").parquet(folder)
+        written = self.spark.read.schema(schema).parquet(folder).select(key).distinct()
+        older = self._rows(name, key, schema).select(key, "load").distinct()
+        older.join(written, key, "left_semi").write.mode("overwrite").parquet(
+            f"{self.root}/{name}/replaced/by={number}"
+        )
+
     # -- lists and late fields
 
     def lists(self, object_type: str, field: str) -> DataFrame:
-        return self._read_version(
-            f"lists/{object_type}.{field}", schemas.list_schema(object_type, field)
-        )
+        schema = schemas.list_schema(object_type, field)
+        return self._rows(f"lists/{object_type}.{field}", "parent_id", schema).drop("load")
 
     def put_lists(self, object_type: str, field: str, new: DataFrame) -> None:
+        """Lists of the parents in ``new`` are replaced whole, all others kept."""
         schema = schemas.list_schema(object_type, field)
-        stored = self.lists(object_type, field)
-        self._write_version(
-            f"lists/{object_type}.{field}", keyed.replace_lists(stored, new.select(*schema.names))
-        )
+        self._put(f"lists/{object_type}.{field}", "parent_id", schema, new)
 
     def late(self, object_type: str, field: str) -> DataFrame:
         """(id, field) of the documents that were evaluated."""
         if field == "is_deleted":
             return project.deleted_parents(self.lists(object_type, "edits"))
-        return self._read_version(
-            f"late/{object_type}.{field}", schemas.late_schema(object_type, field)
-        )
+        schema = schemas.late_schema(object_type, field)
+        return self._rows(f"late/{object_type}.{field}", "id", schema).drop("load")
 
     def put_late(self, object_type: str, field: str, new: DataFrame) -> None:
-        stored = self.late(object_type, field)
-        new = new.select("id", field)
-        kept = stored.join(new.select("id"), "id", "left_anti")
-        self._write_version(f"late/{object_type}.{field}", kept.unionByName(new))
+        schema = schemas.late_schema(object_type, field)
+        self._put(f"late/{object_type}.{field}", "id", schema, new)
 
     # -- lookups materialised once per run
 

@@ -635,18 +635,8 @@ def user_organization_totals(t: Tables) -> DataFrame:
 
 def stored_pull_requests(t: Tables) -> DataFrame:
     """Loaded pull requests: all of most owners, of AMERICA only the merged."""
-    america = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey")).filter(
-        F.col("r_name") == "AMERICA"
-    )
-    partial = F.broadcast(
-        america.select(tag("R", "n_nationkey").alias("repository_id"), F.lit(True).alias("partial"))
-    )
-    return (
-        t.once(P.pull_requests)
-        .join(partial, "repository_id", "left")
-        .filter(F.col("partial").isNull() | (F.col("state") == "MERGED"))
-        .drop("partial")
-    )
+    loaded = (F.col("r_name") != "AMERICA") | (F.col("o_orderstatus") == "F")
+    return P.as_pull_requests(t.once(P.order_rows).filter(loaded))
 
 
 def report(t: Tables) -> DataFrame:

@@ -247,7 +247,7 @@ def editor_matches(t: Tables) -> DataFrame:
            string_agg(id || ':' || editor || ':' || edited, ',' ORDER BY event_id) AS items,
            any_value(deleted) AS is_deleted
     FROM (SELECT e.parent_id, e.user_id, e.id, e.edited, CAST(substr(e.id, 2) AS BIGINT) AS event_id,
-                 CAST(substr(e.id, 2) AS BIGINT) // 10 AS segment,
+                 CAST(substr(e.id, 2) AS BIGINT) AS segment,
                  CASE WHEN editor_id LIKE 'L%' AND c_acctbal >= 0 THEN 'U' || e.user_id || ':USER'
                       ELSE editor_id || ':UNKNOWN' END AS editor,
                  bool_or(is_delete) OVER (PARTITION BY e.parent_id) AS deleted

@@ -197,8 +197,10 @@ def order_rows(t: Tables) -> DataFrame:
     )
     customers = t.customer.withColumnRenamed("c_custkey", "o_custkey")
     return (
-        lookup_join(t.orders, customers, ["o_custkey"], spread=["o_orderkey"], how="inner")
-        .join(owners, "c_nationkey")
+        lookup_join(
+            lookup_join(t.orders, customers, ["o_custkey"], spread=["o_orderkey"], how="inner"),
+            owners, ["c_nationkey"], spread=["o_orderkey"], how="inner",
+        )
         .join(lines, "o_orderkey", "left")
         .withColumn("lines", F.coalesce("lines", F.lit(0)))
         .withColumn("numbers", F.coalesce("numbers", F.lit(0)))
@@ -228,7 +230,11 @@ def declared_commits() -> Column:
 
 def pull_requests(t: Tables) -> DataFrame:
     """Pull request documents made of orders (the columns the operators use)."""
-    return t.once(order_rows).select(
+    return as_pull_requests(t.once(order_rows))
+
+
+def as_pull_requests(rows: DataFrame) -> DataFrame:
+    return rows.select(
         text("o_orderkey").alias("id"),
         tag("R", "c_nationkey").alias("repository_id"),
         F.struct(

@@ -71,10 +71,10 @@ def set_fields(
     return joined.select(*kept, *added)
 
 
-def replace_lists(stored: DataFrame, new: DataFrame) -> DataFrame:
-    """Lists of the parents in ``new`` are replaced whole, all others kept."""
-    kept = stored.join(new.select("parent_id").distinct(), "parent_id", "left_anti")
-    return kept.select(*stored.columns).unionByName(new.select(*stored.columns))
+def without_replaced(rows: DataFrame, replaced: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows whose keys no later load has replaced. Few keys are ever replaced,
+    so this is a broadcast beside the scan of the rows."""
+    return rows.join(replaced.select(*keys), list(keys), "left_anti")
 
 
 def upsert_repositories(stored: DataFrame, incoming: DataFrame, now: Column) -> DataFrame:

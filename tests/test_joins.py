@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from prflow.operators import joins
 
@@ -43,3 +44,19 @@ def test_broadcast_is_left_to_the_optimizer_below_its_limit(spark):
         assert not joins.fits_broadcast(lookup)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_no_task_gets_the_heavy_key_alone(spark, rows, lookup):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        salted = joins.lookup_join(rows, lookup, ["k"], ["i"], min_rows=50, salts=64)
+        plain = rows.join(lookup, ["k"], "left")
+        largest = [
+            df.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+            for df in (salted, plain)
+        ]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert largest[0] < 200 and largest[1] >= 300
