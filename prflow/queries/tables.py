@@ -77,7 +77,7 @@ def only_if(condition: Column, fields: Mapping, kind: str) -> Column:
 def build(kind: DataType, value) -> Column:
     """A column of exactly this type; fields left out are NULL."""
     if isinstance(value, Column):
-        return value.cast(kind)
+        return value.cast(kind.simpleString())
     if value is None:
         return F.expr(f"CAST(NULL AS {kind.simpleString()})")
     if isinstance(kind, StructType):
@@ -87,7 +87,7 @@ def build(kind: DataType, value) -> Column:
         return F.struct(*[build(f.dataType, value.get(f.name)).alias(f.name) for f in kind])
     if isinstance(kind, ArrayType):
         return F.array(*[build(kind.elementType, v) for v in value])
-    return F.lit(value).cast(kind)
+    return F.lit(value).cast(kind.simpleString())
 
 
 def node_type(shape: str) -> StructType:
@@ -121,7 +121,7 @@ def pages(
         request_id.alias("request_id"),
         (F.lit(0) if page_no is None else page_no).cast("bigint").alias("page_no"),
         F.struct(
-            column.alias("data"), F.lit(None).cast(body["errors"].dataType).alias("errors")
+            column.alias("data"), build(body["errors"].dataType, None).alias("errors")
         ).alias("body"),
     )
 
