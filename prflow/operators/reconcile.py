@@ -185,22 +185,21 @@ def recursive_report(
             "step int, needs int, needed long, is_global boolean",
         )
     )
-    done = report.select(F.col("step").alias("needs"), _REPOSITORY, F.col("ok").alias("_ok"))
-    # a global step counts each dependency once, when every repository has it
-    scope = F.when(~F.col("is_global"), F.col(_REPOSITORY))
-    reached = (
-        done.join(graph, "needs")
-        .groupBy("step", "needs", "needed", scope.alias(_REPOSITORY))
-        .agg(F.bool_and("_ok").alias("_ok"))
-        .groupBy("step", "needed", _REPOSITORY)
-        .agg(F.count_if("_ok").alias("done"))
-        .select(
-            "step", F.col(_REPOSITORY).alias("_in"), (F.col("done") == F.col("needed")).alias("_all")
+    # every row is sent to the steps that need it (itself included), so the
+    # report is computed once; rows for a global step meet in one group, which
+    # counts a dependency when every repository has it
+    own = F.when(F.col("needs") == F.col("for_step"), F.struct(*[F.col(c) for c in report.columns]))
+    sent = report.join(graph.withColumnRenamed("step", "for_step"), F.col("step") == F.col("needs"))
+    return (
+        sent.groupBy(
+            "for_step",
+            "needs",
+            "needed",
+            F.when(~F.col("is_global"), F.col(_REPOSITORY)).alias("for_repository"),
         )
+        .agg(F.bool_and("ok").alias("met"), F.max(own).alias("own"))
+        .groupBy("for_step", "needed", "for_repository")
+        .agg(F.count_if("met").alias("met"), F.max("own").alias("own"))
+        .filter(F.col("own").isNotNull())
+        .select("own.*", (F.col("met") == F.col("needed")).alias("ok_recursive"))
     )
-    joined = report.alias("r").join(
-        reached.alias("a"),
-        (F.col("r.step") == F.col("a.step")) & F.col(f"r.{_REPOSITORY}").eqNullSafe(F.col("a._in")),
-        "left",
-    )
-    return joined.select("r.*", F.coalesce("a._all", F.lit(False)).alias("ok_recursive"))

@@ -233,8 +233,9 @@ def pull_requests(t: Tables) -> DataFrame:
     return as_pull_requests(t.once(order_rows))
 
 
-def as_pull_requests(rows: DataFrame) -> DataFrame:
+def as_pull_requests(rows: DataFrame, *more: Column) -> DataFrame:
     return rows.select(
+        *more,
         text("o_orderkey").alias("id"),
         tag("R", "c_nationkey").alias("repository_id"),
         F.struct(
