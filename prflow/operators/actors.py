@@ -55,15 +55,18 @@ def resolve_by_id(
     types: DataFrame,
     name: str,
     spread: Sequence[str | Column],
+    counted: DataFrame | None = None,
     **options,
 ) -> DataFrame:
     """Add actor column ``name`` for an actor known by id. An id without a
-    landed type is UNKNOWN; no id at all is the nobody actor."""
+    landed type is UNKNOWN; no id at all is the nobody actor. ``counted`` is a
+    cheaper frame to find the most frequent actors in."""
     joined = lookup_join(
         rows.withColumn("_actor_id", actor_id),
         types.select(F.col("actor_id").alias("_actor_id"), "author_type"),
         ["_actor_id"],
         spread,
+        counted=None if counted is None else counted.select(actor_id.alias("_actor_id")),
         **options,
     )
     found = S.actor(
@@ -80,6 +83,7 @@ def resolve_by_login(
     matches: DataFrame,
     name: str,
     spread: Sequence[str | Column],
+    counted: DataFrame | None = None,
     **options,
 ) -> DataFrame:
     """Add actor column ``name`` for an actor known by login. A login nobody
@@ -89,6 +93,7 @@ def resolve_by_login(
         matches.select(F.col("login").alias("_login"), F.col("actor_id").alias("_found")),
         ["_login"],
         spread,
+        counted=None if counted is None else counted.select(login.alias("_login")),
         **options,
     )
     return joined.withColumn(

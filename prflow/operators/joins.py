@@ -58,6 +58,7 @@ def lookup_join(
     min_rows: int | None = None,
     salts: int = HEAVY_SALTS,
     force: bool = False,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Join many ``rows`` to a ``lookup`` that has one row per key.
 
@@ -67,11 +68,15 @@ def lookup_join(
     the few lookup rows of heavy keys are repeated. Rows whose key is NULL match
     nothing and are spread as well. A retried task keeps its split number, so
     it repeats the same salts. ``how`` is ``left``, ``inner`` or ``left_semi``.
+
+    ``counted`` may be a cheaper frame with at least the keys of ``rows`` to
+    find the heavy keys in, such as the same pages before they were joined; a
+    key salted needlessly does no harm.
     """
     on = list(on)
     if not force and fits_broadcast(lookup):
         return rows.join(lookup, on, how)
-    heavy = F.broadcast(heavy_keys(rows, on, min_rows))
+    heavy = F.broadcast(heavy_keys(rows if counted is None else counted, on, min_rows))
     is_heavy = F.coalesce(F.col("_heavy"), F.lit(False))
     has_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in on])
     salt = F.pmod(F.xxhash64(F.spark_partition_id(), *spread), F.lit(salts)).cast("int")

@@ -48,6 +48,13 @@ def edges_of_parents(
     return flatten.explode_edges(owned, [*flatten.ENVELOPE, *inherited.values()], fields)
 
 
+def actors_seen(pages: DataFrame, shape: str, *fields: str) -> DataFrame:
+    """The actor fields of all edges of the pages, before any join: where the
+    most frequent actors are counted."""
+    path = schemas.CONNECTION_PATHS[shape]
+    return flatten.flatten_connection(pages, path, ["request_id"], fields)
+
+
 def as_lists(edges: DataFrame, value: Column, **options) -> DataFrame:
     """Edges to stored list rows of their parents."""
     stitched = flatten.stitch_pages(edges, value, ["repository_id", "request_id"], **options)
@@ -88,7 +95,8 @@ def pull_requests(
     edges = project.merged_only(
         flatten.explode_edges(owned, [*flatten.ENVELOPE, "repository_id"])
     )
-    return _new_documents(edges, stored, project.to_pull_request, matches)
+    seen = actors_seen(pages, "pull_requests", "author")
+    return _new_documents(edges, stored, project.to_pull_request, matches, seen)
 
 
 def _new_documents(
@@ -96,6 +104,7 @@ def _new_documents(
     stored: DataFrame,
     to_document: Callable[..., DataFrame],
     matches: DataFrame | None,
+    seen: DataFrame | None,
     order: Sequence[str] = ("repository_id", "request_id", "page_no", "pos"),
 ) -> DataFrame:
     """Documents that are not stored yet. Stored ones are dropped first, so
@@ -106,7 +115,7 @@ def _new_documents(
     if matches is None:
         return to_document(new)
     resolved = actors.resolve_by_login(
-        new, F.col("node.author.login"), matches, "_author", _SPREAD
+        new, F.col("node.author.login"), matches, "_author", _SPREAD, seen
     )
     return to_document(resolved, F.col("_author"))
 
@@ -127,7 +136,8 @@ def participants(
 ) -> DataFrame:
     todo = _incomplete(parents, "total_participants", loaded)
     edges = edges_of_parents(pages, "pr_participants", todo, {"repository_id": "repository_id"})
-    found = actors.resolve_by_id(edges, F.col("node.id"), types, "_actor", _SPREAD)
+    seen = actors_seen(pages, "pr_participants", "id")
+    found = actors.resolve_by_id(edges, F.col("node.id"), types, "_actor", _SPREAD, seen)
     return as_lists(found, F.col("_actor"))
 
 
@@ -153,7 +163,10 @@ def edits(
     segment is a single page."""
     todo = _incomplete(parents, "total_edits", loaded)
     edges = edges_of_parents(pages, shape, todo, {"repository_id": "repository_id"})
-    found = actors.resolve_by_login(edges, project.edit_login(), matches, "_editor", _SPREAD)
+    seen = actors_seen(pages, shape, "editor", "deletedAt", "deletedBy")
+    found = actors.resolve_by_login(
+        edges, project.edit_login(), matches, "_editor", _SPREAD, seen
+    )
     item = project.to_edit(F.col("_editor")).alias("item")
     value = F.struct(item, project.is_deletion().alias("deletion"))
     both = as_lists(found, value, pages_per_segment=1)
@@ -167,7 +180,8 @@ def reactions(
 ) -> DataFrame:
     todo = _incomplete(parents, "total_reactions", loaded)
     edges = edges_of_parents(pages, shape, todo, {"repository_id": "repository_id"})
-    found = actors.resolve_by_id(edges, F.col("node.user.id"), types, "_author", _SPREAD)
+    seen = actors_seen(pages, shape, "user")
+    found = actors.resolve_by_id(edges, F.col("node.user.id"), types, "_author", _SPREAD, seen)
     return as_lists(found, project.to_reaction(F.col("_author")))
 
 
@@ -184,7 +198,8 @@ def commit_authors(
     """Authors of commits. The same cursor on two pages is one author."""
     todo = _incomplete(parents, "total_authors", loaded)
     edges = edges_of_parents(pages, "commit_authors", todo, {"repository_id": "repository_id"})
-    found = actors.resolve_by_id(edges, F.col("node.user.id"), types, "_actor", _SPREAD)
+    seen = actors_seen(pages, "commit_authors", "user")
+    found = actors.resolve_by_id(edges, F.col("node.user.id"), types, "_actor", _SPREAD, seen)
     return as_lists(found, F.col("_actor"), identity="cursor")
 
 
@@ -211,8 +226,9 @@ def _children(
     edges = edges_of_parents(pages, shape, todo, inherited)
     repository = {"repository_id": inherited["repository_id"]}
     ids = edges_of_parents(pages, shape, todo, repository, ["id"])
+    seen = None if matches is None else actors_seen(pages, shape, "author")
     return Children(
-        _new_documents(edges, stored, to_document, matches), as_lists(ids, F.col("node.id"))
+        _new_documents(edges, stored, to_document, matches, seen), as_lists(ids, F.col("node.id"))
     )
 
 
@@ -287,11 +303,12 @@ def commits(
     )
     todo = first.select("id", "first.repository_id").join(stored.select("id"), "id", "left_anti")
     nodes = _pages_by_id(pages, todo, ["repository_id"])
+    seen = project.node_pages(pages)
     with_author = actors.resolve_by_id(
-        nodes, F.col("node.author.user.id"), types, "_author", ["request_id"]
+        nodes, F.col("node.author.user.id"), types, "_author", ["request_id"], seen
     )
     with_both = actors.resolve_by_id(
-        with_author, F.col("node.committer.user.id"), types, "_committer", ["request_id"]
+        with_author, F.col("node.committer.user.id"), types, "_committer", ["request_id"], seen
     )
     return project.to_commit(with_both, F.col("_author"), F.col("_committer"))
 

@@ -60,3 +60,10 @@ def test_no_task_gets_the_heavy_key_alone(spark, rows, lookup):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert largest[0] < 200 and largest[1] >= 300
+
+
+def test_heavy_keys_may_be_counted_elsewhere(spark, rows, lookup):
+    narrow = spark.createDataFrame([("hot",)] * 60 + [("other",)] * 60, "k string")
+    salted = joins.lookup_join(rows, lookup, ["k"], ["i"], min_rows=50, force=True, counted=narrow)
+    assert salted.count() == rows.count()
+    assert salted.filter("k = 'hot' and v = 1.0").count() == 300
