@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from prflow.operators.actors import distinct_ids
@@ -42,16 +42,12 @@ def not_found(requested: DataFrame, nodes: DataFrame, key: str = "id") -> DataFr
     )
 
 
-def unsaved_count(references: DataFrame, stored: DataFrame, known_missing: DataFrame | None = None) -> DataFrame:
+def unsaved_count(
+    references: DataFrame, stored: DataFrame, known_missing: DataFrame | None = None
+) -> DataFrame:
     """One row: how many referenced ids are still unsaved; 0 when all are
     stored. Ids the API has answered "not found" for are not counted."""
     remaining = unsaved(references, stored)
     if known_missing is not None:
         remaining = remaining.join(known_missing.select("id"), "id", "left_anti")
     return remaining.agg(F.count(F.lit(1)).alias("unsaved"))
-
-
-def tagged(ids: DataFrame, kind: str, prefix: str = "") -> DataFrame:
-    """Ids of one kind, for a union of several."""
-    value: Column = F.concat(F.lit(prefix), F.col("id")) if prefix else F.col("id")
-    return ids.select(F.lit(kind).alias("kind"), value.alias("id"))

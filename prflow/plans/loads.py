@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from prflow import schemas
-from prflow.functions import scalars as S
 from prflow.operators import actors, discover, flatten, project, reconcile
 from prflow.operators.joins import fits_broadcast, inherit_parent_keys, lookup_join
 from prflow.sinks import keyed
