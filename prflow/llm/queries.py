@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prflow.llm import mixing, pii, quality, simhash, tokens, urls
+from prflow.llm import mixing, pii, quality, simhash, substrings, tokens, urls
 from prflow.llm.common import table
 
 QUERIES = {}
@@ -56,6 +56,16 @@ def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("doc_id", *[F.col(f"measures.{c}").alias(c) for c in counts], "base_failed", "kept")
 
 
+@query
+def op8_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    done = substrings.remove_repeats(table(spark, folder, "documents"), width=50)
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda s, x: s + x["end"] - x["start"])
+    return done.select(
+        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def in_turn():
     """Weights 1, 2, 3, repeating over the ranked sources."""
     return F.pmod(F.col("rank") - 1, F.lit(3)) + 1
