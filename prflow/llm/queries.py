@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prflow.llm import mixing, pii, quality, simhash, substrings, tokens, urls
+from prflow.llm import lines, mixing, pii, quality, simhash, substrings, tokens, urls
 from prflow.llm.common import table
 
 QUERIES = {}
@@ -24,6 +24,12 @@ URL_RULES = [
 ]
 
 
+@query
+def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    done = lines.dropped_lines(table(spark, folder, "documents"))
+    return done.select("doc_id", "n_lines", F.size("dropped").alias("n_dropped"), "dropped")
+
+
 @query
 def op2_pii(spark: SparkSession, folder: str) -> DataFrame:
     done = pii.pseudonymize(table(spark, folder, "documents"), key="production key comes from a secret store")
