@@ -45,16 +45,19 @@ def fingerprinted(rows: DataFrame) -> DataFrame:
     """``(doc_id, key, line_no, h1, h2, fp)`` of lines with a word; h1 and h2
     are two independent hashes that together name the normal form."""
     place = ["doc_id", "key", "line_no", "h1", "h2"]
-    split = _lines(rows).filter("line <> ''").select(
-        "doc_id", "key", "line_no", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"),
-        F.array_distinct(F.split("line", " ")).alias("words"),
-    )
-    each = split.select(*place, F.size("words").alias("n"), F.posexplode("words").alias("at", "word")).select(
-        *place, "n", (F.col("at") / LANE).cast("int").alias("part"), F.xxhash64("word").alias("h")
-    )
-    summed = each.groupBy(*place, "n", "part").agg(
-        *[F.sum(F.shiftrightunsigned("h", i).bitwiseAND(F.lit(MASK))).alias(x) for i, x in enumerate(LANES)]
-    )
+
+    def summed(some: DataFrame, long: bool) -> DataFrame:
+        split = _lines(some).filter("line <> ''").select(
+            "doc_id", "key", "line_no", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"),
+            F.array_distinct(F.split("line", " ")).alias("words"),
+        ).select("*", F.size("words").alias("n"))
+        split = split.filter(F.col("n") > LANE if long else F.col("n") <= LANE)
+        each = split.select(*place, "n", F.posexplode("words").alias("at", "word")).select(
+            *place, "n", (F.col("at") / LANE if long else F.lit(0)).cast("int").alias("part"), F.xxhash64("word").alias("h")
+        )
+        return each.groupBy(*place, "n", *(["part"] if long else [])).agg(
+            *[F.sum(F.shiftrightunsigned("h", i).bitwiseAND(F.lit(MASK))).alias(x) for i, x in enumerate(LANES)]
+        )
 
     def counter(bit: int) -> Column:
         return F.shiftrightunsigned(LANES[bit % 16], bit // 16 * 16).bitwiseAND(F.lit(0xFFFF))
@@ -65,10 +68,11 @@ def fingerprinted(rows: DataFrame) -> DataFrame:
     voted = F.lit(0).cast("long")
     for bit in range(64):
         voted = voted.bitwiseOR(F.when(2 * counter(bit) > F.col("n"), F.lit(one(bit)).cast("long")).otherwise(F.lit(0).cast("long")))
-    usual = summed.filter(F.col("n") <= LANE).select(*place, voted.alias("fp"))
+    usual = summed(rows, False).select(*place, voted.alias("fp"))
     # the parts of a line with more different words add up their counters
     bits = F.inline(F.array(*[F.struct(F.lit(one(b)).cast("long").alias("one"), counter(b).alias("c")) for b in range(64)]))
-    long = summed.filter(F.col("n") > LANE).select(*place, "n", bits)
+    # (only a text of 2 * LANE characters can have such a line)
+    long = summed(rows.filter(F.length("text") > 2 * LANE), True).select(*place, "n", bits)
     long = long.groupBy(*place, "n", "one").agg(F.sum("c").alias("c"))
     long = long.groupBy(*place, "n").agg(F.bit_or(F.when(2 * F.col("c") > F.col("n"), F.col("one")).otherwise(0)).alias("fp"))
     return usual.unionByName(long.select(*place, "fp"))
