@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prflow.llm import decontaminate, lines, mixing, pii, quality, simhash, substrings, tokens, urls
+from prflow.llm import decontaminate, lines, mixing, paragraphs, pii, quality, simhash, substrings, tokens, urls
 from prflow.llm.common import table
 
 QUERIES = {}
@@ -47,6 +47,12 @@ def op3_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     return urls.judge_urls(pages, labels, URL_RULES)
 
 
+@query
+def op4_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = paragraphs.repeated_paragraphs(table(spark, folder, "documents"))
+    return found.select("doc_id", "start", "end", "class_doc_id", "class_start", "removed")
+
+
 @query
 def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = decontaminate.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
