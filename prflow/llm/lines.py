@@ -16,13 +16,13 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from prflow.llm.common import text_key, written
+from prflow.llm.common import let, text_key, written
 from prflow.llm.components import components
 
 BITS = 3
 SIMILAR = 0.8
 PAIRED = 64  # members of a block that form all pairs
-LANE = 65_535  # words that a lane of 16 bits can count
+LANE = 16_383  # words of one count: lanes of 16 bits keep two bits free
 LANES = [f"lane{i}" for i in range(16)]
 MASK = 0x0001_0001_0001_0001
 
@@ -37,8 +37,18 @@ def _ids(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
 
 
 def _lines(rows: DataFrame) -> DataFrame:
-    at = F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line")
-    return rows.select("doc_id", "key", at).select("doc_id", "key", "line_no", normal(F.col("line")).alias("line"))
+    """Lines with a word: two hashes that together name the normal form, and
+    its different words. Made inside one array, so each line is read once."""
+
+    def parsed(line: Column) -> Column:
+        return F.struct(
+            F.xxhash64(line).alias("h1"), F.xxhash64(F.lit(1), line).alias("h2"),
+            F.when(line != "", F.array_distinct(F.split(line, " "))).alias("words"),
+        )
+
+    found = F.transform(F.split("text", "\n", -1), lambda x: let(normal(x), parsed))
+    each = rows.select("doc_id", "key", F.posexplode(found).alias("line_no", "line"))
+    return each.select("doc_id", "key", "line_no", "line.h1", "line.h2", "line.words").filter("words is not null")
 
 
 def fingerprinted(rows: DataFrame) -> DataFrame:
@@ -47,10 +57,7 @@ def fingerprinted(rows: DataFrame) -> DataFrame:
     place = ["doc_id", "key", "line_no", "h1", "h2"]
 
     def summed(some: DataFrame, long: bool) -> DataFrame:
-        split = _lines(some).filter("line <> ''").select(
-            "doc_id", "key", "line_no", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"),
-            F.array_distinct(F.split("line", " ")).alias("words"),
-        ).select("*", F.size("words").alias("n"))
+        split = _lines(some).select("*", F.size("words").alias("n"))
         split = split.filter(F.col("n") > LANE if long else F.col("n") <= LANE)
         each = split.select(*place, "n", F.posexplode("words").alias("at", "word")).select(
             *place, "n", (F.col("at") / LANE if long else F.lit(0)).cast("int").alias("part"), F.xxhash64("word").alias("h")
@@ -65,9 +72,12 @@ def fingerprinted(rows: DataFrame) -> DataFrame:
     def one(bit: int) -> int:
         return 1 << bit if bit < 63 else -(1 << 63)
 
+    # bit 14 of a lane, set to 0x4000 + counter - least majority, is the vote
+    least = F.floor(F.col("n") / 2).cast("long") + 1
     voted = F.lit(0).cast("long")
-    for bit in range(64):
-        voted = voted.bitwiseOR(F.when(2 * counter(bit) > F.col("n"), F.lit(one(bit)).cast("long")).otherwise(F.lit(0).cast("long")))
+    for i, lane in enumerate(LANES):
+        votes = F.shiftrightunsigned(F.col(lane) + F.lit(0x4000 * MASK) - least * F.lit(MASK), 14)
+        voted = voted.bitwiseOR(F.shiftleft(votes.bitwiseAND(F.lit(MASK)), i))
     usual = summed(rows, False).select(*place, voted.alias("fp"))
     # the parts of a line with more different words add up their counters
     bits = F.inline(F.array(*[F.struct(F.lit(one(b)).cast("long").alias("one"), counter(b).alias("c")) for b in range(64)]))
