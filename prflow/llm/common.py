@@ -31,9 +31,7 @@ def words(text: Column) -> Column:
 
 
 def n_words(text: Column) -> Column:
-    """Number of words without building their array: gaps that a word follows."""
-    body = F.coalesce(text, F.lit(""))
-    return F.size(words(body)).cast("long")
+    return F.size(words(text)).cast("long")
 
 
 def let(value: Column, body) -> Column:
@@ -45,3 +43,14 @@ def text_key(text: Column) -> Column:
     """With the id this tells rows apart; rows equal in both count as one
     document and get one decision."""
     return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
+def boxed(docs: DataFrame) -> DataFrame:
+    """Rows as one column ``row``, so that no column's name clashes in a join;
+    ``row.*`` gives them back."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+
+
+def same_document(doc_id: str, key: str) -> Column:
+    """A boxed row is the document that the two columns name."""
+    return F.col("row.doc_id").eqNullSafe(F.col(doc_id)) & (text_key(F.col("row.text")) == F.col(key))

@@ -22,7 +22,7 @@ from zlib import crc32
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prflow.llm.common import text_key, written
+from prflow.llm.common import boxed, same_document, text_key, written
 
 TERMS = 8_192  # columns of the TF-IDF matrix; words share them by hash
 RANK = 64
@@ -304,4 +304,4 @@ def leaks(
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that hold no benchmark item, columns untouched."""
     bad = leaks(docs, benchmark).select(F.col("doc_id").alias("d"), F.col("key").alias("k")).distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(F.col("d")) & (text_key(docs["text"]) == F.col("k")), "left_anti")
+    return boxed(docs).join(bad, same_document("d", "k"), "left_anti").select("row.*")

@@ -16,7 +16,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from prflow.llm.common import let, text_key, written
+from prflow.llm.common import boxed, let, same_document, text_key, written
 from prflow.llm.components import components
 
 BITS = 3
@@ -215,20 +215,20 @@ def drop_repeated_lines(docs: DataFrame, bits: int = BITS, similar: float = SIMI
     there is such a column, is the new length. Other columns are untouched, and
     texts without repeated lines stay as they are."""
     gone = _dropped(line_classes(docs, bits, similar))
-    joined = docs.join(
-        gone, docs["doc_id"].eqNullSafe(F.col("d")) & (text_key(docs["text"]) == F.col("k")), "left"
-    )
+    joined = boxed(docs).join(gone, same_document("d", "k"), "left")
+    text = F.col("row.text")
     kept = F.array_join(
-        F.filter(F.split(docs["text"], "\n", -1), lambda x, i: ~F.array_contains(F.col("gone"), i)), "\n"
+        F.filter(F.split(text, "\n", -1), lambda x, i: ~F.array_contains(F.col("gone"), i)), "\n"
     )
-    new = F.when(F.col("gone").isNull(), docs["text"]).otherwise(kept)
+    new = F.when(F.col("gone").isNull(), text).otherwise(kept)
+    changed = joined.select("row", new.alias("new"), F.col("gone").isNotNull().alias("is_new"))
     out = []
     for name in docs.columns:
-        column = docs[f"`{name}`"]
+        column = F.col(f"row.`{name}`")
         if name == "text":
-            column = new.alias("text")
+            column = F.col("new")
         elif name == "n_chars":
             kind = docs.schema["n_chars"].dataType
-            column = F.when(F.col("gone").isNull(), column).otherwise(F.length(new)).cast(kind).alias("n_chars")
-        out.append(column)
-    return joined.select(*out)
+            column = F.when(F.col("is_new"), F.length("new")).otherwise(column).cast(kind)
+        out.append(column.alias(name))
+    return changed.select(*out)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from prflow.llm.common import n_words, text_key, written
+from prflow.llm.common import boxed, n_words, same_document, text_key, written
 
 BUCKETS = 4096  # hash buckets of a source: the grain of fractional repetitions
 FILL_PASSES = 3
@@ -132,12 +132,7 @@ def mix(
 def mixed_documents(docs: DataFrame, weight: Column, seed: int = 42, max_epochs: int = 3) -> DataFrame:
     """The rows of the mix: each document, with its columns untouched, once for
     each of its repetitions. The documents are not shuffled by source."""
-    copies = mix(docs, weight, seed=seed, max_epochs=max_epochs).filter("copies > 0").select(
-        F.col("doc_id").alias("_mix_id"), F.col("key").alias("_mix_key"), F.col("copies").alias("_mix_n")
-    ).distinct()
-    joined = docs.join(
-        copies, docs["doc_id"].eqNullSafe(F.col("_mix_id")) & (text_key(docs["text"]) == F.col("_mix_key"))
-    )
-    times = F.explode(F.sequence(F.lit(1), F.col("_mix_n").cast("int")))
-    own = [docs[f"`{c}`"] for c in docs.columns]
-    return joined.select(*own, times.alias("_mix_i")).drop("_mix_i")
+    copies = mix(docs, weight, seed=seed, max_epochs=max_epochs).filter("copies > 0")
+    copies = copies.select(F.col("doc_id").alias("d"), F.col("key").alias("k"), "copies").distinct()
+    times = F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("i")
+    return boxed(docs).join(copies, same_document("d", "k")).select("row", times).select("row.*")

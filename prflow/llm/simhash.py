@@ -18,7 +18,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from prflow.llm.common import written
+from prflow.llm.common import boxed, written
 from prflow.llm.components import components
 
 PAIRED = 64
@@ -147,9 +147,7 @@ def keep_first(docs: DataFrame, shingle: int = 3, bits: int = 2) -> DataFrame:
     """One document of each component, the one with the smallest id, columns
     untouched. Rows that repeat the kept id are kept too; components without
     any id lose nothing: rows without an id are kept."""
-    kept = near_duplicates(docs, shingle, bits).filter("doc_id = component_id").select(
-        F.col("doc_id").alias("_kept")
-    ).distinct()
-    return docs.filter("doc_id is not null").join(
-        kept, docs["doc_id"] == F.col("_kept"), "left_semi"
-    ).unionByName(docs.filter("doc_id is null"))
+    kept = near_duplicates(docs, shingle, bits).filter("doc_id = component_id").select("component_id").distinct()
+    rows = boxed(docs)
+    first = rows.filter("row.doc_id is not null").join(kept, F.col("row.doc_id") == F.col("component_id"), "left_semi")
+    return first.unionByName(rows.filter("row.doc_id is null")).select("row.*")
