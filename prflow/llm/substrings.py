@@ -90,20 +90,24 @@ def _runs(texts: list[bytes], width: int):
     return [tuple(map(np.concatenate, zip(*parts))) if parts else none for parts in out]
 
 
+def _named(hashes):
+    """48 bits name an anchor well enough: a clash only lets both pass on."""
+    import numpy as np
+
+    return (hashes >> np.uint64(16)).view(np.int64)
+
+
 def _emit_anchors(batches, width: int):
-    """Distinct anchor hashes of each document."""
+    """Distinct anchors of each document."""
     import numpy as np
     import pyarrow as pa
 
     for batch in batches:
-        ids, keys = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-        found = [np.unique(r[3]) for r in _runs(batch.column(2).to_pylist(), width)]
-        sizes = [len(f) for f in found]
-        hashes = np.concatenate(found).view(np.int64) if found else np.zeros(0, np.int64)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(hashes), pa.array(np.repeat(ids, sizes)), pa.array(np.repeat(keys, sizes))],
-            ["anchor", "doc_id", "key"],
-        )
+        ids = batch.column(0).to_numpy()
+        found = [np.unique(_named(r[3])) for r in _runs(batch.column(1).to_pylist(), width)]
+        names = np.concatenate(found) if found else np.zeros(0, np.int64)
+        docs = np.repeat(ids, [len(f) for f in found])
+        yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(docs)], ["anchor", "doc_id"])
 
 
 def _repeated(batches):
@@ -116,7 +120,7 @@ def _repeated(batches):
     for batch in batches:
         if not batch.num_rows:
             continue
-        columns = [batch.column(i).to_numpy() for i in range(3)]
+        columns = [batch.column(i).to_numpy() for i in range(2)]
         if waiting is not None:
             columns = [np.concatenate(pair) for pair in zip(waiting, columns)]
         anchor, doc = columns[0], columns[1]
@@ -130,34 +134,38 @@ def _repeated(batches):
             waiting, open_anchor = None, anchor[-1]
         else:
             waiting, open_anchor = [c[first[-1] :] for c in columns], None
-        yield pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in columns], ["anchor", "doc_id", "key"])
+        yield pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in columns], ["anchor", "doc_id"])
 
 
 def _emit_contexts(batches, width: int):
     """Suffixes at repeated anchors: neighbouring strings with one anchor as
-    one context, led by the anchor's bytes."""
+    one context, led by the anchor's bytes. A context that a smaller document
+    of the batch has is covered already, and goes on without its bytes."""
     import numpy as np
     import pyarrow as pa
     import zstandard
 
-    names = ["lead", "context", "doc_id", "key", "first"]
+    names = ["lead", "context", "doc_id", "key", "first", "count"]
+    kinds = [pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
     for batch in batches:
         unpack = zstandard.ZstdDecompressor().decompress
-        texts = [unpack(z) for z in batch.column(2).to_pylist()]
-        out: list[list] = [[] for _ in names]
-        wanted = batch.column(3)
-        for i, (text, runs) in enumerate(zip(texts, _runs(texts, width))):
-            first, count, place, anchor = runs
-            keep = np.isin(anchor.view(np.int64), wanted[i].values.to_numpy())
-            first, count, place = first[keep].tolist(), count[keep].tolist(), place[keep].tolist()
-            out[0] += [text[p : p + TOKEN] for p in place]
-            out[1] += [text[f : f + c + width - 1] for f, c in zip(first, count)]
-            out[2] += [batch.column(0)[i].as_py()] * len(first)
-            out[3] += [batch.column(1)[i].as_py()] * len(first)
-            out[4] += first
-        kinds = [pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
-        for at in range(0, max(1, len(out[0])), 50_000):
-            yield pa.RecordBatch.from_arrays([pa.array(c[at : at + 50_000], k) for c, k in zip(out, kinds)], names)
+        rows = sorted(zip(*(batch.column(i).to_pylist() for i in range(3)), range(batch.num_rows)))
+        texts = [unpack(r[2]) for r in rows]
+        out: list[tuple] = []
+        least: dict = {}
+        for (doc, key, _, i), text, (first, count, place, anchor) in zip(rows, texts, _runs(texts, width)):
+            keep = np.isin(_named(anchor), batch.column(3)[i].values.to_numpy())
+            spread = key.to_bytes(8, "big", signed=True)
+            for f, c, p in zip(first[keep].tolist(), count[keep].tolist(), place[keep].tolist()):
+                context = text[f : f + c + width - 1]
+                if least.setdefault(context, doc) < doc:
+                    out.append((spread, None, doc, key, f, c))
+                else:
+                    out.append((text[p : p + TOKEN], context, doc, key, f, c))
+        for at in range(0, max(1, len(out)), 50_000):
+            part = out[at : at + 50_000]
+            columns = zip(*part) if part else [[]] * 6
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds)], names)
 
 
 def multikey_order(words):
@@ -229,8 +237,11 @@ def _sorted_bucket(batches, width: int, gathered: int):
 
     lead, contexts, too_many = None, {}, False
     for batch in batches:
-        columns = [batch.column(i).to_pylist() for i in range(5)]
-        for now, context, doc, key, first in zip(*columns):
+        columns = [batch.column(i).to_pylist() for i in range(6)]
+        for now, context, doc, key, first, count in zip(*columns):
+            if context is None:
+                out.append((doc, key, first, count, None))
+                continue
             if now != lead:
                 if len(contexts) > 1:
                     ready += contexts.items()
@@ -248,7 +259,7 @@ def _sorted_bucket(batches, width: int, gathered: int):
                     out += [(*p, 0, c) for c, ps in contexts.items() for p in ps]
                     contexts, too_many = {}, True
             elif doc > places[0][0]:
-                out.append((doc, key, first, len(context) - width + 1, None))
+                out.append((doc, key, first, count, None))
             else:
                 places.append((doc, key, first))
         yield batch_of(out)
@@ -312,13 +323,16 @@ def _cut(batches, width: int):
 
 def covered_starts(rows: DataFrame, packed: DataFrame, width: int, gathered: int = GATHERED) -> DataFrame:
     """``(doc_id, key, first, count)``: runs of string starts to remove."""
-    found = rows.mapInArrow(lambda it: _emit_anchors(it, width), f"anchor long, {ID}")
+    found = rows.select("doc_id", "text").mapInArrow(lambda it: _emit_anchors(it, width), "anchor long, doc_id long")
     repeated = found.repartition("anchor").sortWithinPartitions("anchor", "doc_id").mapInArrow(
-        _repeated, f"anchor long, {ID}"
+        _repeated, "anchor long, doc_id long"
+    )
+    # dealt again by document as plain rows: lists would be built twice
+    wanted = written(
+        repeated.repartition("doc_id").groupBy("doc_id").agg(F.collect_list("anchor").alias("anchors")), "anchors"
     )
-    wanted = written(repeated.groupBy("doc_id", "key").agg(F.collect_list("anchor").alias("anchors")), "anchors")
-    contexts = packed.join(wanted, ["doc_id", "key"]).select("doc_id", "key", "packed", "anchors").mapInArrow(
-        lambda it: _emit_contexts(it, width), f"lead binary, context binary, {ID}, first long"
+    contexts = packed.join(wanted, "doc_id").select("doc_id", "key", "packed", "anchors").mapInArrow(
+        lambda it: _emit_contexts(it, width), f"lead binary, context binary, {ID}, first long, count long"
     )
     ranges = contexts.repartitionByRange("lead").sortWithinPartitions("lead", "doc_id")
     sorted_out = written(
