@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -25,6 +25,31 @@ def _field_type(df: DataFrame, path: str):
     return kind
 
 
+def current_pages(pages: DataFrame, keys: Sequence[str] = ("owner", "name", "request_id")) -> DataFrame:
+    """One copy of each page, all of one fetch: what a parent looks like now.
+
+    A parent that is asked again is asked from page 0, so its latest page 0
+    starts the current fetch, and pages that landed before it are gone. Of the
+    copies of a page the last landed counts; if they landed together, the one
+    with the smallest content hash. ``landed_at`` orders landings (a time or a
+    running number; missing counts as first). Whole pages are chosen, so no
+    list is put together from two versions. A parent without a page 0 keeps
+    all its pages."""
+    landed = F.coalesce("landed_at", F.lit(0).cast("long")) if "landed_at" in pages.columns else F.lit(0).cast("long")
+    dated = pages.withColumn("_landed", landed)
+    begun = (
+        dated.filter((F.col("page_no") == 0) & (F.col("_landed") > 0))
+        .groupBy(*[F.col(k).alias(f"_{k}") for k in keys])
+        .agg(F.max("_landed").alias("_begun"))
+    )
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    latest = dated.join(begun, same, "left").filter(
+        F.col("_landed") >= F.coalesce("_begun", F.lit(0).cast("long"))
+    )
+    order = Window.partitionBy(*keys, "page_no").orderBy(F.desc("_landed"), F.xxhash64("body"))
+    return latest.withColumn("_copy", F.row_number().over(order)).filter("_copy = 1").select(*pages.columns)
+
+
 def take_edges(
     pages: DataFrame,
     path: str,

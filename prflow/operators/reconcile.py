@@ -150,6 +150,19 @@ def step_report(
     )
 
 
+def missing_report(missing: DataFrame, steps: Sequence[int]) -> DataFrame:
+    """Report rows of wanted repositories (owner, name) that are not stored:
+    one is expected in step 1 and none is there; the other steps have nothing
+    to count yet, and depend on step 1."""
+    first = (F.col("step") == 1).cast("long")
+    return missing.select(
+        "owner", "name", F.explode(F.array(*[F.lit(s) for s in steps])).alias("step")
+    ).select(
+        F.lit(None).cast("string").alias(_REPOSITORY), "owner", "name", "step",
+        first.alias("expected"), F.lit(0).cast("long").alias("actual"), (first == 0).alias("ok"),
+    )
+
+
 # -- through the graph ------------------------------------------------------
 
 
@@ -175,7 +188,9 @@ def recursive_report(
 ) -> DataFrame:
     """A step is done for a repository only if it and all steps it depends on
     are. A dependency without a report row is not done. Global steps (reported
-    once, without a repository) need their dependencies in every repository."""
+    once, without a repository) need their dependencies in every repository.
+    Repositories are told apart by id, and by owner and name if the report has
+    them, so that those without an id are not taken for one."""
     pairs = upstream(parents)
     needs = {step: sum(1 for s, _ in pairs if s == step) for step in parents}
     # the step graph is a parameter: some dozen steps, a few hundred pairs
@@ -189,16 +204,19 @@ def recursive_report(
     # report is computed once; rows for a global step meet in one group, which
     # counts a dependency when every repository has it
     own = F.when(F.col("needs") == F.col("for_step"), F.struct(*[F.col(c) for c in report.columns]))
+    named = [c for c in (_REPOSITORY, "owner", "name") if c in report.columns]
+    local = [F.when(~F.col("is_global"), F.col(c)).alias(f"for_{c}") for c in named]
+    per_repository = [f"for_{c}" for c in named]
     sent = report.join(graph.withColumnRenamed("step", "for_step"), F.col("step") == F.col("needs"))
     return (
         sent.groupBy(
             "for_step",
             "needs",
             "needed",
-            F.when(~F.col("is_global"), F.col(_REPOSITORY)).alias("for_repository"),
+            *local,
         )
         .agg(F.bool_and("ok").alias("met"), F.max(own).alias("own"))
-        .groupBy("for_step", "needed", "for_repository")
+        .groupBy("for_step", "needed", *per_repository)
         .agg(F.count_if("met").alias("met"), F.max("own").alias("own"))
         .filter(F.col("own").isNotNull())
         .select("own.*", (F.col("met") == F.col("needed")).alias("ok_recursive"))

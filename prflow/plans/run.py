@@ -12,13 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from prflow import schemas
-from prflow.operators import actors, discover, reconcile
+from prflow.operators import actors, discover, flatten, reconcile
 from prflow.plans import loads
 from prflow.plans.steps import STEP_BY_NAME, STEP_PARENTS, STEPS, Step
 from prflow.plans.store import Store
+from prflow.session import new_work_folder
 from prflow.sinks import keyed
 from prflow.sources import documents as D
-from prflow.sources.pages import read_pages, read_parquet_pages
+from prflow.sources.pages import ACCEPTED, convert_pages, converted_pages, outcome_schema, page_folder, read_parquet_pages
 
 # The type whose documents refer to commits or users, per discovering step.
 COMMIT_SOURCES = {
@@ -59,19 +60,55 @@ class Run:
         self.wanted = D.repositories_df(spark, repositories)
         self.now = F.lit(now) if now is not None else F.current_timestamp()
         self.parquet_pages = parquet_pages
+        self._work: str | None = None
+        self._current: set[str] = set()
 
     # -- inputs
 
+    def refresh(self) -> None:
+        """Forget the pages converted so far: what has landed since counts."""
+        self._work, self._current = None, set()
+
+    def _landed(self, shape: str) -> DataFrame:
+        """All landed pages of a shape with their outcome, parsed once."""
+        if self.parquet_pages:
+            return read_parquet_pages(self.spark, self.landing, shape).withColumn("outcome", F.lit(ACCEPTED))
+        convert_pages(self.spark, self.landing, shape, f"{self._work}/all")
+        return converted_pages(self.spark, f"{self._work}/all", shape)
+
     def pages(self, shape: str) -> DataFrame:
-        """Accepted pages of a shape; none if nothing of it has landed."""
-        try:
-            if self.parquet_pages:
-                return read_parquet_pages(self.spark, self.landing, shape)
-            return read_pages(self.spark, self.landing, shape)[0]
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return self.spark.createDataFrame([], schemas.page_schema(shape))
+        """Accepted pages of a shape, one copy of each and all of the parent's
+        latest fetch; none if nothing of it has landed. The first use converts
+        them, every later one in the run reads the result."""
+        if self._work is None:
+            self._work = new_work_folder(self.spark, "pages")
+        folder = f"{self._work}/current"
+        if shape not in self._current:
+            try:
+                landed = self._landed(shape)
+            except AnalysisException as error:
+                if error.getCondition() != "PATH_NOT_FOUND":
+                    raise
+                landed = self.spark.createDataFrame([], outcome_schema(shape))
+            accepted = landed.filter(F.col("outcome") == ACCEPTED).drop("outcome")
+            flatten.current_pages(accepted).write.mode("overwrite").parquet(page_folder(folder, shape))
+            self._current.add(shape)
+        return read_parquet_pages(self.spark, folder, shape)
+
+    def failed_pages(self) -> DataFrame:
+        """(shape, outcome, pages) of the landed pages of this run that were
+        not accepted: with errors from the API, or without data and a reason."""
+        counts = [self.spark.createDataFrame([], "shape string, outcome string, pages long")]
+        for shape in sorted(self._current) if not self.parquet_pages else ():
+            try:
+                landed = converted_pages(self.spark, f"{self._work}/all", shape)
+            except AnalysisException as error:
+                if error.getCondition() != "PATH_NOT_FOUND":
+                    raise
+                continue
+            failed = landed.filter(F.col("outcome") != ACCEPTED).groupBy("outcome").agg(F.count("*").alias("pages"))
+            counts.append(failed.select(F.lit(shape).alias("shape"), "outcome", "pages"))
+        return reduce(DataFrame.unionByName, counts)
 
     @property
     def scope(self) -> DataFrame:
@@ -101,6 +138,7 @@ class Run:
         self.store.put_lookup("types", actors.actor_types(self.pages("node_type")))
 
     def run(self) -> None:
+        self.refresh()
         self.prepare()
         for step in STEPS:
             self.load(step)
@@ -333,13 +371,20 @@ class Run:
         )
 
     def report(self) -> DataFrame:
-        """(step, repository_id, expected, actual, ok, ok_recursive). Global
-        steps are reported once, without a repository. Every table is summed
-        once for all the steps about it."""
+        """(step, repository_id, owner, name, expected, actual, ok,
+        ok_recursive). A wanted repository that is not stored has an expected
+        count of one in step 1 and a row without an id; what depends on all
+        repositories is then not done. Global steps are reported once, without
+        a repository. Every table is summed once for all the steps about it."""
         scope = self.scope
         local = [step.number for step in STEPS if step.number not in GLOBAL_STEPS]
         parts = [*self._document_sides(), *self._list_sides(), *self._open_sides()]
-        report = reconcile.step_report(parts, scope, local).unionByName(self._global_report())
+        report = reconcile.step_report(parts, scope, local).join(
+            scope.select(F.col("id").alias("repository_id"), "owner", "name"), "repository_id"
+        )
+        report = report.unionByName(
+            reconcile.missing_report(self.missing_repositories(), local)
+        ).unionByName(self._global_report(), allowMissingColumns=True)
         return reconcile.recursive_report(self.spark, report, STEP_PARENTS, GLOBAL_STEPS)
 
     def _document_sides(self) -> Iterable[DataFrame]:

@@ -170,7 +170,7 @@ def body_type(shape: str) -> str:
 def page_schema(shape: str, corrupt_column: str | None = None) -> StructType:
     """Schema of one landed line: the envelope and the body."""
     ddl = (
-        "shape:string,owner:string,name:string,request_id:string,page_no:bigint,"
+        "shape:string,owner:string,name:string,request_id:string,page_no:bigint,landed_at:bigint,"
         f"body:{body_type(shape)}"
     )
     if corrupt_column:

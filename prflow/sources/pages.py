@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from prflow import schemas
 
@@ -51,9 +52,24 @@ def read_pages(spark: SparkSession, landing: str, shape: str) -> tuple[DataFrame
     return accepted, failed
 
 
-def land_as_parquet(spark: SparkSession, landing: str, shape: str, out: str) -> None:
-    """Convert accepted pages once, so that later jobs read only the nested
+def convert_pages(spark: SparkSession, landing: str, shape: str, out: str) -> None:
+    """Parse all landed pages of a shape once, failed ones too, into parquet
+    with their ``outcome``. Later jobs read from there, and only the nested
     fields they use (nested column pruning works on parquet, not on JSON)."""
+    pages = classify_pages(spark.read.schema(schemas.page_schema(shape)).json(page_folder(landing, shape)))
+    pages.write.mode("overwrite").parquet(page_folder(out, shape))
+
+
+def outcome_schema(shape: str) -> StructType:
+    return StructType([*schemas.page_schema(shape).fields, StructField("outcome", StringType())])
+
+
+def converted_pages(spark: SparkSession, folder: str, shape: str) -> DataFrame:
+    return spark.read.schema(outcome_schema(shape)).parquet(page_folder(folder, shape))
+
+
+def land_as_parquet(spark: SparkSession, landing: str, shape: str, out: str) -> None:
+    """Convert accepted pages once, for runs with ``parquet_pages=True``."""
     accepted, _ = read_pages(spark, landing, shape)
     accepted.write.mode("overwrite").parquet(page_folder(out, shape))
 

@@ -64,6 +64,39 @@ def test_a_repeated_cursor_is_one_item(page_frame):
     assert stitched(edges) == {("p", 0): ["c1", "c2", "c1", "c2"]}
 
 
+def landed(at, line):
+    return {**line, "landed_at": at}
+
+
+def test_a_page_that_landed_again_replaces_the_old_one_whole(page_frame):
+    def some(*ids):
+        return connection(PATH, [edge(i, {"id": i}) for i in ids])
+
+    lines = [
+        landed(1, page("p", some("a", "b"), 0)), landed(1, page("p", some("x"), 1)), landed(1, page("p", some("y"), 2)),
+        landed(2, page("p", some("c", "a", "b"), 0)), landed(3, page("p", some("d"), 1)),
+        page("q", some("k"), 0), page("q", some("k"), 0), page("q", some("l"), 1),
+        landed(5, page("r", some("m"), 1)),
+    ]
+    for seed in range(3):
+        random.Random(seed).shuffle(lines)
+        current = flatten.current_pages(page_frame("pr_comments", *lines))
+        edges = flatten.flatten_connection(current, PATH)
+        assert stitched(edges) == {("p", 0): ["c", "a", "b", "d"], ("q", 0): ["k", "l"], ("r", 0): ["m"]}
+        progress = {r.request_id: r for r in flatten.page_progress(current, PATH).collect()}
+        assert (progress["p"].pages, progress["p"]["items"], progress["p"].next_cursor) == (2, 4, "d")
+
+
+def test_versions_that_landed_together_are_not_mixed(page_frame):
+    one = page("p", connection(PATH, [edge("1", {"id": "a"}), edge("2", {"id": "z"})]))
+    two = page("p", connection(PATH, [edge("1", {"id": "b"}), edge("2", {"id": "y"})]))
+    lists = [
+        stitched(flatten.flatten_connection(flatten.current_pages(page_frame("pr_comments", *lines)), PATH))
+        for lines in ([one, two], [two, one, one])
+    ]
+    assert lists[0] == lists[1] and lists[0]["p", 0] in (["a", "z"], ["b", "y"])
+
+
 def commit_page(parent, page_no, ids, more, end):
     edges = [{"node": {"commit": {"id": i}}} for i in ids]
     info = {"hasNextPage": more, "endCursor": end}

@@ -206,11 +206,18 @@ def test_users_and_organizations(run):
 
 def test_report(run):
     report = run.report().collect()
-    assert {(r.step, r.repository_id) for r in report} == {
-        (s.number, r) for s in STEPS if s.number < 31 for r in ("ONE", "TWO")
-    } | {(31, None), (32, None)}
-    assert {(r.step, r.repository_id) for r in report if not r.ok} == set()
-    assert all(r.ok_recursive for r in report)
+    local = [s.number for s in STEPS if s.number < 31]
+    assert {(r.step, r.repository_id, r.name) for r in report} == {
+        (s, *r) for s in local for r in (("ONE", "one"), ("TWO", "two"), (None, "none"))
+    } | {(31, None, None), (32, None, None)}
+    stored = [r for r in report if r.repository_id is not None]
+    assert all(r.ok and r.ok_recursive for r in stored)
+    # own/none is wanted and not there: nothing of it is done, nor what needs all
+    missing = {r.step: r for r in report if r.name == "none"}
+    assert (missing[1].expected, missing[1].actual, missing[1].ok) == (1, 0, False)
+    assert set(missing) == set(local) and not any(r.ok_recursive for r in missing.values())
+    whole = {r.step: r for r in report if r.step > 30}
+    assert {s: (r.ok, r.ok_recursive) for s, r in whole.items()} == {31: (True, False), 32: (True, False)}
     counts = {(r.step, r.repository_id): (r.expected, r.actual) for r in report}
     assert counts[2, "ONE"] == (2, 2)
     assert counts[4, "ONE"] == (3, 3)
@@ -218,6 +225,18 @@ def test_report(run):
     assert counts[31, None] == (1, 1)
 
 
+def test_report_without_a_missing_repository(spark, run):
+    there = [r for r in REPOSITORIES if r["name"] != "none"]
+    report = Run(spark, run.landing, run.store.root, there, NOW)
+    report._load_repositories()
+    assert all(r.ok and r.ok_recursive for r in report.report().collect())
+
+
+def test_failed_pages_are_counted(run):
+    failed = {(r.shape, r.outcome): r.pages for r in run.failed_pages().collect()}
+    assert all(n > 0 for n in failed.values())
+
+
 def test_running_again_changes_nothing_and_late_pages_fill_gaps(spark, run):
     types = ("PULL_REQUEST", "PULL_REQUEST_COMMENT", "COMMIT", "USER", "CHECK_SUITE")
     before = {t: sorted(map(repr, run.store.whole(t).collect())) for t in types}
