@@ -3,10 +3,16 @@
 Built-in functions only. Lines are compared in a normal form (lower case,
 letters and digits). A line's SimHash is the majority of the hashes of its
 different words; the counters of 64 bits are summed in 16 numbers of four
-lanes. Fingerprints that differ in at most BITS bits agree on two of BITS + 2
-blocks, so they meet under the key of two blocks; pairs are verified by bits
-and then by the edit similarity of the whole lines. Of each connected group
-the first occurrence stays.
+lanes. Fingerprints that differ in at most BITS bits agree on SHARED of
+BITS + SHARED blocks, so they meet under the key of these; pairs that meet are
+verified by the edit similarity of the whole lines. Of each connected group the
+first occurrence stays.
+
+A large block does not form pairs. Its members are verified against its first
+one; only who fails is tried with the others within BITS bits. Two members that
+are both similar to the first are connected through it, so all links between
+different lines within BITS bits count, with rows in proportion to the block
+and to its outsiders.
 """
 
 from __future__ import annotations
@@ -20,8 +26,10 @@ from prflow.llm.common import boxed, let, same_document, text_key, written
 from prflow.llm.components import components
 
 BITS = 3
+SHARED = 2  # more make longer and more keys: 2 give 10 keys of 25 bits, 3 give 20 of 32
 SIMILAR = 0.8
-PAIRED = 64  # members of a block that form all pairs
+PAIRED = 8  # members of a block that form all pairs
+LOOSE = 16  # differing bits up to which a block's first member is tried
 LANE = 16_383  # words of one count: lanes of 16 bits keep two bits free
 LANES = [f"lane{i}" for i in range(16)]
 MASK = 0x0001_0001_0001_0001
@@ -81,61 +89,103 @@ def fingerprinted(rows: DataFrame) -> DataFrame:
     usual = summed(rows, False).select(*place, voted.alias("fp"))
     # the parts of a line with more different words add up their counters
     bits = F.inline(F.array(*[F.struct(F.lit(one(b)).cast("long").alias("one"), counter(b).alias("c")) for b in range(64)]))
-    # (only a text of 2 * LANE characters can have such a line)
-    long = summed(rows.filter(F.length("text") > 2 * LANE), True).select(*place, "n", bits)
+    # (only a line of 2 * LANE characters can be one)
+    has_long = F.exists(F.split("text", "\n", -1), lambda x: F.length(x) > 2 * LANE)
+    long = summed(rows.filter((F.length("text") > 2 * LANE) & has_long), True).select(*place, "n", bits)
     long = long.groupBy(*place, "n", "one").agg(F.sum("c").alias("c"))
     long = long.groupBy(*place, "n").agg(F.bit_or(F.when(2 * F.col("c") > F.col("n"), F.col("one")).otherwise(0)).alias("fp"))
     return usual.unionByName(long.select(*place, "fp"))
 
 
-def _blocks(bits: int) -> list[int]:
-    """Masks of the keys: any two of bits + 2 blocks of a fingerprint."""
-    n = bits + 2
+def _blocks(bits: int, shared: int) -> list[int]:
+    """Masks of the keys: any ``shared`` of bits + shared blocks."""
+    n = bits + shared
     cuts = [64 * i // n for i in range(n + 1)]
     blocks = [(1 << b) - (1 << a) for a, b in zip(cuts, cuts[1:])]
-    return [m - (1 << 64) if m >> 63 else m for m in (a | b for a, b in combinations(blocks, 2))]
+    masks = [sum(some) for some in combinations(blocks, shared)]
+    return [m - (1 << 64) if m >> 63 else m for m in masks]
 
 
-def _close_prints(prints: DataFrame, bits: int) -> DataFrame:
-    """``(a, b)``, a < b: fingerprints within ``bits`` bits that share a block
-    key. In a block of more than PAIRED, all are compared with the first one,
-    and who is not within ``bits`` of it with all: two that are both near the
-    first are connected through it, so no component is lost."""
-    keys = F.array(*[F.struct(F.lit(i).alias("place"), F.col("fp").bitwiseAND(F.lit(m)).alias("block")) for i, m in enumerate(_blocks(bits))])
+def _differing(a: str, b: str) -> Column:
+    return F.bit_count(F.col(a).bitwiseXOR(F.col(b)))
+
+
+def _index(prints: DataFrame, bits: int, shared: int) -> DataFrame:
+    """``(place, block, fp, n, first)`` of blocks with several fingerprints."""
+    masks = _blocks(bits, shared)
+    keys = F.array(*[F.struct(F.lit(i).alias("place"), F.col("fp").bitwiseAND(F.lit(m)).alias("block")) for i, m in enumerate(masks)])
     index = prints.select("fp", F.inline(keys))
     same = Window.partitionBy("place", "block")
     index = index.withColumn("n", F.count("*").over(same)).withColumn("first", F.min("fp").over(same))
-    index = written(index.filter("n > 1"), "blocks")
-
-    def near(a, b) -> Column:
-        return F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= bits
-
+    return written(index.filter("n > 1"), "blocks")
+
+
+def _verified(pairs: DataFrame, bodies: DataFrame, similar: float) -> DataFrame:
+    """The pairs (a, b) of lines whose edit similarity is high enough. A small
+    bound is tried first: most similar lines differ in a word or two."""
+    checked = pairs.join(bodies.select(F.col("line").alias("a"), F.col("body").alias("x")), "a").join(
+        bodies.select(F.col("line").alias("b"), F.col("body").alias("y")), "b"
+    ).withColumn("bound", similarity_bound("x", "y", similar))
+    close = checked.filter(F.abs(F.length("x") - F.length("y")) <= F.col("bound"))
+    same = F.expr("CASE WHEN levenshtein(x, y, least(bound, 16)) >= 0 THEN true ELSE levenshtein(x, y, bound) >= 0 END")
+    return close.filter(same).select("a", "b")
+
+
+def _edges(lines: DataFrame, read, bits: int, shared: int, similar: float) -> DataFrame:
+    """Verified links (a, b) between different lines (line, fp), enough to
+    connect all that are similar and within ``bits`` bits. ``read`` gives the
+    bodies of the lines of a frame."""
+    heads = lines.groupBy("fp").agg(F.min("line").alias("head"), F.count("*").alias("lines"))
+    heads = written(heads, "heads")
+    index = _index(heads.select("fp"), bits, shared)
     few, many = index.filter(F.col("n") <= PAIRED), index.filter(F.col("n") > PAIRED)
     x, y = few.alias("x"), few.alias("y")
-    pairs = x.join(y, ["place", "block"]).filter("x.fp < y.fp").filter(near("x.fp", "y.fp"))
-    found = pairs.select(F.col("x.fp").alias("a"), F.col("y.fp").alias("b"))
-    star = many.filter(near("fp", "first")).filter("first < fp").select(F.col("first").alias("a"), F.col("fp").alias("b"))
-    far = many.filter(~near("fp", "first")).select("place", "block", F.col("fp").alias("other"))
-    rest = many.join(far, ["place", "block"]).filter("fp <> other").filter(near("fp", "other")).select(
-        F.least("fp", "other").alias("a"), F.greatest("fp", "other").alias("b")
+    pairs = x.join(y, ["place", "block"]).filter("x.fp < y.fp").select(F.col("x.fp").alias("p"), F.col("y.fp").alias("q"))
+    pairs = pairs.filter(_differing("p", "q") <= bits)
+    stars = many.filter("first < fp").select(F.col("first").alias("p"), F.col("fp").alias("q")).filter(
+        _differing("p", "q") <= LOOSE
     )
-    return found.unionByName(star).unionByName(rest).distinct()
-
-
-def _line_pairs(lines: DataFrame, bits: int) -> DataFrame:
-    """``(a, b)`` pairs of different lines (column line) to verify: of close
-    fingerprints, and of one fingerprint (same words in another order)."""
-    close = _close_prints(lines.select("fp").distinct(), bits)
-    by_a = lines.select(F.col("fp").alias("a"), F.col("line").alias("line_a"))
-    by_b = lines.select(F.col("fp").alias("b"), F.col("line").alias("line_b"))
-    across = close.join(by_a, "a").join(by_b, "b").select("line_a", "line_b")
-    groups = lines.groupBy("fp").agg(F.count("*").alias("n")).filter("n > 1")
-    equal = lines.join(groups, "fp").select("fp", "line", "n")
-    x, y = equal.alias("x"), equal.alias("y")
-    inside = x.join(y, "fp").filter("x.line < y.line").select(
-        F.col("x.line").alias("line_a"), F.col("y.line").alias("line_b")
+    tried = written(pairs.unionByName(stars).distinct(), "tried")
+    several = lines.join(heads.filter("lines > 1"), "fp").select("fp", "line", "head")
+    by_p = heads.select(F.col("fp").alias("p"), F.col("head").alias("a"))
+    by_q = heads.select(F.col("fp").alias("q"), F.col("head").alias("b"))
+    first = tried.join(by_p, "p").join(by_q, "q").select("a", "b").unionByName(
+        several.filter("line <> head").select(F.col("head").alias("a"), F.col("line").alias("b"))
     )
-    return across.unionByName(inside).distinct()
+    first = written(first.distinct(), "first")
+    members = many.select("fp").union(tried.select("p")).union(tried.select("q")).distinct()
+    asked = lines.join(members, "fp", "left_semi").select("line").union(several.select("line")).distinct()
+    bodies = read(asked)
+    found = written(_verified(first, bodies, similar), "links")
+
+    # second round: fingerprints that are not similar to the first of a block,
+    # and lines that are not similar to the head of their fingerprint
+    linked = found.join(heads.select(F.col("head").alias("a"), F.col("fp").alias("p")), "a").join(
+        heads.select(F.col("head").alias("b"), F.col("fp").alias("q")), "b"
+    ).select("p", "q")
+    far = many.filter("first < fp").join(
+        linked, (F.col("first") == F.col("p")) & (F.col("fp") == F.col("q")), "left_anti"
+    ).select("place", "block", F.col("fp").alias("other"))
+    again = many.join(far, ["place", "block"]).filter("fp <> other").select(
+        F.least("fp", "other").alias("p"), F.greatest("fp", "other").alias("q")
+    ).filter(_differing("p", "q") <= bits)
+    # heads failed, but other lines of the two fingerprints may be similar
+    heads_failed = tried.filter(_differing("p", "q") <= bits).join(linked, ["p", "q"], "left_anti")
+    wide = heads.filter("lines > 1").select("fp")
+    heads_failed = heads_failed.join(wide, F.col("p") == F.col("fp"), "left_semi").union(
+        heads_failed.join(wide, F.col("q") == F.col("fp"), "left_semi")
+    )
+    lines_p = lines.select(F.col("fp").alias("p"), F.col("line").alias("a"))
+    lines_q = lines.select(F.col("fp").alias("q"), F.col("line").alias("b"))
+    more = again.union(heads_failed).distinct().join(lines_p, "p").join(lines_q, "q").select("a", "b")
+    alone = several.filter("line <> head").join(
+        found, (F.col("head") == F.col("a")) & (F.col("line") == F.col("b")), "left_anti"
+    ).select("fp", F.col("line").alias("other"))
+    inside = several.join(alone, "fp").filter("line <> other and line <> head").select(
+        F.least("line", "other").alias("a"), F.greatest("line", "other").alias("b")
+    )
+    second = more.unionByName(inside).distinct().join(found, ["a", "b"], "left_anti")
+    return found.unionByName(written(_verified(second, bodies, similar), "links"))
 
 
 def similarity_bound(a: str, b: str, similar: float) -> Column:
@@ -144,7 +194,8 @@ def similarity_bound(a: str, b: str, similar: float) -> Column:
 
 
 def line_classes(
-    docs: DataFrame, bits: int = BITS, similar: float = SIMILAR, text: str = "text", doc_id: str = "doc_id"
+    docs: DataFrame, bits: int = BITS, similar: float = SIMILAR, text: str = "text", doc_id: str = "doc_id",
+    shared: int = SHARED,
 ) -> DataFrame:
     """``(doc_id, key, line_no, class_doc_id, class_line_no)`` of each repeated
     line, ``key`` telling rows with one id apart. A line's class is named by the
@@ -162,22 +213,18 @@ def line_classes(
     lines = written(
         spots.groupBy("line").agg(F.max("fp").alias("fp"), F.min(spot).alias("first"), F.count("*").alias("n")), "distinct"
     )
-    pairs = written(_line_pairs(lines.select("line", "fp"), bits), "pairs")
-    # the texts of the lines to verify, each read at its first occurrence
-    asked = pairs.select(F.col("line_a").alias("line")).union(pairs.select("line_b")).distinct()
-    where = lines.join(asked, "line").select("line", "first.doc_id", "first.key", "first.line_no")
-    per_doc = where.groupBy("doc_id", "key").agg(F.collect_list(F.struct("line_no", "line")).alias("asked"))
-    per_doc = per_doc.select(F.col("doc_id").alias("d"), F.col("key").alias("k"), "asked")
-    read = rows.join(per_doc, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("key") == F.col("k"))).select(
-        F.split("text", "\n", -1).alias("parts"), F.explode("asked").alias("ask")
-    ).select(F.col("ask.line").alias("line"), normal(F.get("parts", F.col("ask.line_no"))).alias("body")).distinct()
-    read = written(read, "bodies")
-    checked = pairs.join(read.select(F.col("line").alias("line_a"), F.col("body").alias("a")), "line_a").join(
-        read.select(F.col("line").alias("line_b"), F.col("body").alias("b")), "line_b"
-    ).withColumn("bound", similarity_bound("a", "b", similar))
-    edges = checked.filter(F.abs(F.length("a") - F.length("b")) <= F.col("bound")).filter(
-        F.expr("levenshtein(a, b, bound) >= 0")
-    ).select(F.col("line_a").alias("a"), F.col("line_b").alias("b"))
+
+    def read(asked: DataFrame) -> DataFrame:
+        """Bodies of the lines, each read at its first occurrence."""
+        where = lines.join(asked, "line").select("line", "first.doc_id", "first.key", "first.line_no")
+        per_doc = where.groupBy("doc_id", "key").agg(F.collect_list(F.struct("line_no", "line")).alias("asked"))
+        per_doc = per_doc.select(F.col("doc_id").alias("d"), F.col("key").alias("k"), "asked")
+        found = rows.join(per_doc, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("key") == F.col("k"))).select(
+            F.split("text", "\n", -1).alias("parts"), F.explode("asked").alias("ask")
+        ).select(F.col("ask.line").alias("line"), normal(F.get("parts", F.col("ask.line_no"))).alias("body"))
+        return written(found.dropDuplicates(["line"]), "bodies")
+
+    edges = _edges(lines.select("line", "fp"), read, bits, shared, similar)
     roots = components(edges)
     classed = lines.join(roots, F.col("line") == F.col("node"), "left").withColumn("class", F.coalesce("root", "line"))
     linked = classed.filter("root is not null").groupBy("class").agg(F.min("first").alias("class_first"))
