@@ -62,6 +62,7 @@ class Run:
         self.parquet_pages = parquet_pages
         self._work: str | None = None
         self._current: set[str] = set()
+        self._running = False
 
     # -- inputs
 
@@ -134,16 +135,26 @@ class Run:
 
     def prepare(self) -> None:
         """Resolve all landed actor pages once; every step joins the result."""
+        if not self._running:
+            self.refresh()
         self.store.put_lookup("logins", actors.login_matches(self.pages("user_search")))
         self.store.put_lookup("types", actors.actor_types(self.pages("node_type")))
 
     def run(self) -> None:
+        """All steps, over the pages that have landed when it starts."""
         self.refresh()
-        self.prepare()
-        for step in STEPS:
-            self.load(step)
+        self._running = True
+        try:
+            self.prepare()
+            for step in STEPS:
+                self.load(step)
+        finally:
+            self._running = False
 
     def load(self, step: Step | str) -> None:
+        """One step; on its own, over the pages that have landed by now."""
+        if not self._running:
+            self.refresh()
         step = STEP_BY_NAME[step] if isinstance(step, str) else step
         if step.name in COMMIT_SOURCES:
             self._load_commits(COMMIT_SOURCES[step.name])
