@@ -14,6 +14,7 @@ from prflow.queries.registry import query
 from prflow.queries.tables import Tables, stamp, tag, text
 from prflow.session import new_work_folder
 from prflow.sinks import keyed
+from prflow.sources import documents
 from prflow.streaming.ingest import ingest_stream
 
 # -- actors -----------------------------------------------------------------
@@ -737,3 +738,36 @@ def mismatched_parents(t: Tables) -> DataFrame:
 def reconcile_recursive(t: Tables) -> DataFrame:
     """A step counts only when the steps it requires do."""
     return reconcile.recursive_report(t.spark, report(t), STEP_PARENTS)
+
+
+@query(
+    "reconcile_missing_repository",
+    f"""
+    WITH wanted AS (
+        SELECT r_name AS owner, n_name AS name, 'R' || n_nationkey AS repository_id
+        FROM nation JOIN region ON n_regionkey = r_regionkey
+        UNION ALL SELECT r_name, 'none', NULL FROM region
+    ), report AS ({_REPORT_SQL})
+    SELECT step, w.repository_id, w.owner, w.name, expected, actual, ok,
+           ok AND NOT EXISTS (
+             SELECT 1 FROM report u JOIN (VALUES (2, 1), (3, 1), (3, 2), (4, 1), (4, 2)) e(step, needs)
+               ON u.step = e.needs
+             WHERE e.step = r.step AND u.repository_id = r.repository_id AND NOT u.ok) AS ok_recursive
+    FROM report r JOIN wanted w ON w.repository_id = r.repository_id
+    UNION ALL
+    SELECT CAST(s.step AS INTEGER), NULL, owner, name, CAST(CASE WHEN s.step = 1 THEN 1 ELSE 0 END AS BIGINT),
+           CAST(0 AS BIGINT), s.step <> 1, false
+    FROM wanted, (VALUES (1), (2), (3), (4)) s(step) WHERE repository_id IS NULL
+    """,
+)
+def reconcile_missing_repository(t: Tables) -> DataFrame:
+    """Wanted repositories that are not stored: one more of each owner. Nothing
+    of them is done, and each row tells whose it is."""
+    known = t.once(P.repositories)
+    wanted = known.select("owner", "name").unionByName(
+        t.region.select(F.col("r_name").alias("owner"), F.lit("none").alias("name"))
+    )
+    missing = documents.repository_exists(known, wanted).filter(~F.col("is_stored"))
+    named = report(t).join(known.select(F.col("id").alias("repository_id"), "owner", "name"), "repository_id")
+    rows = named.unionByName(reconcile.missing_report(missing, [1, 2, 3, 4]))
+    return reconcile.recursive_report(t.spark, rows, STEP_PARENTS)

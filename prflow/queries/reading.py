@@ -182,6 +182,33 @@ def page_stitch(t: Tables) -> DataFrame:
     return lists.select("request_id", "segment", F.array_join("items", ",").alias("items"))
 
 
+@query(
+    "page_relanded",
+    """
+    SELECT CAST(conv_id AS VARCHAR) AS request_id, CAST(turn // 6 AS BIGINT) AS segment,
+           string_agg(CASE WHEN conv_id % 2 = 0 THEN 'new:' ELSE '' END || role || ':' || turn, ','
+                      ORDER BY turn) AS items
+    FROM conversations GROUP BY conv_id, turn // 6
+    """,
+)
+def page_relanded(t: Tables) -> DataFrame:
+    """Every second conversation was asked again and had changed: its old pages
+    are gone, also those the new fetch does not reach; the others landed twice."""
+
+    def fetch(prefix: str, landed_at: int) -> DataFrame:
+        value = F.concat(F.lit(prefix), F.concat_ws(":", "role", text("turn")))
+        landed = P.turn_pages(t, "pr_comments", {"id": P.turn_id(), "authorAssociation": value})
+        return landed.withColumn("landed_at", F.lit(landed_at).cast("bigint"))
+
+    changed = F.col("request_id").cast("long") % 2 == 0
+    old = fetch("", 1)
+    beyond = old.filter(changed).withColumn("page_no", F.col("page_no") + 1000)
+    landed = old.unionByName(old).unionByName(beyond).unionByName(fetch("new:", 2).filter(changed))
+    edges = flatten.flatten_connection(flatten.current_pages(landed), "node.comments")
+    lists = flatten.stitch_pages(edges, F.col("node.authorAssociation"), pages_per_segment=2)
+    return lists.select("request_id", "segment", F.array_join("items", ",").alias("items"))
+
+
 @query(
     "page_progress",
     f"""
