@@ -99,3 +99,80 @@ def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
 def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, folder, "documents"), shingle=3, bits=2)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def _quality_sql() -> str:
+    stop = sorted({w for words in quality.STOP_WORDS.values() for w in words})
+    listed = ", ".join(f"'{w}'" for w in stop)
+    broken = []
+    for _, measure, low, high in quality.RULES:
+        broken += [f"{measure} < {low}"] if low is not None else []
+        broken += [f"{measure} > {high}"] if high is not None else []
+    return rf"""
+    WITH d AS (
+        SELECT doc_id, coalesce(text, '') AS t,
+               list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
+               list_filter(string_split(coalesce(text, ''), chr(10)),
+                           lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
+        FROM documents
+    ), windows AS (
+        SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, x) AS n
+        FROM (SELECT doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS x
+              FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM d))
+    ), repeated AS (
+        SELECT doc_id, count(DISTINCT i + k) AS n_repeat_words
+        FROM windows, (VALUES (0), (1), (2)) o(k) WHERE n > 1 GROUP BY doc_id
+    ), counted AS (
+        SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+               CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+               CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines,
+               CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words, len(l) AS n_lines,
+               len(list_filter(w, lambda x: lower(x) IN ({listed}))) AS stop_words,
+               length(regexp_replace(t, '[^\p{{L}}]+', '', 'g')) AS letters,
+               length(regexp_replace(t, '[^\p{{Lu}}]+', '', 'g')) AS capitals
+        FROM d LEFT JOIN repeated USING (doc_id)
+    ), ratios AS (
+        SELECT *, word_chars / nullif(n_words, 0) AS mean_word_length, n_symbols / nullif(word_chars, 0) AS symbol_share,
+               n_repeat_words / nullif(n_words, 0) AS repeat_share, n_dup_lines / nullif(n_lines, 0) AS dup_line_share,
+               capitals / nullif(letters, 0) AS upper_share
+        FROM counted
+    )
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+           n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+           NOT ({" OR ".join(f"coalesce({b}, false)" for b in broken)}) AS kept
+    FROM ratios
+    """
+
+
+ORACLE_SQL["op7_quality_rules"] = _quality_sql()
+
+# Strings of 50 bytes as hex digits: two for each byte, so a match starts at an
+# even place; texts in overlapping pieces. The rest of a text is what no covered place holds.
+ORACLE_SQL["op8_suffix_dedup"] = """
+    WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+    starts AS (
+        SELECT doc_id, 1000 * k + q AS p, substr(piece, 2 * q + 1, 100) AS s
+        FROM (SELECT doc_id, k, piece, unnest(range(0, len(piece) // 2 - 49)) AS q
+              FROM (SELECT doc_id, k, substr(h, 2000 * k + 1, 2098) AS piece
+                    FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2000 + 1)) AS k FROM d)))
+    ), least AS (SELECT s, min(doc_id) AS first FROM starts GROUP BY s HAVING min(doc_id) < max(doc_id)),
+    covered AS (SELECT doc_id, p FROM starts JOIN least USING (s) WHERE doc_id > first),
+    edges AS (
+        SELECT doc_id, p, lag(p) OVER (PARTITION BY doc_id ORDER BY p) AS before FROM covered
+    ), runs AS (
+        SELECT doc_id, p, sum(CASE WHEN before IS NULL OR p > before + 50 THEN 1 ELSE 0 END)
+                 OVER (PARTITION BY doc_id ORDER BY p) AS run
+        FROM edges
+    ), spans AS (SELECT doc_id, run, min(p) AS a, max(p) + 50 AS z FROM runs GROUP BY doc_id, run),
+    ordered AS (
+        SELECT doc_id, a, z, coalesce(lag(z) OVER (PARTITION BY doc_id ORDER BY a), 0) AS since FROM spans
+    ), parts AS (
+        SELECT doc_id, sum(z - a) AS n_removed, count(*) AS n_spans, max(z) AS last,
+               string_agg(substr(h, 2 * since + 1, 2 * (a - since)), '' ORDER BY a) AS kept
+        FROM ordered JOIN d USING (doc_id) GROUP BY doc_id
+    )
+    SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+           CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+           sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+    FROM d LEFT JOIN parts USING (doc_id)
+"""
