@@ -150,9 +150,9 @@ def _colliding(batches):
         yield pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in columns], ["band", "doc_id", "key", "start"])
 
 
-def _emit_paragraphs(batches):
-    """The asked paragraphs of each document with their content: a 128-bit name
-    and the set of shingles."""
+def _emit_paragraphs(batches, with_shingles: bool = False):
+    """The asked paragraphs of each document with their content, a 128-bit name,
+    and, if wanted, the set of shingles."""
     from hashlib import blake2b
 
     import numpy as np
@@ -173,13 +173,23 @@ def _emit_paragraphs(batches):
                         seen.add(s + offset)
                         values = (
                             doc, key, s + offset, e + offset, blake2b(words[s:e].tobytes(), digest_size=16).digest(),
-                            np.unique(shingles[s : e - SHINGLE + 1]).view(np.int64).tolist(),
+                            np.unique(shingles[s : e - SHINGLE + 1]).view(np.int64).tolist() if with_shingles else None,
                         )
                         for column, value in zip(out, values):
                             column.append(value)
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names)
 
 
+def _emit_shingles(batches):
+    for batch in _emit_paragraphs(batches, with_shingles=True):
+        yield batch.select(["content", "shingles"])
+
+
+def _emit_places(batches):
+    for batch in _emit_paragraphs(batches):
+        yield batch.select(["doc_id", "key", "start", "end", "content"])
+
+
 def _pack(batches):
     import pyarrow as pa
     import zstandard
@@ -197,12 +207,17 @@ def jaccard(a: Column, b: Column) -> Column:
     return both / (F.size(a) + F.size(b) - both)
 
 
+def _contested(bands: DataFrame) -> DataFrame:
+    """Bands of several contents, with their number. Exact copies have one
+    content, so they need no shingles."""
+    sizes = bands.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1")
+    return written(bands.join(sizes, "band"), "bands")
+
+
 def _pairs(bands: DataFrame, sets: DataFrame, similar: float) -> DataFrame:
     """``(a, b)`` different contents to verify. Bands with up to PAIRED contents
     form all pairs. In larger ones, two similar sets share one of the shingles
     that are rarest there (prefix filter), so only those form pairs."""
-    sizes = bands.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1")
-    bands = written(bands.join(sizes, "band"), "bands")
     few, many = bands.filter(F.col("n") <= PAIRED), bands.filter(F.col("n") > PAIRED)
     x, y = few.alias("x"), few.alias("y")
     found = x.join(y, "band").filter("x.content < y.content").select(F.col("x.content").alias("a"), F.col("y.content").alias("b"))
@@ -249,15 +264,21 @@ def repeated_paragraphs(
     packed = rows.mapInArrow(_pack, f"{ID}, packed binary")
     units = written(
         packed.join(asked, ["doc_id", "key"]).mapInArrow(
-            _emit_paragraphs, f"{ID}, start long, end long, content binary, shingles array<long>"
+            _emit_places, f"{ID}, start long, end long, content binary"
         ), "paragraphs",
     )
     content = units.select("doc_id", "key", "start", "content")
-    by_band = hits.join(content, ["doc_id", "key", "start"]).select("band", "content").distinct()
-    sets = units.select("content", "shingles")
-    pairs = written(_pairs(by_band, sets.dropDuplicates(["content"]), similar), "pairs")
-    asked_sets = pairs.select(F.col("a").alias("content")).union(pairs.select("b")).distinct()
-    known = written(sets.join(asked_sets, "content", "left_semi").dropDuplicates(["content"]), "sets")
+    bands = _contested(hits.join(content, ["doc_id", "key", "start"]).select("band", "content").distinct())
+    # shingles only of contested contents, each read at one of its places
+    spots = units.join(bands.select("content").distinct(), "content", "left_semi").groupBy("content").agg(
+        F.min(F.struct("doc_id", "key", "start")).alias("at")
+    )
+    open_at = spots.groupBy(F.col("at.doc_id").alias("doc_id"), F.col("at.key").alias("key")).agg(
+        F.collect_set("at.start").alias("asked")
+    )
+    one = packed.join(open_at, ["doc_id", "key"]).dropDuplicates(["doc_id", "key"])
+    known = written(one.mapInArrow(_emit_shingles, "content binary, shingles array<long>"), "sets")
+    pairs = written(_pairs(bands, known, similar), "pairs")
     checked = pairs.join(known.select(F.col("content").alias("a"), F.col("shingles").alias("sa")), "a").join(
         known.select(F.col("content").alias("b"), F.col("shingles").alias("sb")), "b"
     )
