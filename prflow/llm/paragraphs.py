@@ -1,12 +1,16 @@
 """Substring deduplication by MinHash banding of paragraphs.
 
 Repeated passages rarely start where a line starts, so paragraphs are cut by
-content: a word pair with the smallest hash among CUT neighbours starts one,
-and it ends at the first start that is LEAST words further. Any run of
-2 * CUT + LEAST + 1 words that two documents share holds the same paragraph in
-both. Each paragraph has BANDS minima of its five-word shingles; a band of one
-row already tells prose apart, and BANDS of them find a similarity of 0.8 with
-a probability of 0.99. Paragraphs that collide across documents are verified by
+content: each of LENGTH words, at the word pairs whose hash is among the lowest
+1 / RARE, and at the lowest pair of CUT neighbours that hold none of these. A
+rare pair starts a paragraph whatever is around it, so copies of a passage hold
+the same paragraphs. Any run of CUT + LENGTH words that two documents share
+holds one paragraph in both. Texts also start one at their first word, so that
+whole copies go from their start on.
+
+Each paragraph has BANDS minima of its five-word shingles; a band of one row
+already tells prose apart, and BANDS of them find a similarity of 0.8 with a
+probability of 0.99. Paragraphs that collide across documents are verified by
 exact Jaccard similarity and clustered by connected components; the first
 occurrence of a cluster stays.
 """
@@ -22,7 +26,9 @@ from prflow.llm.decontaminate import hashed
 
 SHINGLE = 5
 CUT = 16
-LEAST = 17
+RARE = 8
+LENGTH = 25
+LEAST = 17  # at the end of a text
 BANDS = 3
 SIMILAR = 0.8
 PAIRED = 64
@@ -39,6 +45,16 @@ def _mixed(x, salt: int):
     return x ^ (x >> np.uint64(32))
 
 
+def _shingles(words):
+    import numpy as np
+
+    n = len(words)
+    out = words[: n - SHINGLE + 1].copy()
+    for i in range(1, SHINGLE):
+        out = out * np.uint64(0x9E3779B97F4A7C15) + words[i : n - SHINGLE + 1 + i]
+    return _mixed(out, 0x77)
+
+
 def _paragraphs(texts: list[list]):
     """For word hashes of several documents: all words, their shingles, and per
     document the range of its paragraphs (start and end, counted in all words)."""
@@ -53,24 +69,36 @@ def _paragraphs(texts: list[list]):
         return words, words, none, none, np.zeros(len(texts) + 1, np.int64)
     owner_end = np.repeat(ends, lengths)
     pair = _mixed(np.r_[np.uint64(0), words[:-1]] * np.uint64(0x9E3779B97F4A7C15) + words, 0x51)
+    begin = np.repeat(ends - lengths, lengths)
     place = np.uint64((1 << 24) - 1)
+    rare = pair < np.uint64((1 << 64) // RARE)
     least = (pair & ~place) | np.arange(n, dtype=np.uint64)
     done = 1
     while done < CUT:  # CUT is a power of two
         least = np.minimum(least[:-done], least[done:]) if len(least) > done else least[:0]
         done *= 2
     at = np.arange(len(least))
-    inside = (at + CUT <= owner_end[: len(least)]) & (at > (owner_end - np.repeat(lengths, lengths))[: len(least)])
-    starts = np.unique(np.r_[(least[inside] & place).astype(np.int64), (ends - lengths)[lengths > 0]])
-    stop = np.unique(np.r_[starts, ends])
-    ending = np.minimum(stop[np.minimum(np.searchsorted(stop, starts + LEAST), len(stop) - 1)], owner_end[starts])
+    inside = (at + CUT <= owner_end[: len(least)]) & (at > begin[: len(least)])
+    own = np.flatnonzero(rare & (np.arange(n) > begin))
+    starts = np.unique(np.r_[own, (least[inside] & place).astype(np.int64), (ends - lengths)[lengths > 0]])
+    # of windows that hold a rare pair the lowest is rare itself
+    ending = np.minimum(starts + LENGTH, owner_end[starts])
     keep = ending - starts >= LEAST
     starts, ending = starts[keep], ending[keep]
-    shingles = words[: n - SHINGLE + 1].copy()
-    for i in range(1, SHINGLE):
-        shingles = shingles * np.uint64(0x9E3779B97F4A7C15) + words[i : n - SHINGLE + 1 + i]
     bounds = np.searchsorted(starts, np.r_[0, ends])
-    return words, _mixed(shingles, 0x77), starts, ending, bounds
+    return words, _shingles(words), starts, ending, bounds
+
+
+def _contents(words, starts, ending):
+    """A 64-bit name of each paragraph's words."""
+    import numpy as np
+
+    names = np.zeros(len(starts), np.uint64)
+    for i in range(LENGTH):
+        at = starts + i
+        word = words[np.minimum(at, len(words) - 1)]
+        names = np.where(at < ending, _mixed(names * np.uint64(0x9E3779B97F4A7C15) + word, 0x2D + i), names)
+    return names.view(np.int64)
 
 
 def _grouped(texts, most: int = 1 << 20):
@@ -99,12 +127,12 @@ def _emit_bands(batches):
     import numpy as np
     import pyarrow as pa
 
-    names = ["band", "doc_id", "key", "start"]
+    names = ["band", "doc_id", "key", "start", "length", "content"]
     for batch in batches:
         parts = [(i, at, part) for i, t in enumerate(batch.column(2).to_pylist()) for at, part in _parts(hashed(t))]
         ids, keys = batch.column(0).to_numpy(), batch.column(1).to_numpy()
         for group in _grouped([p for _, _, p in parts]):
-            _, shingles, starts, ending, bounds = _paragraphs([parts[g][2] for g in group])
+            words, shingles, starts, ending, bounds = _paragraphs([parts[g][2] for g in group])
             if not len(starts):
                 continue
             counts = np.diff(bounds)
@@ -119,7 +147,8 @@ def _emit_bands(batches):
                 bands.append(_mixed(np.minimum.reduceat(value, np.minimum(cuts, len(value) - 1))[::2], b).view(np.int64))
             yield pa.RecordBatch.from_arrays([
                 pa.array(np.concatenate(bands)), pa.array(np.tile(ids[row], BANDS)), pa.array(np.tile(keys[row], BANDS)),
-                pa.array(np.tile(local, BANDS)),
+                pa.array(np.tile(local, BANDS)), pa.array(np.tile((ending - starts).astype(np.int32), BANDS)),
+                pa.array(np.tile(_contents(words, starts, ending), BANDS)),
             ], names)
 
 
@@ -147,47 +176,27 @@ def _colliding(batches):
             waiting, open_band = None, band[-1]
         else:
             waiting, open_band = [c[first[-1] :] for c in columns], None
-        yield pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in columns], ["band", "doc_id", "key", "start"])
+        yield pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in columns], batch.schema.names)
 
 
-def _emit_paragraphs(batches, with_shingles: bool = False):
-    """The asked paragraphs of each document with their content, a 128-bit name,
-    and, if wanted, the set of shingles."""
-    from hashlib import blake2b
-
+def _emit_shingles(batches):
+    """The set of shingles of each asked paragraph."""
     import numpy as np
     import pyarrow as pa
     import zstandard
 
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64())]
-    names = ["doc_id", "key", "start", "end", "content", "shingles"]
     for batch in batches:
         unpack = zstandard.ZstdDecompressor().decompress
-        out: list[list] = [[] for _ in names]
-        for doc, key, packed, asked in zip(*(batch.column(i).to_pylist() for i in range(4))):
-            wanted, seen = set(asked), set()
-            for offset, part in _parts(hashed(unpack(packed).decode())):
-                words, shingles, starts, ending, _ = _paragraphs([part])
-                for s, e in zip(starts.tolist(), ending.tolist()):
-                    if s + offset in wanted and s + offset not in seen:
-                        seen.add(s + offset)
-                        values = (
-                            doc, key, s + offset, e + offset, blake2b(words[s:e].tobytes(), digest_size=16).digest(),
-                            np.unique(shingles[s : e - SHINGLE + 1]).view(np.int64).tolist() if with_shingles else None,
-                        )
-                        for column, value in zip(out, values):
-                            column.append(value)
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names)
-
-
-def _emit_shingles(batches):
-    for batch in _emit_paragraphs(batches, with_shingles=True):
-        yield batch.select(["content", "shingles"])
-
-
-def _emit_places(batches):
-    for batch in _emit_paragraphs(batches):
-        yield batch.select(["doc_id", "key", "start", "end", "content"])
+        contents, sets = [], []
+        for packed, asked in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+            words = hashed(unpack(packed).decode())
+            for x in asked:
+                part = words[x["start"] : x["start"] + x["length"]].astype(np.uint64)
+                contents.append(x["content"])
+                sets.append(np.unique(_shingles(part)).view(np.int64))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(contents, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], ["content", "shingles"]
+        )
 
 
 def _pack(batches):
@@ -208,8 +217,7 @@ def jaccard(a: Column, b: Column) -> Column:
 
 
 def _contested(bands: DataFrame) -> DataFrame:
-    """Bands of several contents, with their number. Exact copies have one
-    content, so they need no shingles."""
+    """Bands of several contents, with their number."""
     sizes = bands.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1")
     return written(bands.join(sizes, "band"), "bands")
 
@@ -246,7 +254,8 @@ def repeated_paragraphs(
 
     Words are compared in lower case, without ASCII punctuation. Null texts,
     empty ones and those with fewer than LEAST words have no paragraph. Rows
-    equal in id and text are one document. Ties go to the earlier paragraph. An
+    equal in id and text are one document. Equal words are told by a 64-bit
+    hash. Ties go to the earlier paragraph. An
     empty table gives an empty result; other columns are not looked at. Texts
     are read whole, whatever their length.
     """
@@ -254,38 +263,32 @@ def repeated_paragraphs(
         F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)).alias("doc_id"), text_key(F.col(text)).alias("key"),
         F.col(text).alias("text"),
     )
-    bands = rows.mapInArrow(_emit_bands, f"band long, {ID}, start long")
+    found = f"band long, {ID}, start long, length int, content long"
     hits = written(
-        bands.repartition("band").sortWithinPartitions("band", "doc_id", "key").mapInArrow(
-            _colliding, f"band long, {ID}, start long"
+        rows.mapInArrow(_emit_bands, found).repartition("band").sortWithinPartitions("band", "doc_id", "key").mapInArrow(
+            _colliding, found
         ), "collisions",
     )
-    asked = hits.groupBy("doc_id", "key").agg(F.collect_set("start").alias("asked"))
-    packed = rows.mapInArrow(_pack, f"{ID}, packed binary")
-    units = written(
-        packed.join(asked, ["doc_id", "key"]).mapInArrow(
-            _emit_places, f"{ID}, start long, end long, content binary"
-        ), "paragraphs",
-    )
-    content = units.select("doc_id", "key", "start", "content")
-    bands = _contested(hits.join(content, ["doc_id", "key", "start"]).select("band", "content").distinct())
-    # shingles only of contested contents, each read at one of its places
-    spots = units.join(bands.select("content").distinct(), "content", "left_semi").groupBy("content").agg(
-        F.min(F.struct("doc_id", "key", "start")).alias("at")
+    # exact copies have one content and need no shingles
+    bands = _contested(hits.select("band", "content").distinct())
+    # each contested content is read at one of its places
+    spots = hits.join(bands.select("content").distinct(), "content", "left_semi").groupBy("content").agg(
+        F.min(F.struct("doc_id", "key", "start", "length")).alias("at")
     )
-    open_at = spots.groupBy(F.col("at.doc_id").alias("doc_id"), F.col("at.key").alias("key")).agg(
-        F.collect_set("at.start").alias("asked")
+    asked = spots.groupBy(F.col("at.doc_id").alias("doc_id"), F.col("at.key").alias("key")).agg(
+        F.collect_list(F.struct("at.start", "at.length", "content")).alias("asked")
     )
-    one = packed.join(open_at, ["doc_id", "key"]).dropDuplicates(["doc_id", "key"])
-    known = written(one.mapInArrow(_emit_shingles, "content binary, shingles array<long>"), "sets")
+    one = rows.mapInArrow(_pack, f"{ID}, packed binary").join(asked, ["doc_id", "key"]).dropDuplicates(["doc_id", "key"])
+    known = written(one.mapInArrow(_emit_shingles, "content long, shingles array<long>"), "sets")
+    units = hits.select("doc_id", "key", "start", (F.col("start") + F.col("length")).alias("end"), "content").distinct()
     pairs = written(_pairs(bands, known, similar), "pairs")
     checked = pairs.join(known.select(F.col("content").alias("a"), F.col("shingles").alias("sa")), "a").join(
         known.select(F.col("content").alias("b"), F.col("shingles").alias("sb")), "b"
     )
     roots = components(checked.filter(jaccard(F.col("sa"), F.col("sb")) >= similar).select("a", "b"))
     spot = F.struct("doc_id", "key", "start")
-    places = units.select(spot.alias("spot"), "end", "content").distinct()
-    firsts = units.groupBy("content").agg(
+    places = units.select(spot.alias("spot"), "end", "content")
+    firsts = hits.groupBy("content").agg(
         F.min(spot).alias("first"), F.max(spot).alias("last")
     ).join(roots, F.col("content") == F.col("node"), "left").withColumn("class", F.coalesce("root", "content"))
     classes = firsts.groupBy(F.col("class").alias("c")).agg(F.min("first").alias("class_first"), F.max("last").alias("class_last"))
