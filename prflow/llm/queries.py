@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prflow.llm import decontaminate, lines, mixing, paragraphs, pii, quality, simhash, substrings, tokens, urls
+from prflow.llm import (
+    conversations, decontaminate, lines, mixing, near_vectors, paragraphs, pii, quality, simhash, substrings, tokens,
+    urls, whitening,
+)
 from prflow.llm.common import table
 
 QUERIES = {}
@@ -101,6 +104,43 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@query
+def op11_near_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    found = near_vectors.near_vectors(table(spark, folder, "embeddings"), similar=0.98)
+    return found.select("vec_id", "n_links", "component_id", "kept")
+
+
+@query
+def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    done = whitening.whiten(table(spark, folder, "embeddings"), components=8)
+    return done.withColumn("deviation", F.expr("try_cast(deviation AS long)"))
+
+
+def damaged(turns: DataFrame) -> DataFrame:
+    """The contract's damage; rows that are dropped stay as ``present`` false."""
+    space = F.lit(" ")
+    name = F.concat(
+        F.coalesce(F.col("conv_id").cast("string"), space), F.lit(":"), F.coalesce(F.col("turn").cast("string"), space)
+    )
+    text, role = F.coalesce("text", space), F.coalesce("role", space)
+    kind = F.pmod(F.crc32(name), F.lit(20))
+    rows = turns.select("conv_id", "turn", role.alias("role"), text.alias("text"), kind.alias("kind"))
+    return rows.select(
+        "conv_id", "turn", (F.col("kind") != 0).alias("present"),
+        F.when(F.col("kind") == 4, F.lit("user")).otherwise(F.col("role")).alias("role"),
+        F.when(F.col("kind") == 1, F.lit("")).when(F.col("kind") == 2, F.translate("text", ".!?", "")).otherwise(F.col("text")).alias("text"),
+        F.explode(F.when(F.col("kind") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("copy"),
+    )
+
+
+@query
+def op13_conversations(spark: SparkSession, folder: str) -> DataFrame:
+    done = conversations.repair(damaged(table(spark, folder, "conversations")), present=F.col("present"))
+    return done.select(
+        "conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"
+    )
+
+
 def _quality_sql() -> str:
     stop = sorted({w for words in quality.STOP_WORDS.values() for w in words})
     listed = ", ".join(f"'{w}'" for w in stop)
