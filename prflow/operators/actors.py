@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
 from prflow.functions import scalars as S
+from prflow.operators.flatten import join_lists
 from prflow.operators.joins import lookup_join
 
 
@@ -104,6 +105,33 @@ def resolve_by_login(
     ).drop("_login", "_found")
 
 
+def resolve_in_lists(
+    lists: DataFrame,
+    keys: Sequence[str],
+    known_by: Callable[[Column], Column],
+    resolve: Callable[[DataFrame], DataFrame],
+    item: Callable[[Column, Column], Column] | None = None,
+) -> DataFrame:
+    """Lists ``(keys, segment, items)`` with the actors of their items.
+
+    Only what an actor is ``known_by`` leaves the list: places and names are
+    joined to the lookup (``resolve`` adds ``actor`` to rows with ``known``) and
+    come back as one array per list row, in order. ``item(old, actor)`` makes
+    the new item; without it the items are the actors, and the old lists are
+    not needed again."""
+    places = lists.select(
+        *keys, "segment", F.posexplode(F.transform("items", known_by)).alias("pos", "known")
+    )
+    resolved = resolve(places).groupBy(*keys, "segment").agg(
+        F.array_sort(F.collect_list(F.struct("pos", "actor"))).alias("found")
+    )
+    found = resolved.select(*keys, "segment", F.col("found")["actor"].alias("actors"))
+    if item is None:
+        return found.withColumnRenamed("actors", "items")
+    joined = join_lists(lists, found, keys, "inner")
+    return joined.withColumn("items", F.zip_with("items", "actors", item)).drop("actors")
+
+
 def referenced_users(df: DataFrame, *actors: str, keep: Sequence[str] = ()) -> DataFrame:
     """Ids of the USER actors in the named actor columns, arrays of actors
     included, in one scan, with the columns to ``keep``. Not yet distinct."""

@@ -25,28 +25,41 @@ def _field_type(df: DataFrame, path: str):
     return kind
 
 
-def current_pages(pages: DataFrame, keys: Sequence[str] = ("owner", "name", "request_id")) -> DataFrame:
-    """One copy of each page, all of one fetch: what a parent looks like now.
+def landed_order(pages: DataFrame) -> Column:
+    """When a page landed, as a number; missing counts as first."""
+    if "landed_at" not in pages.columns:
+        return F.lit(0).cast("long")
+    return F.coalesce(F.col("landed_at").cast("long"), F.lit(0).cast("long"))
+
+
+def current_fetch(pages: DataFrame, keys: Sequence[str] = ("owner", "name", "request_id")) -> DataFrame:
+    """Pages of each parent's latest fetch, copies included.
 
     A parent that is asked again is asked from page 0, so its latest page 0
-    starts the current fetch, and pages that landed before it are gone. Of the
-    copies of a page the last landed counts; if they landed together, the one
-    with the smallest content hash. ``landed_at`` orders landings (a time or a
-    running number; missing counts as first). Whole pages are chosen, so no
-    list is put together from two versions. A parent without a page 0 keeps
-    all its pages."""
-    landed = F.coalesce("landed_at", F.lit(0).cast("long")) if "landed_at" in pages.columns else F.lit(0).cast("long")
-    dated = pages.withColumn("_landed", landed)
+    starts the current fetch, and pages that landed before it are gone.
+    ``landed_at`` orders landings (a time or a running number; missing counts
+    as first). A parent without a page 0 keeps all its pages. Only parents with
+    older pages are joined: few, so that the pages need no exchange."""
+    landed = landed_order(pages)
     begun = (
-        dated.filter((F.col("page_no") == 0) & (F.col("_landed") > 0))
-        .groupBy(*[F.col(k).alias(f"_{k}") for k in keys])
-        .agg(F.max("_landed").alias("_begun"))
+        pages.select(*[F.col(k).alias(f"_{k}") for k in keys], "page_no", landed.alias("_landed"))
+        .groupBy(*[f"_{k}" for k in keys])
+        .agg(F.max(F.when(F.col("page_no") == 0, F.col("_landed"))).alias("_begun"), F.min("_landed").alias("_oldest"))
+        .filter("_oldest < _begun").drop("_oldest")
     )
     same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
-    latest = dated.join(begun, same, "left").filter(
-        F.col("_landed") >= F.coalesce("_begun", F.lit(0).cast("long"))
-    )
-    order = Window.partitionBy(*keys, "page_no").orderBy(F.desc("_landed"), F.xxhash64("body"))
+    latest = pages.join(begun, same, "left").filter(F.col("_begun").isNull() | (landed >= F.col("_begun")))
+    return latest.select(*pages.columns)
+
+
+def current_pages(pages: DataFrame, keys: Sequence[str] = ("owner", "name", "request_id")) -> DataFrame:
+    """One copy of each page, all of one fetch: what a parent looks like now.
+
+    Of the copies of a page in the current fetch the last landed counts; if
+    they landed together, the one with the smallest content hash. Whole pages
+    are chosen, so no list is put together from two versions."""
+    latest = current_fetch(pages, keys)
+    order = Window.partitionBy(*keys, "page_no").orderBy(landed_order(latest).desc(), F.xxhash64("body"))
     return latest.withColumn("_copy", F.row_number().over(order)).filter("_copy = 1").select(*pages.columns)
 
 
@@ -102,6 +115,47 @@ def flatten_connection(
     return explode_edges(take_edges(pages, path, keep, fields), keep, fields)
 
 
+def page_lists(
+    pages: DataFrame,
+    items: Column,
+    keys: Sequence[str] = ("request_id",),
+    pages_per_segment: int = PAGES_PER_SEGMENT,
+    also: Sequence[str] = (),
+) -> DataFrame:
+    """Ordered lists ``(keys, segment, items)`` from page rows that arrive in
+    any order and maybe repeatedly; ``items`` is the page's array.
+
+    A page stays one array: no item is exploded, sorted or shuffled by itself.
+    Every page of a segment has a slot of its own, so copies of a page collapse
+    before the one exchange, by (keys, segment), and a segment is its slots in
+    order. Of copies the last landed counts, whole; of those that landed
+    together the one with the smallest items. Segments without items are left
+    out. ``also`` names columns that follow from key and segment and by which
+    the rows may be partitioned already; then there is no exchange at all."""
+    place = F.pmod(F.col("page_no"), F.lit(pages_per_segment))
+    landed = -landed_order(pages)
+    rows = pages.select(
+        *keys, *also, F.floor(F.col("page_no") / pages_per_segment).alias("segment"), place.alias("_place"),
+        F.struct(landed.alias("landed"), items.alias("items")).alias("_page"),
+    ).filter(F.size("_page.items") > 0)
+    slots = [
+        F.min(F.when(F.col("_place") == i, F.col("_page")) if pages_per_segment > 1 else F.col("_page")).alias(f"_slot{i}")
+        for i in range(pages_per_segment)
+    ]
+    grouped = rows.groupBy(*keys, *also, "segment").agg(*slots)
+    taken = F.filter(F.array(*[F.col(f"_slot{i}") for i in range(pages_per_segment)]), lambda page: page.isNotNull())
+    return grouped.select(*keys, "segment", F.flatten(taken["items"]).alias("items"))
+
+
+def join_lists(lists: DataFrame, found: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """List rows with the other columns of ``found``, which has at most one row
+    for a list row. Keys may be NULL."""
+    place = [*keys, "segment"]
+    renamed = found.select(*[F.col(k).alias(f"_{k}") for k in place], *[c for c in found.columns if c not in place])
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in place]
+    return lists.join(renamed, same, how).drop(*[f"_{k}" for k in place])
+
+
 def stitch_pages(
     edges: DataFrame,
     value: Column,
@@ -109,7 +163,8 @@ def stitch_pages(
     identity: str = "position",
     pages_per_segment: int = PAGES_PER_SEGMENT,
 ) -> DataFrame:
-    """Ordered lists from edges that arrive in any order and maybe repeatedly.
+    """Ordered lists from edges that are rows of their own; ``page_lists`` does
+    it for whole pages. They arrive in any order and maybe repeatedly.
 
     An item is identified by its ``position`` (page and place in the page) or
     by its ``cursor``; of several copies the first in page order is kept, and

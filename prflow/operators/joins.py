@@ -59,6 +59,7 @@ def lookup_join(
     salts: int = HEAVY_SALTS,
     force: bool = False,
     counted: DataFrame | None = None,
+    together: bool = False,
 ) -> DataFrame:
     """Join many ``rows`` to a ``lookup`` that has one row per key.
 
@@ -72,14 +73,20 @@ def lookup_join(
     ``counted`` may be a cheaper frame with at least the keys of ``rows`` to
     find the heavy keys in, such as the same pages before they were joined; a
     key salted needlessly does no harm.
+
+    With ``together`` rows that are equal in ``spread`` are not parted, and the
+    result keeps its ``_salt`` (0 where nothing is salted): it is partitioned by
+    the key and ``_salt``, and grouping by these and more needs no exchange.
     """
     on = list(on)
     if not force and fits_broadcast(lookup):
-        return rows.join(lookup, on, how)
+        joined = rows.join(lookup, on, how)
+        return joined.withColumn("_salt", F.lit(0)) if together else joined
     heavy = F.broadcast(heavy_keys(rows if counted is None else counted, on, min_rows))
     is_heavy = F.coalesce(F.col("_heavy"), F.lit(False))
     has_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in on])
-    salt = F.pmod(F.xxhash64(F.spark_partition_id(), *spread), F.lit(salts)).cast("int")
+    parted = [] if together else [F.spark_partition_id()]
+    salt = F.pmod(F.xxhash64(*parted, *spread), F.lit(salts)).cast("int")
     salted_rows = (
         rows.join(heavy, on, "left")
         .withColumn("_salt", F.when(is_heavy | has_null, salt).otherwise(F.lit(0)))
@@ -97,7 +104,8 @@ def lookup_join(
         )
         .drop("_heavy")
     )
-    return salted_rows.join(salted_lookup, [*on, "_salt"], how).drop("_salt")
+    joined = salted_rows.join(salted_lookup, [*on, "_salt"], how)
+    return joined if together else joined.drop("_salt")
 
 
 def inherit_parent_keys(

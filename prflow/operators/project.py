@@ -288,26 +288,28 @@ def to_organization(nodes: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
 # Edits and reactions: items of embedded lists, the same for every parent type
 
 
-def is_deletion() -> Column:
-    return F.col("node.deletedAt").isNotNull()
+def is_deletion(node: Column | None = None) -> Column:
+    return (F.col("node") if node is None else node)["deletedAt"].isNotNull()
 
 
-def edit_login() -> Column:
+def edit_login(node: Column | None = None) -> Column:
     """The login an edit is attributed to: who deleted it, when it was deleted
     and that is known, else who edited. One lookup per edit instead of two."""
-    deleter = F.when(is_deletion(), F.col("node.deletedBy.login"))
-    return F.coalesce(deleter, F.col("node.editor.login"))
+    node = F.col("node") if node is None else node
+    deleter = F.when(is_deletion(node), node["deletedBy"]["login"])
+    return F.coalesce(deleter, node["editor"]["login"])
 
 
-def to_edit(editor: Column | None = None) -> Column:
+def to_edit(editor: Column | None = None, node: Column | None = None) -> Column:
     """Edit item; a deletion replaces the time and, if known, the editor."""
-    value = S.unresolved_actor(edit_login()) if editor is None else editor
-    when = F.when(is_deletion(), F.col("node.deletedAt")).otherwise(F.col("node.editedAt"))
+    node = F.col("node") if node is None else node
+    value = S.unresolved_actor(edit_login(node)) if editor is None else editor
+    when = F.when(is_deletion(node), node["deletedAt"]).otherwise(node["editedAt"])
     return F.struct(
-        F.col("node.id").alias("id"),
+        node["id"].alias("id"),
         S.actor_or_unknown(value).alias("editor"),
         S.parse_timestamp(when).alias("edited_timestamp"),
-        S.empty_if_null(F.col("node.diff")).alias("difference"),
+        S.empty_if_null(node["diff"]).alias("difference"),
     )
 
 
@@ -325,11 +327,12 @@ def deleted_parents(edit_lists: DataFrame) -> DataFrame:
     )
 
 
-def to_reaction(author: Column | None = None) -> Column:
-    value = S.unresolved_actor(F.col("node.user.id")) if author is None else author
+def to_reaction(author: Column | None = None, node: Column | None = None) -> Column:
+    node = F.col("node") if node is None else node
+    value = S.unresolved_actor(node["user"]["id"]) if author is None else author
     return F.struct(
-        F.col("node.id").alias("id"),
+        node["id"].alias("id"),
         S.actor_or_unknown(value).alias("author"),
-        S.parse_timestamp(F.col("node.createdAt")).alias("create_timestamp"),
-        F.col("node.content").alias("content"),
+        S.parse_timestamp(node["createdAt"]).alias("create_timestamp"),
+        node["content"].alias("content"),
     )

@@ -54,10 +54,44 @@ def actors_seen(pages: DataFrame, shape: str, *fields: str) -> DataFrame:
     return flatten.flatten_connection(pages, path, ["request_id"], fields)
 
 
-def as_lists(edges: DataFrame, value: Column, **options) -> DataFrame:
-    """Edges to stored list rows of their parents."""
-    stitched = flatten.stitch_pages(edges, value, ["repository_id", "request_id"], **options)
-    return stitched.withColumnRenamed("request_id", "parent_id")
+_LIST = ["repository_id", "parent_id"]
+
+
+def lists_of_parents(
+    pages: DataFrame,
+    shape: str,
+    parents: DataFrame,
+    item: Callable[[Column], Column],
+    pages_per_segment: int = flatten.PAGES_PER_SEGMENT,
+) -> DataFrame:
+    """List rows (repository_id, parent_id, segment, items) of the given
+    parents; ``item`` makes an item of an edge. A page is one array from the
+    scan to the list. It is exchanged once: by its parent, to be joined, or by
+    its list row, where the parents are few enough to be broadcast. Pages of
+    a hot parent are dealt by segment, which is also how they are grouped."""
+    edges = F.col(f"body.data.{schemas.CONNECTION_PATHS[shape]}.edges")
+    per_page = pages.select(
+        "request_id", "page_no", flatten.landed_order(pages).alias("landed_at"), F.transform(edges, item).alias("_items")
+    ).filter(F.size("_items") > 0)
+    segment = F.floor(F.col("page_no") / pages_per_segment)
+    owned = inherit_parent_keys(
+        per_page, parents, {"repository_id": "repository_id"}, spread=[segment], together=True,
+        counted=pages.select("request_id"),
+    )
+    renamed = owned.withColumnRenamed("request_id", "parent_id")
+    return flatten.page_lists(renamed, F.col("_items"), _LIST, pages_per_segment, also=["_salt"])
+
+
+def _actors_in_pages(pages: DataFrame, shape: str, known_by: Callable[[Column], Column]) -> DataFrame:
+    """What the actors of all pages are known by, before any join: where the
+    most frequent ones are counted."""
+    edges = F.col(f"body.data.{schemas.CONNECTION_PATHS[shape]}.edges")
+    return pages.select(F.explode(F.transform(edges, lambda e: known_by(e["node"]))).alias("known"))
+
+
+def _known(by: Callable, lookup: DataFrame, counted: DataFrame) -> Callable[[DataFrame], DataFrame]:
+    """Adds ``actor`` to rows of ``known``."""
+    return lambda places: by(places, F.col("known"), lookup, "actor", ["parent_id", "segment", "pos"], counted)
 
 
 def _pages_by_id(pages: DataFrame, wanted: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
@@ -134,16 +168,14 @@ def participants(
     pages: DataFrame, parents: DataFrame, loaded: DataFrame, types: DataFrame
 ) -> DataFrame:
     todo = _incomplete(parents, "total_participants", loaded)
-    edges = edges_of_parents(pages, "pr_participants", todo, {"repository_id": "repository_id"})
-    seen = actors_seen(pages, "pr_participants", "id")
-    found = actors.resolve_by_id(edges, F.col("node.id"), types, "_actor", _SPREAD, seen)
-    return as_lists(found, F.col("_actor"))
+    ids = lists_of_parents(pages, "pr_participants", todo, lambda e: e["node"]["id"])
+    seen = _actors_in_pages(pages, "pr_participants", lambda n: n["id"])
+    return actors.resolve_in_lists(ids, _LIST, lambda i: i, _known(actors.resolve_by_id, types, seen))
 
 
 def commit_ids(pages: DataFrame, parents: DataFrame, loaded: DataFrame) -> DataFrame:
     todo = _incomplete(parents, "total_commits", loaded)
-    edges = edges_of_parents(pages, "pr_commit_ids", todo, {"repository_id": "repository_id"})
-    return as_lists(edges, F.col("node.commit.id"))
+    return lists_of_parents(pages, "pr_commit_ids", todo, lambda e: e["node"]["commit"]["id"])
 
 
 def commit_status(pages: DataFrame, parents: DataFrame, loaded: DataFrame) -> DataFrame:
@@ -161,16 +193,12 @@ def edits(
     the flag of the parent needs no second pass. Differences can be long, so a
     segment is a single page."""
     todo = _incomplete(parents, "total_edits", loaded)
-    edges = edges_of_parents(pages, shape, todo, {"repository_id": "repository_id"})
-    seen = actors_seen(pages, shape, "editor", "deletedAt", "deletedBy")
-    found = actors.resolve_by_login(
-        edges, project.edit_login(), matches, "_editor", _SPREAD, seen
-    )
-    item = project.to_edit(F.col("_editor")).alias("item")
-    value = F.struct(item, project.is_deletion().alias("deletion"))
-    both = as_lists(found, value, pages_per_segment=1)
-    return both.withColumn("has_deletion", F.exists("items.deletion", lambda d: d)).withColumn(
-        "items", F.col("items.item")
+    nodes = lists_of_parents(pages, shape, todo, lambda e: e["node"], pages_per_segment=1)
+    seen = _actors_in_pages(pages, shape, project.edit_login)
+    flagged = nodes.withColumn("has_deletion", F.exists("items", project.is_deletion))
+    return actors.resolve_in_lists(
+        flagged, _LIST, project.edit_login, _known(actors.resolve_by_login, matches, seen),
+        lambda node, editor: project.to_edit(editor, node),
     )
 
 
@@ -178,36 +206,36 @@ def reactions(
     pages: DataFrame, shape: str, parents: DataFrame, loaded: DataFrame, types: DataFrame
 ) -> DataFrame:
     todo = _incomplete(parents, "total_reactions", loaded)
-    edges = edges_of_parents(pages, shape, todo, {"repository_id": "repository_id"})
-    seen = actors_seen(pages, shape, "user")
-    found = actors.resolve_by_id(edges, F.col("node.user.id"), types, "_author", _SPREAD, seen)
-    return as_lists(found, project.to_reaction(F.col("_author")))
+    nodes = lists_of_parents(pages, shape, todo, lambda e: e["node"])
+    seen = _actors_in_pages(pages, shape, lambda n: n["user"]["id"])
+    return actors.resolve_in_lists(
+        nodes, _LIST, lambda n: n["user"]["id"], _known(actors.resolve_by_id, types, seen),
+        lambda node, author: project.to_reaction(author, node),
+    )
 
 
 def commit_pull_request_ids(pages: DataFrame, parents: DataFrame, loaded: DataFrame) -> DataFrame:
     todo = _incomplete(parents, "total_associated_pull_requests", loaded)
-    keys = {"repository_id": "repository_id"}
-    edges = edges_of_parents(pages, "commit_pull_request_ids", todo, keys)
-    return as_lists(edges, F.col("node.id"))
+    return lists_of_parents(pages, "commit_pull_request_ids", todo, lambda e: e["node"]["id"])
 
 
 def commit_authors(
     pages: DataFrame, parents: DataFrame, loaded: DataFrame, types: DataFrame
 ) -> DataFrame:
-    """Authors of commits. The same cursor on two pages is one author."""
+    """Authors of commits. The same cursor on two pages is one author, so here
+    items are compared one by one; an item is no more than a cursor and an id."""
     todo = _incomplete(parents, "total_authors", loaded)
     edges = edges_of_parents(pages, "commit_authors", todo, {"repository_id": "repository_id"})
     seen = actors_seen(pages, "commit_authors", "user")
     found = actors.resolve_by_id(edges, F.col("node.user.id"), types, "_actor", _SPREAD, seen)
-    return as_lists(found, F.col("_actor"), identity="cursor")
+    lists = flatten.stitch_pages(found, F.col("_actor"), ["repository_id", "request_id"], identity="cursor")
+    return lists.withColumnRenamed("request_id", "parent_id")
 
 
 def user_organizations(pages: DataFrame, users: DataFrame, loaded: DataFrame) -> DataFrame:
     parents = users.withColumn("repository_id", F.lit(None).cast("string"))
     todo = _incomplete(parents, "total_organizations", loaded)
-    keys = {"repository_id": "repository_id"}
-    edges = edges_of_parents(pages, "user_organization_ids", todo, keys)
-    return as_lists(edges, F.col("node.id"))
+    return lists_of_parents(pages, "user_organization_ids", todo, lambda e: e["node"]["id"])
 
 
 # -- child documents --------------------------------------------------------
@@ -223,12 +251,9 @@ def _children(
     matches: DataFrame | None,
 ) -> Children:
     edges = edges_of_parents(pages, shape, todo, inherited)
-    repository = {"repository_id": inherited["repository_id"]}
-    ids = edges_of_parents(pages, shape, todo, repository, ["id"])
+    ids = lists_of_parents(pages, shape, todo, lambda e: e["node"]["id"])
     seen = None if matches is None else actors_seen(pages, shape, "author")
-    return Children(
-        _new_documents(edges, stored, to_document, matches, seen), as_lists(ids, F.col("node.id"))
-    )
+    return Children(_new_documents(edges, stored, to_document, matches, seen), ids)
 
 
 def pr_comments(

@@ -164,6 +164,10 @@ def connection_flatten(t: Tables) -> DataFrame:
     )
 
 
+def _associations():
+    return F.col("body.data.node.comments.edges")["node"]["authorAssociation"]
+
+
 @query(
     "page_stitch",
     """
@@ -177,8 +181,7 @@ def page_stitch(t: Tables) -> DataFrame:
     landed = P.turn_pages(
         t, "pr_comments", {"id": P.turn_id(), "authorAssociation": F.concat_ws(":", "role", text("turn"))}
     )
-    edges = flatten.flatten_connection(landed.unionByName(landed), "node.comments")
-    lists = flatten.stitch_pages(edges, F.col("node.authorAssociation"), pages_per_segment=2)
+    lists = flatten.page_lists(landed.unionByName(landed), _associations(), pages_per_segment=2)
     return lists.select("request_id", "segment", F.array_join("items", ",").alias("items"))
 
 
@@ -204,8 +207,7 @@ def page_relanded(t: Tables) -> DataFrame:
     old = fetch("", 1)
     beyond = old.filter(changed).withColumn("page_no", F.col("page_no") + 1000)
     landed = old.unionByName(old).unionByName(beyond).unionByName(fetch("new:", 2).filter(changed))
-    edges = flatten.flatten_connection(flatten.current_pages(landed), "node.comments")
-    lists = flatten.stitch_pages(edges, F.col("node.authorAssociation"), pages_per_segment=2)
+    lists = flatten.page_lists(flatten.current_fetch(landed), _associations(), pages_per_segment=2)
     return lists.select("request_id", "segment", F.array_join("items", ",").alias("items"))
 
 

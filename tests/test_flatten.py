@@ -169,3 +169,33 @@ def test_commit_with_missing_objects(page_frame):
     assert (row.committer.id, row.for_organization_id, row.state) == ("", None, None)
     assert (row.entries[0].id, row.entries[0].name, row.entries[0].submodule_name) == (None, "f", None)
     assert nodes.count() == 1
+
+
+def listed(pages, **options):
+    items = F.col(f"body.data.{PATH}.edges")["node"]["id"]
+    return {(r.request_id, r.segment): r["items"] for r in flatten.page_lists(pages, items, **options).collect()}
+
+
+def test_page_lists_do_not_depend_on_the_order_or_number_of_arrivals(page_frame):
+    lines = [*paged("p", 50, 2), *paged("q", 5, 3), page("r", connection(PATH, [])), page("s", {"node": None})]
+    for seed in range(3):
+        arrived = lines + lines[::2]
+        random.Random(seed).shuffle(arrived)
+        lists = listed(page_frame("pr_comments", *arrived))
+        assert {k: len(v) for k, v in lists.items()} == {("p", 0): 20, ("p", 1): 20, ("p", 2): 10, ("q", 0): 5}
+        assert sum((lists["p", s] for s in range(3)), []) == [f"c{i}" for i in range(50)]
+
+
+def test_page_lists_take_the_last_landed_copy_whole(page_frame):
+    def some(*ids):
+        return connection(PATH, [edge(i, {"id": i}) for i in ids])
+
+    lines = [
+        landed(1, page("p", some("a", "b", "c"), 0)), landed(3, page("p", some("z", "a"), 0)), page("p", some("b"), 0),
+        page("q", some("y", "b"), 1), page("q", some("x", "z"), 1), page("q", some("x"), 11),
+    ]
+    for seed in range(3):
+        random.Random(seed).shuffle(lines)
+        pages = page_frame("pr_comments", *lines)
+        assert listed(pages) == {("p", 0): ["z", "a"], ("q", 0): ["x", "z"], ("q", 1): ["x"]}
+        assert listed(pages, pages_per_segment=1)["q", 11] == ["x"]

@@ -1,10 +1,13 @@
 """The plans the design relies on."""
 
+import re
+
 from pyspark.sql import functions as F
 
 from conftest import connection, edge, page, write_lines
 from prflow import schemas
-from prflow.operators import flatten, reconcile
+from prflow.operators import flatten, joins, reconcile
+from prflow.plans import loads
 from prflow.sinks import keyed
 from prflow.sources import documents, pages
 
@@ -57,3 +60,67 @@ def test_a_small_increment_does_not_shuffle_the_stored_table(spark, tmp_path):
     scan = next(i for i, line in enumerate(lines) if "FileScan" in line)
     above = [line for line in lines[:scan] if "BroadcastHashJoin" in line or "Exchange" in line]
     assert "LeftSemi" in above[-1] or "BroadcastHashJoin" in above[-1] or "LeftSemi" in above[-2]
+
+
+def exchanges(df, column):
+    """Columns of the shuffles in the plan that carry the column (a prefix)."""
+    plan = df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    inputs = re.findall(r"\) Exchange\nInput \[\d+\]: \[(.*)\]", plan)
+    return [x for x in inputs if re.search(rf"(^|, ){column}\w*#", x)]
+
+
+def list_pages(spark, folder, parents, per_parent):
+    lines = [
+        page(f"p{i}", connection("node.commits", [{"node": {"commit": {"id": f"k{i}-{n}"}}}]), n)
+        for i in range(parents) for n in range(per_parent)
+    ]
+    write_lines(folder, "pr_commit_ids", lines)
+    pages.land_as_parquet(spark, folder, "pr_commit_ids", folder + "-parquet")
+    return pages.read_parquet_pages(spark, folder + "-parquet", "pr_commit_ids")
+
+
+def test_pages_of_a_list_step_are_exchanged_once(spark, tmp_path):
+    landed = list_pages(spark, str(tmp_path / "landing"), 4, 25)
+    documents = [(f"p{i}", "r", 25) for i in range(4)]
+    parents = spark.createDataFrame(documents, "id string, repository_id string, total_commits int")
+    parents.write.parquet(str(tmp_path / "parents"))
+    parents = spark.read.parquet(str(tmp_path / "parents"))
+    none = parents.select("id", F.lit(0).cast("long").alias("loaded")).filter("id is null")
+    results = []
+    for limit in (10 << 20, -1):  # parents broadcast, and not
+        before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        try:
+            lists = loads.commit_ids(landed, parents, none)
+            assert len(exchanges(lists, "_items") + exchanges(lists, "min")) == 1
+            assert "posexplode" not in plan_of(lists)  # items are never rows
+            results.append(sorted((r.parent_id, r.segment, r["items"]) for r in lists.collect()))
+        finally:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert results[0] == results[1] and len(results[0]) == 12
+    assert results[0][0] == ("p0", 0, [f"k0-{n}" for n in range(10)])
+
+
+def test_segments_of_a_hot_parent_are_spread_and_whole(spark):
+    rows = spark.range(4_000).select(
+        F.when(F.col("id") < 3_900, "hot").otherwise(F.concat(F.lit("p"), F.col("id"))).alias("request_id"),
+        F.col("id").alias("page_no"), F.array(F.col("id").cast("string")).alias("_items"),
+    )
+    parents = rows.select(F.col("request_id").alias("id"), F.lit("r").alias("repository_id")).distinct()
+    segment = F.floor(F.col("page_no") / 10)
+    owned = joins.inherit_parent_keys(
+        rows, parents, {"repository_id": "repository_id"}, spread=[segment], together=True, force=True, min_rows=1_000, salts=64
+    )
+    lists = flatten.page_lists(owned, F.col("_items"), ["repository_id", "request_id"], also=["_salt"])
+    assert len(exchanges(lists, "_items") + exchanges(lists, "min")) == 1
+    got = {(r.request_id, r.segment): r["items"] for r in lists.collect()}
+    assert len(got) == 490 and got["hot", 7] == [str(i) for i in range(70, 80)]
+    spread = owned.filter("request_id = 'hot'").groupBy("_salt").count().collect()
+    assert len(spread) > 40 and max(r["count"] for r in spread) < 400
+
+
+def test_a_salted_semi_join_keeps_each_row_once(spark):
+    rows = spark.range(2_000).select(F.when(F.col("id") < 1_500, "hot").otherwise("cold").alias("k"), "id")
+    lookup = spark.createDataFrame([("hot",), ("other",)], "k string")
+    kept = joins.lookup_join(rows, lookup, ["k"], ["id"], "left_semi", min_rows=100, salts=16, force=True)
+    assert sorted(r.id for r in kept.collect()) == list(range(1_500)) and kept.columns == ["k", "id"]
