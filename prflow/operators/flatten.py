@@ -32,33 +32,43 @@ def landed_order(pages: DataFrame) -> Column:
     return F.coalesce(F.col("landed_at").cast("long"), F.lit(0).cast("long"))
 
 
-def current_fetch(pages: DataFrame, keys: Sequence[str] = ("owner", "name", "request_id")) -> DataFrame:
-    """Pages of each parent's latest fetch, copies included.
+_PARENT = ("owner", "name", "request_id")
 
-    A parent that is asked again is asked from page 0, so its latest page 0
-    starts the current fetch, and pages that landed before it are gone.
-    ``landed_at`` orders landings (a time or a running number; missing counts
-    as first). A parent without a page 0 keeps all its pages. Only parents with
-    older pages are joined: few, so that the pages need no exchange."""
-    landed = landed_order(pages)
-    begun = (
-        pages.select(*[F.col(k).alias(f"_{k}") for k in keys], "page_no", landed.alias("_landed"))
+
+def asked_again(pages: DataFrame, keys: Sequence[str] = _PARENT) -> DataFrame:
+    """Parents with pages older than their latest page 0, and when that landed
+    (``_begun``). Few, and only keys and times are read."""
+    return (
+        pages.select(*[F.col(k).alias(f"_{k}") for k in keys], "page_no", landed_order(pages).alias("_landed"))
         .groupBy(*[f"_{k}" for k in keys])
         .agg(F.max(F.when(F.col("page_no") == 0, F.col("_landed"))).alias("_begun"), F.min("_landed").alias("_oldest"))
         .filter("_oldest < _begun").drop("_oldest")
     )
+
+
+def current_fetch(pages: DataFrame, keys: Sequence[str] = _PARENT, again: DataFrame | None = None) -> DataFrame:
+    """Pages of each parent's latest fetch, copies included.
+
+    A parent that is asked again is asked from page 0, so its latest page 0
+    starts the current fetch, and pages that landed before it are gone.
+    ``landed_at`` orders landings (a time or a running number; missing counts
+    as first). A parent without a page 0 keeps all its pages. ``again`` may be
+    ``asked_again`` of the same pages, written, so that its size is known."""
+    begun = asked_again(pages, keys) if again is None else again
     same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
-    latest = pages.join(begun, same, "left").filter(F.col("_begun").isNull() | (landed >= F.col("_begun")))
+    latest = pages.join(begun, same, "left").filter(
+        F.col("_begun").isNull() | (landed_order(pages) >= F.col("_begun"))
+    )
     return latest.select(*pages.columns)
 
 
-def current_pages(pages: DataFrame, keys: Sequence[str] = ("owner", "name", "request_id")) -> DataFrame:
+def current_pages(pages: DataFrame, keys: Sequence[str] = _PARENT, again: DataFrame | None = None) -> DataFrame:
     """One copy of each page, all of one fetch: what a parent looks like now.
 
     Of the copies of a page in the current fetch the last landed counts; if
     they landed together, the one with the smallest content hash. Whole pages
     are chosen, so no list is put together from two versions."""
-    latest = current_fetch(pages, keys)
+    latest = current_fetch(pages, keys, again)
     order = Window.partitionBy(*keys, "page_no").orderBy(landed_order(latest).desc(), F.xxhash64("body"))
     return latest.withColumn("_copy", F.row_number().over(order)).filter("_copy = 1").select(*pages.columns)
 

@@ -10,13 +10,15 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from prflow import schemas
+from prflow.functions import scalars as S
 from prflow.operators import actors, discover, flatten, project, reconcile
 from prflow.operators.joins import fits_broadcast, inherit_parent_keys, lookup_join
 from prflow.sinks import keyed
+from prflow.sources.pages import PLACE
 
 _SPREAD = ["request_id", "page_no", "pos"]
 
@@ -94,16 +96,41 @@ def _known(by: Callable, lookup: DataFrame, counted: DataFrame) -> Callable[[Dat
     return lambda places: by(places, F.col("known"), lookup, "actor", ["parent_id", "segment", "pos"], counted)
 
 
-def _pages_by_id(pages: DataFrame, wanted: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    """Single-node pages of the wanted ids, the first landed of each. Few
-    wanted ids are looked for first; many are joined after the copies have
-    gone, on the partitioning that removed them."""
+def _located(pages: DataFrame) -> bool:
+    """Whether the pages say where they lie, as those of the store do."""
+    return set(PLACE) <= set(pages.columns)
+
+
+def _pages_by_id(
+    pages: DataFrame,
+    wanted: DataFrame,
+    keep: Sequence[str] = (),
+    known: Callable[[DataFrame], DataFrame] | None = None,
+    also: Callable[[Column], Sequence[Column]] = lambda node: (),
+) -> DataFrame:
+    """Single-node pages of the wanted ids, the first of each. Few wanted ids
+    are looked for first; many are joined after the copies have gone, on the
+    partitioning that removed them. ``known`` adds columns to rows that have
+    the columns ``also`` takes from a node.
+
+    Pages that say where they lie are chosen without their nodes: only ids,
+    places and ``also`` are compared, joined and resolved. The nodes come last,
+    by place, and cross one exchange at most."""
     ids = wanted.select(F.col("id").alias("request_id"), *keep)
-    nodes = project.node_pages(pages)
-    order = ["page_no", F.xxhash64("node")]
-    if fits_broadcast(ids):
-        return keyed.first_versions(nodes.join(ids, "request_id"), ["request_id"], order)
-    return keyed.first_versions(nodes, ["request_id"], order).join(ids, "request_id")
+    add = (lambda rows: rows) if known is None else known
+    if not _located(pages):
+        nodes = project.node_pages(pages).select("*", *also(F.col("node")))
+        order = ["page_no", F.xxhash64("node")]
+        if fits_broadcast(ids):
+            return add(keyed.first_versions(nodes.join(ids, "request_id"), ["request_id"], order))
+        return add(keyed.first_versions(nodes, ["request_id"], order).join(ids, "request_id"))
+    node = F.col("body.data.node")
+    landed = flatten.landed_order(pages)
+    narrow = pages.filter(node.isNotNull()).select("request_id", "page_no", landed.alias("_landed"), *PLACE, *also(node))
+    order = ["page_no", F.desc("_landed"), *PLACE]
+    chosen = keyed.first_versions(narrow.join(ids, "request_id"), ["request_id"], order)
+    bodies = pages.select(*PLACE, node.alias("node"))
+    return bodies.join(add(chosen), list(PLACE))
 
 
 # -- repositories and pull requests -----------------------------------------
@@ -123,34 +150,74 @@ def pull_requests(
 ) -> DataFrame:
     """New merged pull requests of the repositories."""
     keys = repositories.select("owner", "name", F.col("id").alias("repository_id"))
-    taken = flatten.take_edges(pages, schemas.CONNECTION_PATHS["pull_requests"])
-    owned = lookup_join(taken, keys, ["owner", "name"], spread=["page_no"], how="inner")
-    edges = project.merged_only(
-        flatten.explode_edges(owned, [*flatten.ENVELOPE, "repository_id"])
+    return _new_documents(
+        pages, "pull_requests",
+        lambda taken: lookup_join(taken, keys, ["owner", "name"], spread=["page_no"], how="inner"),
+        ["repository_id"], stored, project.to_pull_request, matches, merged=True,
     )
-    seen = actors_seen(pages, "pull_requests", "author")
-    return _new_documents(edges, stored, project.to_pull_request, matches, seen)
 
 
 def _new_documents(
-    edges: DataFrame,
+    pages: DataFrame,
+    shape: str,
+    owned: Callable[[DataFrame], DataFrame],
+    keys: Sequence[str],
     stored: DataFrame,
     to_document: Callable[..., DataFrame],
     matches: DataFrame | None,
-    seen: DataFrame | None,
-    order: Sequence[str] = ("repository_id", "request_id", "page_no", "pos"),
+    merged: bool = False,
 ) -> DataFrame:
-    """Documents that are not stored yet. Stored ones are dropped first, so
-    only new ones are resolved and projected."""
-    new = keyed.rows_to_insert(
-        stored, edges.withColumn("id", F.col("node.id")), list(order)
-    ).drop("id")
-    if matches is None:
-        return to_document(new)
-    resolved = actors.resolve_by_login(
-        new, F.col("node.author.login"), matches, "_author", _SPREAD, seen
+    """Documents that are not stored yet, the first version of each. ``owned``
+    gives pages the ``keys`` of their parents.
+
+    Pages that say where they lie: ids, logins and places are taken out of
+    them; copies of pages, stored ids and later versions are dropped and
+    authors resolved among these. What is left fetches its nodes from the
+    pages, which thereby cross one exchange at most, or none if little is new.
+    The last tie-break is the place. Other pages have to be one copy of each,
+    and their nodes are carried along."""
+    path = schemas.CONNECTION_PATHS[shape]
+    order = ["repository_id", "request_id", "page_no", "pos"]
+
+    def with_author(rows: DataFrame, login: Column, seen: DataFrame) -> DataFrame:
+        return actors.resolve_by_login(rows, login, matches, "_author", _SPREAD, seen)
+
+    def documents(rows: DataFrame) -> DataFrame:
+        return to_document(rows) if matches is None else to_document(rows, F.col("_author"))
+
+    if not _located(pages):
+        edges = flatten.explode_edges(owned(flatten.take_edges(pages, path)), [*flatten.ENVELOPE, *keys])
+        edges = project.merged_only(edges) if merged else edges
+        new = keyed.rows_to_insert(stored, edges.withColumn("id", F.col("node.id")), order).drop("id")
+        if matches is not None:
+            new = with_author(new, F.col("node.author.login"), actors_seen(pages, shape, "author"))
+        return documents(new)
+
+    login = matches is not None
+    edges = F.col(f"body.data.{path}.edges")
+    item = lambda e: F.struct(
+        e["node"]["id"].alias("id"),
+        *([e["node"]["author"]["login"].alias("login")] if login else []),
+        *([e["node"]["state"].alias("state")] if merged else []),
+    )
+    taken = pages.select(
+        *flatten.ENVELOPE, *PLACE, flatten.landed_order(pages).alias("_landed"), F.transform(edges, item).alias("_items")
     )
-    return to_document(resolved, F.col("_author"))
+    copy = Window.partitionBy(*flatten.ENVELOPE).orderBy(F.desc("_landed"), "_items", *PLACE)
+    once = taken.withColumn("_copy", F.row_number().over(copy)).filter("_copy = 1")
+    rows = owned(once).select(*flatten.ENVELOPE, *PLACE, *keys, F.posexplode("_items").alias("pos", "_item"))
+    rows = rows.select("*", "_item.*").drop("_item")
+    rows = rows.filter(F.col("state") == S.MERGED).drop("state") if merged else rows
+    new = keyed.rows_to_insert(stored, rows, [*order, *PLACE])
+    if login:
+        new = with_author(new, F.col("login"), taken.select(F.explode(F.col("_items")["login"]).alias("login")))
+    columns = [c for c in new.columns if c not in (*PLACE, "id", "login")]
+    wanted = new.groupBy(*PLACE).agg(F.collect_list(F.struct(*columns)).alias("_wanted"))  # of one page
+    bodies = pages.select(*PLACE, edges.alias("_edges")).join(wanted, list(PLACE))
+    found = bodies.select(
+        F.explode(F.transform("_wanted", lambda w: F.struct(w.alias("w"), F.get("_edges", w["pos"])["node"].alias("node")))).alias("f")
+    )
+    return documents(found.select("f.w.*", "f.node"))
 
 
 # -- lists of incomplete parents --------------------------------------------
@@ -250,10 +317,12 @@ def _children(
     to_document: Callable[..., DataFrame],
     matches: DataFrame | None,
 ) -> Children:
-    edges = edges_of_parents(pages, shape, todo, inherited)
     ids = lists_of_parents(pages, shape, todo, lambda e: e["node"]["id"])
-    seen = None if matches is None else actors_seen(pages, shape, "author")
-    return Children(_new_documents(edges, stored, to_document, matches, seen), ids)
+    documents = _new_documents(
+        pages, shape, lambda taken: inherit_parent_keys(taken, todo, inherited), list(inherited.values()),
+        stored, to_document, matches,
+    )
+    return Children(documents, ids)
 
 
 def pr_comments(
@@ -326,15 +395,20 @@ def commits(
         F.min(F.struct("place", "repository_id")).alias("first")
     )
     todo = first.select("id", "first.repository_id").join(stored.select("id"), "id", "left_anti")
-    nodes = _pages_by_id(pages, todo, ["repository_id"])
-    seen = project.node_pages(pages)
-    with_author = actors.resolve_by_id(
-        nodes, F.col("node.author.user.id"), types, "_author", ["request_id"], seen
-    )
-    with_both = actors.resolve_by_id(
-        with_author, F.col("node.committer.user.id"), types, "_committer", ["request_id"], seen
-    )
-    return project.to_commit(with_both, F.col("_author"), F.col("_committer"))
+    seen = project.node_pages(pages).select(*_people(F.col("node")))
+
+    def with_actors(rows: DataFrame) -> DataFrame:
+        for person, name in (("author_id", "_author"), ("committer_id", "_committer")):
+            rows = actors.resolve_by_id(rows, F.col(person), types, name, ["request_id"], seen)
+        return rows
+
+    nodes = _pages_by_id(pages, todo, ["repository_id"], with_actors, _people)
+    return project.to_commit(nodes, F.col("_author"), F.col("_committer"))
+
+
+def _people(node: Column) -> list[Column]:
+    """Ids of a commit's author and committer."""
+    return [node[side]["user"]["id"].alias(f"{side}_id") for side in ("author", "committer")]
 
 
 def users(pages: DataFrame, references: DataFrame, stored: DataFrame) -> DataFrame:

@@ -4,10 +4,11 @@ the report that tells which steps are complete."""
 from __future__ import annotations
 
 import datetime
-from collections.abc import Iterable, Mapping
+import hashlib
+import json
+from collections.abc import Callable, Iterable, Mapping
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,11 +16,11 @@ from prflow import schemas
 from prflow.operators import actors, discover, flatten, reconcile
 from prflow.plans import loads
 from prflow.plans.steps import STEP_BY_NAME, STEP_PARENTS, STEPS, Step
-from prflow.plans.store import Store
+from prflow.plans.store import Store, bucket_of
 from prflow.session import new_work_folder
 from prflow.sinks import keyed
 from prflow.sources import documents as D
-from prflow.sources.pages import ACCEPTED, convert_pages, converted_pages, outcome_schema, page_folder, read_parquet_pages
+from prflow.sources.pages import ACCEPTED, page_folder, read_parquet_pages, with_place
 
 # The type whose documents refer to commits or users, per discovering step.
 COMMIT_SOURCES = {
@@ -35,7 +36,6 @@ USER_SOURCES = {
     "commit_users": "COMMIT",
     "commit_comment_users": "COMMIT_COMMENT",
 }
-_SCOPE = "id string, owner string, name string, total_pull_requests int, place long"
 _ACTOR_LISTS = ("participants", "edits", "reactions", "authors")
 # Steps about all repositories at once.
 GLOBAL_STEPS = (31, 32)
@@ -43,7 +43,7 @@ GLOBAL_STEPS = (31, 32)
 
 class Run:
     """``repositories`` is a list of {owner, name}; ``now`` stamps the
-    repositories. Running again loads only what is missing."""
+    repositories. Running again does the steps something new has come for."""
 
     def __init__(
         self,
@@ -54,108 +54,175 @@ class Run:
         now: datetime.datetime | None = None,
         parquet_pages: bool = False,
     ):
+        repositories = list(repositories)
         self.spark = spark
         self.landing = landing
         self.store = Store(spark, store)
         self.wanted = D.repositories_df(spark, repositories)
         self.now = F.lit(now) if now is not None else F.current_timestamp()
         self.parquet_pages = parquet_pages
-        self._work: str | None = None
-        self._current: set[str] = set()
+        self.skipped: list[str] = []  # steps of the last run() nothing new had come for
+        pairs = sorted({(r["owner"], r["name"]) for r in repositories})
+        self._about = hashlib.sha256(json.dumps([pairs, landing]).encode()).hexdigest()[:16]
+        self._extents: dict[str, list[int] | None] = {}
+        self._converted: set[str] = set()
+        self._used: set[str] = set()
+        self._lookups: dict[str, DataFrame] = {}
         self._running = False
 
     # -- inputs
 
     def refresh(self) -> None:
-        """Forget the pages converted so far: what has landed since counts."""
-        self._work, self._current = None, set()
+        """Look at the landing again: what has landed since counts."""
+        self._extents, self._converted = {}, set()
+        self._lookups = {name: df for name, df in self._lookups.items() if name == "scope"}
+
+    def _extent(self, shape: str) -> list[int] | None:
+        """Size of what has landed of a shape: files only come, so anything new
+        changes it."""
+        if shape not in self._extents:
+            self._extents[shape] = self.store.files.extent(page_folder(self.landing, shape))
+        return self._extents[shape]
 
     def _landed(self, shape: str) -> DataFrame:
-        """All landed pages of a shape with their outcome, parsed once."""
+        """All accepted pages of a shape; none if nothing of it has landed. The
+        files that came since the last run are parsed at the first use."""
+        self._used.add(shape)
+        extent = self._extent(shape)
         if self.parquet_pages:
-            return read_parquet_pages(self.spark, self.landing, shape).withColumn("outcome", F.lit(ACCEPTED))
-        convert_pages(self.spark, self.landing, shape, f"{self._work}/all")
-        return converted_pages(self.spark, f"{self._work}/all", shape)
+            if extent is None:
+                return self.spark.createDataFrame([], schemas.page_schema(shape))
+            return with_place(read_parquet_pages(self.spark, self.landing, shape))
+        if shape not in self._converted and extent is not None:
+            self.store.convert_pages(self.landing, shape)
+        self._converted.add(shape)
+        return self.store.landed_pages(shape).filter(F.col("outcome") == ACCEPTED).drop("outcome", "landed_file")
+
+    def _again(self, shape: str, landed: DataFrame) -> DataFrame:
+        return self._lookup(f"again-{shape}", lambda: flatten.asked_again(landed))
+
+    def fetched(self, shape: str) -> DataFrame:
+        """Accepted pages of each parent's latest fetch, copies included."""
+        landed = self._landed(shape)
+        return flatten.current_fetch(landed, again=self._again(shape, landed))
 
     def pages(self, shape: str) -> DataFrame:
-        """Accepted pages of a shape, one copy of each and all of the parent's
-        latest fetch; none if nothing of it has landed. The first use converts
-        them, every later one in the run reads the result."""
-        if self._work is None:
-            self._work = new_work_folder(self.spark, "pages")
-        folder = f"{self._work}/current"
-        if shape not in self._current:
-            try:
-                landed = self._landed(shape)
-            except AnalysisException as error:
-                if error.getCondition() != "PATH_NOT_FOUND":
-                    raise
-                landed = self.spark.createDataFrame([], outcome_schema(shape))
-            accepted = landed.filter(F.col("outcome") == ACCEPTED).drop("outcome")
-            flatten.current_pages(accepted).write.mode("overwrite").parquet(page_folder(folder, shape))
-            self._current.add(shape)
-        return read_parquet_pages(self.spark, folder, shape)
+        """The same with one copy of each page."""
+        landed = self._landed(shape)
+        return flatten.current_pages(landed, again=self._again(shape, landed))
 
     def failed_pages(self) -> DataFrame:
-        """(shape, outcome, pages) of the landed pages of this run that were
-        not accepted: with errors from the API, or without data and a reason."""
+        """(shape, outcome, pages) of the parsed pages that were not accepted:
+        with errors from the API, or without data and a reason."""
         counts = [self.spark.createDataFrame([], "shape string, outcome string, pages long")]
-        for shape in sorted(self._current) if not self.parquet_pages else ():
-            try:
-                landed = converted_pages(self.spark, f"{self._work}/all", shape)
-            except AnalysisException as error:
-                if error.getCondition() != "PATH_NOT_FOUND":
-                    raise
-                continue
-            failed = landed.filter(F.col("outcome") != ACCEPTED).groupBy("outcome").agg(F.count("*").alias("pages"))
-            counts.append(failed.select(F.lit(shape).alias("shape"), "outcome", "pages"))
+        for shape in () if self.parquet_pages else self.store.page_shapes():
+            failed = self.store.landed_pages(shape).filter(F.col("outcome") != ACCEPTED)
+            counted = failed.groupBy("outcome").agg(F.count("*").alias("pages"))
+            counts.append(counted.select(F.lit(shape).alias("shape"), "outcome", "pages"))
         return reduce(DataFrame.unionByName, counts)
 
+    def _lookup(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+        """A lookup made once and written, so that its size is known to the
+        joins of every step."""
+        if name not in self._lookups:
+            made = make()
+            folder = new_work_folder(self.spark, name)
+            made.write.parquet(folder)
+            self._lookups[name] = self.spark.read.schema(made.schema).parquet(folder)
+        return self._lookups[name]
+
     @property
     def scope(self) -> DataFrame:
         """Stored repositories of this run: (id, owner, name, total, place)."""
-        return self.store.lookup("scope", _SCOPE)
+
+        def make() -> DataFrame:
+            known = self.store.documents("REPOSITORY").select("id", "owner", "name", "total_pull_requests")
+            return known.join(self.wanted, ["owner", "name"]).select("id", "owner", "name", "total_pull_requests", "place")
+
+        self.store.read.add("documents/REPOSITORY")
+        return self._lookup("scope", make)
+
+    @property
+    def buckets(self) -> list[int]:
+        """Buckets of the store with rows of this run's repositories."""
+        if "buckets" not in self._lookups:
+            found = self.scope.select(bucket_of(F.col("id")).alias("b")).distinct().collect()
+            self._lookups["buckets"] = sorted(r.b for r in found)
+        self.store.read.add("documents/REPOSITORY")
+        return self._lookups["buckets"]
 
     def documents(self, object_type: str) -> DataFrame:
-        """Stored documents of this run's repositories."""
-        return D.in_scope(self.store.documents(object_type), self.scope)
+        """Stored documents of this run's repositories; others are in buckets
+        that are not read, or filtered."""
+        return D.in_scope(self.store.documents(object_type, self.buckets), self.scope)
+
+    def lists(self, object_type: str, field: str) -> DataFrame:
+        """Stored lists in the buckets of this run's repositories. Lists of
+        users belong to no repository."""
+        return self.store.lists(object_type, field, None if object_type == "USER" else self.buckets)
 
     def loaded(self, object_type: str, field: str) -> DataFrame:
-        return reconcile.list_counts(self.store.lists(object_type, field))
+        return reconcile.list_counts(self.lists(object_type, field))
 
     @property
     def matches(self) -> DataFrame:
-        return self.store.lookup("logins", "login string, actor_id string")
+        """Actors by login, from all landed searches, resolved once."""
+        self._used.add("user_search")
+        return self._lookup("logins", lambda: actors.login_matches(self.pages("user_search")))
 
     @property
     def types(self) -> DataFrame:
-        return self.store.lookup("types", "actor_id string, author_type string")
+        """Types of actors by id, from all landed pages about them."""
+        self._used.add("node_type")
+        return self._lookup("types", lambda: actors.actor_types(self.pages("node_type")))
 
     # -- running
 
     def prepare(self) -> None:
-        """Resolve all landed actor pages once; every step joins the result."""
-        if not self._running:
-            self.refresh()
-        self.store.put_lookup("logins", actors.login_matches(self.pages("user_search")))
-        self.store.put_lookup("types", actors.actor_types(self.pages("node_type")))
+        """Resolve all landed actor pages; the steps do it when they need it."""
+        self.refresh()
+        self._lookups["logins"], self._lookups["types"] = self.matches, self.types
 
     def run(self) -> None:
-        """All steps, over the pages that have landed when it starts."""
+        """All steps, over the pages that have landed when it starts. Steps
+        that nothing new has come for are left out."""
         self.refresh()
-        self._running = True
+        self._running, self.skipped = True, []
         try:
-            self.prepare()
             for step in STEPS:
-                self.load(step)
+                if not self.load(step):
+                    self.skipped.append(step.name)
         finally:
             self._running = False
+        self.store.compact()
+
+    def _done(self, step: Step) -> str:
+        return f"{self.store.root}/steps/{self._about}/{step.name}.json"
+
+    def _state(self, shapes: Iterable[str], tables: Iterable[str]) -> dict:
+        """What a step has read: sizes of landings and contents of tables."""
+        return {
+            "pages": {shape: self._extent(shape) for shape in sorted(shapes)},
+            "tables": {name: self.store.version(name).content for name in sorted(tables)},
+        }
 
-    def load(self, step: Step | str) -> None:
-        """One step; on its own, over the pages that have landed by now."""
+    def is_due(self, step: Step | str) -> bool:
+        """Whether something has come for a step since it was done: pages of
+        the shapes it reads, or rows of the tables it reads and does not write."""
+        step = STEP_BY_NAME[step] if isinstance(step, str) else step
+        done = self.store.files.read(self._done(step))
+        return done is None or done != self._state(done["pages"], done["tables"])
+
+    def load(self, step: Step | str, force: bool = False) -> bool:
+        """One step; on its own, over the pages that have landed by now. Gives
+        whether there was anything to do; ``force`` does it in any case."""
         if not self._running:
             self.refresh()
         step = STEP_BY_NAME[step] if isinstance(step, str) else step
+        if not force and not self.is_due(step):
+            return False
+        self.store.forget()
+        self._used = set()
         if step.name in COMMIT_SOURCES:
             self._load_commits(COMMIT_SOURCES[step.name])
         elif step.name in USER_SOURCES:
@@ -164,6 +231,9 @@ class Run:
             self._load_content(step)
         else:
             getattr(self, f"_load_{step.name}")()
+        read = {name for name in self.store.read - self.store.wrote if not name.startswith("pages/")}
+        self.store.files.put(self._done(step), self._state(self._used, read))
+        return True
 
     def _put_children(
         self, object_type: str, parent_type: str, field: str, children: loads.Children
@@ -174,19 +244,14 @@ class Run:
         self.store.append(object_type, children.documents)
 
     def _load_repositories(self) -> None:
-        stored = self.store.documents("REPOSITORY")
-        self.store.replace_repositories(
-            loads.repositories(self.pages("repository"), stored, self.wanted, self.now)
-        )
-        # written, so that its size is known to the joins of every later step
-        known = self.store.documents("REPOSITORY").select(
-            "id", "owner", "name", "total_pull_requests"
-        )
-        self.store.put_lookup("scope", known.join(self.wanted, ["owner", "name"]))
+        landed = self.pages("repository")
+        self.store.replace_repositories(lambda stored: loads.repositories(landed, stored, self.wanted, self.now))
+        for name in ("scope", "buckets"):
+            self._lookups.pop(name, None)
 
     def _load_pull_requests(self) -> None:
         new = loads.pull_requests(
-            self.pages("pull_requests"),
+            self.fetched("pull_requests"),
             self.scope,
             self.store.documents("PULL_REQUEST"),
             self.matches,
@@ -195,7 +260,7 @@ class Run:
 
     def _load_pr_participants(self) -> None:
         lists = loads.participants(
-            self.pages("pr_participants"),
+            self.fetched("pr_participants"),
             self.documents("PULL_REQUEST"),
             self.loaded("PULL_REQUEST", "participants"),
             self.types,
@@ -204,13 +269,13 @@ class Run:
 
     def _load_pr_commit_ids(self) -> None:
         lists = loads.commit_ids(
-            self.pages("pr_commit_ids"),
+            self.fetched("pr_commit_ids"),
             self.documents("PULL_REQUEST"),
             self.loaded("PULL_REQUEST", "commit_ids"),
         )
         self.store.put_lists("PULL_REQUEST", "commit_ids", lists)
         status = loads.commit_status(
-            self.pages("pr_commit_ids"),
+            self.fetched("pr_commit_ids"),
             self.documents("PULL_REQUEST"),
             self.loaded("PULL_REQUEST", "commit_ids"),
         )
@@ -222,7 +287,7 @@ class Run:
             (loads.edits, self.matches) if step.field == "edits" else (loads.reactions, self.types)
         )
         lists = load(
-            self.pages(step.shape),
+            self.fetched(step.shape),
             step.shape,
             self.documents(step.object_type),
             self.loaded(step.object_type, step.field),
@@ -232,7 +297,7 @@ class Run:
 
     def _load_pr_comments(self) -> None:
         children = loads.pr_comments(
-            self.pages("pr_comments"),
+            self.fetched("pr_comments"),
             self.documents("PULL_REQUEST"),
             self.store.documents("PULL_REQUEST_COMMENT"),
             self.matches,
@@ -241,7 +306,7 @@ class Run:
 
     def _load_reviews(self) -> None:
         children = loads.reviews(
-            self.pages("reviews"),
+            self.fetched("reviews"),
             self.documents("PULL_REQUEST"),
             self.store.documents("PULL_REQUEST_REVIEW"),
             self.matches,
@@ -250,7 +315,7 @@ class Run:
 
     def _load_review_comments(self) -> None:
         children = loads.review_comments(
-            self.pages("review_comments"),
+            self.fetched("review_comments"),
             self.documents("PULL_REQUEST_REVIEW"),
             self.store.documents("PULL_REQUEST_REVIEW_COMMENT"),
             self.matches,
@@ -262,13 +327,13 @@ class Run:
     def _load_commits(self, source: str) -> None:
         references = loads.scoped_references(self.commit_references(source), self.scope)
         new = loads.commits(
-            self.pages("commit"), references, self.store.documents("COMMIT"), self.types
+            self.fetched("commit"), references, self.store.documents("COMMIT"), self.types
         )
         self.store.append("COMMIT", new)
 
     def _load_commit_pull_request_ids(self) -> None:
         lists = loads.commit_pull_request_ids(
-            self.pages("commit_pull_request_ids"),
+            self.fetched("commit_pull_request_ids"),
             self.documents("COMMIT"),
             self.loaded("COMMIT", "associated_pull_request_ids"),
         )
@@ -285,7 +350,7 @@ class Run:
 
     def _load_check_suites(self) -> None:
         children = loads.check_suites(
-            self.pages("check_suites"),
+            self.fetched("check_suites"),
             self.documents("COMMIT"),
             self.loaded("COMMIT", "check_suite_ids"),
             self.store.documents("CHECK_SUITE"),
@@ -294,7 +359,7 @@ class Run:
 
     def _load_commit_comments(self) -> None:
         children = loads.commit_comments(
-            self.pages("commit_comments"),
+            self.fetched("commit_comments"),
             self.documents("COMMIT"),
             self.loaded("COMMIT", "comment_ids"),
             self.store.documents("COMMIT_COMMENT"),
@@ -309,12 +374,12 @@ class Run:
 
     def _load_users(self, source: str) -> None:
         references = actors.distinct_ids(self.user_references(source).select("id"))
-        new = loads.users(self.pages("user"), references, self.store.documents("USER"))
+        new = loads.users(self.fetched("user"), references, self.store.documents("USER"))
         self.store.append("USER", new)
 
     def _load_user_organization_ids(self) -> None:
         lists = loads.user_organizations(
-            self.pages("user_organization_ids"),
+            self.fetched("user_organization_ids"),
             self.store.documents("USER"),
             self.loaded("USER", "organizations"),
         )
@@ -322,7 +387,7 @@ class Run:
 
     def _load_organizations(self) -> None:
         new = loads.organizations(
-            self.pages("organization"),
+            self.fetched("organization"),
             self.organization_references(),
             self.store.documents("ORGANIZATION"),
         )
@@ -333,10 +398,10 @@ class Run:
     def commit_references(self, source: str) -> DataFrame:
         """(repository_id, id) of the commits documents of a type refer to."""
         if source == "PULL_REQUEST":
-            lists = self.store.lists("PULL_REQUEST", "commit_ids")
+            lists = self.lists("PULL_REQUEST", "commit_ids")
             ids = lists.select("repository_id", F.explode("items").alias("id"))
         else:
-            ids = self.store.documents(source).select("repository_id", F.col("commit_id").alias("id"))
+            ids = self.store.documents(source, self.buckets).select("repository_id", F.col("commit_id").alias("id"))
         return actors.distinct_ids(ids)
 
     def user_references(self, source: str) -> DataFrame:
@@ -344,8 +409,8 @@ class Run:
         fields = [f for f in schemas.LIST_FIELDS[source] if f in _ACTOR_LISTS]
         columns = ["author", "committer"] if source == "COMMIT" else ["author"]
         references = actors.document_users(
-            self.store.documents(source),
-            {field: self.store.lists(source, field) for field in fields},
+            self.store.documents(source, self.buckets),
+            {field: self.lists(source, field) for field in fields},
             columns,
             ["repository_id"],
         )
@@ -434,7 +499,7 @@ class Run:
         """Sizes of the stored lists."""
         for step, (object_type, _, field) in _DECLARED.items():
             if field is not None:
-                lists = self.store.lists(object_type, field).withColumn("id", F.col("parent_id"))
+                lists = self.lists(object_type, field).withColumn("id", F.col("parent_id"))
                 totals = reconcile.actual_list_totals(D.in_scope(lists, self.scope))
                 yield reconcile.sides(totals, actual=[(step, "actual")])
 

@@ -1,143 +1,339 @@
-"""Where documents, lists and late fields lie, as plain parquet folders.
-
-Documents are only ever appended. Lists and late fields are appended too, one
-folder per load; the keys that a load replaces are noted in a small table next
-to it, which hides their older rows. So an increment costs what is new, not
-what is stored. The note is written last, and a load counts once Spark has
-marked its note finished: after a crash the unfinished load is ignored and its
-number used again. Nothing is read and overwritten at once.
+"""Where documents, lists and late fields lie: versioned tables of plain parquet.
+
+A table is a set of *loads*, each a folder that is written once under a name of
+its own, dealt into buckets by repository (``bucket=…`` folders, so a run about
+some repositories reads only their buckets). A *version* is a small note that
+lists the loads that count, in order. Versions are numbered and each number can
+be taken once: who finds it taken looks at what the other writer has added and
+tries the next one. So a load counts whole or not at all, a crash leaves
+nothing that is read, and of two runs at once none loses rows.
+
+Rows of lists and late fields replace older ones of their parent: the keys
+replaced are noted beside the load and hide the older rows. What is loaded
+again unchanged is not kept. ``compact`` rewrites a table without hidden rows,
+``vacuum`` deletes the folders that no longer count.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+import time
+import uuid
+from collections.abc import Callable, Sequence
+from typing import NamedTuple
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from prflow import schemas
 from prflow.operators import project
+from prflow.operators.flatten import PAGES_PER_SEGMENT
 from prflow.operators.joins import lookup_join
+from prflow.plans.files import Files
 from prflow.plans.loads import default_deleted
 from prflow.sinks import keyed
+from prflow.sources.pages import PLACE, landed_files, landed_schema, parse_files, with_place
+
+BUCKETS = 64
+# a version note that stays unreadable for so long was left by a crash: void
+VOID_SECONDS = 10
+COMPACT_FROM = 32
+
+
+class Version(NamedTuple):
+    number: int
+    last: int  # highest number taken, void notes included
+    loads: tuple[str, ...]
+    replacing: tuple[str, ...]  # the loads with notes about older rows
+    content: int  # grows with every change, not with compaction
+
+
+def bucket_of(key: Column) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")
 
 
 class Store:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.files = Files(spark)
+        self.seen: dict[str, Version] = {}  # versions this store has read
+        self.read: set[str] = set()  # tables read and written since forget()
+        self.wrote: set[str] = set()
 
-    # -- folders
-
-    def _read(self, path: str, schema: StructType) -> DataFrame:
-        try:
-            return self.spark.read.schema(schema).parquet(path)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return self.spark.createDataFrame([], schema)
-
-    def _finished(self, pattern: str) -> list[str]:
-        """Names of the folders Spark has finished writing, oldest first (a
-        listing, no data)."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{pattern}/_SUCCESS")
-        system = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        return sorted(s.getPath().getParent().getName() for s in system.globStatus(path) or [])
-
-    def _versions(self, name: str) -> list[str]:
-        return self._finished(f"{name}/version-*")
-
-    def _read_version(self, name: str, schema: StructType) -> DataFrame:
-        versions = self._versions(name)
-        if not versions:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(f"{self.root}/{name}/{versions[-1]}")
-
-    def _write_version(self, name: str, df: DataFrame) -> None:
-        versions = self._versions(name)
-        number = int(versions[-1].split("-")[1]) + 1 if versions else 1
-        # a folder without the mark is left over from a failed job
-        df.write.mode("overwrite").parquet(f"{self.root}/{name}/version-{number:06d}")
+    def forget(self) -> None:
+        self.read, self.wrote = set(), set()
 
-    # -- documents
+    # -- versions
 
-    def documents(self, object_type: str) -> DataFrame:
-        """Documents without their lists and late fields."""
-        schema = schemas.document_schema(object_type)
-        if object_type == "REPOSITORY":
-            return self._read_version("repositories", schema)
-        return self._read(f"{self.root}/documents/{object_type}", schema)
+    def _note(self, name: str, number: int) -> str:
+        return f"{self.root}/{name}/versions/{number:08d}.json"
 
-    def append(self, object_type: str, documents: DataFrame) -> None:
-        schema = schemas.document_schema(object_type)
-        documents.select(*schema.names).sortWithinPartitions(
-            *[c for c in ("repository_id", "id") if c in schema.names]
-        ).write.mode("append").parquet(f"{self.root}/documents/{object_type}")
+    def version(self, name: str) -> Version:
+        """The newest version of a table."""
+        notes = self.files.names(f"{self.root}/{name}/versions")
+        numbers = [int(note.split(".")[0]) for note in notes]
+        for number in reversed(numbers):
+            until = time.monotonic() + VOID_SECONDS
+            while (found := self.files.read(self._note(name, number))) is None and time.monotonic() < until:
+                time.sleep(0.1)
+            if found is not None:
+                return Version(number, numbers[-1], tuple(found["loads"]), tuple(found["replacing"]), found["content"])
+        return Version(0, max(numbers, default=0), (), (), 0)
+
+    def _pinned(self, name: str) -> Version:
+        """The newest version, kept in mind as what later writes build on."""
+        self.read.add(name)
+        self.seen[name] = self.version(name)
+        return self.seen[name]
 
-    def replace_repositories(self, repositories: DataFrame) -> None:
-        self._write_version("repositories", repositories)
+    def _take(self, name: str, base: Version, loads: Sequence[str], replacing: Sequence[str], content: int) -> bool:
+        """Make the version after ``base``; False if there is another one."""
+        newest = self.version(name)
+        if newest.number != base.number:
+            return False
+        state = {"loads": list(loads), "replacing": list(replacing), "content": content}
+        if not self.files.create(self._note(name, newest.last + 1), state):
+            return False
+        self.seen[name] = Version(newest.last + 1, newest.last + 1, tuple(loads), tuple(replacing), content)
+        return True
 
-    # -- rows that later loads may replace, by key
+    # -- loads
 
-    def _loads(self, name: str) -> list[str]:
-        return self._finished(f"{name}/replaced/by=*")
+    def _folder(self, name: str, load: str) -> str:
+        return f"{self.root}/{name}/rows/load={load}"
 
-    def _rows(self, name: str, key: str, schema: StructType) -> DataFrame:
-        """Current rows, with the load they came from."""
-        loads = [folder.removeprefix("by=") for folder in self._loads(name)]
-        with_load = StructType(schema.fields + [StructField("load", IntegerType())])
+    def _write(self, name: str, rows: DataFrame, key: Column | None) -> str:
+        """Rows as a new load, dealt by bucket; large buckets are split."""
+        load = uuid.uuid4().hex
+        if key is None:
+            rows.write.parquet(self._folder(name, load))
+            return load
+        dealt = rows.withColumn("bucket", bucket_of(key)).hint("rebalance", "bucket")
+        order = [c for c in ("repository_id", "parent_id", "id") if c in rows.columns]
+        dealt.sortWithinPartitions("bucket", *order).write.partitionBy("bucket").parquet(self._folder(name, load))
+        return load
+
+    def _load_rows(self, name: str, schema: StructType, loads: Sequence[str]) -> DataFrame:
+        """Rows of the loads, with ``load`` and ``bucket``."""
+        whole = StructType([*schema.fields, StructField("load", StringType()), StructField("bucket", IntegerType())])
         if not loads:
-            return self.spark.createDataFrame([], with_load)
-        rows = (
-            self.spark.read.schema(with_load)
-            .option("basePath", f"{self.root}/{name}/rows")
-            .parquet(*[f"{self.root}/{name}/rows/load={number}" for number in loads])
-        )
-        replaced = self.spark.read.schema(f"{key} string, load int").parquet(
-            *[f"{self.root}/{name}/replaced/by={number}" for number in loads]
-        )
-        return keyed.without_replaced(rows, replaced, [key, "load"])
-
-    def _put(self, name: str, key: str, schema: StructType, new: DataFrame) -> None:
-        loads = self._loads(name)
-        number = f"{int(loads[-1].removeprefix('by=')) + 1 if loads else 1:06d}"
-        folder = f"{self.root}/{name}/rows/load={number}"
-        new.select(*schema.names).write.mode("overwrite").parquet(folder)
-        written = self.spark.read.schema(schema).parquet(folder).select(key).distinct()
-        older = self._rows(name, key, schema).select(key, "load").distinct()
-        older.join(written, key, "left_semi").write.mode("overwrite").parquet(
-            f"{self.root}/{name}/replaced/by={number}"
+            return self.spark.createDataFrame([], whole)
+        reader = self.spark.read.schema(whole).option("basePath", f"{self.root}/{name}/rows")
+        return reader.parquet(*[self._folder(name, load) for load in loads])
+
+    def _rows(self, name: str, schema: StructType, key: str | None, version: Version) -> DataFrame:
+        """Rows that count in a version."""
+        rows = self._load_rows(name, schema, version.loads)
+        if key is None or not version.replacing:
+            return rows
+        notes = self.spark.read.schema(f"{key} string, load string").parquet(
+            *[f"{self.root}/{name}/replaced/{load}" for load in version.replacing]
         )
+        return keyed.without_replaced(rows, notes, [key, "load"])
+
+    def _current(self, name: str, schema: StructType, key: str | None, buckets: Sequence[int] | None) -> DataFrame:
+        rows = self._rows(name, schema, key, self._pinned(name))
+        if buckets is not None and len(buckets) < BUCKETS:
+            rows = rows.filter(F.col("bucket").isin(*buckets) if buckets else F.lit(False))
+        return rows.select(*schema.names)
+
+    def _is_empty(self, name: str, load: str) -> bool:
+        """A load without a bucket has no rows."""
+        return not any(part.startswith("bucket=") for part in self.files.names(self._folder(name, load)))
+
+    def _drop(self, name: str, *loads: str) -> None:
+        """Folders that never counted, or no longer do."""
+        for load in loads:
+            self.files.delete(self._folder(name, load))
+            self.files.delete(f"{self.root}/{name}/replaced/{load}")
+
+    # -- tables that only grow
+
+    def _append(
+        self, name: str, schema: StructType, rows: DataFrame, bucket_key: Column | None, key: str = "id"
+    ) -> None:
+        """Add rows whose keys are new in the version they were computed from.
+        If another writer was faster, those it has added are left out."""
+        self.wrote.add(name)
+        base = self.seen.get(name) or self.version(name)
+        load = self._write(name, rows.select(*schema.names), bucket_key)
+        while True:
+            if bucket_key is not None and self._is_empty(name, load):
+                return self._drop(name, load)
+            if self._take(name, base, [*base.loads, load], base.replacing, base.content + 1):
+                return
+            newest = self.version(name)
+            added = [one for one in newest.loads if one not in base.loads]
+            known = self._load_rows(name, schema, added).select(key)
+            fewer = self._load_rows(name, schema, [load]).select(*schema.names).join(known, key, "left_anti")
+            again = self._write(name, fewer, bucket_key)
+            self._drop(name, load)
+            base, load = newest, again
+
+    # -- tables whose rows replace older ones of their key
+
+    def _put(self, name: str, schema: StructType, key: str, new: DataFrame, bucket_key: Column) -> None:
+        """Keys in ``new`` get these rows and no others. Keys whose rows are
+        the same as before are left as they are."""
+        self.wrote.add(name)
+        kept = StructType([*schema.fields, StructField("digest", StringType())])
+        values = [c for c in schema.names if c != key]
+        digest = F.concat_ws("-", F.xxhash64(*values), F.xxhash64(F.lit(1), *values))
+        load = self._write(name, new.select(*schema.names).withColumn("digest", digest), bucket_key)
+        while True:
+            if self._is_empty(name, load):
+                return self._drop(name, load)
+            base = self.version(name)
+            if base.loads:
+                rows = self._load_rows(name, kept, [load])
+                older = self._rows(name, kept, key, base)
+                changed = self._changed(rows, older, key)
+                fewer = rows.select(*kept.names).join(changed, key, "left_semi")
+                again = self._write(name, fewer, bucket_key)
+                self._drop(name, load)
+                load = again
+                if self._is_empty(name, load):
+                    return self._drop(name, load)
+                keys = self._load_rows(name, kept, [load]).select(key).distinct()
+                hidden = older.select(key, "load").distinct().join(keys, key, "left_semi")
+                hidden.write.parquet(f"{self.root}/{name}/replaced/{load}")
+            if self._take(name, base, [*base.loads, load], [*base.replacing, *([load] if base.loads else [])], base.content + 1):
+                return
+
+    @staticmethod
+    def _changed(new: DataFrame, older: DataFrame, key: str) -> DataFrame:
+        """Keys of ``new`` whose rows differ: only keys and digests are read."""
+        one = lambda rows, side: rows.select(key, "digest", F.lit(side).alias("side"))
+        again = older.join(new.select(key).distinct(), key, "left_semi")
+        sides = one(new, 1).unionByName(one(again, -1))
+        per_row = sides.groupBy(key, "digest").agg(F.sum("side").alias("more"), F.max("side").alias("is_new"))
+        return per_row.groupBy(key).agg(
+            F.bool_or(F.col("more") != 0).alias("differs"), F.max("is_new").alias("is_new")
+        ).filter("differs and is_new = 1").select(key)
+
+    # -- documents
+
+    def documents(self, object_type: str, buckets: Sequence[int] | None = None) -> DataFrame:
+        """Documents without their lists and late fields, of some buckets."""
+        schema = schemas.document_schema(object_type)
+        return self._current(f"documents/{object_type}", schema, None, buckets)
+
+    def append(self, object_type: str, documents: DataFrame) -> None:
+        schema = schemas.document_schema(object_type)
+        owner = F.coalesce("repository_id", "id") if "repository_id" in schema.names else F.col("id")
+        self._append(f"documents/{object_type}", schema, documents, owner)
+
+    def replace_repositories(self, make: Callable[[DataFrame], DataFrame]) -> None:
+        """Repositories become ``make(stored)``, made again if another writer
+        was faster."""
+        name, schema = "documents/REPOSITORY", schemas.document_schema("REPOSITORY")
+        self.wrote.add(name)
+        while True:
+            base = self.version(name)
+            stored = self._rows(name, schema, None, base).select(*schema.names)
+            load = self._write(name, make(stored).select(*schema.names), F.col("id"))
+            rows = self._load_rows(name, schema, [load]).select(*schema.names)
+            if base.loads and rows.exceptAll(stored).isEmpty() and stored.exceptAll(rows).isEmpty():
+                return self._drop(name, load)
+            if self._take(name, base, [load], [], base.content + 1):
+                return
+            self._drop(name, load)
 
     # -- lists and late fields
 
-    def lists(self, object_type: str, field: str) -> DataFrame:
+    def lists(self, object_type: str, field: str, buckets: Sequence[int] | None = None) -> DataFrame:
         schema = schemas.list_schema(object_type, field)
-        return self._rows(f"lists/{object_type}.{field}", "parent_id", schema).drop("load")
+        return self._current(f"lists/{object_type}.{field}", schema, "parent_id", buckets)
 
     def put_lists(self, object_type: str, field: str, new: DataFrame) -> None:
         """Lists of the parents in ``new`` are replaced whole, all others kept."""
         schema = schemas.list_schema(object_type, field)
-        self._put(f"lists/{object_type}.{field}", "parent_id", schema, new)
+        owner = F.coalesce("repository_id", "parent_id")
+        self._put(f"lists/{object_type}.{field}", schema, "parent_id", new, owner)
 
     def late(self, object_type: str, field: str) -> DataFrame:
         """(id, field) of the documents that were evaluated."""
         if field == "is_deleted":
             return project.deleted_parents(self.lists(object_type, "edits"))
         schema = schemas.late_schema(object_type, field)
-        return self._rows(f"late/{object_type}.{field}", "id", schema).drop("load")
+        return self._current(f"late/{object_type}.{field}", schema, "id", None)
 
     def put_late(self, object_type: str, field: str, new: DataFrame) -> None:
         schema = schemas.late_schema(object_type, field)
-        self._put(f"late/{object_type}.{field}", "id", schema, new)
+        self._put(f"late/{object_type}.{field}", schema, "id", new, F.col("id"))
+
+    # -- landed pages, parsed once
+
+    def convert_pages(self, landing: str, shape: str) -> None:
+        """Parse the landed files of a shape that were not parsed before. They
+        are kept here, failed pages too, with the file they came from."""
+        name, schema = f"pages/{shape}", landed_schema(shape)
+        self._pinned(name)
+        landed = landed_files(self.spark, landing, shape)
+        known = self._load_rows(name, schema, self.seen[name].loads).select(F.col("landed_file").alias("path"))
+        new = [row.path for row in landed.join(known.distinct(), "path", "left_anti").collect()]  # names only
+        if new:
+            self._append(name, schema, parse_files(self.spark, shape, new), None, "landed_file")
 
-    # -- lookups materialised once per run
+    def landed_pages(self, shape: str) -> DataFrame:
+        """All parsed pages of a shape with their outcome, and where they lie."""
+        name, schema = f"pages/{shape}", landed_schema(shape)
+        version = self.version(name)
+        if not version.loads:
+            kinds = zip(PLACE, ("string", "long"))
+            return self.spark.createDataFrame([], schema).withColumns({c: F.lit(None).cast(t) for c, t in kinds})
+        return with_place(self._load_rows(name, schema, version.loads)).select(*schema.names, *PLACE)
 
-    def put_lookup(self, name: str, df: DataFrame) -> None:
-        self._write_version(f"lookups/{name}", df)
+    def page_shapes(self) -> list[str]:
+        return self.files.names(f"{self.root}/pages")
 
-    def lookup(self, name: str, ddl: str) -> DataFrame:
-        return self._read_version(f"lookups/{name}", StructType.fromDDL(ddl))
+    # -- upkeep
+
+    def _tables(self) -> list[tuple[str, StructType, str | None, Column]]:
+        tables = []
+        for kind in schemas.OBJECT_TYPES:
+            schema = schemas.document_schema(kind)
+            owner = F.coalesce("repository_id", "id") if "repository_id" in schema.names else F.col("id")
+            tables.append((f"documents/{kind}", schema, None, owner))
+            for field in schemas.LIST_FIELDS.get(kind, {}):
+                schema = schemas.list_schema(kind, field)
+                tables.append((f"lists/{kind}.{field}", schema, "parent_id", F.coalesce("repository_id", "parent_id")))
+            for field in set(schemas.LATE_FIELDS.get(kind, {})) - {"is_deleted"}:
+                tables.append((f"late/{kind}.{field}", schemas.late_schema(kind, field), "id", F.col("id")))
+        return tables
+
+    def compact(self, from_loads: int = COMPACT_FROM) -> list[str]:
+        """Tables of so many loads become one load without hidden rows. Names
+        the tables; one that is being written meanwhile waits for next time."""
+        done = []
+        for name, schema, key, owner in self._tables():
+            base = self.version(name)
+            if len(base.loads) < max(2, from_loads):
+                continue
+            kept = StructType([*schema.fields, StructField("digest", StringType())]) if key else schema
+            load = self._write(name, self._rows(name, kept, key, base).select(*kept.names), owner)
+            if self._take(name, base, [load], [], base.content):
+                done.append(name)
+            else:
+                self._drop(name, load)
+        return done
+
+    def vacuum(self) -> int:
+        """Delete loads and notes of versions that no longer count. Not to be
+        run while something reads an older version."""
+        gone = 0
+        for name, *_ in self._tables():
+            newest = self.version(name)
+            once = set()
+            for note in self.files.names(f"{self.root}/{name}/versions"):
+                if int(note.split(".")[0]) < newest.number:
+                    once |= set((self.files.read(f"{self.root}/{name}/versions/{note}") or {"loads": []})["loads"])
+                    self.files.delete(f"{self.root}/{name}/versions/{note}")
+            old = sorted(once - set(newest.loads))
+            self._drop(name, *old)
+            gone += len(old)
+        return gone
 
     # -- whole documents
 
@@ -148,6 +344,17 @@ class Store:
             documents = keyed.set_fields(documents, self.late(object_type, field), [field])
         return default_deleted(documents, object_type)
 
+    def _in_segments(self, object_type: str, field: str) -> DataFrame:
+        """(id, segment, list) with segments of the same pages for every field:
+        edits are stored page by page."""
+        rows = self.lists(object_type, field).withColumnRenamed("parent_id", "id")
+        if field == "edits":
+            page = F.struct("segment", "items")
+            rows = rows.groupBy("id", F.floor(F.col("segment") / PAGES_PER_SEGMENT).alias("part")).agg(
+                F.array_sort(F.collect_list(page)).alias("pages")
+            ).select("id", F.col("part").alias("segment"), F.flatten(F.col("pages")["items"]).alias("items"))
+        return rows.select("id", "segment", F.col("items").alias(field))
+
     def whole(self, object_type: str) -> DataFrame:
         """Documents with late fields and lists: one row per document and
         segment. Nearly every document is one row with ``segment`` 0; a list
@@ -157,12 +364,7 @@ class Store:
         if not fields:
             return documents.withColumn("segment", F.lit(0).cast("bigint"))
         spine = documents.select("id", F.lit(0).cast("bigint").alias("segment"))
-        lists = {
-            field: self.lists(object_type, field).select(
-                F.col("parent_id").alias("id"), "segment", F.col("items").alias(field)
-            )
-            for field in fields
-        }
+        lists = {field: self._in_segments(object_type, field) for field in fields}
         for table in lists.values():
             spine = spine.unionByName(table.filter(F.col("segment") > 0).select("id", "segment"))
         whole = spine.distinct()

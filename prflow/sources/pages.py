@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -16,6 +19,16 @@ ERRORS = "errors"
 OTHER = "other"
 
 
+# Columns of where a parsed page lies: its file and the row in it.
+PLACE = ("page_file", "page_row")
+
+
+def with_place(pages: DataFrame) -> DataFrame:
+    """Pages read from parquet, with the columns of ``PLACE``."""
+    place = zip(("file_path", "row_index"), PLACE)
+    return pages.select(*pages.columns, *[F.col(f"_metadata.{c}").alias(p) for c, p in place])
+
+
 def page_folder(landing: str, shape: str) -> str:
     return f"{landing.rstrip('/')}/{shape}"
 
@@ -52,20 +65,31 @@ def read_pages(spark: SparkSession, landing: str, shape: str) -> tuple[DataFrame
     return accepted, failed
 
 
-def convert_pages(spark: SparkSession, landing: str, shape: str, out: str) -> None:
-    """Parse all landed pages of a shape once, failed ones too, into parquet
-    with their ``outcome``. Later jobs read from there, and only the nested
-    fields they use (nested column pruning works on parquet, not on JSON)."""
-    pages = classify_pages(spark.read.schema(schemas.page_schema(shape)).json(page_folder(landing, shape)))
-    pages.write.mode("overwrite").parquet(page_folder(out, shape))
+def landed_schema(shape: str) -> StructType:
+    """Parsed pages with their outcome and the file they came from."""
+    more = [StructField("outcome", StringType()), StructField("landed_file", StringType())]
+    return StructType([*schemas.page_schema(shape).fields, *more])
 
 
-def outcome_schema(shape: str) -> StructType:
-    return StructType([*schemas.page_schema(shape).fields, StructField("outcome", StringType())])
+def landed_files(spark: SparkSession, landing: str, shape: str) -> DataFrame:
+    """(path) of the landed files of a shape; they are listed, not read."""
+    try:
+        files = spark.read.format("binaryFile").load(page_folder(landing, shape))
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "path string")
+    return files.select("path")
 
 
-def converted_pages(spark: SparkSession, folder: str, shape: str) -> DataFrame:
-    return spark.read.schema(outcome_schema(shape)).parquet(page_folder(folder, shape))
+def parse_files(spark: SparkSession, shape: str, paths: Sequence[str]) -> DataFrame:
+    """Pages of some landed files, failed ones too, in ``landed_schema``. Parsed
+    once: later jobs read only the nested fields they use (nested column
+    pruning works on parquet, not on JSON)."""
+    lines = spark.read.schema(schemas.page_schema(shape)).json(list(paths))
+    return classify_pages(lines.withColumn("landed_file", F.col("_metadata.file_path"))).select(
+        *landed_schema(shape).names
+    )
 
 
 def land_as_parquet(spark: SparkSession, landing: str, shape: str, out: str) -> None:

@@ -2,7 +2,6 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from prflow.plans.store import Store
 from prflow.sinks import keyed
 
 DDL = "id string, place int, v string"
@@ -42,32 +41,6 @@ def test_set_fields(spark):
     assert [tuple(r) for r in got] == [("a", None, "x", True), ("b", 2, "y", None)]
 
 
-def test_a_load_replaces_whole_parents_and_counts_only_when_finished(spark, tmp_path):
-    store = Store(spark, str(tmp_path))
-    ddl = "repository_id string, parent_id string, segment bigint, items array<string>"
-
-    def put(*rows):
-        store.put_lists("COMMIT", "comment_ids", spark.createDataFrame(list(rows), ddl))
-
-    def stored():
-        rows = store.lists("COMMIT", "comment_ids").collect()
-        return sorted((r.parent_id, r.segment, r["items"]) for r in rows)
-
-    assert stored() == []
-    put(("r", "p", 0, ["a"]), ("r", "p", 1, ["b"]), ("r", "q", 0, ["c"]))
-    put(("r", "p", 0, ["y"]), ("r", "n", 0, ["d"]))
-    put(("r", "p", 0, ["z"]))
-    expected = [("n", 0, ["d"]), ("p", 0, ["z"]), ("q", 0, ["c"])]
-    assert stored() == expected
-    # a load that failed before its note was finished is not seen, and the
-    # next one takes its place
-    unfinished = f"{tmp_path}/lists/COMMIT.comment_ids/rows/load=000004"
-    spark.createDataFrame([("r", "q", 0, ["lost"])], ddl).write.parquet(unfinished)
-    assert stored() == expected
-    put(("r", "q", 0, ["won"]))
-    assert stored() == [*expected[:2], ("q", 0, ["won"])]
-
-
 def test_upsert_repositories(spark):
     ddl = (
         "id string, name string, owner string, total_pull_requests int, "
