@@ -16,7 +16,7 @@ from prflow import schemas
 from prflow.operators import actors, discover, flatten, reconcile
 from prflow.plans import loads
 from prflow.plans.steps import STEP_BY_NAME, STEP_PARENTS, STEPS, Step
-from prflow.plans.store import Store, bucket_of
+from prflow.plans.store import Store
 from prflow.session import new_work_folder
 from prflow.sinks import keyed
 from prflow.sources import documents as D
@@ -146,8 +146,7 @@ class Run:
     def buckets(self) -> list[int]:
         """Buckets of the store with rows of this run's repositories."""
         if "buckets" not in self._lookups:
-            found = self.scope.select(bucket_of(F.col("id")).alias("b")).distinct().collect()
-            self._lookups["buckets"] = sorted(r.b for r in found)
+            self._lookups["buckets"] = self.store.buckets_of(self.scope)
         self.store.read.add("documents/REPOSITORY")
         return self._lookups["buckets"]
 

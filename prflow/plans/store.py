@@ -219,6 +219,11 @@ class Store:
         schema = schemas.document_schema(object_type)
         return self._current(f"documents/{object_type}", schema, None, buckets)
 
+    def buckets_of(self, repositories: DataFrame) -> list[int]:
+        """Buckets that hold rows of the repositories (id): at most BUCKETS numbers."""
+        found = repositories.select(bucket_of(F.col("id")).alias("bucket")).distinct().collect()
+        return sorted(row.bucket for row in found)
+
     def append(self, object_type: str, documents: DataFrame) -> None:
         schema = schemas.document_schema(object_type)
         owner = F.coalesce("repository_id", "id") if "repository_id" in schema.names else F.col("id")
