@@ -135,26 +135,23 @@ def page_lists(
     """Ordered lists ``(keys, segment, items)`` from page rows that arrive in
     any order and maybe repeatedly; ``items`` is the page's array.
 
-    A page stays one array: no item is exploded, sorted or shuffled by itself.
-    Every page of a segment has a slot of its own, so copies of a page collapse
-    before the one exchange, by (keys, segment), and a segment is its slots in
-    order. Of copies the last landed counts, whole; of those that landed
-    together the one with the smallest items. Segments without items are left
-    out. ``also`` names columns that follow from key and segment and by which
-    the rows may be partitioned already; then there is no exchange at all."""
-    place = F.pmod(F.col("page_no"), F.lit(pages_per_segment))
-    landed = -landed_order(pages)
+    A page stays one array: no item is exploded, sorted or shuffled by itself,
+    and a page crosses one exchange, by (keys, segment). Equal copies collapse
+    before it. Of different ones the last landed counts, whole; of those that
+    landed together the one with the smallest items. (After ``current_fetch``
+    there is a copy for each time a page was landed again in one fetch.)
+    Segments without items are left out. ``also`` names columns that follow
+    from key and segment and by which the rows may be partitioned already;
+    then there is no exchange at all."""
+    page = F.struct("page_no", (-landed_order(pages)).alias("landed"), items.alias("items"))
     rows = pages.select(
-        *keys, *also, F.floor(F.col("page_no") / pages_per_segment).alias("segment"), place.alias("_place"),
-        F.struct(landed.alias("landed"), items.alias("items")).alias("_page"),
+        *keys, *also, F.floor(F.col("page_no") / pages_per_segment).alias("segment"), page.alias("_page")
     ).filter(F.size("_page.items") > 0)
-    slots = [
-        F.min(F.when(F.col("_place") == i, F.col("_page")) if pages_per_segment > 1 else F.col("_page")).alias(f"_slot{i}")
-        for i in range(pages_per_segment)
-    ]
-    grouped = rows.groupBy(*keys, *also, "segment").agg(*slots)
-    taken = F.filter(F.array(*[F.col(f"_slot{i}") for i in range(pages_per_segment)]), lambda page: page.isNotNull())
-    return grouped.select(*keys, "segment", F.flatten(taken["items"]).alias("items"))
+    grouped = rows.groupBy(*keys, *also, "segment").agg(F.sort_array(F.collect_set("_page")).alias("_pages"))
+    first = F.filter(
+        "_pages", lambda one, i: (i == 0) | (F.get("_pages", i - 1)["page_no"] != one["page_no"])
+    )
+    return grouped.select(*keys, "segment", F.flatten(first["items"]).alias("items"))
 
 
 def join_lists(lists: DataFrame, found: DataFrame, keys: Sequence[str], how: str) -> DataFrame:

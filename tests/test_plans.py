@@ -92,7 +92,7 @@ def test_pages_of_a_list_step_are_exchanged_once(spark, tmp_path):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
         try:
             lists = loads.commit_ids(landed, parents, none)
-            assert len(exchanges(lists, "_items") + exchanges(lists, "min")) == 1
+            assert len(exchanges(lists, "_items") + exchanges(lists, "buf")) == 1
             assert "posexplode" not in plan_of(lists)  # items are never rows
             results.append(sorted((r.parent_id, r.segment, r["items"]) for r in lists.collect()))
         finally:
@@ -112,7 +112,7 @@ def test_segments_of_a_hot_parent_are_spread_and_whole(spark):
         rows, parents, {"repository_id": "repository_id"}, spread=[segment], together=True, force=True, min_rows=1_000, salts=64
     )
     lists = flatten.page_lists(owned, F.col("_items"), ["repository_id", "request_id"], also=["_salt"])
-    assert len(exchanges(lists, "_items") + exchanges(lists, "min")) == 1
+    assert len(exchanges(lists, "_items") + exchanges(lists, "buf")) == 1
     got = {(r.request_id, r.segment): r["items"] for r in lists.collect()}
     assert len(got) == 490 and got["hot", 7] == [str(i) for i in range(70, 80)]
     spread = owned.filter("request_id = 'hot'").groupBy("_salt").count().collect()
@@ -124,3 +124,40 @@ def test_a_salted_semi_join_keeps_each_row_once(spark):
     lookup = spark.createDataFrame([("hot",), ("other",)], "k string")
     kept = joins.lookup_join(rows, lookup, ["k"], ["id"], "left_semi", min_rows=100, salts=16, force=True)
     assert sorted(r.id for r in kept.collect()) == list(range(1_500)) and kept.columns == ["k", "id"]
+
+
+def test_bodies_of_new_documents_come_last_and_cross_one_exchange(spark, tmp_path):
+    def comment(i, text):
+        return edge(i, {"id": i, "bodyText": text, "author": {"login": f"a{i[-1]}"}})
+
+    lines = []
+    for p in range(6):
+        for n in range(4):
+            data = connection("node.comments", [comment(f"c{p}-{n}-{k}", f"text {p} {n} {k}") for k in range(3)])
+            lines.append(page(f"p{p}", data, n))
+    again = connection("node.comments", [comment("c0-0-1", "late"), comment("c5-1-1", "elsewhere")])
+    lines.append({**page("p0", again, 0), "landed_at": 7})
+    lines += lines[:3]
+    write_lines(str(tmp_path / "json"), "pr_comments", lines)
+    pages.land_as_parquet(spark, str(tmp_path / "json"), "pr_comments", str(tmp_path / "parquet"))
+    landed = pages.read_parquet_pages(spark, str(tmp_path / "parquet"), "pr_comments")
+    parents = spark.createDataFrame([(f"p{p}", "r", 50) for p in range(5)], "id string, repository_id string, total_comments int")
+    stored = spark.createDataFrame([("c1-0-0", "p1"), ("c2-3-2", "p2")], "id string, pull_request_id string")
+    matches = spark.createDataFrame([("a1", "U1")], "login string, actor_id string")
+    results, crossed = [], []
+    for limit in (10 << 20, -1):
+        before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        try:
+            for given in (flatten.current_pages(landed), pages.with_place(landed)):
+                located = "page_row" in given.columns
+                given = flatten.current_fetch(given) if located else given
+                children = loads.pr_comments(given, parents, stored, matches).documents
+                results.append(sorted((r.id, r.text, r.pull_request_id, r.author.id) for r in children.collect()))
+            fetched = loads.pr_comments(pages.with_place(landed), parents, stored, matches).documents
+            crossed.append(len(exchanges(fetched, "_edges") + exchanges(fetched, "body") + exchanges(fetched, "node")))
+        finally:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert all(r == results[0] for r in results) and len(results[0]) == 2 + 4 * 12 - 2 - 0
+    assert ("c0-0-1", "late", "p0", "U1") in results[0]
+    assert max(crossed) <= 1
