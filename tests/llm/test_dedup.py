@@ -303,7 +303,7 @@ def test_dense_bands_form_the_pairs_of_similar_sets(spark, monkeypatch):
         sets.append((bytes([i]), sorted(own)))
     monkeypatch.setattr(paragraphs, "PAIRED", 5)
     known = frame(spark, sets, "content binary, shingles array<long>")
-    bands = known.select(F.lit(1).cast("long").alias("band"), "content")
+    bands = paragraphs._contested(known.select(F.lit(1).cast("long").alias("band"), "content"))
     got = {(bytes(r["a"]), bytes(r["b"])) for r in paragraphs._pairs(bands, known, 0.8).collect()}
     want = {
         (a, b) for (a, x), (b, y) in combinations(sets, 2) if len(set(x) & set(y)) >= 0.8 * len(set(x) | set(y))
