@@ -187,7 +187,7 @@ class Store:
             base = self.version(name)
             if base.loads:
                 rows = self._load_rows(name, kept, [load])
-                older = self._rows(name, kept, key, base)
+                older = self._same_buckets(name, kept, key, base, load)
                 changed = self._changed(rows, older, key)
                 fewer = rows.select(*kept.names).join(changed, key, "left_semi")
                 again = self._write(name, fewer, bucket_key)
@@ -201,6 +201,27 @@ class Store:
             if self._take(name, base, [*base.loads, load], [*base.replacing, *([load] if base.loads else [])], base.content + 1):
                 return
 
+    def _same_buckets(self, name: str, schema: StructType, key: str, version: Version, load: str) -> DataFrame:
+        """Rows of a version in the buckets a load has rows in: its folders."""
+        parts = self.files.names(self._folder(name, load))
+        numbers = [int(part.split("=")[1]) for part in parts if part.startswith("bucket=")]
+        return self._rows(name, schema, key, version).filter(F.col("bucket").isin(*numbers))
+
+    def put_first(self, name: str, rows: DataFrame, order: Sequence[str], key: str = "id") -> None:
+        """Of each key the row that is first in ``order`` is stored, also if a
+        later one was stored before; whoever calls it in whatever portions gets
+        the same table. Only buckets with keys of ``rows`` are read."""
+        schema = rows.schema
+        first = keyed.first_versions(rows, [key], [*order, F.xxhash64(*schema.names)])
+        numbers = sorted(r.b for r in first.select(bucket_of(F.col(key)).alias("b")).distinct().collect())
+        if not numbers:
+            return
+        stored = self._rows(name, schema, key, self.version(name)).filter(F.col("bucket").isin(*numbers))
+        place = F.struct(*order)
+        older = stored.select(key, place.alias("_older"))
+        better = first.join(older, key, "left").filter(F.col("_older").isNull() | (place < F.col("_older")))
+        self._put(name, schema, key, better.drop("_older"), F.col(key))
+
     @staticmethod
     def _changed(new: DataFrame, older: DataFrame, key: str) -> DataFrame:
         """Keys of ``new`` whose rows differ: only keys and digests are read."""

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from prflow.functions import scalars as S
+from prflow import schemas
 from prflow.operators import actors, discover, flatten, project, reconcile
 from prflow.plans.steps import STEP_PARENTS
 from prflow.queries import reading as R
@@ -15,7 +16,7 @@ from prflow.queries.tables import Tables, stamp, tag, text
 from prflow.session import new_work_folder
 from prflow.sinks import keyed
 from prflow.sources import documents
-from prflow.streaming.ingest import ingest_stream
+from prflow.streaming.ingest import ingest_stream, ingested
 
 # -- actors -----------------------------------------------------------------
 
@@ -490,7 +491,7 @@ def stream_ingest(t: Tables) -> DataFrame:
     for _ in range(2):
         landed.write.mode("append").json(f"{landing}/pr_comments")
         ingest_stream(t.spark, landing, "pr_comments", to_documents, target, f"{work}/checkpoint")
-    return R.flat(t.spark.read.parquet(target))
+    return R.flat(ingested(t.spark, target, "pr_comments", schemas.document_schema("PULL_REQUEST_COMMENT")))
 
 
 # -- counts -----------------------------------------------------------------
