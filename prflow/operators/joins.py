@@ -8,34 +8,21 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A key is heavy when it has at least this many rows and is among the
-# HEAVY_MOST keys with the most rows. A key outside that set holds less than
-# 1/HEAVY_MOST of all rows, so nothing heavy is missed and the heavy-key table
-# never exceeds HEAVY_MOST rows, whatever the input size.
-HEAVY_MIN_ROWS = 1_000_000
-HEAVY_MOST = 1_000
-# Rows of a heavy key are spread over this many join partitions.
-HEAVY_SALTS = 1_024
+# A key with more rows than this is heavy: about what one task should get. Its
+# rows are dealt over as many salts as it has times this many. So of N rows
+# there are at most N / HEAVY_ROWS heavy keys (the only table that is broadcast
+# by a hint: 250,000 keys for 10^12 rows) and their lookup rows are repeated at
+# most 2 N / HEAVY_ROWS times; no key is passed over.
+HEAVY_ROWS = 4_000_000
 
 
-def heavy_keys(
-    rows: DataFrame,
-    on: Sequence[str],
-    min_rows: int | None = None,
-    most: int = HEAVY_MOST,
-) -> DataFrame:
-    """The keys with the most rows. Counts are combined map-side and only the
-    key columns are read, so the hot key itself is never gathered."""
-    return (
-        rows.select(*on)
-        .dropna()
-        .groupBy(*on)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .filter(F.col("_rows") >= (HEAVY_MIN_ROWS if min_rows is None else min_rows))
-        .orderBy(F.desc("_rows"), *on)
-        .limit(most)
-        .select(*on, F.lit(True).alias("_heavy"))
-    )
+def heavy_keys(rows: DataFrame, on: Sequence[str], heavy_rows: int | None = None) -> DataFrame:
+    """The keys with many rows, and over how many salts each is dealt. Counts
+    are combined map-side and only the key columns are read, so the hot key
+    itself is never gathered."""
+    most = HEAVY_ROWS if heavy_rows is None else heavy_rows
+    counted = rows.select(*on).dropna().groupBy(*on).agg(F.count(F.lit(1)).alias("_rows"))
+    return counted.filter(F.col("_rows") > most).select(*on, F.ceil(F.col("_rows") / most).cast("int").alias("_salts"))
 
 
 def fits_broadcast(df: DataFrame) -> bool:
@@ -55,8 +42,7 @@ def lookup_join(
     on: Sequence[str],
     spread: Sequence[str | Column],
     how: str = "left",
-    min_rows: int | None = None,
-    salts: int = HEAVY_SALTS,
+    heavy_rows: int | None = None,
     force: bool = False,
     counted: DataFrame | None = None,
     together: bool = False,
@@ -72,7 +58,7 @@ def lookup_join(
 
     ``counted`` may be a cheaper frame with at least the keys of ``rows`` to
     find the heavy keys in, such as the same pages before they were joined; a
-    key salted needlessly does no harm.
+    key salted needlessly or over other salts does no harm.
 
     With ``together`` rows that are equal in ``spread`` are not parted, and the
     result keeps its ``_salt`` (0 where nothing is salted): it is partitioned by
@@ -81,29 +67,15 @@ def lookup_join(
     on = list(on)
     if not force and fits_broadcast(lookup):
         joined = rows.join(lookup, on, how)
-        return joined.withColumn("_salt", F.lit(0)) if together else joined
-    heavy = F.broadcast(heavy_keys(rows if counted is None else counted, on, min_rows))
-    is_heavy = F.coalesce(F.col("_heavy"), F.lit(False))
+        return joined.withColumn("_salt", F.lit(0).cast("long")) if together else joined
+    heavy = F.broadcast(heavy_keys(rows if counted is None else counted, on, heavy_rows))
     has_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in on])
     parted = [] if together else [F.spark_partition_id()]
-    salt = F.pmod(F.xxhash64(*parted, *spread), F.lit(salts)).cast("int")
-    salted_rows = (
-        rows.join(heavy, on, "left")
-        .withColumn("_salt", F.when(is_heavy | has_null, salt).otherwise(F.lit(0)))
-        .drop("_heavy")
-    )
-    salted_lookup = (
-        lookup.join(heavy, on, "left")
-        .withColumn(
-            "_salt",
-            F.explode(
-                F.when(is_heavy, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
-                    F.array(F.lit(0))
-                )
-            ),
-        )
-        .drop("_heavy")
-    )
+    dealt = F.xxhash64(*parted, *spread)
+    salt = F.when(has_null, dealt).when(F.col("_salts").isNotNull(), F.pmod(dealt, F.col("_salts")))
+    salted_rows = rows.join(heavy, on, "left").withColumn("_salt", F.coalesce(salt, F.lit(0)).cast("long")).drop("_salts")
+    each = F.sequence(F.lit(0).cast("long"), F.coalesce(F.col("_salts") - 1, F.lit(0)).cast("long"))
+    salted_lookup = lookup.join(heavy, on, "left").withColumn("_salt", F.explode(each)).drop("_salts")
     joined = salted_rows.join(salted_lookup, [*on, "_salt"], how)
     return joined if together else joined.drop("_salt")
 

@@ -109,7 +109,7 @@ def test_segments_of_a_hot_parent_are_spread_and_whole(spark):
     parents = rows.select(F.col("request_id").alias("id"), F.lit("r").alias("repository_id")).distinct()
     segment = F.floor(F.col("page_no") / 10)
     owned = joins.inherit_parent_keys(
-        rows, parents, {"repository_id": "repository_id"}, spread=[segment], together=True, force=True, min_rows=1_000, salts=64
+        rows, parents, {"repository_id": "repository_id"}, spread=[segment], together=True, force=True, heavy_rows=50
     )
     lists = flatten.page_lists(owned, F.col("_items"), ["repository_id", "request_id"], also=["_salt"])
     assert len(exchanges(lists, "_items") + exchanges(lists, "buf")) == 1
@@ -122,7 +122,7 @@ def test_segments_of_a_hot_parent_are_spread_and_whole(spark):
 def test_a_salted_semi_join_keeps_each_row_once(spark):
     rows = spark.range(2_000).select(F.when(F.col("id") < 1_500, "hot").otherwise("cold").alias("k"), "id")
     lookup = spark.createDataFrame([("hot",), ("other",)], "k string")
-    kept = joins.lookup_join(rows, lookup, ["k"], ["id"], "left_semi", min_rows=100, salts=16, force=True)
+    kept = joins.lookup_join(rows, lookup, ["k"], ["id"], "left_semi", heavy_rows=100, force=True)
     assert sorted(r.id for r in kept.collect()) == list(range(1_500)) and kept.columns == ["k", "id"]
 
 
