@@ -7,8 +7,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from prflow import schemas
-from prflow.operators import actors, flatten
+from prflow.operators import actors, flatten, reconcile
 from prflow.plans import loads
+from prflow.plans.run import GLOBAL_STEPS
+from prflow.plans.steps import STEP_PARENTS
 from prflow.plans.store import Store
 from prflow.queries import loading as LD
 from prflow.queries import reading as R
@@ -301,3 +303,53 @@ def load_commit_users(t: Tables) -> DataFrame:
 def load_commit_comment_users(t: Tables) -> DataFrame:
     """Step 30: the same of commit comments, where only edits were loaded."""
     return _users_named(t, actors.document_users(_authored(t, 1), {"edits": _clicks(t, "editor")}))
+
+
+# -- the whole graph of steps --------------------------------------------------
+
+_EDGES_SQL = ", ".join(f"({step}, {needed})" for step, needs in STEP_PARENTS.items() for needed in needs)
+
+
+@query(
+    "reconcile_graph",
+    f"""
+    WITH RECURSIVE edges(step, needs) AS (VALUES {_EDGES_SQL}),
+    closure AS (
+        SELECT step, needs FROM edges
+        UNION SELECT c.step, e.needs FROM closure c JOIN edges e ON c.needs = e.step),
+    report AS (
+        SELECT CAST(s.step AS INTEGER) AS step, 'R' || n_nationkey AS repository_id,
+               count(c_custkey) AS expected, count(c_custkey) FILTER (c_acctbal > -900) AS actual
+        FROM nation CROSS JOIN (SELECT unnest(range(1, 31)) AS step) s
+        LEFT JOIN customer ON c_nationkey = n_nationkey AND c_custkey % 30 + 1 = s.step
+        GROUP BY s.step, n_nationkey
+        UNION ALL SELECT 31, NULL, count(*), count(*) FROM supplier
+        UNION ALL SELECT 32, NULL, 0, count(*) FILTER (s_acctbal < -990) FROM supplier),
+    judged AS (SELECT *, expected = actual AS ok FROM report)
+    SELECT r.*, r.ok AND NOT EXISTS (
+             SELECT 1 FROM judged u JOIN closure e ON u.step = e.needs
+             WHERE e.step = r.step AND NOT u.ok AND (r.repository_id IS NULL OR u.repository_id = r.repository_id))
+           AS ok_recursive
+    FROM judged r
+    """,
+)
+def reconcile_graph(t: Tables) -> DataFrame:
+    """All 32 steps, the global ones included: customers stand for what a
+    nation's steps declare, those far in debt were not loaded."""
+    step = (F.col("c_custkey") % 30 + 1).cast("int")
+    counted = t.customer.groupBy(tag("R", "c_nationkey").alias("repository_id"), step.alias("step")).agg(
+        F.count("*").alias("expected"), F.count_if(F.col("c_acctbal") > -900).alias("actual")
+    )
+    scope = t.nation.select(tag("R", "n_nationkey").alias("id"))
+    local = [s for s in STEP_PARENTS if s not in GLOBAL_STEPS]
+    report = reconcile.step_report([counted], scope, local)
+    whole = t.supplier.agg(F.count("*").alias("n"), F.count_if(F.col("s_acctbal") < -990).alias("open"))
+    totals = {31: (F.col("n"), F.col("n")), 32: (F.lit(0).cast("long"), F.col("open"))}
+    for number, (expected, actual) in totals.items():
+        report = report.unionByName(
+            whole.select(
+                F.lit(number).alias("step"), F.lit(None).cast("string").alias("repository_id"), expected.alias("expected"),
+                actual.alias("actual"), (expected == actual).alias("ok"),
+            )
+        )
+    return reconcile.recursive_report(t.spark, report, STEP_PARENTS, GLOBAL_STEPS)
