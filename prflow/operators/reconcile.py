@@ -17,10 +17,15 @@ _REPOSITORY = "repository_id"
 # -- per parent -------------------------------------------------------------
 
 
+def list_size(lists: DataFrame) -> Column:
+    """Items of a list row; the number stored beside them, where there is one."""
+    return F.col("n_items") if "n_items" in lists.columns else F.size("items")
+
+
 def list_counts(lists: DataFrame) -> DataFrame:
     """Items per parent, over all its segments."""
     return lists.groupBy(F.col("parent_id").alias("id")).agg(
-        F.sum(F.size("items").cast("long")).alias("loaded")
+        F.sum(list_size(lists).cast("long")).alias("loaded")
     )
 
 
@@ -74,7 +79,7 @@ def expected_totals(documents: DataFrame, /, *declared: str, **more: Column) ->
 
 
 def actual_list_totals(lists: DataFrame, name: str = "actual") -> DataFrame:
-    return lists.groupBy(_REPOSITORY).agg(_sum(F.size("items")).alias(name))
+    return lists.groupBy(_REPOSITORY).agg(_sum(list_size(lists)).alias(name))
 
 
 def actual_child_totals(children: DataFrame, name: str = "actual") -> DataFrame:
@@ -96,7 +101,7 @@ def actual_commit_totals(parents: DataFrame, counts: DataFrame, name: str = "act
 def global_totals(documents: DataFrame, declared: str, lists: DataFrame) -> DataFrame:
     """Expected and actual over all repositories, as one row."""
     expected = documents.agg(_sum(F.col(declared)).alias("expected"), F.lit(0).cast("long").alias("actual"))
-    actual = lists.agg(F.lit(0).cast("long").alias("expected"), _sum(F.size("items")).alias("actual"))
+    actual = lists.agg(F.lit(0).cast("long").alias("expected"), _sum(list_size(lists)).alias("actual"))
     return expected.unionByName(actual).agg(
         F.sum("expected").alias("expected"), F.sum("actual").alias("actual")
     )

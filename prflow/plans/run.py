@@ -160,8 +160,12 @@ class Run:
         users belong to no repository."""
         return self.store.lists(object_type, field, None if object_type == "USER" else self.buckets)
 
+    def sizes(self, object_type: str, field: str) -> DataFrame:
+        """The same without the items, only their number."""
+        return self.store.list_sizes(object_type, field, None if object_type == "USER" else self.buckets)
+
     def loaded(self, object_type: str, field: str) -> DataFrame:
-        return reconcile.list_counts(self.lists(object_type, field))
+        return reconcile.list_counts(self.sizes(object_type, field))
 
     @property
     def matches(self) -> DataFrame:
@@ -498,7 +502,7 @@ class Run:
         """Sizes of the stored lists."""
         for step, (object_type, _, field) in _DECLARED.items():
             if field is not None:
-                lists = self.lists(object_type, field).withColumn("id", F.col("parent_id"))
+                lists = self.sizes(object_type, field).withColumn("id", F.col("parent_id"))
                 totals = reconcile.actual_list_totals(D.in_scope(lists, self.scope))
                 yield reconcile.sides(totals, actual=[(step, "actual")])
 
@@ -524,7 +528,7 @@ class Run:
         organizations = reconcile.global_totals(
             self.store.documents("USER"),
             "total_organizations",
-            self.store.lists("USER", "organizations"),
+            self.store.list_sizes("USER", "organizations"),
         )
         references = self.organization_references()
         still_open = discover.unsaved_count(

@@ -48,6 +48,14 @@ class Version(NamedTuple):
     content: int  # grows with every change, not with compaction
 
 
+def _with_notes(schema: StructType) -> StructType:
+    """What is stored of rows that can be replaced: beside them a digest, which
+    tells whether they have changed, and the number of their items."""
+    notes = [StructField("digest", StringType())]
+    notes += [StructField("n_items", IntegerType())] if "items" in schema.names else []
+    return StructType([*schema.fields, *notes])
+
+
 def bucket_of(key: Column) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")
 
@@ -177,10 +185,12 @@ class Store:
         """Keys in ``new`` get these rows and no others. Keys whose rows are
         the same as before are left as they are."""
         self.wrote.add(name)
-        kept = StructType([*schema.fields, StructField("digest", StringType())])
+        kept = _with_notes(schema)
         values = [c for c in schema.names if c != key]
-        digest = F.concat_ws("-", F.xxhash64(*values), F.xxhash64(F.lit(1), *values))
-        load = self._write(name, new.select(*schema.names).withColumn("digest", digest), bucket_key)
+        notes = {"digest": F.concat_ws("-", F.xxhash64(*values), F.xxhash64(F.lit(1), *values))}
+        if "items" in schema.names:
+            notes["n_items"] = F.size("items")
+        load = self._write(name, new.select(*schema.names).withColumns(notes), bucket_key)
         while True:
             if self._is_empty(name, load):
                 return self._drop(name, load)
@@ -272,6 +282,13 @@ class Store:
         schema = schemas.list_schema(object_type, field)
         return self._current(f"lists/{object_type}.{field}", schema, "parent_id", buckets)
 
+    def list_sizes(self, object_type: str, field: str, buckets: Sequence[int] | None = None) -> DataFrame:
+        """The lists without their items: (repository_id, parent_id, segment, n_items)."""
+        keys = ["repository_id", "parent_id", "segment"]
+        schema = schemas.list_schema(object_type, field)
+        narrow = StructType([*[schema[k] for k in keys], StructField("n_items", IntegerType())])
+        return self._current(f"lists/{object_type}.{field}", narrow, "parent_id", buckets)
+
     def put_lists(self, object_type: str, field: str, new: DataFrame) -> None:
         """Lists of the parents in ``new`` are replaced whole, all others kept."""
         schema = schemas.list_schema(object_type, field)
@@ -337,7 +354,7 @@ class Store:
             base = self.version(name)
             if len(base.loads) < max(2, from_loads):
                 continue
-            kept = StructType([*schema.fields, StructField("digest", StringType())]) if key else schema
+            kept = _with_notes(schema) if key else schema
             load = self._write(name, self._rows(name, kept, key, base).select(*kept.names), owner)
             if self._take(name, base, [load], [], base.content):
                 done.append(name)

@@ -147,7 +147,7 @@ def store_scope(t: Tables) -> DataFrame:
     f"""
     WITH once AS (
         SELECT l_orderkey, l_linenumber, min(l_partkey) AS first FROM lineitem GROUP BY l_orderkey, l_linenumber)
-    SELECT repository_id, id AS parent_id, l_linenumber // 4 AS segment,
+    SELECT repository_id, id AS parent_id, CAST(l_linenumber // 4 AS BIGINT) AS segment,
            CASE WHEN state = 'MERGED' THEN string_agg('C' || first, ',' ORDER BY l_linenumber DESC)
                 ELSE string_agg('C' || first, ',' ORDER BY l_linenumber) END AS items
     FROM once JOIN ({P.PULL_REQUESTS_SQL}) ON id = CAST(l_orderkey AS VARCHAR)

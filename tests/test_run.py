@@ -257,6 +257,13 @@ def test_a_run_about_other_repositories_does_its_own_steps(spark, run):
     assert other.is_due("pull_requests") and not run.is_due("pull_requests")
 
 
+def test_counting_reads_no_items(run):
+    counts = run.loaded("PULL_REQUEST", "edits")._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<parent_id:string,n_items:int>" in counts
+    sides = [x for side in run._list_sides() for x in side._jdf.queryExecution().executedPlan().toString().split("ReadSchema: ")[1:]]
+    assert sides and not any("items:array" in x.splitlines()[0] for x in sides)
+
+
 def test_scans_of_a_run_are_pruned_to_its_buckets(run):
     for frame in (run.documents("PULL_REQUEST"), run.lists("PULL_REQUEST", "commit_ids")):
         scan = frame._jdf.queryExecution().executedPlan().toString().split("FileScan")[1]
