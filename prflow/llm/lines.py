@@ -4,15 +4,15 @@ Built-in functions only. Lines are compared in a normal form (lower case,
 letters and digits). A line's SimHash is the majority of the hashes of its
 different words; the counters of 64 bits are summed in 16 numbers of four
 lanes. Fingerprints that differ in at most BITS bits agree on SHARED of
-BITS + SHARED blocks, so they meet under the key of these; pairs that meet are
-verified by the edit similarity of the whole lines. Of each connected group the
-first occurrence stays.
+BITS + SHARED blocks, so they meet under the key of these; pairs that meet and
+differ in at most REACH bits are verified by the edit similarity of the whole
+lines. Of each connected group the first occurrence stays.
 
 A large block does not form pairs. Its members are verified against its first
-one; only who fails is tried with the others within BITS bits. Two members that
-are both similar to the first are connected through it, so all links between
-different lines within BITS bits count, with rows in proportion to the block
-and to its outsiders.
+one; only who fails is tried with the others. Two members that are both similar
+to the first are connected through it, so the groups are those of all pairs,
+whatever the size of a block, with rows in proportion to the block and to its
+outsiders.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ BITS = 3
 SHARED = 2  # more make longer and more keys: 2 give 10 keys of 25 bits, 3 give 20 of 32
 SIMILAR = 0.8
 PAIRED = 8  # members of a block that form all pairs
-LOOSE = 16  # differing bits up to which a block's first member is tried
+REACH = 16  # differing bits up to which two that share a block are tried
 LANE = 16_383  # words of one count: lanes of 16 bits keep two bits free
 LANES = [f"lane{i}" for i in range(16)]
 MASK = 0x0001_0001_0001_0001
@@ -133,17 +133,17 @@ def _verified(pairs: DataFrame, bodies: DataFrame, similar: float) -> DataFrame:
 
 def _edges(lines: DataFrame, read, bits: int, shared: int, similar: float) -> DataFrame:
     """Verified links (a, b) between different lines (line, fp), enough to
-    connect all that are similar and within ``bits`` bits. ``read`` gives the
-    bodies of the lines of a frame."""
+    connect all that are similar, share a block and are within REACH bits.
+    ``read`` gives the bodies of the lines of a frame."""
     heads = lines.groupBy("fp").agg(F.min("line").alias("head"), F.count("*").alias("lines"))
     heads = written(heads, "heads")
     index = _index(heads.select("fp"), bits, shared)
     few, many = index.filter(F.col("n") <= PAIRED), index.filter(F.col("n") > PAIRED)
     x, y = few.alias("x"), few.alias("y")
     pairs = x.join(y, ["place", "block"]).filter("x.fp < y.fp").select(F.col("x.fp").alias("p"), F.col("y.fp").alias("q"))
-    pairs = pairs.filter(_differing("p", "q") <= bits)
+    pairs = pairs.filter(_differing("p", "q") <= REACH)
     stars = many.filter("first < fp").select(F.col("first").alias("p"), F.col("fp").alias("q")).filter(
-        _differing("p", "q") <= LOOSE
+        _differing("p", "q") <= REACH
     )
     tried = written(pairs.unionByName(stars).distinct(), "tried")
     several = lines.join(heads.filter("lines > 1"), "fp").select("fp", "line", "head")
@@ -168,9 +168,9 @@ def _edges(lines: DataFrame, read, bits: int, shared: int, similar: float) -> Da
     ).select("place", "block", F.col("fp").alias("other"))
     again = many.join(far, ["place", "block"]).filter("fp <> other").select(
         F.least("fp", "other").alias("p"), F.greatest("fp", "other").alias("q")
-    ).filter(_differing("p", "q") <= bits)
+    ).filter(_differing("p", "q") <= REACH)
     # heads failed, but other lines of the two fingerprints may be similar
-    heads_failed = tried.filter(_differing("p", "q") <= bits).join(linked, ["p", "q"], "left_anti")
+    heads_failed = tried.join(linked, ["p", "q"], "left_anti")
     wide = heads.filter("lines > 1").select("fp")
     heads_failed = heads_failed.join(wide, F.col("p") == F.col("fp"), "left_semi").union(
         heads_failed.join(wide, F.col("q") == F.col("fp"), "left_semi")

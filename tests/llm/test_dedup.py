@@ -112,7 +112,8 @@ def test_simhash_keeps_one_of_each_group_with_its_columns(spark):
 
 
 def brute_lines(rows):
-    """Components over all pairs of different lines within 3 bits and the edit bound."""
+    """Components over all pairs of different lines that share two of five
+    blocks, are within 16 bits and the edit bound."""
     import re
 
     def normal(x):
@@ -136,9 +137,14 @@ def brute_lines(rows):
     ]
     distinct = sorted({x for _, x in spots})
     prints = {x: fp(x) for x in distinct}
+    masks = [m % (1 << 64) for m in lines._blocks(lines.BITS, lines.SHARED)]
+
+    def meet(a, b):
+        return (a ^ b).bit_count() <= lines.REACH and any((a ^ b) & m == 0 for m in masks)
+
     edges = [
         (a, b) for a, b in combinations(distinct, 2)
-        if (prints[a] ^ prints[b]).bit_count() <= 3 and distance(a, b) <= int(max(len(a), len(b)) * 0.2 + 1e-9)
+        if meet(prints[a], prints[b]) and distance(a, b) <= int(max(len(a), len(b)) * 0.2 + 1e-9)
     ]
     root = roots_of(distinct, edges)
     first = {}
@@ -182,6 +188,27 @@ def test_large_blocks_keep_the_same_line_groups(spark, vocabulary, monkeypatch):
     assert sum(bool(d) for _, d in whole) > 40
 
 
+def test_classes_do_not_depend_on_who_else_is_in_a_block(spark, vocabulary):
+    rng = random.Random(11)
+    own = []
+    for _ in range(30):
+        line = prose(rng, 24, vocabulary).split()
+        changed = list(line)
+        changed[rng.randrange(len(line))] += "x"
+        own += [" ".join(line), " ".join(changed)]
+    alone = [(i, line) for i, line in enumerate(own)]
+    others = [(1000 + i, prose(rng, 24, vocabulary)) for i in range(400)]
+    dropped = lambda rows: {r["doc_id"] for r in lines.dropped_lines(frame(spark, rows)).collect() if r["dropped"] and r["doc_id"] < 1000}
+    small = lines.PAIRED
+    found = dropped(alone)
+    try:
+        lines.PAIRED = 1  # every shared block counts as large
+        assert dropped(alone) == found and dropped(alone + others) == found
+    finally:
+        lines.PAIRED = small
+    assert dropped(alone + others) == found and len(found) > 5
+
+
 def test_lines_with_more_words_than_a_lane(spark, monkeypatch):
     monkeypatch.setattr(lines, "LANE", 5)
     rows = [(1, "one two three four five six seven eight nine ten eleven twelve"), (2, "one two three")]
