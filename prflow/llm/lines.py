@@ -29,7 +29,7 @@ BITS = 3
 SHARED = 2  # more make longer and more keys: 2 give 10 keys of 25 bits, 3 give 20 of 32
 SIMILAR = 0.8
 PAIRED = 8  # members of a block that form all pairs
-REACH = 16  # differing bits up to which two that share a block are tried
+REACH = 8  # differing bits up to which two that share a block are tried
 LANE = 16_383  # words of one count: lanes of 16 bits keep two bits free
 LANES = [f"lane{i}" for i in range(16)]
 MASK = 0x0001_0001_0001_0001

@@ -113,7 +113,7 @@ def test_simhash_keeps_one_of_each_group_with_its_columns(spark):
 
 def brute_lines(rows):
     """Components over all pairs of different lines that share two of five
-    blocks, are within 16 bits and the edit bound."""
+    blocks, are within REACH bits and the edit bound."""
     import re
 
     def normal(x):
