@@ -4,7 +4,8 @@ A string of ``width`` bytes is the prefix of a suffix. Suffixes are grouped by
 their anchor: the 16-byte token with the smallest hash among those that start
 in the first bytes of the string. Equal strings have equal anchors, so
 
-1. anchors found in one document only are dropped (one narrow shuffle),
+1. anchors found in one text only are dropped (one narrow shuffle); a text that
+   a smaller document has as a whole is covered, and goes no further,
 2. the suffixes at the other anchors are cut out with their context, neighbours
    with one anchor together, and range-partitioned by the anchor's bytes with
    splitters that Spark samples,
@@ -98,43 +99,46 @@ def _named(hashes):
 
 
 def _emit_anchors(batches, width: int):
-    """Distinct anchors of each document."""
+    """Distinct anchors of each text."""
     import numpy as np
     import pyarrow as pa
 
     for batch in batches:
-        ids = batch.column(0).to_numpy()
+        keys = batch.column(0).to_numpy()
         found = [np.unique(_named(r[3])) for r in _runs(batch.column(1).to_pylist(), width)]
         names = np.concatenate(found) if found else np.zeros(0, np.int64)
-        docs = np.repeat(ids, [len(f) for f in found])
-        yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(docs)], ["anchor", "doc_id"])
+        owners = np.repeat(keys, [len(f) for f in found])
+        yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(owners)], ["anchor", "key"])
 
 
 def _repeated(batches):
-    """Rows come sorted by anchor and document: pass on those whose anchor has
-    several documents. Of a group only rows of its first document wait."""
+    """Rows come sorted by anchor and text: pass on, once, those whose anchor
+    has several texts. Of a group only the first text waits."""
     import numpy as np
     import pyarrow as pa
 
-    waiting, open_anchor = None, None
+    waiting, passed = None, None
     for batch in batches:
         if not batch.num_rows:
             continue
         columns = [batch.column(i).to_numpy() for i in range(2)]
         if waiting is not None:
             columns = [np.concatenate(pair) for pair in zip(waiting, columns)]
-        anchor, doc = columns[0], columns[1]
+        anchor, key = columns
+        new = np.r_[True, (anchor[1:] != anchor[:-1]) | (key[1:] != key[:-1])]
+        if passed is not None and passed == (anchor[0], key[0]):
+            new[0] = False
         first = np.flatnonzero(np.r_[True, anchor[1:] != anchor[:-1]])
         last = np.r_[first[1:], len(anchor)] - 1
-        several = doc[first] != doc[last]
-        if open_anchor is not None and open_anchor == anchor[0]:
+        several = key[first] != key[last]
+        if passed is not None and passed[0] == anchor[0]:
             several[0] = True
-        keep = np.repeat(several, last - first + 1)
+        keep = np.repeat(several, last - first + 1) & new
         if several[-1]:
-            waiting, open_anchor = None, anchor[-1]
+            waiting, passed = None, (anchor[-1], key[-1])
         else:
-            waiting, open_anchor = [c[first[-1] :] for c in columns], None
-        yield pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in columns], ["anchor", "doc_id"])
+            waiting, passed = [c[-1:] for c in columns], None
+        yield pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in columns], ["anchor", "key"])
 
 
 def _emit_contexts(batches, width: int):
@@ -322,16 +326,34 @@ def _cut(batches, width: int):
 
 
 def covered_starts(rows: DataFrame, packed: DataFrame, width: int, gathered: int = GATHERED) -> DataFrame:
-    """``(doc_id, key, first, count)``: runs of string starts to remove."""
-    found = rows.select("doc_id", "text").mapInArrow(lambda it: _emit_anchors(it, width), "anchor long, doc_id long")
-    repeated = found.repartition("anchor").sortWithinPartitions("anchor", "doc_id").mapInArrow(
-        _repeated, "anchor long, doc_id long"
+    """``(doc_id, key, first, count)``: runs of string starts to remove.
+
+    The key, 64 bits of the text, stands for the text where anchors are counted:
+    an anchor would be lost only if exactly the two texts that share it had one
+    key. Whole texts are equal if 128 bits and the length are."""
+    found = rows.select("key", "text").mapInArrow(lambda it: _emit_anchors(it, width), "anchor long, key long")
+    repeated = found.repartition("anchor").sortWithinPartitions("anchor", "key").mapInArrow(
+        _repeated, "anchor long, key long"
     )
-    # dealt again by document as plain rows: lists would be built twice
+    # each text is looked at in the smallest document that has it
+    texts = written(
+        rows.filter(F.octet_length("text") >= width).select(
+            "doc_id", "key", F.xxhash64(F.lit(1), "text").alias("key2"),
+            (F.octet_length("text") - width + 1).cast("long").alias("count"),
+        ), "texts",
+    )
+    firsts = texts.groupBy("key", "key2", "count").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("last"))
+    several = firsts.filter("least < last").drop("last")
+    copies = texts.join(several, ["key", "key2", "count"]).filter("doc_id > least").select(
+        "doc_id", "key", F.lit(0).cast("long").alias("first"), "count"
+    )
+    # dealt again by text as plain rows: lists would be built twice
+    anchors = repeated.repartition("key").groupBy("key").agg(F.collect_list("anchor").alias("anchors"))
     wanted = written(
-        repeated.repartition("doc_id").groupBy("doc_id").agg(F.collect_list("anchor").alias("anchors")), "anchors"
+        anchors.join(firsts.select(F.col("key").alias("k"), F.col("least").alias("doc_id")), F.col("key") == F.col("k"))
+        .select("doc_id", "key", "anchors"), "anchors",
     )
-    contexts = packed.join(wanted, "doc_id").select("doc_id", "key", "packed", "anchors").mapInArrow(
+    contexts = packed.join(wanted, ["doc_id", "key"]).select("doc_id", "key", "packed", "anchors").mapInArrow(
         lambda it: _emit_contexts(it, width), f"lead binary, context binary, {ID}, first long, count long"
     )
     ranges = contexts.repartitionByRange("lead").sortWithinPartitions("lead", "doc_id")
@@ -344,7 +366,8 @@ def covered_starts(rows: DataFrame, packed: DataFrame, width: int, gathered: int
     )
     least = many.groupBy("string").agg(F.min("doc_id").alias("least"))
     late = many.join(least, "string").filter("doc_id > least").select("doc_id", "key", "first", F.lit(1).cast("long").alias("count"))
-    return sorted_out.filter("context is null").select("doc_id", "key", "first", "count").unionByName(late)
+    alone = sorted_out.filter("context is null").select("doc_id", "key", "first", "count")
+    return alone.unionByName(late).unionByName(copies)
 
 
 def remove_repeats(

@@ -237,6 +237,7 @@ def test_substrings_equal_brute_force(spark, gathered):
 
     rows = [(i if i % 17 else None, "".join(part() for _ in range(rng.randint(0, 5)))) for i in range(90)]
     rows += ODD + [rows[3], (4, "another text of the same id " * 4), (9000, "a" * 3000)]
+    rows += [(600 - i, rows[i][1]) for i in range(1, 12)] + [(None, rows[i][1]) for i in (5, 6, 6)] + [(-1, rows[8][1])]
     got = substrings.remove_repeats(frame(spark, rows).repartition(3), gathered=gathered).select(
         "doc_id", "n_bytes", F.expr("aggregate(spans, 0L, (a, s) -> a + s.end - s.start)"), F.size("spans"), F.sha2("kept", 256)
     )
