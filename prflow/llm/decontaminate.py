@@ -9,7 +9,9 @@
 4. Candidates are verified by the longest common subsequence of whole items
    with the words around the window. A text that keeps most of an item in order
    is a leak; one that keeps part of it is a paraphrase if the item's answer,
-   its last sentence, is there too.
+   its last sentence, is there too. Long items are searched in parts, and what
+   is kept of the parts is added up for the item.
+5. Short items, which say too little for a cosine, are found word for word.
 
 Sums have the size of the vocabulary and of the latent space, whatever the
 number of documents. Items are the stated query set, searched in blocks.
@@ -29,12 +31,15 @@ RANK = 64
 PASSAGE = 48
 STEP = 12
 LONGEST = 96  # words of one search window; longer items are searched in parts
+GROUP = 1 << 16  # words searched at once: short texts together, long ones in overlapping parts
+WINDOWS = 4_096  # windows multiplied with the items at once
 NEAR = 0.55
 VERBATIM = 0.8  # share of an item's words kept in order: a leak
 PARAPHRASED = 0.6  # with the answer present
 ANSWERED = 0.8
 ITEMS = 2_000  # items of one block of the query set
-SHORTEST = 8  # items with fewer words occur by chance and are not searched
+SHORTEST = 8  # items with fewer words are found word for word only
+ALONE = 4  # and with fewer than these, which any text may hold, as a whole text
 FEATURES = "doc_id long, key long, words binary"
 PLAIN = bytes(b for b in range(33, 127) if not chr(b).isalnum())
 
@@ -165,24 +170,36 @@ def latent_space(found: DataFrame, seed: int = 7):
 
 
 class Pieces:
-    """Items in windows of at most LONGEST words, ready to be searched."""
+    """Items in parts of at most LONGEST words, ready to be searched."""
 
     def __init__(self, items: list[tuple], space) -> None:
         import numpy as np
 
-        self.of, self.words, self.answer = [], [], []
-        for i, (item_id, text) in enumerate(items):
+        self.ids, self.total, self.answer = [], [], []  # of each item
+        self.of, self.words, need = [], [], []  # of each part
+        self.short: dict = {}  # number of words: [(words, item)]
+        for item_id, text in items:
             words = hashed(text)
+            if not len(words):
+                continue
+            sentences = [s for s in text.replace("\n", ". ").split(". ") if s.strip()]
+            item = len(self.ids)
+            self.ids.append(item_id)
+            self.total.append(len(words))
+            self.answer.append(set(hashed(sentences[-1]).tolist()))
+            if len(words) < STEP:
+                self.short.setdefault(len(words), []).append((words, item))
             if len(words) < SHORTEST:
                 continue
-            sentences = [s for s in (text or "").replace("\n", ". ").split(". ") if s.strip()]
-            answer = set(hashed(sentences[-1]).tolist())
-            n = -(-len(words) // LONGEST)
-            for part in np.array_split(words, n):
-                self.of.append(item_id)
+            parts = np.array_split(words, -(-len(words) // LONGEST))
+            for part in parts:
+                self.of.append(item)
                 self.words.append(part)
-                self.answer.append(answer if n == 1 else set())
-        self.blocks = np.array([max(1, round(len(w) / STEP)) for w in self.words], np.int64)
+                # a part may keep less than its item
+                need.append(len(part) * PARAPHRASED / (1 if len(parts) == 1 else 2))
+        self.need = np.array(need)
+        # two steps at least, so that a short item lies whole in some window
+        self.blocks = np.array([max(2, round(len(w) / STEP)) for w in self.words], np.int64)
         self.has = np.zeros((len(self.words), TERMS), bool)
         for i, w in enumerate(self.words):
             self.has[i, w & (TERMS - 1)] = True
@@ -194,6 +211,11 @@ class Pieces:
                 places[word] = places.get(word, 0) | 1 << j
             self.bits.append(places)
 
+    def overlap(self) -> int:
+        """Words that two parts of a long text share, so that one of them has
+        each window with the words around it."""
+        return (int(self.blocks.max(initial=1)) + 3) * STEP
+
 
 def _unit(v):
     import numpy as np
@@ -214,59 +236,140 @@ def common_subsequence(places: dict, length: int, words: list) -> int:
     return length - state.bit_count()
 
 
-def _search(words, pieces: Pieces, space):
-    """Best (piece, kept share, answered, start) of each item part in a text."""
+def _candidates(words, first, sizes, pieces: Pieces, space):
+    """(text, part, start, stop) of windows near a part of an item that share
+    enough words with it; texts lie in ``words`` one after the other."""
     import numpy as np
 
+    n_blocks = -(-sizes // STEP)
+    owner = np.repeat(np.arange(len(sizes)), n_blocks)
+    inside = np.arange(len(owner)) - (np.cumsum(n_blocks) - n_blocks)[owner]
+    edge = first[owner] + inside * STEP
     terms = words & (TERMS - 1)
-    n_blocks = -(-len(terms) // STEP)
-    block = np.add.reduceat(space[terms], np.arange(0, len(terms), STEP), axis=0)
-    run = np.concatenate([np.zeros((1, block.shape[1]), np.float32), np.cumsum(block, axis=0, dtype=np.float64).astype(np.float32)])
-    best: dict = {}
+    block = np.add.reduceat(space[terms], edge, axis=0)
+    run = np.concatenate([np.zeros((1, block.shape[1])), np.cumsum(block, axis=0, dtype=np.float64)])
     for size in np.unique(pieces.blocks):
         mine = np.flatnonzero(pieces.blocks == size)
-        span = min(int(size), n_blocks)
-        window = _unit(run[span:] - run[:-span])
-        at, piece = np.nonzero(window @ pieces.vectors[mine].T >= NEAR)
-        if not len(at):
+        span = np.minimum(size, n_blocks)
+        places = np.flatnonzero(inside <= (n_blocks - span)[owner])
+        width = (int(size) + 2) * STEP
+        for low in range(0, len(places), WINDOWS):
+            at = places[low : low + WINDOWS]
+            window = _unit((run[at + span[owner[at]]] - run[at]).astype(np.float32))
+            row, part = np.nonzero(window @ pieces.vectors[mine].T >= NEAR)
+            at, part = at[row], mine[part]
+            for a in range(0, len(at), GROUP):
+                block_no, p = at[a : a + GROUP], part[a : a + GROUP]
+                text = owner[block_no]
+                start = np.maximum(edge[block_no] - STEP, first[text])
+                stop = np.minimum(start + (span[text] + 2) * STEP, first[text] + sizes[text])
+                # an item's words around the window bound what can be common
+                reach = start[:, None] + np.arange(width)
+                in_window = reach < stop[:, None]
+                reach = np.minimum(reach, len(terms) - 1)
+                shared = (pieces.has[p[:, None], terms[reach]] & in_window).sum(axis=1)
+                good = np.flatnonzero(shared >= pieces.need[p])
+                yield from zip(*(x[good].tolist() for x in (text, p, start, stop)))
+
+
+def _word_for_word(words, first, sizes, wholes, pieces: Pieces):
+    """(text, item, start) of the short items; ``wholes`` tells texts that are
+    not parts of longer ones."""
+    import numpy as np
+
+    for n, asked in pieces.short.items():
+        if len(words) < n:
             continue
-        piece = mine[piece]
-        # an item's words around the window bound what can be common
-        start = np.maximum(at * STEP - STEP, 0)
-        width = (span + 2) * STEP
-        reach = np.minimum(start[:, None] + np.arange(width), len(terms))
-        padded = np.append(terms, 0)
-        shared = (pieces.has[piece[:, None], padded[reach]] & (reach < len(terms))).sum(axis=1)
-        need = np.array([len(w) for w in pieces.words])[piece] * PARAPHRASED
-        for k in np.flatnonzero(shared >= need).tolist():
-            p, s = int(piece[k]), int(start[k])
-            around = words[s : s + width].tolist()
-            length = len(pieces.words[p])
-            kept = common_subsequence(pieces.bits[p], length, around) / length
-            answer = pieces.answer[p]
-            answered = len(answer & set(around)) / len(answer) if answer else 0.0
-            if kept >= VERBATIM or kept >= PARAPHRASED and answered >= ANSWERED:
-                if p not in best or kept > best[p][0]:
-                    best[p] = (kept, answered, s)
+        mixed = np.zeros(len(words) - n + 1, np.uint64)
+        for i in range(n):
+            mixed = mixed * np.uint64(0x9E3779B97F4A7C15) + words[i : len(words) - n + 1 + i]
+        for item_words, item in asked:
+            name = np.uint64(0)
+            with np.errstate(over="ignore"):
+                for w in item_words:
+                    name = name * np.uint64(0x9E3779B97F4A7C15) + np.uint64(w)
+            for at in np.flatnonzero(mixed == name).tolist():
+                text = int(np.searchsorted(first, at, "right")) - 1
+                if at + n > first[text] + sizes[text] or (words[at : at + n] != item_words).any():
+                    continue
+                if n >= ALONE or wholes[text] and sizes[text] == n:
+                    yield text, item, at
+
+
+def _search(slices: list[tuple], pieces: Pieces, space) -> dict:
+    """Of (text, offset, words, whether it is the whole text): the best
+    (words kept, words of the answer, start) of each (text, part of an item)
+    and, with part None, of each (text, short item)."""
+    import numpy as np
+
+    sizes = np.array([len(w) for _, _, w, _ in slices], np.int64)
+    first = np.cumsum(sizes) - sizes
+    words = np.concatenate([w for _, _, w, _ in slices])
+    best: dict = {}
+    for i, item, at in _word_for_word(words, first, sizes, [s[3] for s in slices], pieces):
+        text, offset = slices[i][:2]
+        best.setdefault((text, item, None), (pieces.total[item], pieces.answer[item], int(at - first[i]) + offset))
+    for i, p, start, stop in _candidates(words, first, sizes, pieces, space) if pieces.words else ():
+        around = words[start:stop].tolist()
+        length = len(pieces.words[p])
+        kept = common_subsequence(pieces.bits[p], length, around)
+        item = pieces.of[p]
+        if kept >= pieces.need[p]:
+            text, offset = slices[i][:2]
+            answer = pieces.answer[item].intersection(around)
+            old = best.get((text, item, p))
+            if old is None or (kept, len(answer)) > (old[0], len(old[1])):
+                best[text, item, p] = (kept, answer, int(start - first[i]) + offset)
     return best
 
 
+def _judged(best: dict, pieces: Pieces):
+    """(text, item, kept share, answered share, start): parts added up by item."""
+    items: dict = {}
+    for (text, item, _), (kept, answer, start) in best.items():
+        old = items.get((text, item), (0, frozenset(), start))
+        items[text, item] = (old[0] + kept, old[1] | answer, min(old[2], start))
+    for (text, item), (kept, answer, start) in items.items():
+        kept = min(1.0, kept / pieces.total[item])
+        answered = len(answer) / len(pieces.answer[item]) if pieces.answer[item] else 0.0
+        if kept >= VERBATIM or kept >= PARAPHRASED and answered >= ANSWERED:
+            yield text, pieces.ids[item], kept, answered, start
+
+
 def _found(batches, items: list[tuple], space):
     import numpy as np
     import pyarrow as pa
 
     pieces = Pieces(items, space)
+    overlap = pieces.overlap()
     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64()]
-    names = ["doc_id", "key", "item_id", "kept", "answered", "start"]
     for batch in batches:
-        rows: list[tuple] = []
-        for doc, key, raw in zip(*(batch.column(i).to_pylist() for i in range(3))):
+        docs, keys, raws = (batch.column(i).to_pylist() for i in range(3))
+        best: dict = {}
+        slices, n = [], 0
+
+        def searched():
+            nonlocal slices, n
+            for name, found in (_search(slices, pieces, space) if slices else {}).items():
+                if name not in best or found[0] > best[name][0]:
+                    best[name] = found
+            slices, n = [], 0
+
+        for i, raw in enumerate(raws if pieces.ids else ()):
             words = np.frombuffer(raw, np.uint32)
-            if len(words) and pieces.words:
-                for p, found in _search(words, pieces, space).items():
-                    rows.append((doc, key, pieces.of[p], *found))
+            for offset in range(0, len(words), GROUP):
+                part = words[offset : offset + GROUP + overlap]
+                slices.append((i, offset, part, len(part) == len(words)))
+                n += len(part)
+                if n >= GROUP:
+                    searched()
+        searched()
+        rows = [(docs[i], keys[i], *found) for i, *found in _judged(best, pieces)]
         columns = zip(*rows) if rows else [[]] * 6
-        yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds)], names)
+        yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds)], FOUND)
+
+
+FOUND = ["doc_id", "key", "item_id", "kept", "answered", "start"]
 
 
 def leaks(
@@ -275,11 +378,14 @@ def leaks(
 ) -> DataFrame:
     """``(doc_id, key, item_id, kept, answered, start)``: documents that hold a
     benchmark item, the share of the item's words kept in order, the share of
-    its answer's words, and the word where the window starts. ``key`` tells
-    rows with one id apart.
-
-    Null and empty texts hold nothing; items with fewer than SHORTEST words are
-    not searched. Rows equal in id and text are one document; equal items are
+    its answer's words, and the word where the first window starts. ``key``
+    tells rows with one id apart.
+
+    Null and empty texts hold nothing. Items of more than LONGEST words are
+    searched in parts, each where the text keeps most of it; the parts' words
+    add up. Items with fewer than STEP words are also looked for word for word;
+    with fewer than SHORTEST only so, and with fewer than ALONE they have to be
+    the whole text. Items without a word are in no text. Rows equal in id and text are one document; equal items are
     each found. Empty tables give an empty result. Whole texts are searched,
     with no limit on candidates. Other columns are not looked at.
     """
@@ -296,8 +402,9 @@ def leaks(
         items = [(r["item_id"], r["text"]) for r in mine.collect()]
         searched = found.mapInArrow(lambda it, items=items: _found(it, items, space), out.schema)
         out = out.unionByName(searched) if block else searched
-    return out.groupBy("doc_id", "key", "item_id").agg(
-        F.max("kept").alias("kept"), F.max("answered").alias("answered"), F.min("start").alias("start")
+    best = F.max(F.struct("kept", "answered", (-F.col("start")).alias("start"))).alias("best")
+    return out.groupBy("doc_id", "key", "item_id").agg(best).select(
+        "doc_id", "key", "item_id", "best.kept", "best.answered", (-F.col("best.start")).alias("start")
     )
 
 

@@ -337,6 +337,45 @@ def test_decontamination_finds_leaks_and_paraphrases(spark, vocabulary):
     assert decontaminate.leaks(docs, benchmark.limit(0)).count() == 0
 
 
+def test_decontamination_of_long_items_short_items_and_long_texts(spark, vocabulary, monkeypatch):
+    rng = random.Random(11)
+    lengths = {1: 9, 2: 94, 3: 102, 4: 400}
+    items = {i: prose(rng, n - 5, vocabulary) + ". " + prose(rng, 5, vocabulary) for i, n in lengths.items()}
+    items |= {5: "seven rare words xqa xqb xqc xqd", 6: "xqe xqf", 7: "", 8: "..."}
+    rows = [(i, prose(rng, 400, vocabulary)) for i in range(40)]
+    want = set()
+    for i in (1, 2, 3, 4):
+        words = items[i].split()
+        lost = [w for n, w in enumerate(words) if n % 4 or n >= len(words) - 5]
+        rows.append((100 + i, " ".join([prose(rng, 50, vocabulary), *words, prose(rng, 20, vocabulary)])))
+        want.add((100 + i, i))
+        if i > 1:  # paraphrases: with the answer, and without it
+            rows.append((110 + i, " ".join([prose(rng, 50, vocabulary), *lost, prose(rng, 20, vocabulary)])))
+            want.add((110 + i, i))
+            rows.append((120 + i, " ".join([*lost[:-5], prose(rng, 20, vocabulary)])))
+    rows.append((130, " ".join([prose(rng, 60, vocabulary), *items[4].split()[:150]])))  # a third of an item
+    rows.append((140, "some " + items[5].upper() + ", then"))
+    rows.append((141, "seven rare words xqa xqb xqc so xqd"))
+    rows.append((142, "Xqe, xqf!"))
+    rows.append((143, "not alone: xqe xqf"))
+    want |= {(140, 5), (142, 6)}
+    docs = frame(spark, rows, "doc_id long, text string")
+    benchmark = frame(spark, list(items.items()), "item_id long, text string")
+
+    def found(docs):
+        return {(r["doc_id"], r["item_id"]) for r in decontaminate.leaks(docs, benchmark).collect()}
+
+    assert found(docs) == want
+    # a text of a million words, each item somewhere, the last ones over the ends of its parts
+    filler = [prose(rng, 5_000, vocabulary)] * 200
+    for place, i in ((40, 1), (77, 2), (120, 3)):
+        filler[place] = filler[place] + " " + items[i]
+    edge = decontaminate.GROUP * 2 - 200
+    whole = " ".join(filler).split()
+    whole[edge:edge] = items[4].split()
+    assert found(frame(spark, [(1, " ".join(whole)), (2, None)], "doc_id long, text string")) == {(1, i) for i in range(1, 5)}
+
+
 def test_bit_arithmetic_gives_the_longest_common_subsequence():
     rng = random.Random(1)
     for _ in range(200):
