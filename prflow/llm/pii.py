@@ -318,5 +318,7 @@ def pseudonymize(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
 
     nothing = F.struct(raw.alias("text"), F.array().cast("array<string>").alias("kinds"))
     out = F.when(raw.rlike("[0-9@]"), F.when(raw.rlike(FOUND), let(found, rebuilt))).otherwise(nothing)
-    done = docs.drop("replaced").withColumn("_pii", F.coalesce(out, nothing))
-    return done.withColumn(text, F.col("_pii.text")).withColumn("replaced", F.col("_pii.kinds")).drop("_pii")
+    names = [c for c in docs.columns if c.lower() != "replaced"]
+    done = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.coalesce(out, nothing).alias("done"))
+    columns = [F.col("done.text" if c.lower() == text.lower() else f"row.`{c}`").alias(c) for c in names]
+    return done.select(*columns, F.col("done.kinds").alias("replaced"))

@@ -75,9 +75,20 @@ def test_names_are_permuted_one_to_one(spark):
 
 
 def test_clashing_columns_empty_tables_and_no_python(spark):
-    frame = spark.createDataFrame([(1, "1.2.3.4", 5, 6)], "doc_id long, text string, kind int, p int")
+    schema = "doc_id long, text string, kind int, p int, _pii string, row int, done int, replaced int"
+    frame = spark.createDataFrame([(1, "1.2.3.4", 5, 6, "own", 7, 8, 9)], schema)
     out = pii.pseudonymize(frame, "k")
-    assert out.columns == ["doc_id", "text", "kind", "p", "replaced"] and out.first()["kind"] == 5
+    assert out.columns == ["doc_id", "text", "kind", "p", "_pii", "row", "done", "replaced"]
+    got = out.first()
+    assert (got["kind"], got["_pii"], got["row"], got["done"], got["replaced"]) == (5, "own", 7, 8, ["ip"])
     assert pii.pseudonymize(frame.limit(0), "k").count() == 0
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Exchange" not in plan
+
+
+def test_very_long_texts_are_read_whole(spark):
+    text = "some words here " * 60_000 + "10.20.30.40 " + "more words " * 60_000 + "a.b@example.org"
+    got = run(spark, [text, "10.20.30.40 a.b@example.org"])
+    assert len(got[0]["replaced"]) == 2
+    new_ip, new_mail = got[1]["text"].split(" ")
+    assert got[0]["text"] == text.replace("10.20.30.40", new_ip).replace("a.b@example.org", new_mail)
