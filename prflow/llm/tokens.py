@@ -252,11 +252,10 @@ def count_tokens(docs: DataFrame, path: str, text: str = "text", doc_id: str = "
         lambda it: _batches(it, path, _whole), "doc_id long, n_bytes long, n_tokens long"
     )
     long = rows.filter(length > CHUNK).select("*", text_key(F.col("text")).alias("key"))
-    number = F.explode(F.sequence(F.lit(0), ((length - 1) / CHUNK).cast("int")))
-    parts = long.select("doc_id", "key", "text", number.alias("chunk")).select(
-        "doc_id", "key", "chunk", F.expr(f"substring(text, chunk * {CHUNK} + 1, {CHUNK})").alias("part")
-    )
-    maps = parts.mapInArrow(lambda it: _batches(it, path, _maps), MAP)
+    # cut in one walk over the text, and dealt to tasks
+    cut = F.regexp_extract_all("text", F.lit(f"(?s).{{1,{CHUNK}}}+"), F.lit(0))
+    parts = long.select("doc_id", "key", F.posexplode(cut).alias("chunk", "part"))
+    maps = parts.repartition("doc_id", "key", "chunk").mapInArrow(lambda it: _batches(it, path, _maps), MAP)
     one = F.struct("chunk", "n_bytes", "head", "inner", "tail")
     runs = maps.groupBy("doc_id", "key", (F.col("chunk") / RUN).cast("int").alias("run")).agg(
         F.sort_array(F.collect_set(one)).alias("maps"), F.count("*").alias("n")

@@ -83,6 +83,7 @@ def test_token_counts_equal_the_library(spark, vocabulary, monkeypatch):
     letters = list("ab Z's'll\n\t 19é!?  ") + ["<|endoftext|>", "中", "\U0001f600", "don't", " " * 9]
     texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 200))) for _ in range(80)]
     texts += ["", None, "abc" * 20_000, "word " * 9_000, " " * 40_000, "word " * 9_000, "x<|endoftext|>" * 4_000]
+    texts += ["a \U0001f600" * 20_000, "line\r\n\u2028" * 9_000]
     rows = list(enumerate(texts)) + [(None, "no id"), (3, texts[3])]
     got = tokens.count_tokens(frame(spark, rows), vocabulary).collect()
     want = sorted(
