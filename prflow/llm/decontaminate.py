@@ -198,8 +198,12 @@ class Pieces:
                 # a part may keep less than its item
                 need.append(len(part) * PARAPHRASED / (1 if len(parts) == 1 else 2))
         self.need = np.array(need)
-        # two steps at least, so that a short item lies whole in some window
-        self.blocks = np.array([max(2, round(len(w) / STEP)) for w in self.words], np.int64)
+        # parts searched by windows of so many steps; a short one also by two,
+        # so that it lies whole in some window
+        steps = np.array([max(1, round(len(w) / STEP)) for w in self.words], np.int64)
+        self.by_steps = {int(n): np.flatnonzero(steps == n) for n in np.unique(steps)}
+        if 1 in self.by_steps:
+            self.by_steps[2] = np.flatnonzero(steps <= 2)
         self.has = np.zeros((len(self.words), TERMS), bool)
         for i, w in enumerate(self.words):
             self.has[i, w & (TERMS - 1)] = True
@@ -214,7 +218,7 @@ class Pieces:
     def overlap(self) -> int:
         """Words that two parts of a long text share, so that one of them has
         each window with the words around it."""
-        return (int(self.blocks.max(initial=1)) + 3) * STEP
+        return (max(self.by_steps, default=1) + 3) * STEP
 
 
 def _unit(v):
@@ -248,11 +252,10 @@ def _candidates(words, first, sizes, pieces: Pieces, space):
     terms = words & (TERMS - 1)
     block = np.add.reduceat(space[terms], edge, axis=0)
     run = np.concatenate([np.zeros((1, block.shape[1])), np.cumsum(block, axis=0, dtype=np.float64)])
-    for size in np.unique(pieces.blocks):
-        mine = np.flatnonzero(pieces.blocks == size)
+    for size, mine in pieces.by_steps.items():
         span = np.minimum(size, n_blocks)
         places = np.flatnonzero(inside <= (n_blocks - span)[owner])
-        width = (int(size) + 2) * STEP
+        width = (size + 2) * STEP
         for low in range(0, len(places), WINDOWS):
             at = places[low : low + WINDOWS]
             window = _unit((run[at + span[owner[at]]] - run[at]).astype(np.float32))
