@@ -4,9 +4,9 @@ Repeated passages rarely start where a line starts, so paragraphs are cut by
 content: each of LENGTH words, at the word pairs whose hash is among the lowest
 1 / RARE, and at the lowest pair of CUT neighbours that hold none of these. A
 rare pair starts a paragraph whatever is around it, so copies of a passage hold
-the same paragraphs. Any run of CUT + LENGTH words that two documents share
-holds one paragraph in both. Texts also start one at their first word, so that
-whole copies go from their start on.
+the same paragraphs. Any run of CUT + LENGTH words that two documents share holds
+one paragraph in both. Texts also start one at their first word, so that whole
+copies go from their start on, short ones too.
 
 Each paragraph has BANDS minima of its five-word shingles; a band of one row
 already tells prose apart, and BANDS of them find a similarity of 0.8 with a
@@ -28,10 +28,12 @@ SHINGLE = 5
 CUT = 16
 RARE = 8
 LENGTH = 25
-LEAST = 17  # at the end of a text
+LEAST = 17  # at the end of a text; at its start one shingle is enough
 BANDS = 3
 SIMILAR = 0.8
-PAIRED = 64
+PAIRED = 64  # contents of a band that form pairs at once
+STARS = 2  # centres a larger band gets one after the other
+PART = 1 << 22  # words of a text that are looked at together
 NO_ID = (1 << 63) - 1
 ID = "doc_id long, key long"
 
@@ -55,35 +57,47 @@ def _shingles(words):
     return _mixed(out, 0x77)
 
 
-def _paragraphs(texts: list[list]):
-    """For word hashes of several documents: all words, their shingles, and per
-    document the range of its paragraphs (start and end, counted in all words)."""
+def _lowest(values, width: int):
+    """The least of each ``width`` neighbours."""
     import numpy as np
 
-    lengths = np.array([len(t) for t in texts], np.int64)
+    done = 1
+    while done < width and len(values):
+        step = min(done, width - done)
+        values = np.minimum(values[:-step], values[step:])
+        done += step
+    return values
+
+
+def _paragraphs(parts: list[tuple]):
+    """For word hashes of several parts of texts, each with the range of places
+    where its paragraphs may start: all words, their shingles, and per part the
+    range of its paragraphs (start and end, counted in all words)."""
+    import numpy as np
+
+    lengths = np.array([len(words) for words, _, _ in parts], np.int64)
     ends = np.cumsum(lengths)
-    words = np.concatenate(texts).astype(np.uint64) if texts else np.zeros(0, np.uint64)
+    begins = ends - lengths
+    words = np.concatenate([words for words, _, _ in parts]).astype(np.uint64) if parts else np.zeros(0, np.uint64)
     n = len(words)
-    if n < LEAST:
+    if n < SHINGLE:
         none = np.zeros(0, np.int64)
-        return words, words, none, none, np.zeros(len(texts) + 1, np.int64)
-    owner_end = np.repeat(ends, lengths)
+        return words, words, none, none, np.zeros(len(parts) + 1, np.int64)
+    owner = np.repeat(np.arange(len(parts)), lengths)
     pair = _mixed(np.r_[np.uint64(0), words[:-1]] * np.uint64(0x9E3779B97F4A7C15) + words, 0x51)
-    begin = np.repeat(ends - lengths, lengths)
     place = np.uint64((1 << 24) - 1)
-    rare = pair < np.uint64((1 << 64) // RARE)
-    least = (pair & ~place) | np.arange(n, dtype=np.uint64)
-    done = 1
-    while done < CUT:  # CUT is a power of two
-        least = np.minimum(least[:-done], least[done:]) if len(least) > done else least[:0]
-        done *= 2
+    least = _lowest((pair & ~place) | np.arange(n, dtype=np.uint64), CUT)
     at = np.arange(len(least))
-    inside = (at + CUT <= owner_end[: len(least)]) & (at > begin[: len(least)])
-    own = np.flatnonzero(rare & (np.arange(n) > begin))
-    starts = np.unique(np.r_[own, (least[inside] & place).astype(np.int64), (ends - lengths)[lengths > 0]])
+    inside = (at + CUT <= ends[owner[: len(least)]]) & (at > begins[owner[: len(least)]])
+    texts = begins[(lengths > 0) & np.array([low == 0 for _, low, _ in parts])]
+    rare = np.flatnonzero((pair < np.uint64((1 << 64) // RARE)) & (np.arange(n) > begins[owner]))
     # of windows that hold a rare pair the lowest is rare itself
-    ending = np.minimum(starts + LENGTH, owner_end[starts])
-    keep = ending - starts >= LEAST
+    starts = np.unique(np.r_[rare, (least[inside] & place).astype(np.int64), texts])
+    ending = np.minimum(starts + LENGTH, ends[owner[starts]])
+    own = starts - begins[owner[starts]]
+    low, high = (np.array([p[i] for p in parts], np.int64)[owner[starts]] for i in (1, 2))
+    enough = ending - starts >= np.where((own == 0) & (low == 0), SHINGLE, LEAST)
+    keep = enough & (own >= low) & (own < high)
     starts, ending = starts[keep], ending[keep]
     bounds = np.searchsorted(starts, np.r_[0, ends])
     return words, _shingles(words), starts, ending, bounds
@@ -115,12 +129,12 @@ def _grouped(texts, most: int = 1 << 20):
 
 
 def _parts(words):
-    """A text with more words than the place bits is cut into overlapping
-    parts; (offset, part)."""
-    most, overlap = 1 << 22, 1 << 10
-    if len(words) <= most:
-        return [(0, words)]
-    return [(a, words[a : a + most + overlap]) for a in range(0, len(words), most)]
+    """A text with more words than the place bits is cut into parts that also
+    see their neighbours' words: (offset, (part, first place, end of places)).
+    All parts together have the paragraphs of the whole."""
+    for a in range(0, max(1, len(words)), PART):
+        since = max(0, a - CUT)
+        yield since, (words[since : a + PART + CUT + LENGTH], a - since, a - since + PART)
 
 
 def _emit_bands(batches):
@@ -131,13 +145,13 @@ def _emit_bands(batches):
     for batch in batches:
         parts = [(i, at, part) for i, t in enumerate(batch.column(2).to_pylist()) for at, part in _parts(hashed(t))]
         ids, keys = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-        for group in _grouped([p for _, _, p in parts]):
+        for group in _grouped([p[0] for _, _, p in parts]):
             words, shingles, starts, ending, bounds = _paragraphs([parts[g][2] for g in group])
             if not len(starts):
                 continue
             counts = np.diff(bounds)
             row = np.repeat([parts[g][0] for g in group], counts)
-            first = np.cumsum([0, *(len(parts[g][2]) for g in group)])[:-1]
+            first = np.cumsum([0, *(len(parts[g][2][0]) for g in group)])[:-1]
             local = starts - np.repeat(first, counts) + np.repeat([parts[g][1] for g in group], counts)
             cuts = np.empty(2 * len(starts), np.int64)
             cuts[::2], cuts[1::2] = starts, ending - SHINGLE + 1
@@ -216,31 +230,113 @@ def jaccard(a: Column, b: Column) -> Column:
     return both / (F.size(a) + F.size(b) - both)
 
 
-def _contested(bands: DataFrame) -> DataFrame:
-    """Bands of several contents, with their number."""
-    sizes = bands.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1")
-    return written(bands.join(sizes, "band"), "bands")
+def _by_band(hits: DataFrame) -> DataFrame:
+    """``(band, content, at, last, copies)``: the first place of each content,
+    its last document and the number of its places."""
+    return written(hits.groupBy("band", "content").agg(
+        F.min(F.struct("doc_id", "key", "start", "length")).alias("at"), F.max(F.struct("doc_id", "key")).alias("last"),
+        F.count("*").alias("copies"),
+    ), "contents")
+
+
+def _contested(contents: DataFrame) -> DataFrame:
+    """``(band, content, at, copies, n, centre)`` of bands of several contents,
+    with their number and the one with the most places."""
+    bands = contents.groupBy("band").agg(F.count("*").alias("n"), F.max(F.struct("copies", "content")).alias("most"))
+    return written(contents.drop("last").join(bands.filter("n > 1"), "band").select(
+        "band", "content", "at", "copies", "n", F.col("most.content").alias("centre")
+    ), "bands")
+
+
+def sketched(sets: DataFrame) -> DataFrame:
+    """Sets with their size and a 64-bit map: the bit of each member is set."""
+    bit = F.expr("aggregate(shingles, 0L, (bits, x) -> bits | shiftleft(1L, cast(pmod(x, 64) as int)))")
+    return sets.withColumns({"size": F.size("shingles"), "bits": bit})
+
+
+def _similar(pairs: DataFrame, sets: DataFrame, similar: float) -> DataFrame:
+    """The pairs ``(a, b)`` of contents whose shingles are similar. Members that
+    only one of two similar sets has are at most ``(1 - similar) / (1 + similar)``
+    of both sizes, and the maps differ in no more bits: who differs in more
+    is dropped before the sets are read."""
 
+    def side(name: str, *columns: str) -> DataFrame:
+        return sets.select(F.col("content").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in columns])
 
-def _pairs(bands: DataFrame, sets: DataFrame, similar: float) -> DataFrame:
-    """``(a, b)`` different contents to verify. Bands with up to PAIRED contents
-    form all pairs. In larger ones, two similar sets share one of the shingles
-    that are rarest there (prefix filter), so only those form pairs."""
+    maps = pairs.join(side("a", "size", "bits"), "a").join(side("b", "size", "bits"), "b")
+    own = F.floor((F.col("size_a") + F.col("size_b")) * ((1 - similar) / (1 + similar)) + F.lit(1e-9))
+    near = maps.filter(F.bit_count(F.col("bits_a").bitwiseXOR(F.col("bits_b"))) <= own).select("a", "b")
+    checked = near.join(side("a", "shingles"), "a").join(side("b", "shingles"), "b")
+    return checked.filter(jaccard(F.col("shingles_a"), F.col("shingles_b")) >= similar).select("a", "b")
+
+
+def _either(a: str, b: str) -> list[Column]:
+    return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
+
+
+def _links(bands: DataFrame, sets: DataFrame, similar: float) -> DataFrame:
+    """Verified links ``(a, b)`` that connect all similar contents of a band.
+
+    Bands with up to PAIRED contents form all pairs. Larger ones are compared
+    with their centre; those that are not similar to it get a centre of their
+    own, STARS times. Two contents that are connected by then need no comparison.
+    Of the others, those are compared that share one of their rarest shingles
+    (prefix filter: of two sets of n and m shingles that are similar, more than
+    ``similar / (1 + similar) * (n + m)`` are the same, so already the rarest
+    few have one in common)."""
     few, many = bands.filter(F.col("n") <= PAIRED), bands.filter(F.col("n") > PAIRED)
     x, y = few.alias("x"), few.alias("y")
     found = x.join(y, "band").filter("x.content < y.content").select(F.col("x.content").alias("a"), F.col("y.content").alias("b"))
-    each = many.join(sets, "content").select("band", "content", F.explode("shingles").alias("shingle"))
+    stars = many.filter("content <> centre").select(*_either("content", "centre"))
+    links = written(_similar(found.unionByName(stars).distinct(), sets, similar), "links")
+    far = many.select("band", "content", "copies", "centre").filter("content <> centre")
+    all_links = links
+    for turn in range(STARS):
+        both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        far = written(far.join(
+            both, (F.col("content") == F.col("a")) & (F.col("centre") == F.col("b")), "left_anti"
+        ).select("band", "content", "copies"), "far")
+        if turn == 0:
+            first_far = far
+        if turn + 1 == STARS or far.isEmpty():
+            break
+        centres = far.groupBy("band").agg(F.max(F.struct("copies", "content")).alias("most")).select(
+            "band", F.col("most.content").alias("centre")
+        )
+        far = far.join(centres, "band").filter("content <> centre")
+        links = written(_similar(far.select(*_either("content", "centre")).distinct(), sets, similar), "links")
+        all_links = all_links.unionByName(links)
+    if first_far.isEmpty():
+        return all_links
+
+    dense = many.join(first_far.select("band").distinct(), "band", "left_semi").select("band", "content")
+    dense = written(dense, "dense")
+    inside = dense.select("content").distinct()
+    near = all_links.join(inside, F.col("a") == F.col("content"), "left_semi").join(
+        inside, F.col("b") == F.col("content"), "left_semi"
+    )
+    each = dense.join(sets, "content").select("band", "content", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
     common = each.groupBy("band", "shingle").agg(F.count("*").alias("f"))
-    ranked = each.join(common, ["band", "shingle"]).groupBy("band", "content").agg(
+    ranked = each.join(common, ["band", "shingle"]).groupBy("band", "content", "n").agg(
         F.sort_array(F.collect_list(F.struct("f", "shingle"))).alias("s")  # one paragraph's shingles
     )
-    prefix = F.slice("s", 1, F.size("s") - F.ceil(F.size("s") * F.lit(similar) - F.lit(1e-9)).cast("int") + 1)
-    keys = ranked.select("band", "content", F.inline(prefix)).filter("f > 1").select("band", "content", "shingle")
-    x, y = keys.alias("x"), keys.alias("y")
-    dense = x.join(y, ["band", "shingle"]).filter("x.content < y.content").select(
-        F.col("x.content").alias("a"), F.col("y.content").alias("b")
+    exact = F.lit(1e-9)
+    least, most = F.ceil(F.col("n") * similar - exact), F.floor(F.col("n") / similar + exact)
+    partner = ranked.select("*", F.explode(F.sequence(least.cast("int"), most.cast("int"))).alias("m"))
+    same = F.ceil((F.col("n") + F.col("m")) * (similar / (1 + similar)) - exact).cast("int")
+    prefix = partner.select("band", "content", "n", "m", F.inline(F.slice("s", 1, F.col("n") - same + 1))).filter("f > 1")
+    known = components(near).select(F.col("node"), "root")
+    keys = prefix.join(known, F.col("content") == F.col("node"), "left").select(
+        "band", "shingle", "content", "n", "m", F.coalesce("root", "content").alias("root"),
+        F.least("n", "m").alias("low"), F.greatest("n", "m").alias("high"),
     )
-    return found.unionByName(dense).distinct()
+    place = ["band", "shingle", "low", "high"]
+    keys = written(keys, "keys")
+    open_keys = keys.groupBy(*place).agg(F.min("root").alias("r"), F.max("root").alias("s")).filter("r < s")
+    keys = keys.join(open_keys.select(*place), place, "left_semi")
+    x, y = keys.alias("x"), keys.alias("y")
+    rest = x.join(y, place).filter("x.n = y.m and x.root < y.root").select(*_either("x.content", "y.content"))
+    return all_links.unionByName(_similar(rest.distinct(), sets, similar))
 
 
 def repeated_paragraphs(
@@ -253,7 +349,7 @@ def repeated_paragraphs(
     apart. Paragraphs of one document may overlap; spans to remove are unions.
 
     Words are compared in lower case, without ASCII punctuation. Null texts,
-    empty ones and those with fewer than LEAST words have no paragraph. Rows
+    empty ones and those with fewer than SHINGLE words have no paragraph. Rows
     equal in id and text are one document. Equal words are told by a 64-bit
     hash. Ties go to the earlier paragraph. An
     empty table gives an empty result; other columns are not looked at. Texts
@@ -270,26 +366,22 @@ def repeated_paragraphs(
         ), "collisions",
     )
     # exact copies have one content and need no shingles
-    bands = _contested(hits.select("band", "content").distinct())
+    contents = _by_band(hits)
+    bands = _contested(contents)
     # each contested content is read at one of its places
-    spots = hits.join(bands.select("content").distinct(), "content", "left_semi").groupBy("content").agg(
-        F.min(F.struct("doc_id", "key", "start", "length")).alias("at")
-    )
+    spots = bands.groupBy("content").agg(F.min("at").alias("at"))
     asked = spots.groupBy(F.col("at.doc_id").alias("doc_id"), F.col("at.key").alias("key")).agg(
         F.collect_list(F.struct("at.start", "at.length", "content")).alias("asked")
     )
     one = rows.mapInArrow(_pack, f"{ID}, packed binary").join(asked, ["doc_id", "key"]).dropDuplicates(["doc_id", "key"])
-    known = written(one.mapInArrow(_emit_shingles, "content long, shingles array<long>"), "sets")
+    known = written(sketched(one.mapInArrow(_emit_shingles, "content long, shingles array<long>")), "sets")
     units = hits.select("doc_id", "key", "start", (F.col("start") + F.col("length")).alias("end"), "content").distinct()
-    pairs = written(_pairs(bands, known, similar), "pairs")
-    checked = pairs.join(known.select(F.col("content").alias("a"), F.col("shingles").alias("sa")), "a").join(
-        known.select(F.col("content").alias("b"), F.col("shingles").alias("sb")), "b"
-    )
-    roots = components(checked.filter(jaccard(F.col("sa"), F.col("sb")) >= similar).select("a", "b"))
+    roots = components(_links(bands, known, similar))
     spot = F.struct("doc_id", "key", "start")
     places = units.select(spot.alias("spot"), "end", "content")
-    firsts = hits.groupBy("content").agg(
-        F.min(spot).alias("first"), F.max(spot).alias("last")
+    first = F.struct("at.doc_id", "at.key", "at.start")
+    firsts = contents.groupBy("content").agg(
+        F.min(first).alias("first"), F.max("last").alias("last")
     ).join(roots, F.col("content") == F.col("node"), "left").withColumn("class", F.coalesce("root", "content"))
     classes = firsts.groupBy(F.col("class").alias("c")).agg(F.min("first").alias("class_first"), F.max("last").alias("class_last"))
     several = (F.col("class_first.doc_id") != F.col("class_last.doc_id")) | (F.col("class_first.key") != F.col("class_last.key"))

@@ -6,6 +6,7 @@ import hashlib
 import random
 from itertools import combinations
 
+import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -295,7 +296,7 @@ def test_paragraphs_find_shared_passages_and_leave_others(spark, vocabulary):
     assert paragraphs.repeated_paragraphs(frame(spark, [])).count() == 0
 
 
-def test_dense_bands_form_the_pairs_of_similar_sets(spark, monkeypatch):
+def test_dense_bands_connect_all_similar_sets(spark, monkeypatch):
     rng = random.Random(4)
     base = list(range(40))
     sets = []
@@ -304,12 +305,80 @@ def test_dense_bands_form_the_pairs_of_similar_sets(spark, monkeypatch):
         sets.append((bytes([i]), sorted(own)))
     monkeypatch.setattr(paragraphs, "PAIRED", 5)
     known = frame(spark, sets, "content binary, shingles array<long>")
-    bands = paragraphs._contested(known.select(F.lit(1).cast("long").alias("band"), "content"))
-    got = {(bytes(r["a"]), bytes(r["b"])) for r in paragraphs._pairs(bands, known, 0.8).collect()}
+    hits = known.select(F.lit(1).cast("long").alias("band"), F.lit(0).alias("doc_id"), F.lit(0).alias("key"),
+                        F.lit(0).alias("start"), F.lit(0).alias("length"), "content")
+    bands = paragraphs._contested(paragraphs._by_band(hits))
+    known = paragraphs.sketched(known)
+    got = {(bytes(r["a"]), bytes(r["b"])) for r in paragraphs._links(bands, known, 0.8).collect()}
     want = {
         (a, b) for (a, x), (b, y) in combinations(sets, 2) if len(set(x) & set(y)) >= 0.8 * len(set(x) | set(y))
     }
-    assert want and want <= got
+    assert want and got <= want
+    nodes = [c for c, _ in sets]
+    assert roots_of(nodes, got) == roots_of(nodes, want)
+    assert len(set(roots_of(nodes, want).values())) > 1
+
+
+def brute_paragraphs(texts):
+    """Paragraphs (start, end) of each text by their definition, and the set of shingles of each."""
+    out = []
+    for words in texts:
+        n = len(words)
+        pair = paragraphs._mixed(np.r_[np.uint64(0), words[:-1]].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + words, 0x51)
+        high = [int(p) >> 24 for p in pair]
+        starts = {0} if n else set()
+        starts |= {i for i in range(1, n) if int(pair[i]) < (1 << 64) // paragraphs.RARE}
+        for a in range(1, n - paragraphs.CUT + 1):
+            starts.add(min(range(a, a + paragraphs.CUT), key=lambda i: (high[i], i)))
+        found = []
+        for s in sorted(starts):
+            end = min(n, s + paragraphs.LENGTH)
+            if end - s >= (5 if s == 0 else paragraphs.LEAST):
+                found.append((s, end, frozenset(tuple(words[i : i + 5]) for i in range(s, end - 4))))
+        out.append(found)
+    return out
+
+
+def test_paragraphs_of_parts_are_those_of_the_whole(vocabulary, monkeypatch):
+    rng = random.Random(12)
+    texts = [decontaminate.hashed(prose(rng, n, vocabulary)).astype(np.uint64) for n in (0, 3, 5, 16, 24, 25, 60, 700)]
+    want = [[(a, b) for a, b, _ in found] for found in brute_paragraphs(texts)]
+    for part in (1 << 22, 40):
+        monkeypatch.setattr(paragraphs, "PART", part)
+        parts = [(i, at, p) for i, t in enumerate(texts) for at, p in paragraphs._parts(t)]
+        _, _, starts, ends, bounds = paragraphs._paragraphs([p for _, _, p in parts])
+        got = [[] for _ in texts]
+        first = 0
+        for (i, at, p), a, b in zip(parts, bounds, bounds[1:]):
+            got[i] += [(int(s) - first + at, int(e) - first + at) for s, e in zip(starts[a:b], ends[a:b])]
+            first += len(p[0])
+        assert got == want
+
+
+def test_paragraph_classes_have_the_recall_of_the_brute_force(spark, vocabulary):
+    rng = random.Random(13)
+    base = [prose(rng, 90, vocabulary).split() for _ in range(15)]
+    rows = []
+    for i in range(90):
+        words = list(rng.choice(base))
+        for _ in range(rng.randint(0, 3)):
+            words[rng.randrange(len(words))] = rng.choice(vocabulary)
+        rows.append((i, " ".join(prose(rng, rng.randint(0, 30), vocabulary).split() + words)))
+    rows += [(200, "a short text of seven words here"), (201, "A short text, of seven words here"), (202, "only four words here")]
+    hashes = [decontaminate.hashed(t).astype(np.uint64) for _, t in rows]
+    units = [(d, s, grams) for (d, _), found in zip(rows, brute_paragraphs(hashes)) for s, _, grams in found]
+    near = [
+        (a, b) for a, b in combinations(range(len(units)), 2)
+        if len(units[a][2] & units[b][2]) >= 0.8 * len(units[a][2] | units[b][2])
+    ]
+    group = roots_of(range(len(units)), near)
+    members = {}
+    for u, root in group.items():
+        members.setdefault(root, []).append(u)
+    want = {units[u][:2] for us in members.values() if len({units[u][0] for u in us}) > 1 for u in us}
+    got = {(r["doc_id"], r["start"]) for r in paragraphs.repeated_paragraphs(frame(spark, rows)).collect()}
+    assert {(200, 0), (201, 0)} <= got <= want
+    assert len(got) >= 0.98 * len(want)
 
 
 def test_decontamination_finds_leaks_and_paraphrases(spark, vocabulary):
