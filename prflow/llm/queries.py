@@ -22,7 +22,7 @@ def query(make):
 
 # The rules of the contract.
 URL_RULES = [
-    ("allow", "org", "/"), ("block", "example.org", "/es/"), ("allow", "example.org", "/en/1"),
+    ("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
     ("allow", "com", "/fr/"), ("block", "com", "/de/"),
 ]
 
