@@ -28,7 +28,7 @@ from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 from prflow import schemas
 from prflow.operators import project
 from prflow.operators.flatten import PAGES_PER_SEGMENT
-from prflow.operators.joins import lookup_join
+from prflow.operators.joins import fits_broadcast, lookup_join
 from prflow.plans.files import Files
 from prflow.plans.loads import default_deleted
 from prflow.sinks import keyed
@@ -56,6 +56,14 @@ def _with_notes(schema: StructType) -> StructType:
     return StructType([*schema.fields, *notes])
 
 
+def _notes(schema: StructType, key: str) -> dict[str, Column]:
+    values = [c for c in schema.names if c != key]
+    notes = {"digest": F.concat_ws("-", F.xxhash64(*values), F.xxhash64(F.lit(1), *values))}
+    if "items" in schema.names:
+        notes["n_items"] = F.size("items")
+    return notes
+
+
 def bucket_of(key: Column) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")
 
@@ -111,13 +119,14 @@ class Store:
     def _folder(self, name: str, load: str) -> str:
         return f"{self.root}/{name}/rows/load={load}"
 
-    def _write(self, name: str, rows: DataFrame, key: Column | None) -> str:
-        """Rows as a new load, dealt by bucket; large buckets are split."""
+    def _write(self, name: str, rows: DataFrame, key: Column | None, notes: dict[str, Column] | None = None) -> str:
+        """Rows as a new load, dealt by bucket; large buckets are split. The
+        ``notes`` are added where the rows arrive, not carried there."""
         load = uuid.uuid4().hex
         if key is None:
             rows.write.parquet(self._folder(name, load))
             return load
-        dealt = rows.withColumn("bucket", bucket_of(key)).hint("rebalance", "bucket")
+        dealt = rows.withColumn("bucket", bucket_of(key)).hint("rebalance", "bucket").withColumns(notes or {})
         order = [c for c in ("repository_id", "parent_id", "id") if c in rows.columns]
         dealt.sortWithinPartitions("bucket", *order).write.partitionBy("bucket").parquet(self._folder(name, load))
         return load
@@ -181,33 +190,47 @@ class Store:
 
     # -- tables whose rows replace older ones of their key
 
-    def _put(self, name: str, schema: StructType, key: str, new: DataFrame, bucket_key: Column) -> None:
+    def _put(
+        self, name: str, schema: StructType, key: str, new: DataFrame, bucket_key: Column, ready: bool = False
+    ) -> None:
         """Keys in ``new`` get these rows and no others. Keys whose rows are
-        the same as before are left as they are."""
+        the same as before are left as they are.
+
+        Rows that are compared first cross no exchange for that: they are set
+        aside as they come (unless ``ready``: they lie in files already, and can
+        be read again), and only those that differ are dealt by bucket."""
         self.wrote.add(name)
-        kept = _with_notes(schema)
-        values = [c for c in schema.names if c != key]
-        notes = {"digest": F.concat_ws("-", F.xxhash64(*values), F.xxhash64(F.lit(1), *values))}
-        if "items" in schema.names:
-            notes["n_items"] = F.size("items")
-        load = self._write(name, new.select(*schema.names).withColumns(notes), bucket_key)
+        kept, notes = _with_notes(schema), _notes(schema, key)
+        new = new.select(*schema.names)
+        load, aside = None, []
+        if not self.version(name).loads:
+            load = self._write(name, new, bucket_key, notes)
+        elif ready:
+            rows = new
+        else:
+            aside.append(uuid.uuid4().hex)
+            new.write.parquet(self._folder(name, aside[0]))
+            rows = self._load_rows(name, schema, aside).select(*schema.names)
         while True:
-            if self._is_empty(name, load):
-                return self._drop(name, load)
+            if load is not None and self._is_empty(name, load):
+                return self._drop(name, load, *aside)
             base = self.version(name)
             if base.loads:
-                rows = self._load_rows(name, kept, [load])
-                older = self._same_buckets(name, kept, key, base, load)
-                changed = self._changed(rows, older, key)
-                fewer = rows.select(*kept.names).join(changed, key, "left_semi")
-                again = self._write(name, fewer, bucket_key)
-                self._drop(name, load)
-                load = again
-                if self._is_empty(name, load):
-                    return self._drop(name, load)
-                keys = self._load_rows(name, kept, [load]).select(key).distinct()
-                hidden = older.select(key, "load").distinct().join(keys, key, "left_semi")
-                hidden.write.parquet(f"{self.root}/{name}/replaced/{load}")
+                if load is None:
+                    older = self._beside(name, kept, key, base, rows, bucket_key)
+                else:
+                    rows = self._load_rows(name, schema, [load]).select(*schema.names)
+                    older = self._same_buckets(name, kept, key, base, load)
+                aside.append(uuid.uuid4().hex)
+                self._changed(rows.withColumns(notes), older, key).write.parquet(self._folder(name, aside[-1]))
+                changed = self._load_rows(name, StructType([schema[key]]), aside[-1:]).select(key)
+                if changed.isEmpty():
+                    return self._drop(name, *([load] if load else []), *aside)
+                again = self._write(name, rows.join(changed, key, "left_semi").select(*schema.names), bucket_key, notes)
+                hidden = older.select(key, "load").join(changed, key, "left_semi").distinct()
+                hidden.write.parquet(f"{self.root}/{name}/replaced/{again}")
+                self._drop(name, *([load] if load else []), *aside)
+                load, aside = again, []
             if self._take(name, base, [*base.loads, load], [*base.replacing, *([load] if base.loads else [])], base.content + 1):
                 return
 
@@ -217,6 +240,13 @@ class Store:
         numbers = [int(part.split("=")[1]) for part in parts if part.startswith("bucket=")]
         return self._rows(name, schema, key, version).filter(F.col("bucket").isin(*numbers))
 
+    def _beside(
+        self, name: str, schema: StructType, key: str, version: Version, rows: DataFrame, bucket_key: Column
+    ) -> DataFrame:
+        """The same for rows that are not dealt yet: at most BUCKETS numbers."""
+        numbers = [row.bucket for row in rows.select(bucket_of(bucket_key).alias("bucket")).distinct().collect()]
+        return self._rows(name, schema, key, version).filter(F.col("bucket").isin(*numbers) if numbers else F.lit(False))
+
     def put_first(self, name: str, rows: DataFrame, order: Sequence[str], key: str = "id") -> None:
         """Of each key the row that is first in ``order`` is stored, also if a
         later one was stored before; whoever calls it in whatever portions gets
@@ -234,14 +264,26 @@ class Store:
 
     @staticmethod
     def _changed(new: DataFrame, older: DataFrame, key: str) -> DataFrame:
-        """Keys of ``new`` whose rows differ: only keys and digests are read."""
-        one = lambda rows, side: rows.select(key, "digest", F.lit(side).alias("side"))
-        again = older.join(new.select(key).distinct(), key, "left_semi")
-        sides = one(new, 1).unionByName(one(again, -1))
-        per_row = sides.groupBy(key, "digest").agg(F.sum("side").alias("more"), F.max("side").alias("is_new"))
-        return per_row.groupBy(key).agg(
-            F.bool_or(F.col("more") != 0).alias("differs"), F.max("is_new").alias("is_new")
-        ).filter("differs and is_new = 1").select(key)
+        """Keys of ``new`` whose rows differ: only keys and digests are read.
+        What is compared is, of each key, the number of rows and the sums of
+        three 32-bit hashes of their digests, which add up before the one
+        exchange. A small load is broadcast to the older rows."""
+        if fits_broadcast(new.select(key)):
+            older = older.join(new.select(key).distinct(), key, "left_semi")
+        digest = F.xxhash64("digest")
+        parts = {
+            "one": F.lit(1), "low": digest.bitwiseAND(F.lit(0xFFFF_FFFF)), "high": F.shiftright(digest, 32),
+            "other": F.xxhash64(F.lit(1), "digest").bitwiseAND(F.lit(0xFFFF_FFFF)),
+        }
+
+        def side(rows: DataFrame, sign: int) -> DataFrame:
+            numbers = [(F.lit(sign) * part).cast("long").alias(c) for c, part in parts.items()]
+            return rows.filter(F.col(key).isNotNull()).select(key, *numbers, F.lit(sign).alias("side"))
+
+        sums = side(new, 1).unionByName(side(older, -1)).groupBy(key).agg(
+            *[F.sum(c).alias(c) for c in parts], F.max("side").alias("side")
+        )
+        return sums.filter("side = 1 and (one <> 0 or low <> 0 or high <> 0 or other <> 0)").select(key)
 
     # -- documents
 
@@ -289,11 +331,12 @@ class Store:
         narrow = StructType([*[schema[k] for k in keys], StructField("n_items", IntegerType())])
         return self._current(f"lists/{object_type}.{field}", narrow, "parent_id", buckets)
 
-    def put_lists(self, object_type: str, field: str, new: DataFrame) -> None:
-        """Lists of the parents in ``new`` are replaced whole, all others kept."""
+    def put_lists(self, object_type: str, field: str, new: DataFrame, ready: bool = False) -> None:
+        """Lists of the parents in ``new`` are replaced whole, all others kept.
+        ``ready`` says that ``new`` lies in files and is cheap to read again."""
         schema = schemas.list_schema(object_type, field)
         owner = F.coalesce("repository_id", "parent_id")
-        self._put(f"lists/{object_type}.{field}", schema, "parent_id", new, owner)
+        self._put(f"lists/{object_type}.{field}", schema, "parent_id", new, owner, ready)
 
     def late(self, object_type: str, field: str) -> DataFrame:
         """(id, field) of the documents that were evaluated."""
@@ -354,8 +397,8 @@ class Store:
             base = self.version(name)
             if len(base.loads) < max(2, from_loads):
                 continue
-            kept = _with_notes(schema) if key else schema
-            load = self._write(name, self._rows(name, kept, key, base).select(*kept.names), owner)
+            rows = self._rows(name, schema, key, base).select(*schema.names)
+            load = self._write(name, rows, owner, _notes(schema, key) if key else None)
             if self._take(name, base, [load], [], base.content):
                 done.append(name)
             else:

@@ -3,7 +3,7 @@ and the referencing steps over what other documents name."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from prflow import schemas
@@ -158,16 +158,19 @@ def store_lists_replaced(t: Tables) -> DataFrame:
     """Commit lists are put twice; those of merged pull requests have changed,
     the others leave nothing behind. Then the table is compacted."""
     store = new_store(t)
-    first = P.with_repository(t.once(P.commit_lists), t.once(P.pull_requests))
-    store.put_lists("PULL_REQUEST", "commit_ids", first)
-    merged = t.once(P.pull_requests).filter(F.col("state") == "MERGED").select(
-        F.col("id").alias("parent_id"), F.lit(True).alias("changed")
-    )
-    again = first.join(merged, "parent_id", "left").withColumn(
-        "items", F.when(F.col("changed"), F.reverse("items")).otherwise(F.col("items"))
-    )
-    store.put_lists("PULL_REQUEST", "commit_ids", again.drop("changed"))
-    store.put_lists("PULL_REQUEST", "commit_ids", again.drop("changed"))
+    merged = F.count_if(F.col("state") == "MERGED").over(Window.partitionBy("id"))
+    parents = P.pull_request_states(t).withColumn("merged", merged)
+    whole = P.with_repository(t.once(P.commit_lists), parents, "merged", counted=P.commit_id_edges(t))
+    folder = new_work_folder(t.spark, "lists")
+    whole.write.parquet(folder)  # read by all three loads
+    whole = t.spark.read.schema(whole.schema).parquet(folder)
+    store.put_lists("PULL_REQUEST", "commit_ids", whole.drop("merged"))
+    # a list meets each merged pull request of its id
+    times = F.array_repeat(F.lit(True), F.greatest(F.col("merged"), F.lit(1)).cast("int"))
+    items = F.when(F.col("merged") > 0, F.reverse("items")).otherwise(F.col("items"))
+    again = whole.withColumn("items", items).withColumn("merged", F.explode(times)).drop("merged")
+    store.put_lists("PULL_REQUEST", "commit_ids", again, ready=True)
+    store.put_lists("PULL_REQUEST", "commit_ids", again, ready=True)
     store.compact(from_loads=2)
     return LD.flat_lists(store.lists("PULL_REQUEST", "commit_ids"))
 

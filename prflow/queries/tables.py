@@ -183,24 +183,29 @@ REPOSITORIES_SQL = """
 EXACT_OWNERS = ("ASIA", "EUROPE")
 
 
+def owned_orders(t: Tables) -> DataFrame:
+    """Orders with customer and repository. A customer may have a large share
+    of the orders, hence the skew-safe join."""
+    owners = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey")).select(
+        F.col("n_nationkey").alias("c_nationkey"), "n_name", "r_name"
+    )
+    customers = t.customer.withColumnRenamed("c_custkey", "o_custkey")
+    return lookup_join(
+        lookup_join(t.orders, customers, ["o_custkey"], spread=["o_orderkey"], how="inner"),
+        owners, ["c_nationkey"], spread=["o_orderkey"], how="inner",
+    )
+
+
 def order_rows(t: Tables) -> DataFrame:
-    """Orders with customer, repository and line counts. A customer may have a
-    large share of the orders, hence the skew-safe join."""
+    """Orders with customer, repository and line counts."""
     per_number = t.lineitem.groupBy("l_orderkey", "l_linenumber").agg(
         F.count(F.lit(1)).alias("copies")
     )
     lines = per_number.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
         F.sum("copies").alias("lines"), F.count(F.lit(1)).alias("numbers")
     )
-    owners = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey")).select(
-        F.col("n_nationkey").alias("c_nationkey"), "n_name", "r_name"
-    )
-    customers = t.customer.withColumnRenamed("c_custkey", "o_custkey")
     return (
-        lookup_join(
-            lookup_join(t.orders, customers, ["o_custkey"], spread=["o_orderkey"], how="inner"),
-            owners, ["c_nationkey"], spread=["o_orderkey"], how="inner",
-        )
+        owned_orders(t)
         .join(lines, "o_orderkey", "left")
         .withColumn("lines", F.coalesce("lines", F.lit(0)))
         .withColumn("numbers", F.coalesce("numbers", F.lit(0)))
@@ -233,6 +238,13 @@ def pull_requests(t: Tables) -> DataFrame:
     return as_pull_requests(t.once(order_rows))
 
 
+def pull_request_states(t: Tables) -> DataFrame:
+    """``(id, repository_id, state)`` of the pull requests: no line is counted."""
+    return owned_orders(t).select(
+        text("o_orderkey").alias("id"), tag("R", "c_nationkey").alias("repository_id"), pr_state().alias("state")
+    )
+
+
 def as_pull_requests(rows: DataFrame, *more: Column) -> DataFrame:
     return rows.select(
         *more,
@@ -284,10 +296,11 @@ def commit_lists(t: Tables, pages_per_segment: int = 4) -> DataFrame:
     )
 
 
-def with_repository(lists: DataFrame, parents: DataFrame) -> DataFrame:
-    """List rows with their parent's repository."""
-    keys = parents.select(F.col("id").alias("parent_id"), "repository_id")
-    return lookup_join(lists, keys, ["parent_id"], spread=["segment"], how="inner")
+def with_repository(lists: DataFrame, parents: DataFrame, *more: str, counted: DataFrame | None = None) -> DataFrame:
+    """List rows with their parent's repository, and ``more`` columns of it.
+    ``counted`` may be a cheaper frame to find heavy parents in."""
+    keys = parents.select(F.col("id").alias("parent_id"), "repository_id", *more)
+    return lookup_join(lists, keys, ["parent_id"], spread=["segment"], how="inner", counted=counted)
 
 
 # --------------------------------------------------------------------------

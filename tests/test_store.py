@@ -74,6 +74,46 @@ def test_the_same_lists_again_add_nothing(spark, tmp_path):
     assert stored(store) == [("p", 0, ["a2"]), ("q", 0, ["c"])]
 
 
+def written_by(monkeypatch, work):
+    """Numbers of rows of the frames that ``work`` deals by bucket."""
+    dealt, write = [], Store._write
+
+    def counting(self, name, rows, key, *more):
+        dealt.append(rows.count())
+        return write(self, name, rows, key, *more)
+
+    monkeypatch.setattr(Store, "_write", counting)
+    work()
+    monkeypatch.undo()
+    return dealt
+
+
+def test_only_lists_that_differ_are_dealt_by_bucket(spark, tmp_path, monkeypatch):
+    """A load is compared where it lies; before, all of it was dealt and written first."""
+    store = Store(spark, str(tmp_path))
+    rows = [("r", f"p{i}", s, [f"a{i}"]) for i in range(50) for s in range(2)] + [(None, "q", 0, ["c"]), ("r", "d", 0, ["x"])]
+    put(store, *rows)
+    assert written_by(monkeypatch, lambda: put(store, *reversed(rows))) == []
+    some = [("r", "p7", 0, ["new"]), *rows[:3], ("r", "d", 0, ["x"]), ("r", "d", 0, ["x"]), (None, "n", 0, ["m"])]
+    expected = {("p0", 0, "a0"), ("p0", 1, "a0"), ("p1", 0, "a1"), ("p7", 0, "new"), ("n", 0, "m"), ("q", 0, "c"), ("d", 0, "x")}
+    expected |= {(f"p{i}", s, f"a{i}") for i in range(2, 50) if i != 7 for s in range(2)}
+    # p7 changed, p1 lost a segment, n is new, d came twice: five rows
+    lists = spark.createDataFrame(some, LISTS)
+    lists.write.parquet(f"{tmp_path}/ready")
+    files = spark.read.schema(lists.schema).parquet(f"{tmp_path}/ready")
+    dealt = written_by(monkeypatch, lambda: store.put_lists("COMMIT", "comment_ids", files, ready=True))
+    assert dealt == [5]
+    got = stored(store)
+    assert len(got) == len(expected) + 1 and {(p, s, i[0]) for p, s, i in got} == expected
+    # only the loads that count are left
+    loads = {n for n in os.listdir(f"{tmp_path}/{NAME}/rows")}
+    assert loads == {f"load={load}" for load in store.version(NAME).loads}
+    sizes = store.list_sizes("COMMIT", "comment_ids").agg(F.sum("n_items")).first()[0]
+    assert store.compact(from_loads=2) == [NAME] and stored(store) == got
+    assert store.list_sizes("COMMIT", "comment_ids").agg(F.sum("n_items")).first()[0] == sizes
+    assert written_by(monkeypatch, lambda: store.put_lists("COMMIT", "comment_ids", store.lists("COMMIT", "comment_ids"))) == []
+
+
 def test_two_writers_lose_nothing_and_store_nothing_twice(spark, tmp_path):
     one, two = Store(spark, str(tmp_path)), Store(spark, str(tmp_path))
     assert one.documents("PULL_REQUEST").count() == two.documents("PULL_REQUEST").count() == 0
