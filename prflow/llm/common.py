@@ -10,6 +10,8 @@ from prflow.session import new_work_folder
 # The word of every contract: a run without space, tab, newlines, \v, \f.
 WORD = r"[^\x20\x09-\x0D]+"
 GAP = r"[\x20\x09-\x0D]+"
+# Shuffle files of a finished execution are removed.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -18,10 +20,21 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def written(frame: DataFrame, purpose: str) -> DataFrame:
     """The frame as a table in the shared folder: cuts lineage, so a lost
-    executor costs a reread and not the work before."""
-    folder = new_work_folder(frame.sparkSession, purpose)
-    frame.write.parquet(folder)
-    return frame.sparkSession.read.schema(frame.schema).parquet(folder)
+    executor costs a reread and not the work before. Once the table is there
+    nothing reads the shuffle files it was made from, so they go at once and do
+    not fill the disks until the driver's garbage collection finds them."""
+    spark = frame.sparkSession
+    folder = new_work_folder(spark, purpose)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        frame.write.parquet(folder)
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
+    return spark.read.schema(frame.schema).parquet(folder)
 
 
 def words(text: Column) -> Column:

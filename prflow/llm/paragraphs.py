@@ -254,6 +254,11 @@ def sketched(sets: DataFrame) -> DataFrame:
     return sets.withColumns({"size": F.size("shingles"), "bits": bit})
 
 
+def _may_be_similar(size_a: str, bits_a: str, size_b: str, bits_b: str, similar: float) -> Column:
+    own = F.floor((F.col(size_a) + F.col(size_b)) * ((1 - similar) / (1 + similar)) + F.lit(1e-9))
+    return F.bit_count(F.col(bits_a).bitwiseXOR(F.col(bits_b))) <= own
+
+
 def _similar(pairs: DataFrame, sets: DataFrame, similar: float) -> DataFrame:
     """The pairs ``(a, b)`` of contents whose shingles are similar. Members that
     only one of two similar sets has are at most ``(1 - similar) / (1 + similar)``
@@ -264,8 +269,8 @@ def _similar(pairs: DataFrame, sets: DataFrame, similar: float) -> DataFrame:
         return sets.select(F.col("content").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in columns])
 
     maps = pairs.join(side("a", "size", "bits"), "a").join(side("b", "size", "bits"), "b")
-    own = F.floor((F.col("size_a") + F.col("size_b")) * ((1 - similar) / (1 + similar)) + F.lit(1e-9))
-    near = maps.filter(F.bit_count(F.col("bits_a").bitwiseXOR(F.col("bits_b"))) <= own).select("a", "b")
+    near = maps.filter(_may_be_similar("size_a", "bits_a", "size_b", "bits_b", similar)).select("a", "b")
+    near = written(near, "near")  # the pairs' shuffle files go before the sets are dealt
     checked = near.join(side("a", "shingles"), "a").join(side("b", "shingles"), "b")
     return checked.filter(jaccard(F.col("shingles_a"), F.col("shingles_b")) >= similar).select("a", "b")
 
@@ -285,8 +290,12 @@ def _links(bands: DataFrame, sets: DataFrame, similar: float) -> DataFrame:
     ``similar / (1 + similar) * (n + m)`` are the same, so already the rarest
     few have one in common)."""
     few, many = bands.filter(F.col("n") <= PAIRED), bands.filter(F.col("n") > PAIRED)
+    # the maps come along, so that pairs they tell apart are never dealt
+    few = few.select("band", "content").join(sets.select("content", "size", "bits"), "content")
     x, y = few.alias("x"), few.alias("y")
-    found = x.join(y, "band").filter("x.content < y.content").select(F.col("x.content").alias("a"), F.col("y.content").alias("b"))
+    found = x.join(y, "band").filter("x.content < y.content").filter(
+        _may_be_similar("x.size", "x.bits", "y.size", "y.bits", similar)
+    ).select(F.col("x.content").alias("a"), F.col("y.content").alias("b"))
     stars = many.filter("content <> centre").select(*_either("content", "centre"))
     links = written(_similar(found.unionByName(stars).distinct(), sets, similar), "links")
     far = many.select("band", "content", "copies", "centre").filter("content <> centre")
@@ -386,6 +395,7 @@ def repeated_paragraphs(
     classes = firsts.groupBy(F.col("class").alias("c")).agg(F.min("first").alias("class_first"), F.max("last").alias("class_last"))
     several = (F.col("class_first.doc_id") != F.col("class_last.doc_id")) | (F.col("class_first.key") != F.col("class_last.key"))
     named = firsts.join(classes.filter(several), F.col("class") == F.col("c")).select(F.col("content").alias("n"), "class_first")
+    named = written(named, "named")
     out = places.join(named, F.col("content") == F.col("n"))
 
     def real(c: str) -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import time
 from itertools import combinations
 
 import numpy as np
@@ -47,6 +48,24 @@ def test_components_equal_union_find(spark):
     assert components(frame(spark, [], "a long, b long")).count() == 0
 
 
+def test_a_work_table_leaves_no_shuffle_files(spark):
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffle_files():
+        files = blocks.getAllFiles()
+        names = [files.apply(i).getName() for i in range(files.size())]
+        return {name for name in names if name.startswith("shuffle_")}
+
+    rows = spark.range(1000).groupBy((F.col("id") % 10).alias("k")).count()
+    before = shuffle_files()
+    table = written(rows, "counts")
+    deadline = time.monotonic() + 10
+    while (left := shuffle_files() - before) and time.monotonic() < deadline:
+        time.sleep(0.2)
+    assert not left and table.count() == 10
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None) is None
+
+
 def prose(rng, n, words):
     return " ".join(rng.choice(words) for _ in range(n))
 
