@@ -343,8 +343,11 @@ def _links(bands: DataFrame, sets: DataFrame, similar: float) -> DataFrame:
     keys = written(keys, "keys")
     open_keys = keys.groupBy(*place).agg(F.min("root").alias("r"), F.max("root").alias("s")).filter("r < s")
     keys = keys.join(open_keys.select(*place), place, "left_semi")
+    keys = keys.join(sets.select("content", "bits"), "content")
     x, y = keys.alias("x"), keys.alias("y")
-    rest = x.join(y, place).filter("x.n = y.m and x.root < y.root").select(*_either("x.content", "y.content"))
+    rest = x.join(y, place).filter("x.n = y.m and x.root < y.root").filter(
+        _may_be_similar("x.n", "x.bits", "y.n", "y.bits", similar)
+    ).select(*_either("x.content", "y.content"))
     return all_links.unionByName(_similar(rest.distinct(), sets, similar))
 
 
