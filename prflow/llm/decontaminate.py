@@ -240,6 +240,21 @@ def common_subsequence(places: dict, length: int, words: list) -> int:
     return length - state.bit_count()
 
 
+def _block_sums(terms, edge, end, space):
+    """Sums of the vectors of the STEP terms from each edge on, or up to the end
+    of its text. The terms of all blocks are added column by column, in order;
+    a text's last block is filled up with a term of no weight."""
+    import numpy as np
+
+    place = edge[:, None] + np.arange(STEP)
+    term = np.where(place < end[:, None], terms[np.minimum(place, len(terms) - 1)], len(space))
+    weights = np.concatenate([space, np.zeros((1, space.shape[1]), space.dtype)])
+    sums = weights[term[:, 0]]
+    for column in term.T[1:]:
+        sums += weights[column]
+    return sums
+
+
 def _candidates(words, first, sizes, pieces: Pieces, space):
     """(text, part, start, stop) of windows near a part of an item that share
     enough words with it; texts lie in ``words`` one after the other."""
@@ -250,7 +265,7 @@ def _candidates(words, first, sizes, pieces: Pieces, space):
     inside = np.arange(len(owner)) - (np.cumsum(n_blocks) - n_blocks)[owner]
     edge = first[owner] + inside * STEP
     terms = words & (TERMS - 1)
-    block = np.add.reduceat(space[terms], edge, axis=0)
+    block = _block_sums(terms, edge, (first + sizes)[owner], space)
     run = np.concatenate([np.zeros((1, block.shape[1])), np.cumsum(block, axis=0, dtype=np.float64)])
     for size, mine in pieces.by_steps.items():
         span = np.minimum(size, n_blocks)
