@@ -30,6 +30,8 @@ SHARED = 2  # more make longer and more keys: 2 give 10 keys of 25 bits, 3 give
 SIMILAR = 0.8
 PAIRED = 8  # members of a block that form all pairs
 LOOSE = 16  # differing bits up to which a block's first member is tried
+AHEAD = 8  # words that are looked at where two lines differ
+LONG_WORD = 64  # characters; a longer word that differs counts as a whole
 LANE = 16_383  # words of one count: lanes of 16 bits keep two bits free
 LANES = [f"lane{i}" for i in range(16)]
 MASK = 0x0001_0001_0001_0001
@@ -115,19 +117,66 @@ def _index(prints: DataFrame, bits: int, shared: int) -> DataFrame:
     masks = _blocks(bits, shared)
     keys = F.array(*[F.struct(F.lit(i).alias("place"), F.col("fp").bitwiseAND(F.lit(m)).alias("block")) for i, m in enumerate(masks)])
     index = prints.select("fp", F.inline(keys))
-    same = Window.partitionBy("place", "block")
+    same = Window.partitionBy("block", "place")  # sorted by block first, which tells most rows apart
     index = index.withColumn("n", F.count("*").over(same)).withColumn("first", F.min("fp").over(same))
     return written(index.filter("n > 1"), "blocks")
 
 
+def _word_edits(x: str, y: str) -> Column:
+    """Characters changed by turning the words of ``x`` into those of ``y`` from
+    left to right: never less than the edit distance, and found in one pass
+    where that takes length x bound. Where words differ, the next AHEAD words
+    tell whether one was put in or left out; else one stands for the other."""
+
+    def walked(both: Column) -> Column:
+        a, b = both["a"], both["b"]
+
+        def ahead(words: Column, at: Column, word: Column) -> Column:
+            return F.array_position(F.slice(words, at + 2, F.lit(AHEAD)), word)
+
+        def characters(words: Column, at: Column, n) -> Column:
+            """Of ``n`` words from ``at`` on, each with its space."""
+            return F.aggregate(F.slice(words, at + 1, n), F.lit(0), lambda sum_, w: sum_ + F.length(w) + 1)
+
+        def instead(word: Column, other: Column) -> Column:
+            longer = F.greatest(F.length(word), F.length(other))
+            return F.when(longer <= LONG_WORD, F.levenshtein(word, other)).otherwise(longer)
+
+        def step(state: Column, word: Column) -> Column:
+            i, j, cost = state["i"], state["j"], state["cost"]
+            other = F.get(b, j)
+
+            def to(j: Column, cost: Column) -> Column:
+                return F.struct((i + 1).alias("i"), j.cast("int").alias("j"), cost.cast("int").alias("cost"))
+
+            def differing(found: Column) -> Column:
+                put_in, left_out = found["put_in"].cast("int"), found["left_out"].cast("int")
+                return F.when(
+                    (put_in > 0) & ((left_out == 0) | (put_in <= left_out)), to(j + put_in + 1, cost + characters(b, j, put_in))
+                ).when(left_out > 0, to(j, cost + F.length(word) + 1)).otherwise(to(j + 1, cost + instead(word, other)))
+
+            found = F.struct(ahead(b, j, word).alias("put_in"), ahead(a, i, other).alias("left_out"))
+            return F.when(word == other, to(j + 1, cost)).when(
+                other.isNull(), to(j, cost + F.length(word) + 1)
+            ).otherwise(let(found, differing))
+
+        start = F.struct(F.lit(0).alias("i"), F.lit(0).alias("j"), F.lit(0).alias("cost"))
+        return F.aggregate(a, start, step, lambda end: end["cost"] + characters(b, end["j"], F.size(b)))
+
+    return let(F.struct(F.split(x, " ").alias("a"), F.split(y, " ").alias("b")), walked)
+
+
 def _verified(pairs: DataFrame, bodies: DataFrame, similar: float) -> DataFrame:
-    """The pairs (a, b) of lines whose edit similarity is high enough. A small
-    bound is tried first: most similar lines differ in a word or two."""
+    """The pairs (a, b) of lines whose edit similarity is high enough. Their
+    words are compared first, which most similar lines pass; then a small bound
+    is tried, and the whole one for those that are left."""
     checked = pairs.join(bodies.select(F.col("line").alias("a"), F.col("body").alias("x")), "a").join(
         bodies.select(F.col("line").alias("b"), F.col("body").alias("y")), "b"
     ).withColumn("bound", similarity_bound("x", "y", similar))
     close = checked.filter(F.abs(F.length("x") - F.length("y")) <= F.col("bound"))
-    same = F.expr("CASE WHEN levenshtein(x, y, least(bound, 16)) >= 0 THEN true ELSE levenshtein(x, y, bound) >= 0 END")
+    same = F.when(_word_edits("x", "y") <= F.col("bound"), True).otherwise(F.expr(
+        "CASE WHEN levenshtein(x, y, least(bound, 16)) >= 0 THEN true ELSE levenshtein(x, y, bound) >= 0 END"
+    ))
     return close.filter(same).select("a", "b")
 
 
@@ -140,7 +189,7 @@ def _edges(lines: DataFrame, read, bits: int, shared: int, similar: float) -> Da
     index = _index(heads.select("fp"), bits, shared)
     few, many = index.filter(F.col("n") <= PAIRED), index.filter(F.col("n") > PAIRED)
     x, y = few.alias("x"), few.alias("y")
-    pairs = x.join(y, ["place", "block"]).filter("x.fp < y.fp").select(F.col("x.fp").alias("p"), F.col("y.fp").alias("q"))
+    pairs = x.join(y, ["block", "place"]).filter("x.fp < y.fp").select(F.col("x.fp").alias("p"), F.col("y.fp").alias("q"))
     pairs = pairs.filter(_differing("p", "q") <= bits)
     stars = many.filter("first < fp").select(F.col("first").alias("p"), F.col("fp").alias("q")).filter(
         _differing("p", "q") <= LOOSE
@@ -166,7 +215,7 @@ def _edges(lines: DataFrame, read, bits: int, shared: int, similar: float) -> Da
     far = many.filter("first < fp").join(
         linked, (F.col("first") == F.col("p")) & (F.col("fp") == F.col("q")), "left_anti"
     ).select("place", "block", F.col("fp").alias("other"))
-    again = many.join(far, ["place", "block"]).filter("fp <> other").select(
+    again = many.join(far, ["block", "place"]).filter("fp <> other").select(
         F.least("fp", "other").alias("p"), F.greatest("fp", "other").alias("q")
     ).filter(_differing("p", "q") <= bits)
     # heads failed, but other lines of the two fingerprints may be similar
@@ -193,6 +242,10 @@ def similarity_bound(a: str, b: str, similar: float) -> Column:
     return F.floor(F.greatest(F.length(a), F.length(b)) * F.lit(1 - similar) + F.lit(1e-9)).cast("int")
 
 
+def _same_line(name: str) -> Column:
+    return (F.col("line.h1") == F.col(f"{name}.h1")) & (F.col("line.h2") == F.col(f"{name}.h2"))
+
+
 def line_classes(
     docs: DataFrame, bits: int = BITS, similar: float = SIMILAR, text: str = "text", doc_id: str = "doc_id",
     shared: int = SHARED,
@@ -210,13 +263,16 @@ def line_classes(
     rows = _ids(docs, text, doc_id)
     spots = written(fingerprinted(rows).withColumn("line", F.struct("h1", "h2")).drop("h1", "h2"), "lines")
     spot = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "key", "line_no")
+    # by the two numbers, as rows are sorted faster by these than by a struct
     lines = written(
-        spots.groupBy("line").agg(F.max("fp").alias("fp"), F.min(spot).alias("first"), F.count("*").alias("n")), "distinct"
+        spots.groupBy(F.col("line.h1").alias("h1"), F.col("line.h2").alias("h2")).agg(
+            F.max("fp").alias("fp"), F.min(spot).alias("first"), F.count("*").alias("n")
+        ).select(F.struct("h1", "h2").alias("line"), "fp", "first", "n"), "distinct"
     )
 
     def read(asked: DataFrame) -> DataFrame:
         """Bodies of the lines, each read at its first occurrence."""
-        where = lines.join(asked, "line").select("line", "first.doc_id", "first.key", "first.line_no")
+        where = lines.join(asked.select(F.col("line").alias("l")), _same_line("l")).select("line", "first.doc_id", "first.key", "first.line_no")
         per_doc = where.groupBy("doc_id", "key").agg(F.collect_list(F.struct("line_no", "line")).alias("asked"))
         per_doc = per_doc.select(F.col("doc_id").alias("d"), F.col("key").alias("k"), "asked")
         found = rows.join(per_doc, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("key") == F.col("k"))).select(
@@ -226,11 +282,11 @@ def line_classes(
 
     edges = _edges(lines.select("line", "fp"), read, bits, shared, similar)
     roots = components(edges)
-    classed = lines.join(roots, F.col("line") == F.col("node"), "left").withColumn("class", F.coalesce("root", "line"))
+    classed = lines.join(roots, _same_line("node"), "left").withColumn("class", F.coalesce("root", "line"))
     linked = classed.filter("root is not null").groupBy("class").agg(F.min("first").alias("class_first"))
     several = classed.filter("root is not null or n > 1").join(linked.withColumnRenamed("class", "c"), F.col("class") == F.col("c"), "left")
     several = several.select(F.col("line").alias("l"), F.coalesce("class_first", "first").alias("class_first"))
-    return spots.join(several, F.col("line") == F.col("l")).select(
+    return spots.join(several, _same_line("l")).select(
         "doc_id", "key", "line_no",
         F.col("class_first.doc_id").alias("class_doc_id"), F.col("class_first.key").alias("class_key"),
         F.col("class_first.line_no").alias("class_line_no"),

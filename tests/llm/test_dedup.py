@@ -187,6 +187,44 @@ def test_lines_equal_brute_force(spark, vocabulary):
     assert {r["doc_id"]: r["n_lines"] for r in got.collect()} == {d: (t or "").count("\n") + 1 for d, t in rows + ODD[:3]}
 
 
+def levenshtein(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        before, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            before, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, before + (x != y))
+    return row[-1]
+
+
+def test_word_edits_are_never_less_than_the_edit_distance(spark):
+    rng = random.Random(12)
+    pairs = [("a b c", "a b c"), ("a", "b c d"), ("a b c d", "d"), ("x" * 200, "y" * 150), ("one two", "one " + "two " * 9 + "two")]
+    for _ in range(150):
+        a = [rng.choice(["an", "bee", "sea", "deep", "é"]) for _ in range(rng.randint(1, 25))]
+        b = [w for w in a if rng.random() < 0.9] or ["z"]
+        for _ in range(rng.randint(0, 3)):
+            b.insert(rng.randint(0, len(b)), rng.choice(["an", "new", "word"]))
+        pairs.append((" ".join(a), " ".join(b)))
+    got = frame(spark, pairs, "x string, y string").select("x", "y", lines._word_edits("x", "y")).collect()
+    assert len(got) == len(pairs)
+    assert all(edits >= levenshtein(x, y) for x, y, edits in got)
+    assert sum(edits == levenshtein(x, y) for x, y, edits in got) > 0.6 * len(got)
+    single = frame(spark, [("one two three four", "one two tree four"), ("one two", "one new two"), ("one new two", "one two")], "x string, y string")
+    assert [r[0] for r in single.select(lines._word_edits("x", "y")).collect()] == [1, 4, 4]
+
+
+def test_long_similar_lines_are_linked_without_comparing_all_characters(spark, vocabulary):
+    rng = random.Random(13)
+    words = prose(rng, 16_000, vocabulary).split()
+    x = " ".join(words)
+    y = " ".join(w for i, w in enumerate(words) if i % 1000 != 7)
+    bodies = frame(spark, [(1, x), (2, y)], "line long, body string")
+    pairs = frame(spark, [(1, 2)], "a long, b long")
+    since = time.time()
+    assert [tuple(r) for r in lines._verified(pairs, bodies, 0.8).collect()] == [(1, 2)]
+    assert time.time() - since < 8  # length x bound took half a minute
+
+
 def test_large_blocks_keep_the_same_line_groups(spark, vocabulary, monkeypatch):
     rng = random.Random(8)
     words = prose(rng, 200, vocabulary).split()
