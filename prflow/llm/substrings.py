@@ -7,8 +7,8 @@ in the first bytes of the string. Equal strings have equal anchors, so
 1. anchors found in one text only are dropped (one narrow shuffle); a text that
    a smaller document has as a whole is covered, and goes no further,
 2. the suffixes at the other anchors are cut out with their context, neighbours
-   with one anchor together, and range-partitioned by the anchor's bytes with
-   splitters that Spark samples,
+   with one anchor together, written, and range-partitioned by the anchor's
+   bytes with splitters that Spark samples from what is written,
 3. each bucket sorts its suffixes by multikey quicksort and compares
    neighbours; equal anchors never lie on both sides of a boundary,
 4. what a string of a smaller document covers is removed.
@@ -198,6 +198,19 @@ def multikey_order(words):
     return order, group
 
 
+def _had_before(batch):
+    """Which rows are covered as a whole: those without a context, and those
+    whose context a smaller document of the batch has. Rows come in the order of
+    documents among equal contexts."""
+    import numpy as np
+
+    code = batch.column(1).dictionary_encode().indices.fill_null(-1).to_numpy()
+    doc = batch.column(2).to_numpy()
+    first = np.zeros(code.max(initial=-1) + 2, np.int64)
+    first[code[::-1]] = np.arange(len(code))[::-1]
+    return (code < 0) | (doc > doc[first[code]])
+
+
 def _sorted_bucket(batches, width: int, gathered: int):
     """Rows come sorted by anchor bytes and document. Gives the covered runs of
     string starts, and the contexts of anchors that are too many for a task."""
@@ -241,11 +254,13 @@ def _sorted_bucket(batches, width: int, gathered: int):
 
     lead, contexts, too_many = None, {}, False
     for batch in batches:
+        # what an earlier row of the batch has is covered, and needs no step of its own
+        sure = _had_before(batch)
+        late = batch.filter(pa.array(sure))
+        yield pa.RecordBatch.from_arrays([*late.columns[2:], pa.nulls(late.num_rows, pa.binary())], names)
+        batch = batch.filter(pa.array(~sure))
         columns = [batch.column(i).to_pylist() for i in range(6)]
         for now, context, doc, key, first, count in zip(*columns):
-            if context is None:
-                out.append((doc, key, first, count, None))
-                continue
             if now != lead:
                 if len(contexts) > 1:
                     ready += contexts.items()
@@ -353,8 +368,11 @@ def covered_starts(rows: DataFrame, packed: DataFrame, width: int, gathered: int
         anchors.join(firsts.select(F.col("key").alias("k"), F.col("least").alias("doc_id")), F.col("key") == F.col("k"))
         .select("doc_id", "key", "anchors"), "anchors",
     )
-    contexts = packed.join(wanted, ["doc_id", "key"]).select("doc_id", "key", "packed", "anchors").mapInArrow(
-        lambda it: _emit_contexts(it, width), f"lead binary, context binary, {ID}, first long, count long"
+    # written, as Spark samples the splitters in a pass of its own
+    contexts = written(
+        packed.join(wanted, ["doc_id", "key"]).select("doc_id", "key", "packed", "anchors").mapInArrow(
+            lambda it: _emit_contexts(it, width), f"lead binary, context binary, {ID}, first long, count long"
+        ), "contexts",
     )
     ranges = contexts.repartitionByRange("lead").sortWithinPartitions("lead", "doc_id")
     sorted_out = written(

@@ -303,6 +303,21 @@ def test_substrings_equal_brute_force(spark, gathered):
     assert substrings.remove_repeats(frame(spark, [])).count() == 0
 
 
+def test_contexts_are_made_once(spark, monkeypatch):
+    plans = {}
+
+    def watched(frame, purpose):
+        plans[purpose] = frame._jdf.queryExecution().executedPlan().toString()
+        return written(frame, purpose)
+
+    monkeypatch.setattr(substrings, "written", watched)
+    rows = [(i, "some passage that is found in each of the texts of this table " * 2 + str(i)) for i in range(9)]
+    assert substrings.remove_repeats(frame(spark, rows)).count() == 9
+    # sampling the splitters runs all that is below the range exchange once more
+    assert "rangepartitioning" in plans["covered"] and plans["covered"].count("MapInArrow") == 1
+    assert "rangepartitioning" not in plans["contexts"]
+
+
 def test_multikey_order_sorts_rows_and_groups_equal_ones():
     import numpy as np
 
