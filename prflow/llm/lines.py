@@ -32,6 +32,7 @@ PAIRED = 8  # members of a block that form all pairs
 LOOSE = 16  # differing bits up to which a block's first member is tried
 AHEAD = 8  # words that are looked at where two lines differ
 LONG_WORD = 64  # characters; a longer word that differs counts as a whole
+SEVEN = 7  # words counted at once: three bits hold their number
 LANE = 16_383  # words of one count: lanes of 16 bits keep two bits free
 LANES = [f"lane{i}" for i in range(16)]
 MASK = 0x0001_0001_0001_0001
@@ -47,37 +48,57 @@ def _ids(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
 
 
 def _lines(rows: DataFrame) -> DataFrame:
-    """Lines with a word: two hashes that together name the normal form, and
-    its different words. Made inside one array, so each line is read once."""
+    """Lines: two hashes that together name the normal form, the hashes of its
+    different words and their number ``n``. The words are read off the line in
+    one walk and joined, which is the normal form without replacing anything; only
+    hashes are made distinct and carried on."""
+    each = rows.select("doc_id", "key", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
+    place = ["doc_id", "key", "line_no"]
+    found = each.select(*place, F.regexp_extract_all(F.lower("line"), F.lit(r"[\p{L}\p{N}]+"), F.lit(0)).alias("words"))
+    named = found.select(
+        *place, F.array_join("words", " ").alias("body"),
+        F.array_distinct(F.transform("words", lambda w: F.xxhash64(w))).alias("hashes"),
+    )
+    return named.select(
+        *place, F.xxhash64("body").alias("h1"), F.xxhash64(F.lit(1), "body").alias("h2"), "hashes", F.size("hashes").alias("n")
+    )
+
+
+def _planes(some: list[Column]) -> tuple[Column, Column, Column]:
+    """Bits 1, 2 and 4 of how many of seven numbers have each bit set."""
 
-    def parsed(line: Column) -> Column:
-        return F.struct(
-            F.xxhash64(line).alias("h1"), F.xxhash64(F.lit(1), line).alias("h2"),
-            F.when(line != "", F.array_distinct(F.split(line, " "))).alias("words"),
-        )
+    def added(x: Column, y: Column, z: Column) -> tuple[Column, Column]:
+        either = x.bitwiseXOR(y)
+        return either.bitwiseXOR(z), x.bitwiseAND(y).bitwiseOR(either.bitwiseAND(z))
 
-    found = F.transform(F.split("text", "\n", -1), lambda x: let(normal(x), parsed))
-    each = rows.select("doc_id", "key", F.posexplode(found).alias("line_no", "line"))
-    return each.select("doc_id", "key", "line_no", "line.h1", "line.h2", "line.words").filter("words is not null")
+    one, two_a = added(*some[:3])
+    one, two_b = added(one, *some[3:5])
+    one, two_c = added(one, *some[5:])
+    return one, *added(two_a, two_b, two_c)
 
 
 def fingerprinted(rows: DataFrame) -> DataFrame:
     """``(doc_id, key, line_no, h1, h2, fp)`` of lines with a word; h1 and h2
-    are two independent hashes that together name the normal form."""
-    place = ["doc_id", "key", "line_no", "h1", "h2"]
-
-    def summed(some: DataFrame, long: bool) -> DataFrame:
-        split = _lines(some).select("*", F.size("words").alias("n"))
-        split = split.filter(F.col("n") > LANE if long else F.col("n") <= LANE)
-        each = split.select(*place, "n", F.posexplode("words").alias("at", "word")).select(
-            *place, "n", (F.col("at") / LANE if long else F.lit(0)).cast("int").alias("part"), F.xxhash64("word").alias("h")
-        )
-        return each.groupBy(*place, "n", *(["part"] if long else [])).agg(
-            *[F.sum(F.shiftrightunsigned("h", i).bitwiseAND(F.lit(MASK))).alias(x) for i, x in enumerate(LANES)]
-        )
+    are two independent hashes that together name the normal form.
+
+    Seven words are one row to sum: how many of them have a bit is three numbers."""
+    place = ["doc_id", "key", "line_no", "h1", "h2", "n"]
+    ats = F.when(F.col("n") > 0, F.sequence(F.lit(0), F.col("n") - 1, F.lit(SEVEN)))
+    sevens = _lines(rows).select(*place, "hashes", F.explode(ats).alias("at"))
+    words = [F.coalesce(F.get("hashes", F.col("at") + i), F.lit(0).cast("long")) for i in range(SEVEN)]
+    part = F.when(F.col("n") > LANE, (F.col("at") / LANE).cast("int")).otherwise(0)
+    planes = sevens.select(*place, part.alias("part"), *[x.alias(f"word{i}") for i, x in enumerate(words)]).select(
+        *place, "part", *[x.alias(c) for c, x in zip(("one", "two", "four"), _planes([F.col(f"word{i}") for i in range(SEVEN)]))]
+    )
+
+    def lane(i: int) -> Column:
+        one, two, four = (F.shiftrightunsigned(c, i).bitwiseAND(F.lit(MASK)) for c in ("one", "two", "four"))
+        return one + F.shiftleft(two, 1) + F.shiftleft(four, 2)
+
+    summed = planes.groupBy(*place, "part").agg(*[F.sum(lane(i)).alias(x) for i, x in enumerate(LANES)])
 
     def counter(bit: int) -> Column:
-        return F.shiftrightunsigned(LANES[bit % 16], bit // 16 * 16).bitwiseAND(F.lit(0xFFFF))
+        return F.shiftrightunsigned(F.get("lanes", F.lit(bit % 16)), bit // 16 * 16).bitwiseAND(F.lit(0xFFFF))
 
     def one(bit: int) -> int:
         return 1 << bit if bit < 63 else -(1 << 63)
@@ -85,27 +106,39 @@ def fingerprinted(rows: DataFrame) -> DataFrame:
     # bit 14 of a lane, set to 0x4000 + counter - least majority, is the vote
     least = F.floor(F.col("n") / 2).cast("long") + 1
     voted = F.lit(0).cast("long")
-    for i, lane in enumerate(LANES):
-        votes = F.shiftrightunsigned(F.col(lane) + F.lit(0x4000 * MASK) - least * F.lit(MASK), 14)
+    for i, x in enumerate(LANES):
+        votes = F.shiftrightunsigned(F.col(x) + F.lit(0x4000 * MASK) - least * F.lit(MASK), 14)
         voted = voted.bitwiseOR(F.shiftleft(votes.bitwiseAND(F.lit(MASK)), i))
-    usual = summed(rows, False).select(*place, voted.alias("fp"))
+    usual = F.col("n") <= LANE
+    found = written(summed.select(
+        *place, F.when(usual, voted).alias("fp"), F.when(~usual, F.array(*LANES)).alias("lanes")
+    ), "lines")
+    place.remove("n")
     # the parts of a line with more different words add up their counters
     bits = F.inline(F.array(*[F.struct(F.lit(one(b)).cast("long").alias("one"), counter(b).alias("c")) for b in range(64)]))
-    # (only a line of 2 * LANE characters can be one)
-    has_long = F.exists(F.split("text", "\n", -1), lambda x: F.length(x) > 2 * LANE)
-    long = summed(rows.filter((F.length("text") > 2 * LANE) & has_long), True).select(*place, "n", bits)
+    long = found.filter(~usual).select(*place, "n", bits)
     long = long.groupBy(*place, "n", "one").agg(F.sum("c").alias("c"))
     long = long.groupBy(*place, "n").agg(F.bit_or(F.when(2 * F.col("c") > F.col("n"), F.col("one")).otherwise(0)).alias("fp"))
-    return usual.unionByName(long.select(*place, "fp"))
+    return found.filter(usual).select(*place, "fp").unionByName(long.select(*place, "fp"))
 
 
-def _blocks(bits: int, shared: int) -> list[int]:
-    """Masks of the keys: any ``shared`` of bits + shared blocks."""
+def _blocks(bits: int, shared: int) -> list[Column]:
+    """The keys, numbers of the column fp: any ``shared`` of bits + shared blocks
+    side by side, above them which blocks these are."""
     n = bits + shared
     cuts = [64 * i // n for i in range(n + 1)]
-    blocks = [(1 << b) - (1 << a) for a, b in zip(cuts, cuts[1:])]
-    masks = [sum(some) for some in combinations(blocks, shared)]
-    return [m - (1 << 64) if m >> 63 else m for m in masks]
+    chosen = list(combinations(zip(cuts, cuts[1:]), shared))
+    room = 64 - (len(chosen) - 1).bit_length()
+    keys = []
+    for i, blocks in enumerate(chosen):
+        key, width = F.lit(0).cast("long"), 0
+        for a, b in blocks:
+            value = F.shiftrightunsigned("fp", a).bitwiseAND(F.lit((1 << (b - a)) - 1).cast("long"))
+            key, width = key.bitwiseOR(F.shiftleft(value, width)), width + b - a
+        if width > room:
+            raise ValueError("blocks are too wide for a key")
+        keys.append(key.bitwiseOR(F.shiftleft(F.lit(i).cast("long"), room)) if i else key)
+    return keys
 
 
 def _differing(a: str, b: str) -> Column:
@@ -113,11 +146,9 @@ def _differing(a: str, b: str) -> Column:
 
 
 def _index(prints: DataFrame, bits: int, shared: int) -> DataFrame:
-    """``(place, block, fp, n, first)`` of blocks with several fingerprints."""
-    masks = _blocks(bits, shared)
-    keys = F.array(*[F.struct(F.lit(i).alias("place"), F.col("fp").bitwiseAND(F.lit(m)).alias("block")) for i, m in enumerate(masks)])
-    index = prints.select("fp", F.inline(keys))
-    same = Window.partitionBy("block", "place")  # sorted by block first, which tells most rows apart
+    """``(block, fp, n, first)`` of blocks with several fingerprints."""
+    index = prints.select("fp", F.explode(F.array(*_blocks(bits, shared))).alias("block"))
+    same = Window.partitionBy("block")  # one number, which Spark sorts by its digits
     index = index.withColumn("n", F.count("*").over(same)).withColumn("first", F.min("fp").over(same))
     return written(index.filter("n > 1"), "blocks")
 
@@ -189,7 +220,7 @@ def _edges(lines: DataFrame, read, bits: int, shared: int, similar: float) -> Da
     index = _index(heads.select("fp"), bits, shared)
     few, many = index.filter(F.col("n") <= PAIRED), index.filter(F.col("n") > PAIRED)
     x, y = few.alias("x"), few.alias("y")
-    pairs = x.join(y, ["block", "place"]).filter("x.fp < y.fp").select(F.col("x.fp").alias("p"), F.col("y.fp").alias("q"))
+    pairs = x.join(y, "block").filter("x.fp < y.fp").select(F.col("x.fp").alias("p"), F.col("y.fp").alias("q"))
     pairs = pairs.filter(_differing("p", "q") <= bits)
     stars = many.filter("first < fp").select(F.col("first").alias("p"), F.col("fp").alias("q")).filter(
         _differing("p", "q") <= LOOSE
@@ -214,8 +245,8 @@ def _edges(lines: DataFrame, read, bits: int, shared: int, similar: float) -> Da
     ).select("p", "q")
     far = many.filter("first < fp").join(
         linked, (F.col("first") == F.col("p")) & (F.col("fp") == F.col("q")), "left_anti"
-    ).select("place", "block", F.col("fp").alias("other"))
-    again = many.join(far, ["block", "place"]).filter("fp <> other").select(
+    ).select("block", F.col("fp").alias("other"))
+    again = many.join(far, "block").filter("fp <> other").select(
         F.least("fp", "other").alias("p"), F.greatest("fp", "other").alias("q")
     ).filter(_differing("p", "q") <= bits)
     # heads failed, but other lines of the two fingerprints may be similar
@@ -261,7 +292,7 @@ def line_classes(
     not looked at. Lines and texts are read whole, whatever their length.
     """
     rows = _ids(docs, text, doc_id)
-    spots = written(fingerprinted(rows).withColumn("line", F.struct("h1", "h2")).drop("h1", "h2"), "lines")
+    spots = fingerprinted(rows).withColumn("line", F.struct("h1", "h2")).drop("h1", "h2")
     spot = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "key", "line_no")
     # by the two numbers, as rows are sorted faster by these than by a struct
     lines = written(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import re
 import time
 from itertools import combinations
 
@@ -250,6 +251,35 @@ def test_lines_with_more_words_than_a_lane(spark, monkeypatch):
         assert got[d] == sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
 
+def test_lines_are_summed_by_seven_hashes_and_blocks_sorted_by_one_number(spark, vocabulary):
+    rng = random.Random(14)
+    texts = [prose(rng, n, vocabulary[:40]) for n in (1, 2, 6, 7, 8, 13, 14, 15, 21, 22, 90)]
+    texts += ["É é Ünï-çødé, 12½ x", "ΑΣ α\U00010400b", " -- ", "a", "  A  b,\ta!"]
+    read = lines._ids(frame(spark, [(1, "\n".join(texts))]), "text", "doc_id")
+    assert dict(lines._lines(read).dtypes)["hashes"] == "array<bigint>"  # no words are carried
+    want = {}
+    for i, words in enumerate(re.findall(r"[^\W_]+", t.lower()) for t in texts):
+        hashes = [xxhash.xxh64_intdigest(w.encode(), 42) for w in set(words)]
+        if hashes:
+            body = " ".join(words).encode()
+            want[i] = xxhash.xxh64_intdigest(body, 42), sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+    prints = lines.fingerprinted(read)
+    assert {r["line_no"]: (r["h1"] % (1 << 64), r["fp"] % (1 << 64)) for r in prints.collect()} == want
+
+    some = [rng.getrandbits(64) for _ in range(6)]
+    some += [x ^ (1 << rng.randrange(64)) for x in some]
+    signed = [(x - (1 << 64) if x >> 63 else x,) for x in some]
+    index = lines._index(frame(spark, signed, "fp long"), 3, 2)
+    assert sorted(index.columns) == ["block", "first", "fp", "n"]
+    masks = [sum((1 << 64 * (b + 1) // 5) - (1 << 64 * b // 5) for b in two) for two in combinations(range(5), 2)]
+    groups = {}
+    for i, m in enumerate(masks):
+        for x, in signed:
+            groups.setdefault((i, x % (1 << 64) & m), []).append(x)
+    several = [(x, len(g), min(g)) for g in groups.values() if len(g) > 1 for x in g]
+    assert several and sorted(map(tuple, index.select("fp", "n", "first").collect())) == sorted(several)
+
+
 def test_dropping_lines_keeps_columns_rows_and_blank_lines(spark):
     rows = [(2, "same line here\n\nown", 9, "x"), (1, "first\nSame line, here", 9, "y"), (3, None, 0, "z"), (None, "first", 5, "w")]
     docs = frame(spark, rows, "doc_id long, text string, n_chars int, gone string")
