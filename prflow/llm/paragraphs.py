@@ -33,6 +33,7 @@ BANDS = 3
 SIMILAR = 0.8
 PAIRED = 64  # contents of a band that form pairs at once
 STARS = 2  # centres a larger band gets one after the other
+SETS = 1 << 14  # sets that are made at once
 PART = 1 << 22  # words of a text that are looked at together
 NO_ID = (1 << 63) - 1
 ID = "doc_id long, key long"
@@ -137,33 +138,69 @@ def _parts(words):
         yield since, (words[since : a + PART + CUT + LENGTH], a - since, a - since + PART)
 
 
+def _found(texts):
+    """Groups of paragraphs of the texts: (row, start, length, content, bands),
+    ``row`` being the text's place and ``bands`` one array for each band."""
+    import numpy as np
+
+    parts = [(i, at, part) for i, t in enumerate(texts) for at, part in _parts(hashed(t))]
+    for group in _grouped([p[0] for _, _, p in parts]):
+        words, shingles, starts, ending, bounds = _paragraphs([parts[g][2] for g in group])
+        if not len(starts):
+            continue
+        counts = np.diff(bounds)
+        row = np.repeat([parts[g][0] for g in group], counts)
+        first = np.cumsum([0, *(len(parts[g][2][0]) for g in group)])[:-1]
+        local = starts - np.repeat(first, counts) + np.repeat([parts[g][1] for g in group], counts)
+        cuts = np.empty(2 * len(starts), np.int64)
+        cuts[::2], cuts[1::2] = starts, ending - SHINGLE + 1
+        bands = []
+        for b in range(BANDS):
+            value = np.append(_mixed(shingles, 0x9E3779B97F4A7C15 * (b + 1) % (1 << 64)), np.uint64(0))
+            bands.append(_mixed(np.minimum.reduceat(value, np.minimum(cuts, len(value) - 1))[::2], b).view(np.int64))
+        yield row, local, (ending - starts).astype(np.int32), lambda: _contents(words, starts, ending), bands
+
+
 def _emit_bands(batches):
+    """The bands of each document. Neighbouring paragraphs overlap and mostly
+    have the same minimum: a band is a row once for a run of them."""
+    import numpy as np
+    import pyarrow as pa
+
+    for batch in batches:
+        ids, keys = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        for row, _, _, _, bands in _found(batch.column(2).to_pylist()):
+            other = row[1:] != row[:-1]
+            new = [np.r_[True, other | (band[1:] != band[:-1])] for band in bands]
+            rows = np.concatenate([row[n] for n in new])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate([b[n] for b, n in zip(bands, new)])), pa.array(ids[rows]), pa.array(keys[rows])],
+                ["band", "doc_id", "key"],
+            )
+
+
+def _emit_hits(batches):
+    """The paragraphs of documents that have one of the asked bands, with those
+    of their bands that are asked. Each document that has a band asks for it, so
+    a batch can be looked at as a whole."""
     import numpy as np
     import pyarrow as pa
+    import zstandard
 
-    names = ["band", "doc_id", "key", "start", "length", "content"]
     for batch in batches:
-        parts = [(i, at, part) for i, t in enumerate(batch.column(2).to_pylist()) for at, part in _parts(hashed(t))]
+        unpack = zstandard.ZstdDecompressor().decompress
         ids, keys = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-        for group in _grouped([p[0] for _, _, p in parts]):
-            words, shingles, starts, ending, bounds = _paragraphs([parts[g][2] for g in group])
-            if not len(starts):
-                continue
-            counts = np.diff(bounds)
-            row = np.repeat([parts[g][0] for g in group], counts)
-            first = np.cumsum([0, *(len(parts[g][2][0]) for g in group)])[:-1]
-            local = starts - np.repeat(first, counts) + np.repeat([parts[g][1] for g in group], counts)
-            cuts = np.empty(2 * len(starts), np.int64)
-            cuts[::2], cuts[1::2] = starts, ending - SHINGLE + 1
-            bands = []
-            for b in range(BANDS):
-                value = np.append(_mixed(shingles, 0x9E3779B97F4A7C15 * (b + 1) % (1 << 64)), np.uint64(0))
-                bands.append(_mixed(np.minimum.reduceat(value, np.minimum(cuts, len(value) - 1))[::2], b).view(np.int64))
+        asked = np.unique(batch.column(3).flatten().to_numpy())
+        for row, start, length, contents, bands in _found([unpack(t).decode() for t in batch.column(2).to_pylist()]):
+            hit = np.stack([np.isin(band, asked) for band in bands], axis=1)
+            keep = hit.any(axis=1)
+            hit = hit[keep]
+            ends = np.cumsum(np.r_[0, hit.sum(axis=1)]).astype(np.int32)
+            own = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.stack(bands, axis=1)[keep][hit]))
             yield pa.RecordBatch.from_arrays([
-                pa.array(np.concatenate(bands)), pa.array(np.tile(ids[row], BANDS)), pa.array(np.tile(keys[row], BANDS)),
-                pa.array(np.tile(local, BANDS)), pa.array(np.tile((ending - starts).astype(np.int32), BANDS)),
-                pa.array(np.tile(_contents(words, starts, ending), BANDS)),
-            ], names)
+                pa.array(ids[row[keep]]), pa.array(keys[row[keep]]), pa.array(start[keep]), pa.array(length[keep]),
+                pa.array(contents()[keep]), own,
+            ], ["doc_id", "key", "start", "length", "content", "band"])
 
 
 def _colliding(batches):
@@ -193,24 +230,49 @@ def _colliding(batches):
         yield pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in columns], batch.schema.names)
 
 
+def _sets(words, starts, lengths):
+    """The distinct shingles of each window of ``words``, one after the other in
+    the order of the text, and where each window's end."""
+    import numpy as np
+
+    if not len(starts):
+        return np.zeros(0, np.int64), np.zeros(1, np.int32)
+    shingles = _shingles(words)
+    places = np.arange(lengths.max() - SHINGLE + 1)
+    inside = places < (lengths - SHINGLE + 1)[:, None]
+    values = shingles[np.minimum(starts[:, None] + places, len(shingles) - 1)]
+    again = np.sort(np.where(inside, values, values[:, :1]), axis=1)
+    spare = inside.shape[1] - inside.sum(axis=1)  # places that hold the first shingle once more
+    for i in np.flatnonzero((again[:, 1:] == again[:, :-1]).sum(axis=1) > spare):
+        first = np.unique(values[i][inside[i]], return_index=True)[1]
+        inside[i] = False
+        inside[i, first] = True
+    return values[inside].view(np.int64), np.cumsum(np.r_[0, inside.sum(axis=1)]).astype(np.int32)
+
+
 def _emit_shingles(batches):
-    """The set of shingles of each asked paragraph."""
+    """The set of shingles of each asked paragraph, sketched."""
     import numpy as np
     import pyarrow as pa
     import zstandard
 
     for batch in batches:
         unpack = zstandard.ZstdDecompressor().decompress
-        contents, sets = [], []
-        for packed, asked in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-            words = hashed(unpack(packed).decode())
-            for x in asked:
-                part = words[x["start"] : x["start"] + x["length"]].astype(np.uint64)
-                contents.append(x["content"])
-                sets.append(np.unique(_shingles(part)).view(np.int64))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(contents, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], ["content", "shingles"]
-        )
+        texts = [hashed(unpack(t).decode()) for t in batch.column(2).to_pylist()]
+        asked = batch.column(3).flatten()
+        start, length = (asked.field(n).to_numpy().astype(np.int64) for n in ("start", "length"))
+        contents = asked.field("content").to_numpy()
+        counts = batch.column(3).value_lengths().to_numpy()
+        first = np.cumsum([0, *map(len, texts)])[:-1]
+        words = np.concatenate(texts).astype(np.uint64) if texts else np.zeros(0, np.uint64)
+        start = start + np.repeat(first, counts)
+        for at in range(0, len(start), SETS):
+            values, ends = _sets(words, start[at : at + SETS], length[at : at + SETS])
+            bits = np.bitwise_or.reduceat(np.int64(1) << (values & 63), ends[:-1])
+            yield pa.RecordBatch.from_arrays([
+                pa.array(contents[at : at + SETS]), pa.ListArray.from_arrays(pa.array(ends), pa.array(values)),
+                pa.array(np.diff(ends)), pa.array(bits),
+            ], ["content", "shingles", "size", "bits"])
 
 
 def _pack(batches):
@@ -232,7 +294,8 @@ def jaccard(a: Column, b: Column) -> Column:
 
 def _by_band(hits: DataFrame) -> DataFrame:
     """``(band, content, at, last, copies)``: the first place of each content,
-    its last document and the number of its places."""
+    its last document and the number of its places. ``band`` is one of its bands
+    or the array of all of them, as the places have it."""
     return written(hits.groupBy("band", "content").agg(
         F.min(F.struct("doc_id", "key", "start", "length")).alias("at"), F.max(F.struct("doc_id", "key")).alias("last"),
         F.count("*").alias("copies"),
@@ -240,11 +303,11 @@ def _by_band(hits: DataFrame) -> DataFrame:
 
 
 def _contested(contents: DataFrame) -> DataFrame:
-    """``(band, content, at, copies, n, centre)`` of bands of several contents,
+    """``(band, content, copies, n, centre)`` of bands of several contents,
     with their number and the one with the most places."""
     bands = contents.groupBy("band").agg(F.count("*").alias("n"), F.max(F.struct("copies", "content")).alias("most"))
-    return written(contents.drop("last").join(bands.filter("n > 1"), "band").select(
-        "band", "content", "at", "copies", "n", F.col("most.content").alias("centre")
+    return written(contents.select("band", "content", "copies").join(bands.filter("n > 1"), "band").select(
+        "band", "content", "copies", "n", F.col("most.content").alias("centre")
     ), "bands")
 
 
@@ -259,19 +322,23 @@ def _may_be_similar(size_a: str, bits_a: str, size_b: str, bits_b: str, similar:
     return F.bit_count(F.col(bits_a).bitwiseXOR(F.col(bits_b))) <= own
 
 
-def _similar(pairs: DataFrame, sets: DataFrame, similar: float) -> DataFrame:
-    """The pairs ``(a, b)`` of contents whose shingles are similar. Members that
-    only one of two similar sets has are at most ``(1 - similar) / (1 + similar)``
-    of both sizes, and the maps differ in no more bits: who differs in more
-    is dropped before the sets are read."""
+def _side(sets: DataFrame, name: str, *columns: str) -> DataFrame:
+    return sets.select(F.col("content").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in columns])
+
+
+def _near(pairs: DataFrame, sets: DataFrame, similar: float) -> DataFrame:
+    """The pairs ``(a, b)`` of contents that their maps do not tell apart. Members
+    that only one of two similar sets has are at most ``(1 - similar) / (1 +
+    similar)`` of both sizes, and the maps differ in no more bits: who differs in
+    more is dropped before the sets are read."""
+    maps = pairs.join(_side(sets, "a", "size", "bits"), "a").join(_side(sets, "b", "size", "bits"), "b")
+    return maps.filter(_may_be_similar("size_a", "bits_a", "size_b", "bits_b", similar)).select("a", "b")
 
-    def side(name: str, *columns: str) -> DataFrame:
-        return sets.select(F.col("content").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in columns])
 
-    maps = pairs.join(side("a", "size", "bits"), "a").join(side("b", "size", "bits"), "b")
-    near = maps.filter(_may_be_similar("size_a", "bits_a", "size_b", "bits_b", similar)).select("a", "b")
-    near = written(near, "near")  # the pairs' shuffle files go before the sets are dealt
-    checked = near.join(side("a", "shingles"), "a").join(side("b", "shingles"), "b")
+def _similar(near: DataFrame, sets: DataFrame, similar: float) -> DataFrame:
+    """The pairs ``(a, b)`` of contents whose shingles are similar."""
+    near = written(near.distinct(), "near")  # the pairs' shuffle files go before the sets are dealt
+    checked = near.join(_side(sets, "a", "shingles"), "a").join(_side(sets, "b", "shingles"), "b")
     return checked.filter(jaccard(F.col("shingles_a"), F.col("shingles_b")) >= similar).select("a", "b")
 
 
@@ -289,15 +356,19 @@ def _links(bands: DataFrame, sets: DataFrame, similar: float) -> DataFrame:
     (prefix filter: of two sets of n and m shingles that are similar, more than
     ``similar / (1 + similar) * (n + m)`` are the same, so already the rarest
     few have one in common)."""
-    few, many = bands.filter(F.col("n") <= PAIRED), bands.filter(F.col("n") > PAIRED)
     # the maps come along, so that pairs they tell apart are never dealt
-    few = few.select("band", "content").join(sets.select("content", "size", "bits"), "content")
-    x, y = few.alias("x"), few.alias("y")
-    found = x.join(y, "band").filter("x.content < y.content").filter(
-        _may_be_similar("x.size", "x.bits", "y.size", "y.bits", similar)
-    ).select(F.col("x.content").alias("a"), F.col("y.content").alias("b"))
-    stars = many.filter("content <> centre").select(*_either("content", "centre"))
-    links = written(_similar(found.unionByName(stars).distinct(), sets, similar), "links")
+    mapped = bands.join(sets.select("content", "size", "bits"), "content")
+    few, many = mapped.filter(F.col("n") <= PAIRED), mapped.filter(F.col("n") > PAIRED)
+    may_be = _may_be_similar("x.size", "x.bits", "y.size", "y.bits", similar)
+    x, y = (few.select("band", "content", "size", "bits").alias(name) for name in ("x", "y"))
+    found = x.join(y, "band").filter("x.content < y.content").filter(may_be).select(
+        F.col("x.content").alias("a"), F.col("y.content").alias("b")
+    )
+    y = many.filter("content = centre").select("band", "content", "size", "bits").alias("y")
+    stars = many.alias("x").join(y, "band").filter("x.content <> y.content").filter(may_be)
+    stars = stars.select(*_either("x.content", "y.content"))
+    links = written(_similar(found.unionByName(stars), sets, similar), "links")
+    many = bands.filter(F.col("n") > PAIRED)
     far = many.select("band", "content", "copies", "centre").filter("content <> centre")
     all_links = links
     for turn in range(STARS):
@@ -313,7 +384,7 @@ def _links(bands: DataFrame, sets: DataFrame, similar: float) -> DataFrame:
             "band", F.col("most.content").alias("centre")
         )
         far = far.join(centres, "band").filter("content <> centre")
-        links = written(_similar(far.select(*_either("content", "centre")).distinct(), sets, similar), "links")
+        links = written(_similar(_near(far.select(*_either("content", "centre")), sets, similar), sets, similar), "links")
         all_links = all_links.unionByName(links)
     if first_far.isEmpty():
         return all_links
@@ -324,28 +395,37 @@ def _links(bands: DataFrame, sets: DataFrame, similar: float) -> DataFrame:
     near = all_links.join(inside, F.col("a") == F.col("content"), "left_semi").join(
         inside, F.col("b") == F.col("content"), "left_semi"
     )
-    each = dense.join(sets, "content").select("band", "content", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
-    common = each.groupBy("band", "shingle").agg(F.count("*").alias("f"))
-    ranked = each.join(common, ["band", "shingle"]).groupBy("band", "content", "n").agg(
+    # a content of several dense bands is looked at once; that pairs share a band is asked of the similar ones
+    own = written(inside.join(sets, "content").select("content", F.col("size").alias("n"), "bits", "shingles"), "own")
+    each = own.select("content", F.explode("shingles").alias("shingle"))
+    common = each.groupBy("shingle").agg(F.count("*").alias("f")).filter("f > 1")
+    ranked = each.join(common, "shingle", "left").groupBy("content").agg(
         F.sort_array(F.collect_list(F.struct("f", "shingle"))).alias("s")  # one paragraph's shingles
     )
     exact = F.lit(1e-9)
     least, most = F.ceil(F.col("n") * similar - exact), F.floor(F.col("n") / similar + exact)
-    partner = ranked.select("*", F.explode(F.sequence(least.cast("int"), most.cast("int"))).alias("m"))
+    sizes = own.select(F.col("n").alias("m")).distinct()  # no more than a paragraph has shingles
+    partner = ranked.join(own.drop("shingles"), "content").join(F.broadcast(sizes), F.col("m").between(least, most))
     same = F.ceil((F.col("n") + F.col("m")) * (similar / (1 + similar)) - exact).cast("int")
-    prefix = partner.select("band", "content", "n", "m", F.inline(F.slice("s", 1, F.col("n") - same + 1))).filter("f > 1")
+    prefix = partner.select(
+        "content", "n", "m", "bits", F.inline(F.slice("s", 1, F.col("n") - same + 1))
+    ).filter(F.col("f").isNotNull())
     known = components(near).select(F.col("node"), "root")
     keys = prefix.join(known, F.col("content") == F.col("node"), "left").select(
-        "band", "shingle", "content", "n", "m", F.coalesce("root", "content").alias("root"),
+        "shingle", "content", "n", "m", "bits", F.coalesce("root", "content").alias("root"),
         F.least("n", "m").alias("low"), F.greatest("n", "m").alias("high"),
     )
-    place = ["band", "shingle", "low", "high"]
+    place = ["shingle", "low", "high"]
     keys = written(keys, "keys")
     open_keys = keys.groupBy(*place).agg(F.min("root").alias("r"), F.max("root").alias("s")).filter("r < s")
     keys = keys.join(open_keys.select(*place), place, "left_semi")
     x, y = keys.alias("x"), keys.alias("y")
-    rest = x.join(y, place).filter("x.n = y.m and x.root < y.root").select(*_either("x.content", "y.content"))
-    return all_links.unionByName(_similar(rest.distinct(), sets, similar))
+    rest = x.join(y, place).filter("x.n = y.m and x.root < y.root").filter(
+        _may_be_similar("x.n", "x.bits", "y.n", "y.bits", similar)
+    ).select(*_either("x.content", "y.content"))
+    found = _similar(rest, sets, similar)
+    a, b = (dense.select(F.col("content").alias(name), "band") for name in ("a", "b"))
+    return all_links.unionByName(found.join(a, "a").join(b, ["b", "band"]).select("a", "b"))
 
 
 def repeated_paragraphs(
@@ -368,30 +448,37 @@ def repeated_paragraphs(
         F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)).alias("doc_id"), text_key(F.col(text)).alias("key"),
         F.col(text).alias("text"),
     )
-    found = f"band long, {ID}, start long, length int, content long"
-    hits = written(
+    found = f"band long, {ID}"
+    collisions = written(
         rows.mapInArrow(_emit_bands, found).repartition("band").sortWithinPartitions("band", "doc_id", "key").mapInArrow(
             _colliding, found
         ), "collisions",
     )
+    packed = rows.mapInArrow(_pack, f"{ID}, packed binary")
+    name = ["doc_id", "key"]
+
+    def texts(asked: DataFrame) -> DataFrame:
+        return packed.join(asked, name).dropDuplicates(name)
+
+    own = texts(collisions.groupBy(*name).agg(F.collect_list("band").alias("asked")))
+    hits = written(own.mapInArrow(_emit_hits, f"{ID}, start long, length int, content long, band array<long>"), "hits")
     # exact copies have one content and need no shingles
     contents = _by_band(hits)
-    bands = _contested(contents)
+    bands = _contested(contents.withColumn("band", F.explode("band")))
     # each contested content is read at one of its places
-    spots = bands.groupBy("content").agg(F.min("at").alias("at"))
+    spots = contents.join(bands.select("content").distinct(), "content", "left_semi")
     asked = spots.groupBy(F.col("at.doc_id").alias("doc_id"), F.col("at.key").alias("key")).agg(
-        F.collect_list(F.struct("at.start", "at.length", "content")).alias("asked")
+        F.sort_array(F.collect_list(F.struct("at.start", "at.length", "content"))).alias("asked")  # neighbours share shingles
     )
-    one = rows.mapInArrow(_pack, f"{ID}, packed binary").join(asked, ["doc_id", "key"]).dropDuplicates(["doc_id", "key"])
-    known = written(sketched(one.mapInArrow(_emit_shingles, "content long, shingles array<long>")), "sets")
-    units = hits.select("doc_id", "key", "start", (F.col("start") + F.col("length")).alias("end"), "content").distinct()
+    known = written(texts(asked).mapInArrow(_emit_shingles, "content long, shingles array<long>, size int, bits long"), "sets")
+    units = hits.select("doc_id", "key", "start", (F.col("start") + F.col("length")).alias("end"), "content")
     roots = components(_links(bands, known, similar))
     spot = F.struct("doc_id", "key", "start")
     places = units.select(spot.alias("spot"), "end", "content")
     first = F.struct("at.doc_id", "at.key", "at.start")
-    firsts = contents.groupBy("content").agg(
-        F.min(first).alias("first"), F.max("last").alias("last")
-    ).join(roots, F.col("content") == F.col("node"), "left").withColumn("class", F.coalesce("root", "content"))
+    firsts = contents.select("content", first.alias("first"), "last").join(
+        roots, F.col("content") == F.col("node"), "left"
+    ).withColumn("class", F.coalesce("root", "content"))
     classes = firsts.groupBy(F.col("class").alias("c")).agg(F.min("first").alias("class_first"), F.max("last").alias("class_last"))
     several = (F.col("class_first.doc_id") != F.col("class_last.doc_id")) | (F.col("class_first.key") != F.col("class_last.key"))
     named = firsts.join(classes.filter(several), F.col("class") == F.col("c")).select(F.col("content").alias("n"), "class_first")

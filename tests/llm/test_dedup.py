@@ -483,6 +483,47 @@ def test_paragraph_classes_have_the_recall_of_the_brute_force(spark, vocabulary)
     assert len(got) >= 0.98 * len(want)
 
 
+def test_a_run_of_paragraphs_deals_each_band_once(vocabulary):
+    import pyarrow as pa
+    import zstandard
+
+    rng = random.Random(14)
+    texts = [prose(rng, n, vocabulary) for n in (400, 0, 4, 7, 250)] + ["one two " * 60]
+    ids, keys = pa.array(range(len(texts)), pa.int64()), pa.array(range(50, 50 + len(texts)), pa.int64())
+    rows = pa.RecordBatch.from_arrays([ids, keys, pa.array(texts)], ["doc_id", "key", "text"])
+    found = [x for x in paragraphs._found(texts)]
+    want = {(int(b), int(r)) for row, _, _, _, bands in found for band in bands for b, r in zip(band, row)}
+    got = [(x["band"], x["doc_id"]) for batch in paragraphs._emit_bands([rows]) for x in batch.to_pylist()]
+    assert set(got) == want and len(got) == len(set(got))
+    n = sum(len(row) for row, *_ in found)
+    assert len(got) < 0.6 * paragraphs.BANDS * n  # before, one row for each paragraph and band
+
+    asked = [[b for b, r in sorted(want) if r == i][::3] for i in range(len(texts))]
+    packed = [zstandard.ZstdCompressor().compress(t.encode()) for t in texts]
+    batch = pa.RecordBatch.from_arrays(
+        [ids, keys, pa.array(packed, pa.binary()), pa.array(asked, pa.list_(pa.int64()))], ["doc_id", "key", "packed", "asked"]
+    )
+    hits = [x for out in paragraphs._emit_hits([batch]) for x in out.to_pylist()]
+    every = {b for bands in asked for b in bands}
+    whole = {
+        (int(r), int(s)): {int(b) for b in of} & every
+        for row, start, _, _, bands in found for r, s, of in zip(row, start, zip(*bands))
+    }
+    assert {(x["doc_id"], x["start"]): set(x["band"]) for x in hits} == {k: v for k, v in whole.items() if v}
+    assert all(x["key"] == x["doc_id"] + 50 for x in hits)
+
+
+def test_sets_of_windows_are_their_distinct_shingles(vocabulary):
+    rng = random.Random(15)
+    words = decontaminate.hashed(prose(rng, 200, vocabulary) + " one two" * 30).astype(np.uint64)
+    starts = np.array([0, 3, 100, 190, 195, 210, 235])
+    lengths = np.array([25, 25, 17, 25, 20, 25, 5])
+    values, ends = paragraphs._sets(words, starts, lengths)
+    for i, (s, n) in enumerate(zip(starts, lengths)):
+        got = values[ends[i] : ends[i + 1]].tolist()
+        assert set(got) == set(paragraphs._shingles(words[s : s + n]).view(np.int64).tolist()) and len(got) == len(set(got))
+
+
 def test_decontamination_finds_leaks_and_paraphrases(spark, vocabulary):
     rng = random.Random(7)
     items = [(i, prose(rng, rng.randint(15, 60), vocabulary).capitalize() + ". " + prose(rng, 5, vocabulary)) for i in range(30)]
