@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from prflow.plans.files import Files
 from prflow.session import new_work_folder
 
 # The word of every contract: a run without space, tab, newlines, \v, \f.
@@ -37,6 +38,15 @@ def written(frame: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(folder)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete work tables that nothing reads any more: the shared folder then
+    holds what later steps need, and not all that was ever written."""
+    for table in tables:
+        files = Files(table.sparkSession)
+        for folder in {name.rpartition("/")[0] for name in table.inputFiles()}:
+            files.delete(folder)
+
+
 def words(text: Column) -> Column:
     """Words of a text; none for null or blank text."""
     parts = F.split(F.coalesce(text, F.lit("")), GAP)

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from prflow.llm.common import text_key, written
+from prflow.llm.common import discard, text_key, written
 from prflow.llm.components import components
 from prflow.llm.decontaminate import hashed
 
@@ -250,8 +250,74 @@ def _sets(words, starts, lengths):
     return values[inside].view(np.int64), np.cumsum(np.r_[0, inside.sum(axis=1)]).astype(np.int32)
 
 
+def _windows(words, starts, lengths):
+    """The words of each window as bytes, four for a word."""
+    import numpy as np
+    import pyarrow as pa
+
+    places = np.arange(lengths.max(initial=0))
+    inside = places < lengths[:, None]
+    own = words[np.minimum(starts[:, None] + places, len(words) - 1)][inside].astype("<u4")
+    ends = np.cumsum(np.r_[0, 4 * lengths]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(lengths), [None, pa.py_buffer(ends), pa.py_buffer(own)])
+
+
+def _members(column):
+    """The sets of a column, one after the other, and where each ends: lists are
+    sets, bytes are the words of a window whose shingles are the set. Words are
+    half the size of their shingles, which are made where they are compared."""
+    import numpy as np
+    import pyarrow as pa
+
+    if pa.types.is_list(column.type):
+        return column.flatten().to_numpy(), np.cumsum(np.r_[0, column.value_lengths().to_numpy()])
+    texts = column.to_pylist()
+    lengths = np.array([len(t) // 4 for t in texts], np.int64)
+    words = np.frombuffer(b"".join(texts), "<u4").astype(np.uint64)
+    return _sets(words, np.cumsum(lengths) - lengths, lengths)
+
+
+def _emit_members(batches):
+    """A row for each member of a set, with what the set's row names."""
+    import numpy as np
+    import pyarrow as pa
+
+    for batch in batches:
+        values, ends = _members(batch.column(1))
+        owner = pa.array(np.repeat(np.arange(batch.num_rows), np.diff(ends)))
+        yield pa.RecordBatch.from_arrays([batch.column(0).take(owner), pa.array(values)], [batch.schema.names[0], "shingle"])
+
+
+def _shared(a, b):
+    """How many members the sets of each row share. ``a`` and ``b`` are sets as
+    ``_members`` gives them."""
+    import numpy as np
+
+    (x, x_ends), (y, y_ends) = a, b
+    n, m = np.diff(x_ends), np.diff(y_ends)
+    row = np.arange(len(n))
+    both = np.empty((len(n), (n + m).max(initial=0)), np.int64)
+    both[:] = np.r_[x, 0][x_ends[:-1], None]  # places that are left hold the first member once more
+    both[np.repeat(row, n), np.arange(len(x)) - np.repeat(x_ends[:-1], n)] = x
+    both[np.repeat(row, m), np.arange(len(y)) - np.repeat(y_ends[:-1] - n, m)] = y
+    both.sort(axis=1)
+    return np.where(n > 0, (both[:, 1:] == both[:, :-1]).sum(axis=1) - (both.shape[1] - n - m), 0)
+
+
+def _verified(batches, similar: float):
+    """The pairs ``(a, b)`` whose sets are similar."""
+    import numpy as np
+    import pyarrow as pa
+
+    for batch in batches:
+        a, b = _members(batch.column(2)), _members(batch.column(3))
+        both = _shared(a, b)
+        keep = pa.array(both / (np.diff(a[1]) + np.diff(b[1]) - both) >= similar)
+        yield pa.RecordBatch.from_arrays([batch.column(i).filter(keep) for i in range(2)], ["a", "b"])
+
+
 def _emit_shingles(batches):
-    """The set of shingles of each asked paragraph, sketched."""
+    """The words of each asked paragraph, with a sketch of its shingles."""
     import numpy as np
     import pyarrow as pa
     import zstandard
@@ -270,7 +336,7 @@ def _emit_shingles(batches):
             values, ends = _sets(words, start[at : at + SETS], length[at : at + SETS])
             bits = np.bitwise_or.reduceat(np.int64(1) << (values & 63), ends[:-1])
             yield pa.RecordBatch.from_arrays([
-                pa.array(contents[at : at + SETS]), pa.ListArray.from_arrays(pa.array(ends), pa.array(values)),
+                pa.array(contents[at : at + SETS]), _windows(words, start[at : at + SETS], length[at : at + SETS]),
                 pa.array(np.diff(ends)), pa.array(bits),
             ], ["content", "shingles", "size", "bits"])
 
@@ -287,11 +353,6 @@ def _pack(batches):
         )
 
 
-def jaccard(a: Column, b: Column) -> Column:
-    both = F.size(F.array_intersect(a, b))
-    return both / (F.size(a) + F.size(b) - both)
-
-
 def _by_band(hits: DataFrame) -> DataFrame:
     """``(band, content, at, last, copies)``: the first place of each content,
     its last document and the number of its places. ``band`` is one of its bands
@@ -339,7 +400,11 @@ def _similar(near: DataFrame, sets: DataFrame, similar: float) -> DataFrame:
     """The pairs ``(a, b)`` of contents whose shingles are similar."""
     near = written(near.distinct(), "near")  # the pairs' shuffle files go before the sets are dealt
     checked = near.join(_side(sets, "a", "shingles"), "a").join(_side(sets, "b", "shingles"), "b")
-    return checked.filter(jaccard(F.col("shingles_a"), F.col("shingles_b")) >= similar).select("a", "b")
+    checked = checked.select("a", "b", "shingles_a", "shingles_b")
+    kind = dict(near.dtypes)["a"]
+    links = written(checked.mapInArrow(lambda it: _verified(it, similar), f"a {kind}, b {kind}"), "links")
+    discard(near)
+    return links
 
 
 def _either(a: str, b: str) -> list[Column]:
@@ -355,7 +420,8 @@ def _links(bands: DataFrame, sets: DataFrame, similar: float) -> DataFrame:
     Of the others, those are compared that share one of their rarest shingles
     (prefix filter: of two sets of n and m shingles that are similar, more than
     ``similar / (1 + similar) * (n + m)`` are the same, so already the rarest
-    few have one in common)."""
+    few have one in common). Before the rarest come those that only connected
+    sets hold: these need no rows."""
     # the maps come along, so that pairs they tell apart are never dealt
     mapped = bands.join(sets.select("content", "size", "bits"), "content")
     few, many = mapped.filter(F.col("n") <= PAIRED), mapped.filter(F.col("n") > PAIRED)
@@ -367,7 +433,7 @@ def _links(bands: DataFrame, sets: DataFrame, similar: float) -> DataFrame:
     y = many.filter("content = centre").select("band", "content", "size", "bits").alias("y")
     stars = many.alias("x").join(y, "band").filter("x.content <> y.content").filter(may_be)
     stars = stars.select(*_either("x.content", "y.content"))
-    links = written(_similar(found.unionByName(stars), sets, similar), "links")
+    links = _similar(found.unionByName(stars), sets, similar)
     many = bands.filter(F.col("n") > PAIRED)
     far = many.select("band", "content", "copies", "centre").filter("content <> centre")
     all_links = links
@@ -384,7 +450,7 @@ def _links(bands: DataFrame, sets: DataFrame, similar: float) -> DataFrame:
             "band", F.col("most.content").alias("centre")
         )
         far = far.join(centres, "band").filter("content <> centre")
-        links = written(_similar(_near(far.select(*_either("content", "centre")), sets, similar), sets, similar), "links")
+        links = _similar(_near(far.select(*_either("content", "centre")), sets, similar), sets, similar)
         all_links = all_links.unionByName(links)
     if first_far.isEmpty():
         return all_links
@@ -396,34 +462,46 @@ def _links(bands: DataFrame, sets: DataFrame, similar: float) -> DataFrame:
         inside, F.col("b") == F.col("content"), "left_semi"
     )
     # a content of several dense bands is looked at once; that pairs share a band is asked of the similar ones
-    own = written(inside.join(sets, "content").select("content", F.col("size").alias("n"), "bits", "shingles"), "own")
-    each = own.select("content", F.explode("shingles").alias("shingle"))
-    common = each.groupBy("shingle").agg(F.count("*").alias("f")).filter("f > 1")
-    ranked = each.join(common, "shingle", "left").groupBy("content").agg(
+    rooted = inside.join(components(near), F.col("content") == F.col("node"), "left").select(
+        "content", F.coalesce("root", "content").alias("root")
+    )
+    own = written(rooted.join(sets, "content").select("content", "root", F.col("size").alias("n"), "bits", "shingles"), "own")
+    kind = dict(own.dtypes)["content"]
+
+    def members(of: str) -> DataFrame:
+        return own.select(of, "shingles").mapInArrow(_emit_members, f"{of} {kind}, shingle long")
+
+    # what only connected sets hold brings no new link
+    held = members("root").groupBy("shingle").agg(F.count("*").alias("f"), F.min("root").alias("r"), F.max("root").alias("s"))
+    opened = written(held.filter("r < s").select("shingle", "f"), "open")
+    # dealt as plain rows: lists would be built twice
+    ranked = members("content").join(opened, "shingle").repartition("content").groupBy("content").agg(
         F.sort_array(F.collect_list(F.struct("f", "shingle"))).alias("s")  # one paragraph's shingles
     )
     exact = F.lit(1e-9)
-    least, most = F.ceil(F.col("n") * similar - exact), F.floor(F.col("n") / similar + exact)
-    sizes = own.select(F.col("n").alias("m")).distinct()  # no more than a paragraph has shingles
-    partner = ranked.join(own.drop("shingles"), "content").join(F.broadcast(sizes), F.col("m").between(least, most))
-    same = F.ceil((F.col("n") + F.col("m")) * (similar / (1 + similar)) - exact).cast("int")
-    prefix = partner.select(
-        "content", "n", "m", "bits", F.inline(F.slice("s", 1, F.col("n") - same + 1))
-    ).filter(F.col("f").isNotNull())
-    known = components(near).select(F.col("node"), "root")
-    keys = prefix.join(known, F.col("content") == F.col("node"), "left").select(
-        "shingle", "content", "n", "m", "bits", F.coalesce("root", "content").alias("root"),
-        F.least("n", "m").alias("low"), F.greatest("n", "m").alias("high"),
-    )
-    place = ["shingle", "low", "high"]
-    keys = written(keys, "keys")
-    open_keys = keys.groupBy(*place).agg(F.min("root").alias("r"), F.max("root").alias("s")).filter("r < s")
-    keys = keys.join(open_keys.select(*place), place, "left_semi")
+
+    def least(n: Column) -> Column:
+        return F.ceil(n * similar - exact)
+
+    def same(n: Column, m: Column) -> Column:
+        return F.ceil((n + m) * (similar / (1 + similar)) - exact).cast("int")
+
+    # the prefix for the smallest partner holds those for all others; who has
+    # which place in it is asked when two meet, so a shingle is a row once
+    alone = F.col("n") - F.size("s")  # shingles of connected sets only come first
+    longest = F.col("n") - same(F.col("n"), least(F.col("n"))) + 1
+    keys = written(ranked.join(own.drop("shingles"), "content").select(
+        "content", "root", "n", "bits", alone.alias("alone"),
+        F.posexplode(F.slice("s", 1, F.greatest(longest - alone, F.lit(0)))),
+    ).select("col.shingle", "content", "root", "n", "bits", (F.col("alone") + F.col("pos")).alias("place")), "keys")
+    discard(own, opened)
     x, y = keys.alias("x"), keys.alias("y")
-    rest = x.join(y, place).filter("x.n = y.m and x.root < y.root").filter(
-        _may_be_similar("x.n", "x.bits", "y.n", "y.bits", similar)
-    ).select(*_either("x.content", "y.content"))
+    n, m = F.col("x.n"), F.col("y.n")
+    rest = x.join(y, "shingle").filter("x.root < y.root").filter((m >= least(n)) & (n >= least(m))).filter(
+        (F.col("x.place") <= n - same(n, m)) & (F.col("y.place") <= m - same(n, m))
+    ).filter(_may_be_similar("x.n", "x.bits", "y.n", "y.bits", similar)).select(*_either("x.content", "y.content"))
     found = _similar(rest, sets, similar)
+    discard(keys)
     a, b = (dense.select(F.col("content").alias(name), "band") for name in ("a", "b"))
     return all_links.unionByName(found.join(a, "a").join(b, ["b", "band"]).select("a", "b"))
 
@@ -462,6 +540,7 @@ def repeated_paragraphs(
 
     own = texts(collisions.groupBy(*name).agg(F.collect_list("band").alias("asked")))
     hits = written(own.mapInArrow(_emit_hits, f"{ID}, start long, length int, content long, band array<long>"), "hits")
+    discard(collisions)
     # exact copies have one content and need no shingles
     contents = _by_band(hits)
     bands = _contested(contents.withColumn("band", F.explode("band")))
@@ -470,9 +549,10 @@ def repeated_paragraphs(
     asked = spots.groupBy(F.col("at.doc_id").alias("doc_id"), F.col("at.key").alias("key")).agg(
         F.sort_array(F.collect_list(F.struct("at.start", "at.length", "content"))).alias("asked")  # neighbours share shingles
     )
-    known = written(texts(asked).mapInArrow(_emit_shingles, "content long, shingles array<long>, size int, bits long"), "sets")
+    known = written(texts(asked).mapInArrow(_emit_shingles, "content long, shingles binary, size int, bits long"), "sets")
     units = hits.select("doc_id", "key", "start", (F.col("start") + F.col("length")).alias("end"), "content")
     roots = components(_links(bands, known, similar))
+    discard(bands, known)
     spot = F.struct("doc_id", "key", "start")
     places = units.select(spot.alias("spot"), "end", "content")
     first = F.struct("at.doc_id", "at.key", "at.start")

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import hashlib
+import os
 import random
 import re
 import time
 from itertools import combinations
+from urllib.parse import urlparse
 
 import numpy as np
 import pytest
@@ -524,6 +526,69 @@ def test_sets_of_windows_are_their_distinct_shingles(vocabulary):
         assert set(got) == set(paragraphs._shingles(words[s : s + n]).view(np.int64).tolist()) and len(got) == len(set(got))
 
 
+def test_sets_go_as_words_and_are_compared_as_their_shingles(vocabulary):
+    import pyarrow as pa
+    import zstandard
+
+    rng = random.Random(16)
+    texts = [prose(rng, n, vocabulary[:40]).split() for n in (60, 90)] + ["one two".split() * 20]
+    asked = [[(s, n, 100 * t + s + n) for s, n in ((0, 25), (3, 25), (8, 17), (12, 25), (0, 5))] for t in range(3)]
+    kind = pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int32()), ("content", pa.int64())]))
+    batch = pa.RecordBatch.from_arrays([
+        pa.array(range(3)), pa.array(range(3)),
+        pa.array([zstandard.ZstdCompressor().compress(" ".join(t).encode()) for t in texts], pa.binary()),
+        pa.array([[dict(zip(("start", "length", "content"), a)) for a in own] for own in asked], kind),
+    ], ["doc_id", "key", "packed", "asked"])
+    [made] = paragraphs._emit_shingles([batch])
+    sets = {}
+    for (t, s, n, c) in ((t, *a) for t in range(3) for a in asked[t]):
+        sets[c] = {tuple(texts[t][i : i + 5]) for i in range(s, s + n - 4)}
+    names, size = made.column(0).to_pylist(), made.column(2).to_pylist()
+    assert dict(zip(names, size)) == {c: len(x) for c, x in sets.items()}
+    # before, a shingle was eight bytes and a paragraph has nearly as many as words
+    assert made.column(1).nbytes <= sum(4 * n + 4 for own in asked for _, n, _ in own) + 4
+
+    a, b = (pa.array(x) for x in zip(*[(i, j) for i in range(len(names)) for j in range(len(names))]))
+    rows = pa.RecordBatch.from_arrays(
+        [made.column(0).take(a), made.column(0).take(b), made.column(1).take(a), made.column(1).take(b)], ["a", "b", "x", "y"]
+    )
+    for similar in (0.8, 0.3):
+        got = {(r["a"], r["b"]) for out in paragraphs._verified([rows], similar) for r in out.to_pylist()}
+        assert got == {(i, j) for i in names for j in names if len(sets[i] & sets[j]) >= similar * len(sets[i] | sets[j])}
+    lists = paragraphs._members(pa.array([[5, 6, 7], [], [9]], pa.list_(pa.int64())))
+    others = paragraphs._members(pa.array([[7, 8, 5, 1], [0], [9]], pa.list_(pa.int64())))
+    assert paragraphs._shared(lists, others).tolist() == [2, 0, 1]
+
+
+def test_paragraphs_leave_no_work_tables_that_nothing_reads(spark, vocabulary, monkeypatch):
+    rng = random.Random(17)
+    base = [prose(rng, 60, vocabulary).split() for _ in range(3)]
+    rows = []
+    for i in range(40):
+        words = list(rng.choice(base))
+        for _ in range(rng.randint(0, 4)):
+            words[rng.randrange(len(words))] = rng.choice(vocabulary)
+        rows.append((i, " ".join(words)))
+    tables = {}
+
+    def kept(table, purpose):
+        table = written(table, purpose)
+        tables.setdefault(purpose, []).append((os.path.dirname(urlparse(table.inputFiles()[0]).path), table.count()))
+        return table
+
+    monkeypatch.setattr(paragraphs, "PAIRED", 3)
+    monkeypatch.setattr(paragraphs, "written", kept)
+    found = paragraphs.repeated_paragraphs(frame(spark, rows))
+    got = sorted(map(tuple, found.collect()), key=str)
+    assert got and got == sorted(map(tuple, found.collect()), key=str)  # read again
+    left = {purpose for purpose, of in tables.items() if any(os.path.exists(folder) for folder, _ in of)}
+    made = {"collisions", "sets", "bands", "near", "own", "open", "keys"}
+    assert made <= set(tables) and not made & left and {"hits", "contents", "named"} <= left
+    # a shingle of a dense set is a row once, and not for each size of its partners
+    own, keys = (tables[purpose][0][1] for purpose in ("own", "keys"))
+    assert own and keys <= 5 * own
+
+
 def test_decontamination_finds_leaks_and_paraphrases(spark, vocabulary):
     rng = random.Random(7)
     items = [(i, prose(rng, rng.randint(15, 60), vocabulary).capitalize() + ". " + prose(rng, 5, vocabulary)) for i in range(30)]
